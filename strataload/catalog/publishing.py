@@ -1 +1,203 @@
-"""Queries to come."""
+"""Published tables, extracts, patches, snapshots and control tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strataload.catalog.frames import ORDERS_CTE, orders_src, orders_tgt
+from strataload.catalog.registry import Tables, query
+from strataload.operators import dedupe
+from strataload.plans import extract
+from strataload.plans.extract import ExtractField, ExtractSpec
+from strataload.sources import scan, sink
+
+DAY = "2024-02-01"
+
+
+@query(
+    "partitioned_write",
+    """select o_orderkey, o_custkey, case when o_orderstatus = 'F' then 'new' else 'old' end as state, o_orderstatus
+from orders""",
+)
+def partitioned_write(t: Tables):
+    folder = sink.scratch_folder(t.spark)
+    rows = t.orders.select("o_orderkey", "o_custkey", F.lit("old").alias("state"), "o_orderstatus")
+    sink.publish(rows, folder, "o_orderstatus, not_there")
+    changed = rows.filter("o_orderstatus = 'F'").withColumn("state", F.lit("new"))
+    sink.publish(changed, folder, "o_orderstatus", mode="dynamic")
+    return t.spark.read.parquet(folder)
+
+
+@query(
+    "partition_restore",
+    """select o_orderkey, case when o_orderstatus = 'P' then 1 else 2 end as version, o_orderstatus from orders""",
+)
+def partition_restore(t: Tables):
+    folder = sink.scratch_folder(t.spark)
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    sink.publish(rows.withColumn("version", F.lit(1)), f"{folder}/backup", "o_orderstatus")
+    sink.publish(rows.withColumn("version", F.lit(2)), f"{folder}/live", "o_orderstatus")
+    sink.restore_partition(t.spark, f"{folder}/backup", f"{folder}/live", "o_orderstatus", "P")
+    return t.spark.read.parquet(f"{folder}/live")
+
+
+@query(
+    "extract_delimited_roundtrip",
+    """select cast(event_id as varchar) as event_id, event_type, props, strftime(ts, '%Y-%m-%d') as day from events""",
+)
+def extract_delimited_roundtrip(t: Tables):
+    folder = sink.scratch_folder(t.spark)
+    rows = t.events.select("event_id", "event_type", "props", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    sink.export_delimited(rows, f"{folder}/csv", sep="|", files=3)
+    sink.delimited_to_parquet(t.spark, f"{folder}/csv", f"{folder}/parquet", sep="|")
+    return t.spark.read.parquet(f"{folder}/parquet")
+
+
+@query(
+    "snapshot_key_export",
+    """select cast(l_orderkey as varchar) as ORDER_ID, cast(l_linenumber as varchar) as LINE from lineitem
+where cast(l_shipdate as date) = (select max(cast(l_shipdate as date)) from lineitem)""",
+)
+def snapshot_key_export(t: Tables):
+    folder = sink.scratch_folder(t.spark)
+    rows = t.lineitem.withColumn("snapshot_date", F.col("l_shipdate").cast("date"))
+    last = rows.agg(F.max("snapshot_date")).first()[0]
+    columns = {"l_orderkey": "ORDER_ID", "l_linenumber": "LINE"}
+    sink.export_snapshot(rows, folder, columns, "snapshot_date", last)
+    return scan.read_delimited(t.spark, folder)
+
+
+@query(
+    "dedupe_patch",
+    f"""with {ORDERS_CTE}, act as (select * from orders_tgt where is_active = 1),
+fixes as (select order_id, 'D' as status, first_date as order_date from (
+    select order_id, cust_id, min(order_date) over (partition by cust_id) as first_date, status from act) x where status = 'X'
+  union all select order_id, 'E', date '2000-01-01' from act where status = 'F')
+select a.order_id, a.cust_id, a.total, a.hashkey, a.add_date, a.delete_date, a.last_modified_date, a.is_active,
+  a.is_incremental, f.status, f.order_date from act a left join fixes f on a.order_id = f.order_id
+union all select order_id, cust_id, total, hashkey, add_date, delete_date, last_modified_date, is_active,
+  is_incremental, status, order_date from orders_tgt where is_active = 0""",
+)
+def dedupe_patch(t: Tables):
+    scripts = [
+        {
+            "firsts": "select cust_id, min(order_date) as first_date from {orders} group by cust_id",
+            "fix": """select o.order_id, 'D' as status, f.first_date as order_date from {orders} o
+                      join {firsts} f on o.cust_id = f.cust_id where o.status = 'X'""",
+        },
+        {"fix": "select order_id, 'E' as status, date '2000-01-01' as order_date from {orders} where status = 'F'"},
+    ]
+    return dedupe.dedupe_patch(orders_tgt(t), "orders", scripts, ["order_id"])
+
+
+@query(
+    "snapshot_steps",
+    f"""with {ORDERS_CTE}
+select cust_id, count(*) as n, 'open' as snapshot, '2024' as year from orders_src where status = 'O' group by cust_id
+union all select cust_id, count(*), 'all', null from orders_src group by cust_id""",
+)
+def snapshot_steps(t: Tables):
+    steps = {
+        "open_orders": "select cust_id, count(*) as n from {orders} where status = 'O' group by cust_id",
+        "upd_open": {"Snapshot": "open", "year": "2024"},
+        "every": "select cust_id, count(*) as n from {orders} group by cust_id",
+        "upd_every": {"snapshot": "all"},
+    }
+    return dedupe.snapshot_steps({"orders": orders_src(t)}, steps, ["open_orders", "every"])
+
+
+SPEC = ExtractSpec(
+    table="orders",
+    alias="o",
+    template=(
+        "select <included_fields> from <extract_source_schema>.<table:$1> <table:$2> "
+        "left join <extract_lookup_schema>.<source:$1>.customer c on o.cust_id = c.c_custkey where o.add_date <= <add_date>"
+    ),
+    fields=(
+        ExtractField("status", "varchar", length="(1)", order=3),
+        ExtractField("order_id", "bigint", "ORDER_NO", order=1),
+        ExtractField("total", "decimal", length="(18,1)", order=2),
+        ExtractField("c_name", sql="concat(c.c_mktsegment, ':', c.c_name)", new_name="member", order=4),
+        ExtractField("order_date", "time", "order_month", format="yyyyMM", order=5),
+    ),
+    filter_full="o.status <> 'P'",
+    filter_incremental="o.is_incremental = 1 and o.status = 'F'",
+    sources=("crm",),
+)
+
+
+def _extract(t: Tables, load_type: str):
+    flagged = orders_src(t).withColumn("EXCLUDE_PER_DID", F.when(F.col("total") < 20000, 1))
+    return extract.build_extract(t.spark, SPEC, {"orders": flagged, "crm_customer": t.customer}, load_type, DAY)
+
+
+EXTRACT_SQL = """with {cte}
+select order_id as ORDER_NO, cast(total as decimal(18,1)) as total, status, c_mktsegment || ':' || c_name as member,
+  strftime(order_date, '%Y%m') as order_month
+from orders_src o left join customer c on o.cust_id = c.c_custkey where total >= 20000 and {where}"""
+
+
+@query("extract_full", EXTRACT_SQL.format(cte=ORDERS_CTE, where="status <> 'P'"))
+def extract_full(t: Tables):
+    return _extract(t, "full")
+
+
+@query("extract_incremental", EXTRACT_SQL.format(cte=ORDERS_CTE, where="is_incremental = 1 and status = 'F'"))
+def extract_incremental(t: Tables):
+    return _extract(t, "incremental")
+
+
+FILES = ("orders", "lineitem", "documents", "events")
+
+
+def file_lines(t: Tables):
+    """File control lines of the given tables."""
+    out = None
+    for name in FILES:
+        lines = extract.file_control(t.spark, t.path(name), name, DAY)
+        out = lines if out is None else out.unionByName(lines)
+    return out
+
+
+@query(
+    "file_control_table",
+    " union all ".join(
+        f"select '{n}/' as Path, '{n}.parquet' as file_name, true as has_size, '{DAY}' as export_date, "
+        f"count(*) as row_counts from {n}"
+        for n in FILES
+    ),
+)
+def file_control_table(t: Tables):
+    return file_lines(t).withColumn("has_size", F.col("size_KB") > F.col("row_counts")).drop("size_KB")
+
+
+TOTALS_SQL = " union all ".join(
+    f"select '{n}/' as Path, count(*) as Row_Count, '{DAY}' as Export_Date, cast(1 as bigint) as File_Count from {n}"
+    for n in FILES
+)
+
+
+@query("control_totals", TOTALS_SQL)
+def control_totals(t: Tables):
+    return extract.control_totals(file_lines(t))
+
+
+@query(
+    "control_totals_v2",
+    f"""select rtrim(Path, '/') as EXTRACT_TABLE_NAME, 'out/20240201/' as EXTRACT_FOLDER_PATH, Export_Date as EXPORT_DATE,
+ File_Count as FILE_COUNT, Row_Count as RECORD_COUNT, '20240201' as DATA_VERSION, 'NA' as SCHEMA_NAME, 'full' as LOAD_TYPE,
+ 'NA' as LOAD_FUNCTION, 'order_id' as ZORDER_BY from ({TOTALS_SQL}) x""",
+)
+def control_totals_v2(t: Tables):
+    return extract.control_totals_v2(file_lines(t), "out/20240201", "20240201", "full", zorder_by="order_id")
+
+
+@query(
+    "collect_summaries",
+    f"""select rtrim(Path, '/') as Path, Row_Count, Export_Date, File_Count, 'NA' as note from ({TOTALS_SQL}) x
+union all select 'labels', count(*), '{DAY}', 1, 'late' from labels""",
+)
+def collect_summaries(t: Tables):
+    late = extract.control_totals(extract.file_control(t.spark, t.path("labels"), "labels", DAY))
+    frames = [extract.control_totals(file_lines(t)), late.withColumn("note", F.lit("late"))]
+    return extract.collect_summaries(frames, missing="NA")

@@ -1 +1,208 @@
-"""Queries to come."""
+"""Feed validation and expectation suites."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strataload.catalog.frames import DEACT_CTE, deact_feed
+from strataload.catalog.publishing import FILES, file_lines
+from strataload.catalog.registry import Tables, query
+from strataload.operators import quality
+from strataload.operators.quality import Case
+
+# control lines of a line-item feed: one per ship month, as counted by the sender
+CONTROL_CTE = """
+control as (select concat('lines_', strftime(l_shipdate, '%Y%m'), '.csv') as file_name, count(*) as row_count
+            from lineitem group by 1)"""
+
+
+def _control(t: Tables):
+    name = F.concat(F.lit("lines_"), F.date_format("l_shipdate", "yyyyMM"), F.lit(".csv"))
+    return t.lineitem.groupBy(name.alias("file_name")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query(
+    "validate_total_rows",
+    f"""with {CONTROL_CTE}
+select 'all_lines' as check_name, (select count(*) from lineitem) = sum(row_count) as passed,
+  (select count(*) from lineitem) as actual_rows, cast(sum(row_count) as bigint) as control_rows
+from control where contains(file_name, 'lines_')
+union all
+select 'one_month', (select count(*) from lineitem) = sum(row_count), (select count(*) from lineitem),
+  cast(sum(row_count) as bigint) from control where file_name = 'lines_199806.csv'""",
+)
+def validate_total_rows(t: Tables):
+    control = _control(t)
+    every = quality.check_total_rows(t.lineitem, control, "lines_", "pattern", "all_lines")
+    return every.unionByName(
+        quality.check_total_rows(t.lineitem, control, "lines_199806.csv", "fixed", "one_month")
+    )
+
+
+def _file_control(t: Tables, extension: str = ".parquet", header: int = 0):
+    """What the sender of the table files would state; nothing about events."""
+    lines = file_lines(t).filter("file_name not like 'events%'")
+    name = F.regexp_replace("file_name", r"\.parquet$", extension)
+    return lines.select(
+        name.alias("file_name"), F.col("size_KB").alias("file_size"), (F.col("row_counts") + header).alias("row_count")
+    )
+
+
+@query(
+    "validate_file_size_rows",
+    " union all ".join(
+        f"select '{n}.parquet' as file_name, {'count(*) < 0' if n == 'events' else 'count(*) >= 0'} as passed from {n}"
+        for n in FILES
+    ),
+)
+def validate_file_size_rows(t: Tables):
+    return quality.check_files(file_lines(t), _file_control(t, header=1), header_line=True)
+
+
+@query(
+    "validate_file_rows",
+    " union all ".join(
+        f"select '{n}.parquet' as file_name, {'count(*) < 0' if n == 'events' else 'count(*) >= 0'} as passed from {n}"
+        for n in FILES
+    ),
+)
+def validate_file_rows(t: Tables):
+    return quality.check_files(file_lines(t), _file_control(t, ".TXT"), size=False, rename=(".parquet", ".TXT"))
+
+
+@query(
+    "validate_deact_feed",
+    f"""with {DEACT_CTE}
+select 'increment' as check_name, count(*) > 0 as passed from deact
+union all select 'history', count(*) = 0 from deact
+union all select 'empty_history', count(*) = 0 from deact where ds = 'none'""",
+)
+def validate_deact_feed(t: Tables):
+    feed = deact_feed(t)
+    checks = [
+        quality.check_deact_feed(feed, "incremental", "increment"),
+        quality.check_deact_feed(feed, "historical", "history"),
+        quality.check_deact_feed(feed.filter("ds = 'none'"), "historical", "empty_history"),
+    ]
+    return checks[0].unionByName(checks[1]).unionByName(checks[2])
+
+
+OURS_SQL = """select concat(lang, '_', source) as file_name, cast(sum(n_chars) as bigint) as size, count(*) as rows
+from documents group by 1"""
+THEIRS_SQL = """select concat(lang, '_', source) as file_name,
+  cast(sum(case when lang = 'fr' then n_chars + 1 else n_chars end) as bigint) as size,
+  count(*) + case when source = 'src1' then 0 else 1 end as rows from documents group by lang, source"""
+
+
+@query(
+    "summary_mismatches",
+    f"""select a.file_name, a.size, a.rows, b.size as control_size, b.rows as control_rows
+from ({OURS_SQL}) a join ({THEIRS_SQL}) b on a.file_name = b.file_name where a.size <> b.size or b.rows <> a.rows + 1""",
+)
+def summary_mismatches(t: Tables):
+    name = F.concat_ws("_", "lang", "source").alias("file_name")
+    ours = t.documents.groupBy(name).agg(F.sum("n_chars").alias("size"), F.count(F.lit(1)).alias("rows"))
+    french = F.when(F.col("lang") == "fr", F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    header = F.max(F.when(F.col("source") == "src1", 0).otherwise(1))
+    theirs = t.documents.groupBy(name).agg(F.sum(french).alias("size"), (F.count(F.lit(1)) + header).alias("rows"))
+    return quality.summary_mismatches(ours, theirs)
+
+
+def _checks(t: Tables):
+    total = quality.check_total_rows(t.lineitem, _control(t), "lines_", "pattern", "rows")
+    month = quality.check_total_rows(t.lineitem, _control(t), "lines_199806.csv", "fixed", "month_rows")
+    feed = quality.check_deact_feed(deact_feed(t), "incremental", "deact")
+    return [total, month, feed]
+
+
+CHECKS_CTE = f"""{CONTROL_CTE}, {DEACT_CTE},
+checks as (
+  select 'rows' as check_name, (select count(*) from lineitem) = (select sum(row_count) from control) as passed
+  union all select 'month_rows', (select count(*) from lineitem) =
+    (select sum(row_count) from control where file_name = 'lines_199806.csv')
+  union all select 'deact', (select count(*) from deact) > 0)"""
+
+
+@query(
+    "validation_gate",
+    f"""with {CHECKS_CTE}
+select count(*) as checks, count(*) filter (where not passed) as failed, bool_and(passed) as passed from checks""",
+)
+def validation_gate(t: Tables):
+    return quality.gate(_checks(t))
+
+
+@query(
+    "validation_log",
+    f"""with {CHECKS_CTE},
+state as (select max(case when check_name = 'deact' then passed end) as d,
+                 max(case when check_name = 'month_rows' then passed end) as r from checks)
+select 'SHOP' as SRC_NAME, 'AC' as MARKET_BASKET, 'LINEITEM' as TABLE_NAME,
+  case when d then 'SUCCESS' else 'FAILED' end as DEAC_FILE_VALIDATION, 'NA' as SOURCE_COLUMN_VALIDATION,
+  case when r then 'SUCCESS' else 'FAILED' end as FILE_SIZE_ROWCOUNT_VALIDATION, '2024-02-01 00:00:00' as EXPORT_DATE
+from state""",
+)
+def validation_log(t: Tables):
+    checks = _checks(t)
+    results = checks[0].select("check_name", "passed")
+    for check in checks[1:]:
+        results = results.unionByName(check.select("check_name", "passed"))
+    columns = {
+        "DEAC_FILE_VALIDATION": "deact",
+        "SOURCE_COLUMN_VALIDATION": "columns",
+        "FILE_SIZE_ROWCOUNT_VALIDATION": "month_rows",
+    }
+    return quality.validation_log(results, "shop", "ac", "lineitem", columns, F.lit("2024-02-01 00:00:00"))
+
+
+CASES = [
+    Case("tc01", "select count_if(o_custkey is null) as a, count_if(o_totalprice < 0) as b from {orders}", "all_zero", table="orders"),
+    Case("tc02", "select count(*) as rows, count(distinct o_custkey) as members from {orders}", "anynumber", table="orders"),
+    Case("tc03", "select count(*) as repeated from (select l_orderkey, l_linenumber from {lineitem} group by 1, 2 having count(*) > 1)", "all_zero", table="lineitem"),
+    Case("tc04", "select min(o_orderstatus) as a, max(o_orderstatus) as b, count(*) as c from {orders}", "F|P|any", table="orders"),
+    Case("tc05", "select min(o_orderstatus) as a, max(o_orderstatus) as b from {orders}", "F|O", table="orders"),
+    Case("tc06", None, "all_one", table="labels"),
+    Case("tc07", "select nothing from {labels}", "all_one", table="labels"),
+    Case("tc08", "select max(quality) as a, max(toxic) as b from {labels}", "all_one", table="labels"),
+    Case("tc09", "select avg(quality) as a from {labels}", "ignore", table="labels"),
+    Case("tc10", "select min(o_orderpriority) as a from {orders}", "all_one", table="orders"),
+]
+
+RESULTS_SQL = """
+select 'tc01' as testcase_id, 'orders' as table_name, 'all_zero' as expected,
+  case when count(*) filter (where o_custkey is null) = 0 and count(*) filter (where o_totalprice < 0) = 0
+       then 'Pass' else 'Fail' end as status from orders
+union all select 'tc02', 'orders', 'anynumber',
+  case when count(*) > 0 and count(distinct o_custkey) > 0 then 'Pass' else 'Fail' end from orders
+union all select 'tc03', 'lineitem', 'all_zero', case when count(*) = 0 then 'Pass' else 'Fail' end from (
+  select l_orderkey from lineitem group by l_orderkey, l_linenumber having count(*) > 1) x
+union all select 'tc04', 'orders', 'F|P|any',
+  case when min(o_orderstatus) = 'F' and max(o_orderstatus) = 'P' then 'Pass' else 'Fail' end from orders
+union all select 'tc05', 'orders', 'F|O',
+  case when min(o_orderstatus) = 'F' and max(o_orderstatus) = 'O' then 'Pass' else 'Fail' end from orders
+union all select 'tc06', 'labels', 'all_one', 'Pending'
+union all select 'tc07', 'labels', 'all_one', 'Failed'
+union all select 'tc08', 'labels', 'all_one',
+  case when max(quality) = 1 and max(toxic) = 1 then 'Pass' else 'Fail' end from labels
+union all select 'tc09', 'labels', 'ignore', 'Pass'
+union all select 'tc10', 'orders', 'all_one', case when count(*) > 0 then 'Failed' else 'Failed' end from orders"""
+
+
+def _suite(t: Tables):
+    tables = {"orders": t.orders, "lineitem": t.lineitem, "labels": t.labels}
+    return quality.run_expectations(t.spark, CASES, tables)
+
+
+@query("expectation_suite", RESULTS_SQL)
+def expectation_suite(t: Tables):
+    return _suite(t).drop("result")
+
+
+@query(
+    "qa_summary",
+    f"""select table_name, count(*) as total_test_cases, count(*) filter (where status = 'Pass') as passed,
+  count(*) filter (where status like 'Fail%') as failed, count(*) filter (where status = 'Pending') as pending
+from ({RESULTS_SQL}) x group by table_name""",
+)
+def qa_summary(t: Tables):
+    return quality.qa_summary(_suite(t), ["table_name"])

@@ -128,7 +128,9 @@ def plain_column(row: MappingRow) -> Column:
     """Expression under its name; ``*`` passes all columns of the table."""
     if row.column.strip() == "*":
         return F.col(f"{row.name}.*")
-    return F.expr(_text(row)).alias(row.column.strip().lower())
+    text = _text(row)
+    value = F.lit(None).cast("string") if text == "NULL" else F.expr(text)
+    return value.alias(row.column.strip().lower())
 
 
 def _join_text(row: MappingRow, driving: str, mode: str) -> str:
