@@ -62,11 +62,17 @@ def hash_columns(df: DataFrame, scd_columns: Sequence[str] = ()) -> list[str]:
     return sorted(c for c in df.columns if c in wanted)
 
 
-def stamp(df: DataFrame, audit: AuditSpec, hash_cols: Sequence[str] | None = None, strict: bool = False) -> DataFrame:
+def stamp(
+    df: DataFrame,
+    audit: AuditSpec,
+    hash_cols: Sequence[str] | None = None,
+    strict: bool = False,
+    distinct: bool = True,
+) -> DataFrame:
     """Mark rows as new in this batch; with ``hash_cols`` also distinct and hashed."""
     out = df
     if hash_cols is not None:
-        out = out.distinct()
+        out = out.distinct() if distinct else out
         out = out.withColumn("hashkey", row_hash(hash_cols or hash_columns(out), strict))
     stamps = {
         "add_date": F.lit(audit.batch_date),

@@ -173,7 +173,7 @@ NAMES_CTE = """
 names as (select c_custkey as id, c_mktsegment as plan_name,
                  case when c_acctbal < 0 then null when c_acctbal > 9000 then ' ' else c_name end as payer_name
           from customer),
-restricted as (select 'pattern' as match_type, substr(n_name, 5) || '0' as name_pattern,
+restricted as (select 'pattern' as match_type, concat(cast(n_nationkey as varchar), '7') as name_pattern,
                       n_regionkey + 10 as priority,
                       concat('PLAN ', n_name, ' <x>') as plan_name, concat('ORG ', n_name, ' <x>') as organization_name
                from nation
@@ -195,7 +195,7 @@ def names(t: Tables) -> DataFrame:
 def restricted(t: Tables) -> DataFrame:
     by_nation = t.nation.select(
         F.lit("pattern").alias("match_type"),
-        F.concat(F.expr("substr(n_name, 5)"), F.lit("0")).alias("name_pattern"),
+        F.concat(F.col("n_nationkey").cast("string"), F.lit("7")).alias("name_pattern"),
         (F.col("n_regionkey") + 10).alias("priority"),
         F.concat(F.lit("PLAN "), "n_name", F.lit(" <x>")).alias("plan_name"),
         F.concat(F.lit("ORG "), "n_name", F.lit(" <x>")).alias("organization_name"),

@@ -242,16 +242,11 @@ def _date_state(df: DataFrame, keys: Sequence[str], date_col: str, newest: bool,
         .groupBy(*keys, "hashkey")
         .agg(extreme(date_col).alias("_d"))
     )
-    first_two = per_hash.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(order, F.col("hashkey")))
-    ).filter("_rn <= 2")
-    return first_two.groupBy(*keys).agg(
-        F.struct(
-            F.max(F.when(F.col("_rn") == 1, F.col("hashkey"))).alias("hash"),
-            F.max(F.when(F.col("_rn") == 1, F.col("_d"))).alias("date"),
-            F.max(F.when(F.col("_rn") == 2, F.col("_d"))).alias("other_date"),
-        ).alias(out)
-    )
+    ranking = Window.partitionBy(*keys).orderBy(order, F.col("hashkey"))
+    first_two = per_hash.withColumn("_rn", F.row_number().over(ranking)).filter("_rn <= 2")
+    with_second = first_two.withColumn("_other", F.lead("_d").over(ranking)).filter("_rn = 1")
+    state = F.struct(F.col("hashkey").alias("hash"), F.col("_d").alias("date"), F.col("_other").alias("other_date"))
+    return with_second.select(*keys, state.alias(out))
 
 
 def _first_state(df: DataFrame, other: DataFrame, key_sets: Sequence[Sequence[str]], date_col: str, newest: bool):

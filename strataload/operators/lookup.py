@@ -148,12 +148,11 @@ def contains_lookup(
             F.length(lowered) >= n, F.transform(starts, lambda i: F.substr(lowered, i, F.lit(n)))
         ).otherwise(F.array().cast("array<string>"))
 
-    cut = distinct.select("_name", F.lit(False).alias("_part"), F.col("_name").alias("_piece"))
+    whole = F.array(F.struct(F.lit(False).alias("_part"), F.col("_name").alias("_piece")))
     if lengths:
         parts = F.array_distinct(F.concat(*[pieces(n) for n in lengths]))
-        cut = cut.unionByName(
-            distinct.select("_name", F.lit(True).alias("_part"), F.explode(parts).alias("_piece"))
-        )
+        whole = F.concat(whole, F.transform(parts, lambda p: F.struct(F.lit(True).alias("_part"), p.alias("_piece"))))
+    cut = distinct.select("_name", F.explode(whole).alias("_p")).select("_name", "_p.*")
     hits = cut.join(rules, ["_part", "_piece"]).groupBy("_name").agg(F.min("_best").alias("_best"))
     return hits.select(F.col("_name").alias(name), "_best._row.*")
 

@@ -83,13 +83,14 @@ def source_list(
     once per row of the key instead.
     """
     rows = df.distinct()
-    per_source = rows.groupBy(*keys, source_col).agg(F.count(F.lit(1)).alias("_n"))
     name = F.col(source_col).cast("string")
     if repeats:
-        listed = F.flatten(F.collect_list(F.array_repeat(name, F.col("_n").cast("int"))))
+        counted = rows.groupBy(*keys, source_col).agg(F.count(F.lit(1)).cast("int").alias("_n"))
+        listed = F.flatten(F.collect_list(F.array_repeat(name, F.col("_n"))))
     else:
+        counted = df.select(*keys, source_col).distinct()
         listed = F.collect_list(name)
-    lists = per_source.filter(F.col(source_col).isNotNull()).groupBy(*keys).agg(
+    lists = counted.filter(F.col(source_col).isNotNull()).groupBy(*keys).agg(
         F.concat_ws(",", F.array_sort(listed)).alias(out)
     )
     return rows.join(lists, list(keys), "left").select(*df.columns, out)
@@ -134,7 +135,7 @@ def source_flags(
 def master_final(df: DataFrame, masters: Sequence[str], source_col: str, audit: AuditSpec) -> DataFrame:
     """Only master rows, with fresh audit columns and hash."""
     rows = df.filter(F.col(source_col).isin(*masters)).drop(*AUDIT_COLUMNS)
-    return stamp(rows, audit, hash_cols=hash_columns(rows))
+    return stamp(rows, audit, hash_cols=hash_columns(rows), distinct=False)
 
 
 def combine_sources(frames: Sequence[DataFrame]) -> DataFrame:
