@@ -42,4 +42,6 @@ class Tables:
         return f"{self.folder}/{table}.parquet"
 
     def __getattr__(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        df = self.spark.read.parquet(self.path(table))
+        setattr(self, table, df)  # the footer is read once per query
+        return df

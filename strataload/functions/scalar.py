@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,34 +17,31 @@ MONTH_LONG = (
 PAIR_SPELLING = {"sep/oct": "sept/oct"}
 
 
-def _month_numbers() -> dict[str, str]:
-    """Exact tokens: short and long names, and pairs with the following month."""
-    out = {}
-    for i in range(12):
-        number, after = f"{i + 1:02d}", (i + 1) % 12
-        short_pair = f"{MONTH_SHORT[i]}/{MONTH_SHORT[after]}"
-        long_pair = f"{MONTH_LONG[i]}/{MONTH_LONG[after]}"
-        for token in (MONTH_SHORT[i], MONTH_LONG[i], PAIR_SPELLING.get(short_pair, short_pair), long_pair):
-            out[token] = number
-    return out
+def _month_pairs(i: int) -> list[str]:
+    """The month's name joined with that of the month after it, short and long."""
+    after = (i + 1) % 12
+    short = f"{MONTH_SHORT[i]}/{MONTH_SHORT[after]}"
+    return [PAIR_SPELLING.get(short, short), f"{MONTH_LONG[i]}/{MONTH_LONG[after]}"]
 
 
 def month_text(text: Column) -> Column:
     """Month names in a text become numbers, other letters, spaces and dots go.
 
-    ``March 2020`` gives ``032020``.  Tokens are split at two of ``_`` / ``,`` or
-    at a space; a token that is not a known name has its short names replaced.
+    ``March 2020`` gives ``032020``.  Tokens end at two of ``_`` / ``,`` or at a
+    space.  A token that is a pair of months becomes the first one; anywhere else
+    a short name is replaced, and what is left of a long name goes with the
+    letters.
     """
-    known = F.create_map(*[F.lit(x) for pair in _month_numbers().items() for x in pair])
-
-    def number(token: Column) -> Column:
-        loose = token
-        for i, name in enumerate(MONTH_SHORT):
-            loose = F.regexp_replace(loose, f"(?i){name}", f"{i + 1:02d}")
-        return F.coalesce(F.try_element_at(known, F.lower(token)), loose)
-
-    joined = F.array_join(F.transform(F.split(text, "[_,][_,]| ", -1), number), " ")
-    return F.regexp_replace(joined, "[a-zA-Z .]", "")
+    lowered = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    out = F.regexp_replace(lowered, "[_,][_,]", " ")
+    paired = out
+    for i in range(12):
+        either = "|".join(_month_pairs(i))
+        paired = F.regexp_replace(paired, f"(?<![^ ])(?:{either})(?![^ ])", f"{i + 1:02d}")
+    out = F.when(F.contains(out, F.lit("/")), paired).otherwise(out)
+    for i, name in enumerate(MONTH_SHORT):
+        out = F.replace(out, F.lit(name), F.lit(f"{i + 1:02d}"))
+    return F.regexp_replace(out, "[a-z .]", "")
 
 
 def wildcard(text: Column, pattern: str) -> Column:
