@@ -9,6 +9,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataload.operators.skew import SPREAD, grouped, key_set
 from strataload.schema import union_bag
 from strataload.session import durable
 
@@ -74,7 +75,7 @@ def new_rows(incoming: DataFrame, existing: DataFrame | None, keys: Sequence[str
     """Incoming rows whose key the existing table does not have."""
     if existing is None:
         return incoming
-    known = existing.select(*keys).distinct()
+    known = key_set(existing, keys, nulls=null_safe)
     if null_safe:
         return incoming.alias("n").join(known.alias("k"), _same("n", "k", keys), "left_anti")
     return incoming.join(known, list(keys), "left_anti")
@@ -134,7 +135,7 @@ def unique_rows(view: DataFrame, keys: Sequence[str], columns: Sequence[str], na
     ok = reduce(Column.__and__, checks) if checks else F.lit(True)
     failed = F.raise_error(F.lit(f"{name}: several different rows for one key, the join would multiply rows"))
     values = [F.when(ok, F.min(c)).otherwise(failed).alias(c) for c in columns]
-    return view.dropna(subset=list(keys)).groupBy(*keys).agg(*values)
+    return grouped(view.dropna(subset=list(keys)), keys).agg(*values).drop(SPREAD)
 
 
 def coalesce_update(base: DataFrame, views: Mapping[str, DataFrame], keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

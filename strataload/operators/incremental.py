@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataload.audit import AuditSpec
+from strataload.operators.skew import SPREAD, grouped, key_set, spread
 from strataload.schema import align_to_source, union_bag
 
 MARK = "_closed"
@@ -75,14 +76,9 @@ def _inactive(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("is_active").eqNullSafe(1))
 
 
-def _key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct non-null keys; combined on the map side before the shuffle."""
-    return df.select(*keys).dropna().distinct()
-
-
-def _matched(df: DataFrame, key_set: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` plus ``_hit``: its key is in ``key_set`` (unique, so no fan-out)."""
-    found = df.join(key_set.withColumn("_hit", F.lit(True)), list(keys), "left")
+def _matched(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` plus ``_hit``: its key is in ``known`` (unique, so no fan-out)."""
+    found = df.join(known.withColumn("_hit", F.lit(True)), list(keys), "left")
     return found.withColumn("_hit", F.coalesce("_hit", F.lit(False)))
 
 
@@ -122,7 +118,7 @@ def load_append_new_keys(
     if tgt is None:
         return Buckets(src, None, audit)
     tgt = _target(src, tgt, on_dropped)
-    fresh = src.join(_key_set(_active(tgt), keys), list(keys), "left_anti")
+    fresh = src.join(key_set(_active(tgt), keys), list(keys), "left_anti")
     return Buckets(fresh.select(*src.columns), tgt.withColumn(MARK, F.lit(False)), audit)
 
 
@@ -149,8 +145,8 @@ def _load_by_presence(
     rows whose ``on`` is not in the active target are added."""
     tgt = _target(src, tgt, on_dropped)
     active = _active(tgt)
-    marked = _matched(active, _key_set(src, on), on).withColumn(MARK, ~F.col("_hit")).drop("_hit")
-    fresh = src.join(_key_set(active, on), list(on), "left_anti").select(*src.columns)
+    marked = _matched(active, key_set(src, on), on).withColumn(MARK, ~F.col("_hit")).drop("_hit")
+    fresh = src.join(key_set(active, on), list(on), "left_anti").select(*src.columns)
     return Buckets(fresh, _history(marked, _inactive(tgt), as_set=False), audit, **flags)
 
 
@@ -187,7 +183,7 @@ def load_by_key(
     if tgt is None:
         return Buckets(src, None, audit)
     tgt = _target(src, tgt, on_dropped)
-    marked = _matched(_active(tgt), _key_set(src, keys), keys).withColumnRenamed("_hit", MARK)
+    marked = _matched(_active(tgt), key_set(src, keys), keys).withColumnRenamed("_hit", MARK)
     return Buckets(
         _active(src), _history(marked, _inactive(tgt), history_as_set), audit, closed_flag=1, kept_flag=0
     )
@@ -218,10 +214,9 @@ def load_deact_key(
         marked = active.withColumn(MARK, F.lit(False))
     else:
         feed = deact.select(*[F.upper(F.col(k).cast("string")).alias(n) for n, k in zip(names, source_keys)])
-        marked = _matched(active, _key_set(feed, names), names).withColumnRenamed("_hit", MARK)
+        marked = _matched(active, key_set(feed, names), names).withColumnRenamed("_hit", MARK)
     surviving = (
-        marked.filter(F.col("hashkey").isNotNull())
-        .groupBy("hashkey")
+        grouped(marked.filter(F.col("hashkey").isNotNull()), ["hashkey"])
         .agg(F.bool_or(MARK).alias("_gone"))
         .filter(~F.col("_gone"))
         .select("hashkey")
@@ -242,8 +237,8 @@ def _date_state(df: DataFrame, keys: Sequence[str], date_col: str, newest: bool,
         .groupBy(*keys, "hashkey")
         .agg(extreme(date_col).alias("_d"))
     )
-    ranking = Window.partitionBy(*keys).orderBy(order, F.col("hashkey"))
-    first_two = per_hash.withColumn("_rn", F.row_number().over(ranking)).filter("_rn <= 2")
+    ranking = Window.partitionBy(*keys, SPREAD).orderBy(order, F.col("hashkey"))
+    first_two = per_hash.withColumn(SPREAD, spread(keys)).withColumn("_rn", F.row_number().over(ranking)).filter("_rn <= 2")
     with_second = first_two.withColumn("_other", F.lead("_d").over(ranking)).filter("_rn = 1")
     state = F.struct(F.col("hashkey").alias("hash"), F.col("_d").alias("date"), F.col("_other").alias("other_date"))
     return with_second.select(*keys, state.alias(out))
@@ -333,11 +328,11 @@ def scd1_helper(src: DataFrame, tgt: DataFrame, *, keys: Sequence[str], id_col:
     """
     active = _active(tgt)
     state = (
-        active.dropna(subset=list(keys))
-        .groupBy(*keys)
+        grouped(active.dropna(subset=list(keys)), keys)
         .agg(F.min(id_col).alias("_id"), F.min("hashkey").alias("_hash"))
+        .drop(SPREAD)
     )
-    same = active.join(_key_set(src, [*keys, "hashkey"]), [*keys, "hashkey"], "left_semi")
+    same = active.join(key_set(src, [*keys, "hashkey"]), [*keys, "hashkey"], "left_semi")
     seen = src.join(state, list(keys), "left")
     changed = F.col("_hash").isNotNull() & ~F.coalesce(F.col("_hash") == F.col("hashkey"), F.lit(False))
     fresh = seen.filter(F.col("_hash").isNull() | changed).withColumns(

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataload.operators.skew import SPREAD, grouped
+
 
 def null_safe_on(left: str, right: str, pairs: Mapping[str, str]) -> Column:
     """ON clause in which NULL equals NULL, still an equi-join."""
@@ -126,16 +128,12 @@ def contains_lookup(
         F.struct(*others).alias("_row"),
     )
     kind = F.lower(F.trim(F.col(match_type)))
-    rules = (
-        patterns.filter(kind.isin("pattern", "exact") & F.col(pattern).isNotNull())
-        .select(
-            (kind == "pattern").alias("_part"),
-            F.when(kind == "pattern", F.lower(F.col(pattern))).otherwise(F.col(pattern)).alias("_piece"),
-            best.alias("_best"),
-        )
-        .groupBy("_part", "_piece")
-        .agg(F.min("_best").alias("_best"))
+    texts = patterns.filter(kind.isin("pattern", "exact") & F.col(pattern).isNotNull()).select(
+        (kind == "pattern").alias("_part"),
+        F.when(kind == "pattern", F.lower(F.col(pattern))).otherwise(F.col(pattern)).alias("_piece"),
+        best.alias("_best"),
     )
+    rules = grouped(texts, ["_part", "_piece"]).agg(F.min("_best").alias("_best")).drop(SPREAD)
     lengths = _lengths(rules.filter("_part"), F.length("_piece"))
     distinct = names.select(F.col(name).cast("string").alias("_name")).filter(F.col("_name").isNotNull()).distinct()
     lowered = F.lower(F.col("_name"))

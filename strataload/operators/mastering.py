@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strataload.audit import AUDIT_COLUMNS, AuditSpec, hash_columns, stamp
 from strataload.operators.identity import coalesce_update
+from strataload.operators.skew import SPREAD, grouped
 from strataload.schema import union_bag
 
 
@@ -28,10 +29,9 @@ def created_masters(df: DataFrame, master: str, children: Sequence[str], keys: S
         place = F.when(_source(source_col) == child.lower(), F.lit(i)).otherwise(place)
     known = _source(source_col) == master.lower()
     state = (
-        df.filter(known | place.isNotNull())
-        .groupBy(*keys)
+        grouped(df.filter(known | place.isNotNull()).dropna(subset=list(keys)), keys)
         .agg(F.bool_or(known).alias("_has"), F.min(place).alias("_first"))
-        .dropna(subset=list(keys))
+        .drop(SPREAD)
     )
     rows = df.withColumn("_place", place).filter(F.col("_place").isNotNull())
     wins = F.coalesce(~F.col("_has") & (F.col("_place") == F.col("_first")), F.lit(True))
@@ -90,7 +90,7 @@ def source_list(
     else:
         counted = df.select(*keys, source_col).distinct()
         listed = F.collect_list(name)
-    lists = counted.filter(F.col(source_col).isNotNull()).groupBy(*keys).agg(
+    lists = grouped(counted.filter(F.col(source_col).isNotNull()), keys).agg(
         F.concat_ws(",", F.array_sort(listed)).alias(out)
     )
     return rows.join(lists, list(keys), "left").select(*df.columns, out)

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strataload.operators.skew import key_set
+
 LOAD_SCOPES = ("full", "active", "incremental")
 
 
@@ -187,7 +189,7 @@ def manifest_filter(manifest: DataFrame, source: str, dataset: str, market: str)
 def required_missing(manifest: DataFrame, listing: DataFrame, path: str = "path") -> DataFrame:
     """Datasets marked available whose path is not in the listing."""
     required = manifest.filter(F.trim(F.col("is_file_available").cast("string")) == "1")
-    return required.join(listing.select(path).distinct(), path, "left_anti")
+    return required.join(key_set(listing, [path]), path, "left_anti")
 
 
 def check_required(manifest: DataFrame, listing: DataFrame, path: str = "path") -> None:
