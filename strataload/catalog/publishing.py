@@ -147,6 +147,18 @@ def extract_incremental(t: Tables):
     return _extract(t, "incremental")
 
 
+@query(
+    "data_dictionary",
+    """select * from (values ('orders_out/', 'ORDER_NO', 'bigint'), ('orders_out/', 'total', 'decimal(18,1)'),
+  ('orders_out/', 'status', 'string'), ('orders_out/', 'member', 'string'), ('orders_out/', 'order_month', 'string'))
+  v(folder, field_name, data_type)""",
+)
+def data_dictionary(t: Tables):
+    folder = sink.scratch_folder(t.spark)
+    sink.export_parquet(_extract(t, "full"), folder)
+    return extract.data_dictionary(t.spark.read.parquet(folder), "orders_out")
+
+
 FILES = ("orders", "lineitem", "documents", "events")
 
 

@@ -87,6 +87,20 @@ def validate_deact_feed(t: Tables):
     return checks[0].unionByName(checks[1]).unionByName(checks[2])
 
 
+@query(
+    "validate_schema",
+    """with mapped as (select lower(column_name) as column_name from (
+  select distinct concat('K', '') as column_name from events union select distinct event_type from events) x),
+feed as (select distinct unnest(json_keys(props)) as column_name from events)
+select column_name, 'mapped_only' as side from mapped where column_name not in (select column_name from feed)
+union all select column_name, 'feed_only' from feed where column_name not in (select column_name from mapped)""",
+)
+def validate_schema(t: Tables):
+    feed = t.events.select(F.explode(F.json_object_keys("props")).alias("column_name"))
+    mapped = t.events.select(F.explode(F.array(F.lit(" K"), "event_type")).alias("column_name"))
+    return quality.schema_gaps(mapped, feed)
+
+
 OURS_SQL = """select concat(lang, '_', source) as file_name, cast(sum(n_chars) as bigint) as size, count(*) as rows
 from documents group by 1"""
 THEIRS_SQL = """select concat(lang, '_', source) as file_name,

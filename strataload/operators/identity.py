@@ -9,7 +9,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataload.operators.skew import SPREAD, grouped, key_set
+from strataload.operators.skew import join_side, key_set
 from strataload.schema import union_bag
 from strataload.session import durable
 
@@ -135,7 +135,7 @@ def unique_rows(view: DataFrame, keys: Sequence[str], columns: Sequence[str], na
     ok = reduce(Column.__and__, checks) if checks else F.lit(True)
     failed = F.raise_error(F.lit(f"{name}: several different rows for one key, the join would multiply rows"))
     values = [F.when(ok, F.min(c)).otherwise(failed).alias(c) for c in columns]
-    return grouped(view.dropna(subset=list(keys)), keys).agg(*values).drop(SPREAD)
+    return join_side(view.dropna(subset=list(keys)), keys, *values)
 
 
 def coalesce_update(base: DataFrame, views: Mapping[str, DataFrame], keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

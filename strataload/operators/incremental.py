@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataload.audit import AuditSpec
-from strataload.operators.skew import SPREAD, grouped, key_set, spread
+from strataload.operators.skew import KEY, join_side, key_set, packed
 from strataload.schema import align_to_source, union_bag
 
 MARK = "_closed"
@@ -215,12 +215,10 @@ def load_deact_key(
     else:
         feed = deact.select(*[F.upper(F.col(k).cast("string")).alias(n) for n, k in zip(names, source_keys)])
         marked = _matched(active, key_set(feed, names), names).withColumnRenamed("_hit", MARK)
-    surviving = (
-        grouped(marked.filter(F.col("hashkey").isNotNull()), ["hashkey"])
-        .agg(F.bool_or(MARK).alias("_gone"))
-        .filter(~F.col("_gone"))
-        .select("hashkey")
+    hashes = join_side(
+        marked.filter(F.col("hashkey").isNotNull()), ["hashkey"], F.bool_or(MARK).alias("_gone")
     )
+    surviving = hashes.filter(~F.col("_gone")).select("hashkey")
     fresh = _active(src).join(surviving, "hashkey", "left_anti").select(*src.columns)
     return Buckets(fresh, _history(marked, _inactive(tgt), history_as_set), audit, kept_flag=0)
 
@@ -237,11 +235,12 @@ def _date_state(df: DataFrame, keys: Sequence[str], date_col: str, newest: bool,
         .groupBy(*keys, "hashkey")
         .agg(extreme(date_col).alias("_d"))
     )
-    ranking = Window.partitionBy(*keys, SPREAD).orderBy(order, F.col("hashkey"))
-    first_two = per_hash.withColumn(SPREAD, spread(keys)).withColumn("_rn", F.row_number().over(ranking)).filter("_rn <= 2")
+    ranking = Window.partitionBy(KEY).orderBy(order, F.col("hashkey"))
+    ranked = per_hash.select(packed(keys), "hashkey", "_d").withColumn("_rn", F.row_number().over(ranking))
+    first_two = ranked.filter("_rn <= 2")
     with_second = first_two.withColumn("_other", F.lead("_d").over(ranking)).filter("_rn = 1")
     state = F.struct(F.col("hashkey").alias("hash"), F.col("_d").alias("date"), F.col("_other").alias("other_date"))
-    return with_second.select(*keys, state.alias(out))
+    return with_second.select(f"{KEY}.*", state.alias(out))
 
 
 def _first_state(df: DataFrame, other: DataFrame, key_sets: Sequence[Sequence[str]], date_col: str, newest: bool):
@@ -327,11 +326,8 @@ def scd1_helper(src: DataFrame, tgt: DataFrame, *, keys: Sequence[str], id_col:
     target's key must be unique; of several ids the smallest is kept.
     """
     active = _active(tgt)
-    state = (
-        grouped(active.dropna(subset=list(keys)), keys)
-        .agg(F.min(id_col).alias("_id"), F.min("hashkey").alias("_hash"))
-        .drop(SPREAD)
-    )
+    known = active.dropna(subset=list(keys))
+    state = join_side(known, keys, F.min(id_col).alias("_id"), F.min("hashkey").alias("_hash"))
     same = active.join(key_set(src, [*keys, "hashkey"]), [*keys, "hashkey"], "left_semi")
     seen = src.join(state, list(keys), "left")
     changed = F.col("_hash").isNotNull() & ~F.coalesce(F.col("_hash") == F.col("hashkey"), F.lit(False))

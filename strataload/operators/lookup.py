@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataload.operators.skew import SPREAD, grouped
+from strataload.operators.skew import join_side
 
 
 def null_safe_on(left: str, right: str, pairs: Mapping[str, str]) -> Column:
@@ -133,7 +133,7 @@ def contains_lookup(
         F.when(kind == "pattern", F.lower(F.col(pattern))).otherwise(F.col(pattern)).alias("_piece"),
         best.alias("_best"),
     )
-    rules = grouped(texts, ["_part", "_piece"]).agg(F.min("_best").alias("_best")).drop(SPREAD)
+    rules = join_side(texts, ["_part", "_piece"], F.min("_best").alias("_best"))
     lengths = _lengths(rules.filter("_part"), F.length("_piece"))
     distinct = names.select(F.col(name).cast("string").alias("_name")).filter(F.col("_name").isNotNull()).distinct()
     lowered = F.lower(F.col("_name"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strataload.audit import AUDIT_COLUMNS, AuditSpec, hash_columns, stamp
 from strataload.operators.identity import coalesce_update
-from strataload.operators.skew import SPREAD, grouped
+from strataload.operators.skew import join_side
 from strataload.schema import union_bag
 
 
@@ -28,11 +28,8 @@ def created_masters(df: DataFrame, master: str, children: Sequence[str], keys: S
     for i, child in reversed(list(enumerate(children))):
         place = F.when(_source(source_col) == child.lower(), F.lit(i)).otherwise(place)
     known = _source(source_col) == master.lower()
-    state = (
-        grouped(df.filter(known | place.isNotNull()).dropna(subset=list(keys)), keys)
-        .agg(F.bool_or(known).alias("_has"), F.min(place).alias("_first"))
-        .drop(SPREAD)
-    )
+    mine = df.filter(known | place.isNotNull()).dropna(subset=list(keys))
+    state = join_side(mine, keys, F.bool_or(known).alias("_has"), F.min(place).alias("_first"))
     rows = df.withColumn("_place", place).filter(F.col("_place").isNotNull())
     wins = F.coalesce(~F.col("_has") & (F.col("_place") == F.col("_first")), F.lit(True))
     winners = rows.join(state, list(keys), "left").filter(wins)
@@ -90,9 +87,8 @@ def source_list(
     else:
         counted = df.select(*keys, source_col).distinct()
         listed = F.collect_list(name)
-    lists = grouped(counted.filter(F.col(source_col).isNotNull()), keys).agg(
-        F.concat_ws(",", F.array_sort(listed)).alias(out)
-    )
+    named = counted.filter(F.col(source_col).isNotNull())
+    lists = join_side(named, keys, F.concat_ws(",", F.array_sort(listed)).alias(out))
     return rows.join(lists, list(keys), "left").select(*df.columns, out)
 
 

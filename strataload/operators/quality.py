@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from strataload.schema import union_bag
 
-RESULT = "check_name string, passed boolean"
-
-
 def _verdict(df: DataFrame, check: str, passed: Column, *columns: Column) -> DataFrame:
     return df.select(F.lit(check).alias("check_name"), F.coalesce(passed, F.lit(False)).alias("passed"), *columns)
 
@@ -105,6 +102,13 @@ def check_schema(
     }
 
 
+def schema_gaps(mapped: DataFrame, actual: DataFrame, column: str = "column_name") -> DataFrame:
+    """The same for column names that are data, such as the keys of JSON lines."""
+    ours, theirs = (d.select(F.lower(F.trim(column)).alias(column)).distinct() for d in (mapped, actual))
+    missing = ours.join(theirs, column, "left_anti").withColumn("side", F.lit("mapped_only"))
+    return missing.unionByName(theirs.join(ours, column, "left_anti").withColumn("side", F.lit("feed_only")))
+
+
 def summary_mismatches(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """Files in both summaries whose size differs, or whose control rows are not
     the counted rows plus the header line."""
@@ -127,6 +131,8 @@ def gate(results: Sequence[DataFrame]) -> DataFrame:
 def validation_log(results: DataFrame, source: str, market: str, table: str, columns: Mapping[str, str], at: Column):
     """One status line; a check that did not run reads ``NA``.
 
+    The upper-case column names are fixed values of the log.
+
     ``columns`` maps the log column to the check name.
     """
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strataload.operators.identity import append_ids
 from strataload.operators.lookup import contains_lookup
-from strataload.operators.skew import grouped, key_set
+from strataload.operators.skew import join_side, key_set
 from strataload.schema import distinct_values
 
 
@@ -25,7 +25,7 @@ def recode_multi_value(df: DataFrame, column: str, hidden: DataFrame, code: str,
     codes = key_set(hidden.select(F.col(code).cast("string").alias("_item")), ["_item"])
     left = items.join(codes.withColumn("_hit", F.lit(True)), "_item", "left")
     shown = F.when(F.col("_hit").isNull(), F.struct("_at", "_item"))
-    done = grouped(left, ["_list"]).agg(F.array_sort(F.collect_list(shown)).alias("_left"))
+    done = join_side(left, ["_list"], F.array_sort(F.collect_list(shown)).alias("_left"))
     text = F.array_join(F.transform("_left", lambda s: s["_item"]), sep)
     done = done.select("_list", F.when(F.trim(text) != "", text).alias("_new"))
     out = df.join(done, df[column] == done["_list"], "left")
@@ -74,11 +74,8 @@ def recode_restricted(
     entries = [f"_e{i}" for i in range(len(columns))]
     out = out.withColumn("_hit", F.upper(F.coalesce(*[F.col(f"{e}.pattern") for e in entries])))
     order = F.struct(F.col(priority).isNull(), F.col(priority), F.col(pattern), F.struct(*templates).alias("row"))
-    default = (
-        grouped(restricted.select("*", F.upper(F.col(pattern)).alias("_hit")).dropna(subset=["_hit"]), ["_hit"])
-        .agg(F.min(order).alias("_o"))
-        .select("_hit", F.col("_o.row").alias("_default"))
-    )
+    texts = restricted.select("*", F.upper(F.col(pattern)).alias("_hit")).dropna(subset=["_hit"])
+    default = join_side(texts, ["_hit"], F.min(order).alias("_o")).select("_hit", F.col("_o.row").alias("_default"))
     out = out.join(default, "_hit", "left")
     hit = F.col("_hit").isNotNull()
 

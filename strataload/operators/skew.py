@@ -1,10 +1,10 @@
 """Pre-aggregated join sides that leave AQE free to split a hot key.
 
-AQE splits a skewed partition of a sort-merge join only if the shuffle is right
+AQE splits a skewed partition of a sort-merge join only if a shuffle is right
 below the join's sort on both sides.  A side grouped by exactly the join keys
 reuses its own shuffle, so an aggregate sits in between and a hot key on the
-other side stays in one task.  Grouping by the keys *and* a hash of them gives
-the same groups but another partitioning: the (narrow, unique) result is shuffled
+other side stays in one task.  Here the keys are grouped as one struct: the same
+groups, but a partitioning of its own.  The result, narrow and unique, is shuffled
 once more for the join, and the other side can be split.
 """
 
@@ -14,22 +14,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.group import GroupedData
 
-SPREAD = "_spread"
+KEY = "_key"
 
 
-def spread(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*keys)
+def packed(keys: Sequence[str]) -> Column:
+    """The keys as one struct column."""
+    return F.struct(*keys).alias(KEY)
 
 
-def grouped(df: DataFrame, keys: Sequence[str]) -> GroupedData:
-    """``groupBy(keys)`` for a join side; drop ``SPREAD`` from the result."""
-    return df.withColumn(SPREAD, spread(keys)).groupBy(*keys, SPREAD)
+def join_side(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """One row per key with its aggregates, to be joined on ``keys``."""
+    out = df.groupBy(packed(keys)).agg(*aggregates)
+    return out.select(f"{KEY}.*", *[c for c in out.columns if c != KEY])
 
 
 def key_set(df: DataFrame, keys: Sequence[str], nulls: bool = False) -> DataFrame:
     """Distinct keys, by default without NULLs (which never match)."""
     narrow = df.select(*keys)
     narrow = narrow if nulls else narrow.dropna()
-    return narrow.withColumn(SPREAD, spread(keys)).distinct().drop(SPREAD)
+    return narrow.select(packed(keys)).distinct().select(f"{KEY}.*")

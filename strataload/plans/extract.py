@@ -102,6 +102,7 @@ def build_extract(
 
 
 # --- control tables ------------------------------------------------------------
+# The column names of the control tables.
 
 
 def _read(spark: SparkSession, path: str, kind: str, sep: str) -> DataFrame:

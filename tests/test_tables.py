@@ -292,7 +292,7 @@ def test_failing_case_does_not_stop_the_suite(spark):
 
 
 def test_case_selection_and_summaries(spark):
-    cases = [Case("1", "x", "", layer="stg", kind="qa", sanity=True), Case("2", "x", "", layer="STG "), Case("3", "x", "", layer="icdm")]
+    cases = [Case("1", "x", "", layer="stg", kind="qa", sanity=True), Case("2", "x", "", layer="STG "), Case("3", "x", "", layer="model")]
     assert [c.id for c in quality.select_cases(cases, layer="stg")] == ["1", "2"]
     assert [c.id for c in quality.select_cases(cases, sanity=True)] == ["1"]
     runs = spark.createDataFrame([("t", "report.html"), ("u", None), ("v", "na")], "table_name string, html_file string")
