@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import string
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Month names in order.
@@ -66,3 +68,31 @@ def encrypt_text(text: Column, key: Column) -> Column:
 def decrypt_text(text: Column, key: Column) -> Column:
     """Base64 text to plain text."""
     return F.aes_decrypt(F.unbase64(text), key, F.lit("ECB"), F.lit("PKCS")).cast("string")
+
+
+def _month_text_sql(arg: str) -> str:
+    """:func:`month_text` as SQL text."""
+    out = f"regexp_replace(translate({arg}, '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[_,][_,]', ' ')"
+    for i in range(12):
+        either = "|".join(_month_pairs(i))
+        out = f"regexp_replace({out}, '(?<![^ ])(?:{either})(?![^ ])', '{i + 1:02d}')"
+    for i, name in enumerate(MONTH_SHORT):
+        out = f"replace({out}, '{name}', '{i + 1:02d}')"
+    return f"regexp_replace({out}, '[a-z .]', '')"
+
+
+def register_sql_functions(spark: SparkSession, names: Mapping[str, str] | None = None) -> None:
+    """Make ``month_text`` and ``has_long_value`` callable from rule text.
+
+    They are SQL functions, expanded into the calling expression by the analyzer;
+    ``names`` gives them other names.
+    """
+    names = {"month_text": "month_text", "has_long_value": "has_long_value", **(names or {})}
+    spark.sql(
+        f"create or replace temporary function {names['month_text']}(t string) returns string "
+        f"return {_month_text_sql('t')}"
+    )
+    spark.sql(
+        f"create or replace temporary function {names['has_long_value']}(v array<string>) returns boolean "
+        "return coalesce(exists(v, x -> coalesce(length(x) > 5, false)), false)"
+    )

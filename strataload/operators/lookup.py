@@ -134,7 +134,7 @@ def contains_lookup(
         best.alias("_best"),
     )
     rules = join_side(texts, ["_part", "_piece"], F.min("_best").alias("_best"))
-    lengths = _lengths(rules.filter("_part"), F.length("_piece"))
+    lengths = _lengths(texts.filter("_part"), F.length("_piece"))
     distinct = names.select(F.col(name).cast("string").alias("_name")).filter(F.col("_name").isNotNull()).distinct()
     lowered = F.lower(F.col("_name"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strataload.audit import AuditSpec, hash_columns, row_hash, stamp
 from strataload.operators import incremental, mastering
 from strataload.operators.lookup import assign_from_lookups, filtered_lookup
+from strataload.operators.quality import run_validations
 from strataload.plans.mapping import (
     MappingRow,
     apply_all_rules,
@@ -23,8 +24,8 @@ from strataload.plans.mapping import (
     tracked_columns,
 )
 from strataload.plans.rules import Rule, RuleClass, apply_rules
-from strataload.schema import standard_names
-from strataload.sources.scan import read_parquet, read_scope
+from strataload.schema import config_constants, snake_columns, standard_names
+from strataload.sources.scan import read_parquet, read_scope, read_staging, select_feed_files
 from strataload.sources.sink import publish
 
 
@@ -55,6 +56,33 @@ def load_table(spark: SparkSession, rows: DataFrame, target: Target, mode: str,
     return spark.read.parquet(target.path)
 
 
+def stage_feed(
+    spark: SparkSession,
+    listing: DataFrame,
+    table: str,
+    target: Target,
+    constants: Mapping[str, object],
+    checks: Sequence[Callable[[DataFrame], DataFrame]] = (),
+    kind: str = "delimited",
+    sep: str = ",",
+    quote: str = '"',
+    header: bool = True,
+    **selection: str,
+) -> DataFrame:
+    """Pick the feed's files from a listing, read them as strings, check, publish.
+
+    The selected file names go to the reader through the driver; rows do not.
+    Every check gets the feed and gives check_name and passed.
+    """
+    chosen = select_feed_files(listing, table, **selection).select("path")
+    files = [r["path"] for r in chosen.collect()]
+    feed = snake_columns(read_staging(spark, files, kind, sep, quote, header))
+    if checks:
+        run_validations({str(i): lambda c=check: c(feed) for i, check in enumerate(checks)})
+    publish(config_constants(feed, constants), target.path, target.partition_by)
+    return spark.read.parquet(target.path)
+
+
 def ingest_table(
     spark: SparkSession,
     sources: Mapping[str, Mapping[str, DataFrame]],

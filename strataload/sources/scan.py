@@ -186,6 +186,13 @@ def manifest_filter(manifest: DataFrame, source: str, dataset: str, market: str)
     return manifest.filter(same("src", source) & same("dataset", dataset) & same("data_source", market))
 
 
+def check_manifest(rows: DataFrame) -> DataFrame:
+    """The manifest rows, or an error when there are none."""
+    if not rows.limit(1).count():
+        raise LookupError("no manifest row for this source, dataset and market")
+    return rows
+
+
 def required_missing(manifest: DataFrame, listing: DataFrame, path: str = "path") -> DataFrame:
     """Datasets marked available whose path is not in the listing."""
     required = manifest.filter(F.trim(F.col("is_file_available").cast("string")) == "1")

@@ -1,8 +1,9 @@
 """Publishing tables and extracts.
 
 A table is never overwritten while it may still be read: the new content is
-written next to it and swapped in.  Files are sized by AQE (``rebalance``), which
-also splits a hot partition value over several tasks.
+written next to it and swapped in.  An unpartitioned table is written straight from
+the plan's last stage.  For a partitioned one the rows are rebalanced by partition
+value first: AQE sizes the files and splits a hot value over several tasks.
 """
 
 from __future__ import annotations
@@ -30,8 +31,7 @@ def present_columns(df: DataFrame, wanted: str | Sequence[str]) -> list[str]:
 
 
 def _write(df: DataFrame, path: str, mode: str, keys: Sequence[str], **options) -> None:
-    shaped = df.hint("rebalance", *keys) if keys else df.hint("rebalance")
-    writer = shaped.write.mode(mode).options(**options)
+    writer = df.write.mode(mode).options(**options)
     if keys:
         writer = writer.partitionBy(*keys)
     writer.parquet(path)
@@ -43,17 +43,22 @@ def publish(
     partition_by: str | Sequence[str] = (),
     mode: str = "swap",
     files: int | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Write ``df`` as the table at ``path``.
 
     ``swap``     replace the whole table; ``df`` may read from ``path``.
     ``dynamic``  replace only the partitions that ``df`` has rows for.
     ``append``   add to the table.
-    Partition keys that ``df`` lacks are ignored.  ``files`` fixes the file count.
+    Partition keys that ``df`` lacks are ignored.  ``files`` fixes the number of
+    writing tasks; ``rebalance=False`` saves the shuffle when the partition columns
+    have only a few values.
     """
     keys = present_columns(df, partition_by)
     if files is not None:
         df = df.repartition(files)
+    elif keys and rebalance:
+        df = df.hint("rebalance", *keys)
     if mode == "append":
         _write(df, path, "append", keys)
     elif mode == "dynamic":
@@ -63,11 +68,7 @@ def publish(
     elif mode == "swap":
         base = path.rstrip("/")
         fresh, old = f"{base}.new-{uuid.uuid4().hex}", f"{base}.old-{uuid.uuid4().hex}"
-        if files is not None:
-            writer = df.write.mode("overwrite")
-            (writer.partitionBy(*keys) if keys else writer).parquet(fresh)
-        else:
-            _write(df, fresh, "overwrite", keys)
+        _write(df, fresh, "overwrite", keys)
         fs, here = _hadoop_path(df.sparkSession, base)
         _, there = _hadoop_path(df.sparkSession, fresh)
         _, aside = _hadoop_path(df.sparkSession, old)
@@ -102,12 +103,12 @@ def export_delimited(
     df: DataFrame, path: str, sep: str = ",", files: int | None = None, compression: str = "gzip"
 ) -> None:
     """Delimited extract with header; only the write itself runs on ``files`` tasks."""
-    shaped = df.hint("rebalance") if files is None else df.repartition(files)
+    shaped = df if files is None else df.repartition(files)
     shaped.write.mode("overwrite").csv(path, sep=sep, header=True, compression=compression)
 
 
 def export_parquet(df: DataFrame, path: str, files: int | None = None, compression: str = "gzip") -> None:
-    shaped = df.hint("rebalance") if files is None else df.repartition(files)
+    shaped = df if files is None else df.repartition(files)
     shaped.write.mode("overwrite").parquet(path, compression=compression)
 
 

@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataload.audit import AuditSpec
+from strataload.operators import quality
 from strataload.plans import jobs
 from strataload.plans.mapping import MappingRow
 from strataload.plans.rules import Rule
+from strataload.sources import scan
 
 DAY1 = AuditSpec(dt.date(2024, 2, 1), dt.datetime(2024, 2, 1), "v1")
 DAY2 = AuditSpec(dt.date(2024, 2, 2), dt.datetime(2024, 2, 2), "v2")
@@ -27,6 +29,26 @@ def state(df):
     return {(r["id"], r["name"], r["data_source"], r["is_active"], str(r["delete_date"])) for r in df.collect()}
 
 
+def test_staging_reads_selected_files_and_checks_them(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, text in {"claims_01.csv": "id,full name\n1,a\n", "claims_02.csv": "id,full name\n2,b\n", "other.csv": "x\n9\n"}.items():
+        (tmp_path / "in" / name).write_text(text)
+    listing = scan.list_files(spark, str(tmp_path / "in"))
+    control = spark.createDataFrame([("claims_1", 1), ("claims_2", 1)], "file_name string, row_count int")
+
+    def rows(feed):
+        return quality.check_total_rows(feed, control, "claims", "pattern", "rows")
+
+    target = jobs.Target(str(tmp_path / "staged"))
+    out = jobs.stage_feed(spark, listing, "claims", target, {"data_version": "v1"}, [rows], extension="csv")
+    assert {tuple(r) for r in out.collect()} == {("1", "a", "v1"), ("2", "b", "v1")}
+    assert out.columns == ["id", "full_name", "data_version"]
+    more = control.unionByName(spark.createDataFrame([("claims_3", 1)], control.schema))
+    with pytest.raises(ValueError, match="rows"):
+        bad = [lambda feed: quality.check_total_rows(feed, more, "claims", "pattern", "rows")]
+        jobs.stage_feed(spark, listing, "claims", target, {}, bad, extension="csv")
+
+
 def test_two_days_of_ingestion(spark, tmp_path):
     target = jobs.Target(str(tmp_path / "t"), "scd2_checksum", jobs.mapped_keys(ROWS), "is_active, data_source")
     constants = {"a": {"data_source": "A"}, "b": {"data_source": "B"}}

@@ -167,6 +167,16 @@ def test_long_values(spark):
     assert [r[0] for r in df.select(scalar.has_long_value(F.col("v"))).collect()] == [False, True, False, False]
 
 
+def test_functions_in_rule_text(spark):
+    scalar.register_sql_functions(spark, {"has_long_value": "any_long"})
+    df = spark.createDataFrame([(1, "Sept/Oct 2001"), (2, "may,_x sep/oct")], "id int, v string")
+    steps = [rules.Rule("element", "m", "month_text(t.v)"), rules.Rule("element", "l", "any_long(split(t.v, ' '))", order=1)]
+    out = rules.apply_rules(df, steps, {}, "t").orderBy("id").collect()
+    assert [(r["m"], r["l"]) for r in out] == [("092001", True), ("0509/10", True)]
+    both = df.select(scalar.month_text(F.col("v")).alias("a"), F.expr("month_text(v)").alias("b"))
+    assert both.filter("a <> b").count() == 0
+
+
 def test_rule_chain_sees_earlier_steps(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y")], "id int, v string")
     look = spark.createDataFrame([("X", "hit")], "code string, word string")

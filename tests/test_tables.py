@@ -78,6 +78,9 @@ def test_missing_inputs(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         scan.check_required(manifest, listing)
     scan.check_required(manifest, manifest)
+    assert scan.check_manifest(manifest) is manifest
+    with pytest.raises(LookupError):
+        scan.check_manifest(manifest.filter("path = 'z'"))
 
 
 def test_feed_selection(spark):
