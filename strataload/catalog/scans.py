@@ -119,7 +119,7 @@ def select_feed_files(t: Tables):
 
 
 MANIFEST_CTE = """manifest as (
-  select concat(' ', upper(c_mktsegment)) as src, concat('nation_', cast(c_nationkey as varchar)) as dataset,
+  select concat(' ', upper(c_mktsegment)) as src, case when c_nationkey < 12 then 'East ' else 'west' end as dataset,
          case when c_acctbal > 5000 then 'AC' else ' ai' end as data_source,
          case when c_acctbal > 0 then '1' else '0' end as is_file_available,
          concat('in/', cast(c_custkey as varchar)) as path
@@ -129,7 +129,7 @@ MANIFEST_CTE = """manifest as (
 def _manifest(t: Tables):
     return t.customer.select(
         F.concat(F.lit(" "), F.upper("c_mktsegment")).alias("src"),
-        F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string")).alias("dataset"),
+        F.when(F.col("c_nationkey") < 12, "East ").otherwise("west").alias("dataset"),
         F.when(F.col("c_acctbal") > 5000, "AC").otherwise(" ai").alias("data_source"),
         F.when(F.col("c_acctbal") > 0, "1").otherwise("0").alias("is_file_available"),
         F.concat(F.lit("in/"), F.col("c_custkey").cast("string")).alias("path"),
@@ -154,11 +154,11 @@ def required_inputs_missing(t: Tables):
 @query(
     "manifest_filter",
     f"""with {MANIFEST_CTE}
-select * from manifest where lower(trim(src)) = 'building' and lower(trim(dataset)) = 'nation_3'
+select * from manifest where lower(trim(src)) = 'building' and lower(trim(dataset)) = 'east'
 and lower(trim(data_source)) = 'ai'""",
 )
 def manifest_filter(t: Tables):
-    return scan.manifest_filter(_manifest(t), "Building ", "NATION_3", "AI")
+    return scan.manifest_filter(_manifest(t), "Building ", "EAST", "AI")
 
 
 @query(
