@@ -54,8 +54,7 @@ def load_append(t: Tables):
 @query(
     "load_append_new_keys",
     f"""with {ORDERS_CTE}
-select {_rows('s')} from orders_src s left join (select * from orders_tgt where is_active = 1) t
-  on s.order_id = t.order_id where t.is_active is null
+select {COLUMNS} from orders_src where order_id not in (select order_id from orders_tgt where is_active = 1)
 union all select {COLUMNS} from orders_tgt""",
 )
 def load_append_new_keys(t: Tables):
@@ -79,13 +78,11 @@ def load_conditional(t: Tables):
 
 @query(
     "load_checksum_all",
-    f"""with {ORDERS_CTE}
-select {_rows('t', '0')} from orders_src s join orders_tgt t on s.hashkey = t.hashkey and t.is_active = 1
-union all select {_rows('', '0')} from orders_tgt where is_active = 0
-union all select {_closed('1')} from orders_tgt t
-  where is_active = 1 and not exists (select 1 from orders_src s where s.hashkey = t.hashkey)
-union all select {_rows('s')} from orders_src s
-  left join (select * from orders_tgt where is_active = 1) t on s.hashkey = t.hashkey where t.hashkey is null""",
+    f"""with {ORDERS_CTE},
+sides as (select *, hashkey in (select hashkey from orders_src) as again from orders_tgt)
+select {_rows('', '0')} from sides where is_active = 0 or again
+union all select {_closed('1')} from sides where is_active = 1 and not again
+union all select {COLUMNS} from orders_src where hashkey not in (select hashkey from orders_tgt where is_active = 1)""",
 )
 def load_checksum_all(t: Tables):
     return inc.load_checksum_all(orders_src(t), orders_tgt(t), audit=AUDIT).to_df()
@@ -94,10 +91,9 @@ def load_checksum_all(t: Tables):
 @query(
     "load_by_key",
     f"""with {ORDERS_CTE},
-closed as (select distinct t.* from (select distinct order_id from orders_src) s
-           join orders_tgt t on s.order_id = t.order_id and t.is_active = 1)
-select {_closed('1')} from closed
-union all select {_rows('', '0')} from (select * from orders_tgt except select * from closed) k
+sides as (select distinct *, is_active = 1 and order_id in (select order_id from orders_src) as again from orders_tgt)
+select {_closed('1')} from sides where again
+union all select {_rows('', '0')} from sides where not again
 union all select {COLUMNS} from orders_src where is_active = 1""",
 )
 def load_by_key(t: Tables):
@@ -107,14 +103,12 @@ def load_by_key(t: Tables):
 @query(
     "load_deact_key",
     f"""with {ORDERS_CTE}, {DEACT_CTE},
-closed as (select distinct t.* from deact s join orders_tgt t
-           on upper(cast(s.dk as varchar)) = upper(cast(t.order_id as varchar)) and upper(s.ds) = upper(t.status)
-           and t.is_active = 1)
-select {_closed()} from closed
-union all select {_rows('', '0')} from (select * from orders_tgt except select * from closed) k
-union all select {_rows('s')} from orders_src s
-  left join (select hashkey from orders_tgt where is_active = 1 except select hashkey from closed) h
-  on s.hashkey = h.hashkey where s.is_active = 1 and h.hashkey is null""",
+sides as (select distinct *, is_active = 1 and exists (
+            select 1 from deact d where d.dk = t.order_id and upper(d.ds) = t.status) as named from orders_tgt t),
+open_hashes as (select hashkey from sides where is_active = 1 group by hashkey having not bool_or(named))
+select {_closed()} from sides where named
+union all select {_rows('', '0')} from sides where not named
+union all select {COLUMNS} from orders_src where is_active = 1 and hashkey not in (select hashkey from open_hashes)""",
 )
 def load_deact_key(t: Tables):
     return inc.load_deact_key(
@@ -128,19 +122,14 @@ def load_deact_key(t: Tables):
 
 
 SCD2_SQL = f"""
-select {_rows('t')} from orders_src s join orders_tgt t
-  on s.order_id = t.order_id and s.is_active = t.is_active and s.hashkey = t.hashkey
-union all select {COLUMNS} from orders_tgt where is_active = 0
-union all select {_rows('s')} from orders_src s join orders_tgt t
-  on s.order_id = t.order_id and s.is_active = t.is_active and s.hashkey <> t.hashkey
-union all select {_rows('s')} from orders_src s left join (select * from orders_tgt where is_active = 1) t
-  on s.order_id = t.order_id where t.hashkey is null
-union all select {_closed()} from (
-  select t.* from orders_src s join orders_tgt t
-  on s.order_id = t.order_id and s.is_active = t.is_active and s.hashkey <> t.hashkey)
-union all select {_closed()} from (
-  select t.* from orders_src s right join (select * from orders_tgt where is_active = 1) t
-  on s.order_id = t.order_id where s.hashkey is null)"""
+, pairs as (
+  select s.order_id as new_id, t.order_id as old_id, coalesce(s.hashkey = t.hashkey, false) as same
+  from orders_src s full join (select * from orders_tgt where is_active = 1) t on s.order_id = t.order_id)
+select {COLUMNS} from orders_tgt where is_active = 0 or order_id in (select old_id from pairs where same)
+union all select {_closed()} from orders_tgt
+  where is_active = 1 and order_id in (select old_id from pairs where not same and old_id is not null)
+union all select {COLUMNS} from orders_src
+  where order_id in (select new_id from pairs where not same and new_id is not null)"""
 
 
 @query("load_scd2_checksum", f"with {ORDERS_CTE} {SCD2_SQL}")
@@ -148,7 +137,7 @@ def load_scd2_checksum(t: Tables):
     return inc.load_scd2_checksum(orders_src(t), orders_tgt(t), keys=["order_id"], audit=AUDIT).to_df()
 
 
-@query("scd2_helper", f"with {ORDERS_CTE} select distinct * from ({SCD2_SQL})")
+@query("scd2_helper", f"with {ORDERS_CTE} {SCD2_SQL}".replace("union all", "union"))
 def scd2_helper(t: Tables):
     return inc.scd2_helper(orders_src(t), orders_tgt(t), keys=["order_id"], audit=AUDIT)
 
@@ -175,14 +164,15 @@ def scd1_helper(t: Tables):
 @query(
     "load_key_date",
     f"""with {ORDERS_CTE},
-act as (select distinct order_id, order_date, hashkey from orders_tgt where is_active = 1),
-closed as (select t.* from orders_tgt t join (select distinct order_id, order_date, hashkey from orders_src) s
-           on s.order_id = t.order_id where t.is_active = 1 and t.order_date <= s.order_date and t.hashkey <> s.hashkey)
-select {_rows('s')} from orders_src s left join act t on s.order_id = t.order_id where t.hashkey is null
-union all select {_rows('s')} from act t join orders_src s on s.order_id = t.order_id
-  where t.order_date <= s.order_date and t.hashkey <> s.hashkey
-union all select {_closed('0')} from closed
-union all select {_rows('', '0')} from (select * from orders_tgt except select * from closed) k""",
+newest as (select order_id, max(order_date) as new_date, max(hashkey) as new_hash from orders_src group by 1),
+oldest as (select order_id, min(order_date) as old_date, max(hashkey) as old_hash from orders_tgt
+           where is_active = 1 group by 1),
+sides as (select t.*, coalesce(t.is_active = 1 and t.order_date <= n.new_date and t.hashkey <> n.new_hash, false) as gone
+          from orders_tgt t left join newest n using (order_id))
+select {_rows('s')} from orders_src s left join oldest o using (order_id)
+  where o.old_hash is null or (o.old_hash <> s.hashkey and o.old_date <= s.order_date)
+union all select {_closed('0')} from sides where gone
+union all select {_rows('', '0')} from sides where not gone""",
 )
 def load_key_date(t: Tables):
     return inc.load_key_date(
