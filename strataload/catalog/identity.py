@@ -70,7 +70,9 @@ def surrogate_ids_append(t: Tables):
 
 @query(
     "id_map_update",
-    f"""with id_map as (select c_custkey as member, c_mktsegment as segment, c_name as label, c_nationkey as nation, '2023' as update_ts from customer),
+    f"""with id_map as (
+  select c_custkey as member, c_mktsegment as segment, c_name as label, c_nationkey as nation, '2023' as update_ts
+  from customer),
 late as (select o_custkey as member, max(o_orderpriority) as segment from orders where o_orderstatus = 'P' group by 1),
 early as (select o_custkey as member, min(o_orderpriority) as segment, max(o_orderstatus) as label from orders group by 1)
 select distinct m.member, coalesce(l.segment, e.segment, m.segment) as segment, coalesce(e.label, m.label) as label, nation,
@@ -241,7 +243,8 @@ def source_flags(t: Tables):
 @query(
     "master_final",
     f"""with {SOURCES_CTE}, {CREATED_CTE}
-select distinct *, md5(concat_ws('-', cast(best as varchar), data_source_id, cast(first_date as varchar), cast(member_id as varchar))) as hashkey,
+select distinct *, md5(concat_ws('-', cast(best as varchar), data_source_id, cast(first_date as varchar),
+   cast(member_id as varchar))) as hashkey,
  date '2024-02-01' as add_date, date '9999-12-31' as delete_date, timestamp '2024-02-01 00:00:00' as last_modified_date,
  1 as is_active, 1 as is_incremental
 from combined where data_source_id in ('O1', 'O2')""",

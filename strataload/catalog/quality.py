@@ -169,12 +169,16 @@ def validation_log(t: Tables):
     return quality.validation_log(results, "shop", "ac", "lineitem", columns, F.lit("2024-02-01 00:00:00"))
 
 
+REPEATED = "select l_orderkey, l_linenumber from {lineitem} group by 1, 2 having count(*) > 1"
+STATUSES = "min(o_orderstatus) as a, max(o_orderstatus) as b"
+MEMBERS = "select count(*) as rows, count(distinct o_custkey) as members from {orders}"
+NULLS = "select count_if(o_custkey is null) as a, count_if(o_totalprice < 0) as b from {orders}"
 CASES = [
-    Case("tc01", "select count_if(o_custkey is null) as a, count_if(o_totalprice < 0) as b from {orders}", "all_zero", table="orders"),
-    Case("tc02", "select count(*) as rows, count(distinct o_custkey) as members from {orders}", "anynumber", table="orders"),
-    Case("tc03", "select count(*) as repeated from (select l_orderkey, l_linenumber from {lineitem} group by 1, 2 having count(*) > 1)", "all_zero", table="lineitem"),
-    Case("tc04", "select min(o_orderstatus) as a, max(o_orderstatus) as b, count(*) as c from {orders}", "F|P|any", table="orders"),
-    Case("tc05", "select min(o_orderstatus) as a, max(o_orderstatus) as b from {orders}", "F|O", table="orders"),
+    Case("tc01", NULLS, "all_zero", table="orders"),
+    Case("tc02", MEMBERS, "anynumber", table="orders"),
+    Case("tc03", f"select count(*) as repeated from ({REPEATED})", "all_zero", table="lineitem"),
+    Case("tc04", f"select {STATUSES}, count(*) as c from {{orders}}", "F|P|any", table="orders"),
+    Case("tc05", f"select {STATUSES} from {{orders}}", "F|O", table="orders"),
     Case("tc06", None, "all_one", table="labels"),
     Case("tc07", "select nothing from {labels}", "all_one", table="labels"),
     Case("tc08", "select max(quality) as a, max(toxic) as b from {labels}", "all_one", table="labels"),

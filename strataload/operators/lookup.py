@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataload.operators.skew import join_side
+from strataload.operators.skew import join_side, key_set
 
 
 def null_safe_on(left: str, right: str, pairs: Mapping[str, str]) -> Column:
@@ -45,7 +45,9 @@ def validity_join(
     """The version that is valid at the fact's date (closed interval).
 
     Hash-partitioned on the equality keys with the interval as a residual test
-    inside the join; AQE splits a hot key on the fact side.
+    inside the join; AQE splits a hot key on the fact side.  A history table has at
+    most one version of a key per load, so each fact is tested against a number of
+    versions that does not grow with the facts.
     """
     tests = [F.col(f"f.{a}") == F.col(f"v.{b}") for a, b in on.items()]
     inside = F.col(f"f.{at}").between(F.col(f"v.{valid[0]}"), F.col(f"v.{valid[1]}"))
@@ -115,10 +117,10 @@ def contains_lookup(
 
     ``pattern`` rows match names that contain their text (any case), ``exact``
     rows equal names; the lowest priority wins, NULL last, then the pattern
-    text.  Names are cut into pieces of each occurring pattern length and joined
-    by equality with one row per pattern text, then reduced to the best hit by a
-    partial aggregate.  Patterns are plain text: ``%`` and ``_`` stand for
-    themselves.
+    text.  Names are cut into pieces of each occurring pattern length, at the
+    positions where a pattern can start, and joined by equality with one row per
+    pattern text, so only real hits come out; a partial aggregate keeps the best.  Patterns are plain text: ``%`` and ``_``
+    stand for themselves.
     """
     others = patterns.columns
     best = F.struct(
@@ -136,22 +138,29 @@ def contains_lookup(
     rules = join_side(texts, ["_part", "_piece"], F.min("_best").alias("_best"))
     lengths = _lengths(texts.filter("_part"), F.length("_piece"))
     distinct = names.select(F.col(name).cast("string").alias("_name")).filter(F.col("_name").isNotNull()).distinct()
-    lowered = F.lower(F.col("_name"))
-
-    def pieces(n: int) -> Column:
-        if n == 0:
-            return F.array(F.lit(""))
-        starts = F.sequence(F.lit(1), F.length(lowered) - (n - 1))
-        return F.when(
-            F.length(lowered) >= n, F.transform(starts, lambda i: F.substr(lowered, i, F.lit(n)))
-        ).otherwise(F.array().cast("array<string>"))
-
-    whole = F.array(F.struct(F.lit(False).alias("_part"), F.col("_name").alias("_piece")))
-    if lengths:
-        parts = F.array_distinct(F.concat(*[pieces(n) for n in lengths]))
-        whole = F.concat(whole, F.transform(parts, lambda p: F.struct(F.lit(True).alias("_part"), p.alias("_piece"))))
-    cut = distinct.select("_name", F.explode(whole).alias("_p")).select("_name", "_p.*")
-    hits = cut.join(rules, ["_part", "_piece"]).groupBy("_name").agg(F.min("_best").alias("_best"))
+    whole = rules.filter(~F.col("_part")).select(F.col("_piece").alias("_name"), "_best")
+    hits = distinct.join(whole, "_name")
+    parts = rules.filter("_part").select("_piece", "_best")
+    sizes = [n for n in lengths if n]
+    if sizes:
+        low, at = F.col("_low"), F.col("_at")
+        shortest = sizes[0]
+        # positions where a pattern can start, by the shortest length; then the real pieces
+        starts = (
+            distinct.withColumn("_low", F.lower("_name"))
+            .filter(F.length("_low") >= shortest)
+            .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_low") - (shortest - 1))))
+            .withColumn("_start", F.substr(low, at, F.lit(shortest)))
+        )
+        heads = parts.filter(F.length("_piece") > 0).select(F.substring("_piece", 1, shortest).alias("_start"))
+        found = starts.join(key_set(heads, ["_start"]), "_start", "left_semi")
+        pieces = [F.when(F.length(low) >= at + (n - 1), F.substr(low, at, F.lit(n))) for n in sizes]
+        cut = found.select("_name", F.explode(F.array_compact(F.array(*pieces))).alias("_piece"))
+        hits = hits.unionByName(cut.join(parts, "_piece").select("_name", "_best"))
+    if 0 in lengths:
+        empty = distinct.withColumn("_piece", F.lit(""))
+        hits = hits.unionByName(empty.join(parts, "_piece").select("_name", "_best"))
+    hits = hits.groupBy("_name").agg(F.min("_best").alias("_best"))
     return hits.select(F.col("_name").alias(name), "_best._row.*")
 
 

@@ -57,13 +57,16 @@ def merged_types(dfs: Sequence[DataFrame]) -> dict[str, T.DataType]:
 
 
 def conform(df: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
-    """Project ``df`` on exactly ``types``: cast what is there, NULL for the rest."""
+    """Project ``df`` on exactly ``types``: cast what is there, NULL for the rest.
+
+    A text that is no value of the type gives NULL.
+    """
     have = {f.name: f.dataType for f in df.schema.fields}
 
     def one(name: str, kind: T.DataType) -> Column:
         if name not in have:
             return F.lit(None).cast(kind).alias(name)
-        return F.col(f"`{name}`") if have[name] == kind else F.col(f"`{name}`").cast(kind).alias(name)
+        return F.col(f"`{name}`") if have[name] == kind else F.col(f"`{name}`").try_cast(kind).alias(name)
 
     return df.select(*[one(name, kind) for name, kind in types.items()])
 
@@ -98,10 +101,17 @@ def union_set(dfs: Sequence[DataFrame]) -> DataFrame:
 
 
 def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Whole-row EXCEPT over the merged columns; also removes repeats on the left."""
+    """Whole-row EXCEPT over the merged columns; also removes repeats on the left.
+
+    One aggregate over both sides instead of an anti join and a distinct: rows are
+    combined on the map side and shuffled once, and NULLs compare as equal.
+    """
     types = merged_types([left, right])
     ordered = {name: types[name] for name in sorted(types)}
-    return conform(left, ordered).subtract(conform(right, ordered))
+    ours = conform(left, ordered).withColumn("_right", F.lit(False))
+    theirs = conform(right, ordered).withColumn("_right", F.lit(True))
+    rows = ours.unionByName(theirs).groupBy(*ordered).agg(F.bool_or("_right").alias("_right"))
+    return rows.filter(~F.col("_right")).drop("_right")
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str], out: str = "name") -> DataFrame:

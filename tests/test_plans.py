@@ -125,3 +125,10 @@ def test_hot_key_is_split(hot, small_thresholds, name):
     counted = out.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*out.columns).cast("decimal(38,0)")))
     counted.collect()
     assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_partition_value_gets_many_writers(hot, small_thresholds, tmp_path):
+    rows = hot.withColumn("p", F.when(F.col("k") == 0, "hot").otherwise(F.col("s")))
+    sink.publish(rows, str(tmp_path / "t"), "p")
+    files = [f for f in (tmp_path / "t" / "p=hot").iterdir() if f.suffix == ".parquet"]
+    assert len(files) > 4

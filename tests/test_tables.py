@@ -205,6 +205,10 @@ def test_schema_helpers(spark):
     assert schema.drop_excluded(one) is one
     repeated = spark.createDataFrame([(1,), (1,), (2,)], "a int")
     assert [r[0] for r in schema.except_rows(repeated, repeated.filter("a = 2")).collect()] == [1]
+    nulls = spark.createDataFrame([(None, 1), (None, 2), (1, None)], "a int, b int")
+    left = schema.except_rows(nulls, nulls.filter("b = 1 or a = 1"))
+    assert left._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert [tuple(r) for r in left.collect()] == [(None, 2)]
 
 
 def test_patch_clears_what_has_no_fix(spark):
