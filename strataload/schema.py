@@ -142,7 +142,11 @@ def reorder(df: DataFrame, first: Iterable[str], last: Iterable[str] = ()) -> Da
     return df.select(*head, *middle, *tail)
 
 
-def drop_excluded(df: DataFrame, flag: str = "exclude_per_did") -> DataFrame:
+# Fixed value: name of the exclusion flag.
+EXCLUSION_FLAG = "exclude_per_did"
+
+
+def drop_excluded(df: DataFrame, flag: str = EXCLUSION_FLAG) -> DataFrame:
     """Remove rows flagged 1, only when the flag column exists (any case)."""
     found = [c for c in df.columns if c.lower() == flag.lower()]
     if not found:
