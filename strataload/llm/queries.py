@@ -1,0 +1,54 @@
+"""The contract queries, each next to the SQL that must give the same rows where SQL can."""
+
+from __future__ import annotations
+
+from strataload.llm.mixing import mix
+from strataload.llm.registry import query
+
+WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint"
+
+MIX_SQL = rf"""
+with sized as (
+  select doc_id, source, {WORDS_SQL} as size, md5('mix:' || coalesce(doc_id::varchar, 'none')) as place from documents
+), sources as (
+  select source, sum(size)::bigint as source_size from sized group by source
+), ranked as (
+  select *, 2 * source_size as cap,
+         [5, 2, 1][(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight from sources
+), leveled as (
+  select *, (sum(source_size) over ()::double * 1.5
+             - coalesce(sum(cap) over (order by cap / weight, source nulls last
+                                       rows between unbounded preceding and 1 preceding), 0)::double)
+          / (sum(weight) over () - coalesce(sum(weight) over (order by cap / weight, source nulls last
+                                       rows between unbounded preceding and 1 preceding), 0))::double as level
+  from ranked
+), found as (
+  select max(level) filter (where level <= cap::double / weight::double) as level from leveled
+), targets as (
+  select l.source, source_size, least(cap::double, coalesce(f.level * weight::double, cap::double)) as target
+  from leveled l, found f
+), queued as (
+  select s.*, t.source_size, t.target,
+         sum(size) over (partition by s.source order by place, doc_id, size
+                         rows between unbounded preceding and current row)::bigint as sent
+  from sized s join targets t on s.source is not distinct from t.source
+), copies as (
+  select q.*, epoch, (sent + epoch * source_size)::double / target as finish
+  from queued q, (values (0), (1)) e(epoch) where size > 0
+), stream as (
+  select *, sum(size) over (order by finish, source is null, source, sent
+                            rows between unbounded preceding and current row) as running from copies
+), counts as (
+  select source, sent, doc_id, size, count(*) as n from stream
+  where running <= 1.5 * (select sum(size) from sized) group by all
+)
+select q.doc_id, q.size, q.source_size, q.target, coalesce(q.size * c.n, 0)::bigint as taken
+from queued q left join counts c
+  on q.source is not distinct from c.source and q.sent = c.sent and q.doc_id is not distinct from c.doc_id
+  and q.size = c.size and q.size > 0
+"""
+
+
+@query("op6_weighted_mix", MIX_SQL)
+def op6_weighted_mix(t):
+    return mix(t.documents).select("doc_id", "size", "source_size", "target", "taken")
