@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from strataload.llm.minhash import near_duplicates
 from strataload.llm.mixing import mix
 from strataload.llm.registry import query
 
@@ -52,3 +53,33 @@ from queued q left join counts c
 @query("op6_weighted_mix", MIX_SQL)
 def op6_weighted_mix(t):
     return mix(t.documents).select("doc_id", "size", "source_size", "target", "taken")
+
+
+NEAR_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), shingles as (
+  select distinct doc_id, unnest(case when len(w) = 0 then []
+    when len(w) < 5 then [list_aggregate(w, 'string_agg', ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) end) as s from words
+), sizes as (
+  select d.doc_id, count(s.s)::bigint as n from documents d left join shingles s on d.doc_id = s.doc_id group by d.doc_id
+), pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as common
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all
+), links as (
+  select p.a, p.b from pairs p join sizes x on p.a = x.doc_id join sizes y on p.b = y.doc_id
+  where 100 * common >= 85 * (x.n + y.n - common)
+), edges as (select a, b from links union all select b, a from links
+), reach as (
+  select doc_id as u, doc_id as v from documents union select r.u, e.b from reach r join edges e on r.v = e.a
+), comps as (select u, min(v) as component_id from reach group by u)
+select s.doc_id, s.n as n_shingles, c.component_id, s.doc_id = c.component_id as kept
+from sizes s join comps c on s.doc_id = c.u
+"""
+
+
+@query("op3_circulant_minhash", NEAR_SQL)
+def op3_circulant_minhash(t):
+    return near_duplicates(t.documents)
