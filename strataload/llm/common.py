@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from strataload.session import tune
 from strataload.sources.sink import scratch_folder
@@ -19,6 +24,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Rows handed to Python at a time: texts are long, so a batch stays small.
 BATCH_ROWS = "256"
 
+# Functions of this package travel to the tasks whole, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the corpus operators are written for."""
@@ -91,3 +99,34 @@ def lower_words(text: str | None) -> list[bytes]:
     Splitting bytes on ASCII white space is the word rule above.
     """
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+def append(df: DataFrame, columns: Sequence[str], fn, added: T.StructType) -> DataFrame:
+    """``df`` with the columns ``added``, which ``fn`` makes from a pandas frame of ``columns``.
+
+    Other columns pass through as they are; columns that have an added name are replaced.
+    """
+    kept = [f for f in df.schema.fields if f.name not in added.names]
+    arrow_types = to_arrow_schema(added)
+    out_schema = T.StructType([*kept, *added.fields])
+    columns = list(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = fn(batch.select(columns).to_pandas(integer_object_nulls=True))
+            new = [pa.Array.from_pandas(made[f.name], type=f.type) for f in arrow_types]
+            old = [batch.column(f.name) for f in kept]
+            yield pa.RecordBatch.from_arrays([*old, *new], names=out_schema.names)
+
+    return df.mapInArrow(run, out_schema)
+
+
+def keep_where(df: DataFrame, columns: Sequence[str], fn) -> DataFrame:
+    """The rows of ``df`` for which ``fn``, given a pandas frame of ``columns``, is true."""
+    columns = list(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(np.asarray(fn(batch.select(columns).to_pandas()), bool)))
+
+    return df.mapInArrow(run, df.schema)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from strataload.llm import langid
+from strataload.llm.common import fold_of
+from strataload.llm.decontaminate import find_leaks
 from strataload.llm.minhash import near_duplicates
 from strataload.llm.mixing import mix
 from strataload.llm.registry import query
@@ -83,3 +88,21 @@ from sizes s join comps c on s.doc_id = c.u
 @query("op3_circulant_minhash", NEAR_SQL)
 def op3_circulant_minhash(t):
     return near_duplicates(t.documents)
+
+
+@query("op10_greedy_tiling")
+def op10_greedy_tiling(t):
+    return (
+        find_leaks(t.documents, t.benchmark)
+        .select("doc_id", F.col("item").cast("long").alias("item_id"), "n_tokens", "covered", "n_tiles", "coverage")
+        .distinct()
+    )
+
+
+@query("op4_nearest_centroid")
+def op4_nearest_centroid(t):
+    docs = t.documents.select("doc_id", "text", "lang")
+    model = langid.fit(langid.learning_rows(docs))
+    held_out = F.coalesce(fold_of(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out")
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out, "lang_pred", "score", "cosine", "rejected")
