@@ -9,6 +9,7 @@ from strataload.llm.common import fold_of
 from strataload.llm.decontaminate import find_leaks
 from strataload.llm.minhash import near_duplicates
 from strataload.llm.mixing import mix
+from strataload.llm.pii import pseudonymised
 from strataload.llm.registry import query
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint"
@@ -106,3 +107,8 @@ def op4_nearest_centroid(t):
     held_out = F.coalesce(fold_of(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out")
     found = langid.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out, "lang_pred", "score", "cosine", "rejected")
+
+
+@query("op1_feistel_pseudonyms")
+def op1_feistel_pseudonyms(t):
+    return pseudonymised(t.documents.select("doc_id", "text"))
