@@ -10,6 +10,7 @@ from strataload.llm.decontaminate import find_leaks
 from strataload.llm.minhash import near_duplicates
 from strataload.llm.mixing import mix
 from strataload.llm.pii import pseudonymised
+from strataload.llm.quality_rules import judge
 from strataload.llm.registry import query
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint"
@@ -112,3 +113,9 @@ def op4_nearest_centroid(t):
 @query("op1_feistel_pseudonyms")
 def op1_feistel_pseudonyms(t):
     return pseudonymised(t.documents.select("doc_id", "text"))
+
+
+@query("op9_ngram_likelihood")
+def op9_ngram_likelihood(t):
+    trusted = t.labels.filter("quality = 1").select("doc_id")
+    return judge(t.documents.select("doc_id", "text"), trusted)
