@@ -12,10 +12,12 @@ compared through pivots (below); (4) a pair that the sketches do not rule out is
 verified on its full shingle sets; (5) links are contracted to components.
 
 A bucket of m classes is not expanded to all its pairs.  Its smallest member is
-compared with the others first; members that then are in one component need no further
-comparison.  Members still apart are compared with 1, 2, 4, ... further pivots until
-the bucket holds one component or every member has been a pivot, so no pair of a bucket
-that could still join two components is left out.
+compared with the others first.  In buckets that then hold several components, the
+shingles that only one set has are counted: two sets whose own shingles alone keep them
+below the threshold are never paired, which in a large group of loose copies is nearly
+every pair.  Members still apart are compared with 1, 8, 64, ... further pivots, those
+with the fewest own shingles first, until the bucket holds one component or every member
+has been a pivot, so no pair of a bucket that could join two components is left out.
 
 Defined cases: a NULL or wordless text has no shingles and is linked with nothing; a
 text with fewer words than a shingle is one shingle, its whole sequence; rows that
@@ -31,7 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataload.llm.common import WordHashes, lower_words, rolled, settle
@@ -51,7 +53,7 @@ class NearDupSpec:
     percent: int = 85
     bands: int = 24
     rows: int = 6
-    sketch_margin: float = 7.0
+    sketch_margin: float = 5.0
 
     @property
     def size(self) -> int:
@@ -201,7 +203,7 @@ def _linked(candidates: DataFrame, sketches: DataFrame, sets, spec: NearDupSpec)
     left = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"))
     right = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"))
     likely = settle(_sketches_agree(candidates.join(left, "a").join(right, "b"), spec).distinct())
-    known = sets(likely)
+    known = sets(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     return settle(
         _verified(
             likely.join(known.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a").join(
@@ -217,6 +219,38 @@ def _length_fits(spec: NearDupSpec, x: str, y: str):
     return (F.col(x) * 100 >= F.col(y) * spec.percent) & (F.col(y) * 100 >= F.col(x) * spec.percent)
 
 
+def _own_shingles(known: DataFrame) -> DataFrame:
+    """(id, own): how many shingles of a set are in no other set of ``known``.
+
+    Rows that share an id have several sets and count as having none.
+    """
+
+    def flat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, shingles in zip(batch.id, batch.shingles):
+                yield pd.DataFrame({"id": name, "s": np.frombuffer(shingles, np.int64)})
+
+    single = known.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter("rows = 1").select("id")
+    once = (
+        known.mapInPandas(flat, "id long, s long")
+        .groupBy("s")
+        .agg(F.count(F.lit(1)).alias("sets"), F.min("id").alias("id"))
+        .filter("sets = 1")
+    )
+    return once.groupBy("id").agg(F.count(F.lit(1)).alias("own")).join(single, "id", "left_semi")
+
+
+def _can_link(spec: NearDupSpec):
+    """Whether two sets can be similar enough, from their sizes and their own shingles.
+
+    Own shingles of either are in the union and not in the intersection, and the
+    intersection is at most the smaller rest: an upper bound of the similarity.
+    """
+    rest, rest_a = F.col("n") - F.col("own"), F.col("n_a") - F.col("own_a")
+    union = F.col("own") + F.col("own_a") + F.greatest(rest, rest_a)
+    return F.least(rest, rest_a) * 100 >= union * spec.percent
+
+
 def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataFrame:
     """Columns doc_id, n_shingles, component_id, kept (doc_id = component_id): one row per input row."""
     table = settle(_featured(docs, spec))
@@ -241,9 +275,8 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
 
     cache: dict[str, DataFrame] = {}
 
-    def sets(likely: DataFrame) -> DataFrame:
-        """Sets of all documents in a pair; those read for earlier pairs are kept."""
-        ids = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    def sets(ids: DataFrame) -> DataFrame:
+        """Sets of the documents in ``ids`` at least; those read before are kept."""
         if "sets" not in cache:
             cache["sets"] = settle(_sets_of(docs, ids, spec))
         else:
@@ -258,33 +291,31 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     edges = settle(same_id.unionAll(_linked(candidates, sketches, sets, spec)))
     stars = components(edges)
 
-    low, high = 1, 2  # the smallest member, rank 0, has been compared with all others
-    ranked = None
-    while True:
-        labelled = (ranked if ranked is not None else members).join(
-            stars.select(F.col("u").alias("id"), "m"), "id", "left"
-        ).withColumn("label", F.coalesce("m", "id")).drop("m")
-        apart = join_side(labelled, ["key"], F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-        open_members = labelled.join(apart.select("key"), "key")
-        if ranked is None:
-            from pyspark.sql import Window
-
-            place = F.row_number().over(Window.partitionBy("key").orderBy("id")) - 1
-            distinct = open_members.select("key", "id", "n", "label").distinct()
-            open_members = distinct.withColumn("place", place)
-        ranked = settle(open_members.select("key", "id", "n", "label", "place"))
-        pivots = ranked.filter((F.col("place") >= low) & (F.col("place") < high)).select(
-            "key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"), F.col("place").alias("place_a")
-        )
-        pairs = ranked.join(pivots, "key").filter("place > place_a and label <> label_a").filter(_length_fits(spec, "n", "n_a"))
-        found = ranked.filter(F.col("place") > low).isEmpty()
-        if found:
-            break
-        more = _linked(pairs.select("a", F.col("id").alias("b")).distinct(), sketches, sets, spec)
-        if not more.isEmpty():
-            stars = components(stars.select(F.col("u").alias("a"), F.col("m").alias("b")).unionAll(more))
-        ranked = ranked.drop("label")
-        low, high = high, 2 * high
+    def labelled(rows: DataFrame) -> DataFrame:
+        """Rows of buckets that still hold several components, with their component."""
+        known = rows.join(stars.select(F.col("u").alias("id"), "m"), "id", "left")
+        known = known.withColumn("label", F.coalesce("m", "id")).drop("m")
+        apart = join_side(known, ["key"], F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+        return known.join(apart.select("key"), "key")
+
+    open_members = settle(labelled(members.select("key", "id", "n").distinct()).drop("label"))
+    if not open_members.isEmpty():
+        own = _own_shingles(sets(open_members.select("id").distinct()))
+        central = Window.partitionBy("key").orderBy("own", "n", "id")
+        ranked = open_members.join(own, "id", "left").fillna(0, ["own"])
+        ranked = ranked.filter(F.col("own") * 100 <= F.col("n") * (100 - spec.percent))
+        ranked = settle(ranked.withColumn("place", F.row_number().over(central) - 1))
+        low, high = 0, 1
+        while not (still := settle(labelled(ranked))).filter(F.col("place") >= low).isEmpty():
+            pivots = still.filter((F.col("place") >= low) & (F.col("place") < high)).select(
+                "key", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "own", "label", "place")]
+            )
+            apart = (F.col("place") > F.col("place_a")) & (F.col("label") != F.col("label_a"))
+            pairs = still.join(pivots, "key").filter(apart & _can_link(spec))
+            more = _linked(pairs.select(F.col("id_a").alias("a"), F.col("id").alias("b")).distinct(), sketches, sets, spec)
+            if not more.isEmpty():
+                stars = components(stars.select(F.col("u").alias("a"), F.col("m").alias("b")).unionAll(more))
+            low, high = high, 8 * high + 1
 
     named = classes.join(stars.select(F.col("u").alias("id"), "m"), "id", "left")
     named = settle(named.select(*digest, F.coalesce("m", "id").alias("m"), "last").filter("m < last").drop("last"))
@@ -307,8 +338,6 @@ def keep_one(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataFrame:
     kept = near_duplicates(docs, spec).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
     stays = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
     # a doc_id that occurs once, the rule, is alone in its group
-    from pyspark.sql import Window
-
     one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
     stays = stays.withColumn("_row", F.row_number().over(one)).filter("_row = 1").drop("_row")
     return stays.unionByName(docs.filter("doc_id is null"))
