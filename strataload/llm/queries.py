@@ -12,6 +12,7 @@ from strataload.llm.mixing import mix
 from strataload.llm.pii import pseudonymised
 from strataload.llm.quality_rules import judge
 from strataload.llm.registry import query
+from strataload.llm.warc import archived
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint"
 
@@ -119,3 +120,23 @@ def op1_feistel_pseudonyms(t):
 def op9_ngram_likelihood(t):
     trusted = t.labels.filter("quality = 1").select("doc_id")
     return judge(t.documents.select("doc_id", "text"), trusted)
+
+
+WARC_SQL = """
+with payloads as (
+  select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as payload_digest,
+         strlen(coalesce(html, ''))::bigint as payload_bytes from pages
+), marked as (
+  select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest) end as original
+  from payloads
+)
+select page_id, payload_bytes, payload_digest,
+       case when original is not null and page_id is distinct from original then 'revisit' else 'response' end as record_type,
+       case when page_id is distinct from original then original end as refers_to
+from marked
+"""
+
+
+@query("op8_warc_archives", WARC_SQL)
+def op8_warc_archives(t):
+    return archived(t.pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
