@@ -290,7 +290,7 @@ def pseudonymise(text: str | None, net: Feistel, undo: bool = False) -> tuple[st
 def pseudonymised(docs: DataFrame, spec: PiiSpec = PiiSpec()) -> DataFrame:
     """``docs`` with pseudonyms in text, and the columns n_replaced and kinds (of each find, in order)."""
     key = spec.key
-    added = T.StructType().add("text", "string").add("n_replaced", "int").add("kinds", T.ArrayType(T.StringType()))
+    added = T.StructType().add("text", "string").add("n_replaced", "integer").add("kinds", T.ArrayType(T.StringType()))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         net = Feistel(key)

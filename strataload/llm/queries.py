@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strataload.llm import langid
+from strataload.llm import langid, quality_gam
 from strataload.llm.common import fold_of
 from strataload.llm.decontaminate import find_leaks
 from strataload.llm.minhash import near_duplicates
@@ -140,3 +140,12 @@ from marked
 @query("op8_warc_archives", WARC_SQL)
 def op8_warc_archives(t):
     return archived(t.pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_additive_quality")
+def op7_additive_quality(t):
+    docs = t.documents.select("doc_id", "text")
+    labels = t.labels.filter(fold_of(F.col("doc_id"), 5) != 0).select("doc_id", F.col("quality").alias("label"))
+    model = quality_gam.fit(docs, labels)
+    held_out = F.coalesce(fold_of(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out")
+    return quality_gam.score(docs, model).select("doc_id", held_out, "score", "predicted")
