@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
@@ -101,6 +102,11 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def _frame(batch: pa.RecordBatch, columns: Sequence[str]) -> pd.DataFrame:
+    """Plain Python values, with None for NULL."""
+    return pd.DataFrame({c: pd.Series(batch.column(c).to_pylist(), dtype=object) for c in columns})
+
+
 def append(df: DataFrame, columns: Sequence[str], fn, added: T.StructType) -> DataFrame:
     """``df`` with the columns ``added``, which ``fn`` makes from a pandas frame of ``columns``.
 
@@ -113,8 +119,8 @@ def append(df: DataFrame, columns: Sequence[str], fn, added: T.StructType) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = fn(batch.select(columns).to_pandas(integer_object_nulls=True))
-            new = [pa.Array.from_pandas(made[f.name], type=f.type) for f in arrow_types]
+            made = fn(_frame(batch, columns))
+            new = [pa.array(made[f.name].tolist(), type=f.type, from_pandas=True) for f in arrow_types]
             old = [batch.column(f.name) for f in kept]
             yield pa.RecordBatch.from_arrays([*old, *new], names=out_schema.names)
 
@@ -127,6 +133,6 @@ def keep_where(df: DataFrame, columns: Sequence[str], fn) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(np.asarray(fn(batch.select(columns).to_pandas()), bool)))
+            yield batch.filter(pa.array(np.asarray(fn(_frame(batch, columns)), bool)))
 
     return df.mapInArrow(run, df.schema)

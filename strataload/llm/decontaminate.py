@@ -28,8 +28,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strataload.llm.common import WordHashes, settle
+from strataload.llm.common import WordHashes, append, settle
 
 _TOKEN = re.compile(r"\w+")
 
@@ -190,24 +191,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec = LeakSpec(
     texts = docs.select("doc_id", _row_key().alias("row"), "text")
     named = items.select("item", F.col("text").alias("item_text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        for batch in batches:
-            out = []
-            for text, item_text in zip(batch.text, batch.item_text):
-                item = token_hashes(hashes, item_text)
-                own = tiles(token_hashes(hashes, text), item, least)
-                covered = sum(n for _, _, n in own)
-                out.append((len(item), covered, len(own), covered / len(item) if len(item) else 0.0))
-            more = pd.DataFrame(out, columns=["n_tokens", "covered", "n_tiles", "coverage"], index=batch.index)
-            both = pd.concat([batch[["doc_id", "row", "item"]], more], axis=1)
-            yield both[both.coverage >= share]
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
+        hashes, out = WordHashes(), []
+        for text, item_text in zip(batch.text, batch.item_text):
+            item = token_hashes(hashes, item_text)
+            own = tiles(token_hashes(hashes, text), item, least)
+            covered = sum(n for _, _, n in own)
+            out.append((len(item), covered, len(own), covered / len(item) if len(item) else 0.0))
+        return pd.DataFrame(out, columns=added.names, dtype=object)
 
+    added = T.StructType().add("n_tokens", "integer").add("covered", "integer").add("n_tiles", "integer").add("coverage", "double")
     joined = texts.join(pairs, "row").join(named, "item").select("doc_id", "row", "item", "text", "item_text")
-    kind = dict(docs.dtypes)["doc_id"]
-    return joined.mapInPandas(
-        run, f"doc_id {kind}, row long, item string, n_tokens int, covered int, n_tiles int, coverage double"
-    )
+    return append(joined, ["text", "item_text"], run, added).filter(F.col("coverage") >= share).drop("text", "item_text")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec = LeakSpec()) -> DataFrame:

@@ -187,6 +187,7 @@ def fit(docs: DataFrame, spec: LanguageSpec = LanguageSpec()) -> LanguageModel:
         return pd.DataFrame(
             {"lang": group.lang.iloc[0], "center": [c.astype(np.float32).tobytes() for c in centers]},
             columns=["lang", "center"],
+            dtype=object,
         )
 
     found = sorted(

@@ -35,8 +35,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strataload.llm.common import WordHashes, lower_words, rolled, settle
+from strataload.llm.common import WordHashes, append, lower_words, rolled, settle
 from strataload.operators.skew import join_side
 
 
@@ -101,35 +102,33 @@ def band_keys(coordinates: np.ndarray, spec: NearDupSpec) -> np.ndarray:
     return (keys ^ (keys >> np.uint64(32))).view(np.int64)
 
 
-_FEATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch binary"
+_FEATURES = (
+    T.StructType()
+    .add("n_shingles", "long")
+    .add("set_a", "long")
+    .add("set_b", "long")
+    .add("bands", T.ArrayType(T.LongType()))
+    .add("sketch", "binary")
+)
 
 
 def _featured(docs: DataFrame, spec: NearDupSpec) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        for batch in batches:
-            rows = []
-            for text in batch.text:
-                shingles = shingle_set(hashes, text, spec.shingle)
-                if not len(shingles):
-                    rows.append((0, None, None, None, None))
-                    continue
-                coordinates = signature(shingles, spec.size)
-                digest = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.int64)
-                rows.append(
-                    (
-                        len(shingles),
-                        digest[0],
-                        digest[1],
-                        band_keys(coordinates, spec),
-                        coordinates.astype(np.uint8).tobytes(),
-                    )
-                )
-            out = pd.DataFrame(rows, columns=["n_shingles", "set_a", "set_b", "bands", "sketch"])
-            out.insert(0, "doc_id", batch.doc_id.to_numpy())
-            yield out.astype({"doc_id": "Int64", "set_a": "Int64", "set_b": "Int64"})
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, _FEATURES)
+    """doc_id, and of each text the size and digest of its shingle set, band keys and a sketch."""
+
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
+        hashes, rows = WordHashes(), []
+        for text in batch.text:
+            shingles = shingle_set(hashes, text, spec.shingle)
+            if not len(shingles):
+                rows.append((0, None, None, None, None))
+                continue
+            coordinates = signature(shingles, spec.size)
+            a, b = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.int64).tolist()
+            sketch = coordinates.astype(np.uint8).tobytes()
+            rows.append((len(shingles), a, b, band_keys(coordinates, spec).tolist(), sketch))
+        return pd.DataFrame(rows, columns=_FEATURES.names, dtype=object)
+
+    return append(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["text"], run, _FEATURES).drop("text")
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, spec: NearDupSpec) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strataload.llm import langid, quality_gam
+from strataload.llm import langid, quality_gam, toxicity
 from strataload.llm.common import fold_of
 from strataload.llm.decontaminate import find_leaks
 from strataload.llm.minhash import near_duplicates
@@ -149,3 +149,12 @@ def op7_additive_quality(t):
     model = quality_gam.fit(docs, labels)
     held_out = F.coalesce(fold_of(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out")
     return quality_gam.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+@query("op5_noisy_channel")
+def op5_noisy_channel(t):
+    docs = t.documents.select("doc_id", "text")
+    labels = t.labels.filter(fold_of(F.col("doc_id"), 3) != 1).select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.fit(docs, labels)
+    held_out = F.coalesce(fold_of(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")

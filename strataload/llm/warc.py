@@ -65,8 +65,8 @@ def _gzip_member(data: bytes, level: int) -> bytes:
     return press.compress(data) + press.flush()
 
 
-def _page(value) -> int | None:
-    return None if pd.isna(value) else int(value)
+def _page(value: str | None) -> int | None:
+    return None if value is None else int(value)
 
 
 def encode_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, spec: WarcSpec) -> bytes:
@@ -128,7 +128,9 @@ def _with_originals(pages: DataFrame, spec: WarcSpec) -> DataFrame:
     revisits = narrow.join(groups, "digest").filter("page_id is null or page_id <> original").distinct()
     revisits = revisits.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "original")
     same = F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest"))
-    return rows.join(settle(revisits), same, "left").select("page_id", "url", "html", "original")
+    found = rows.join(settle(revisits), same, "left")
+    # ids travel as text: pandas would make floats of whole numbers next to NULL
+    return found.select(F.col("page_id").cast("string"), "url", "html", F.col("original").cast("string"))
 
 
 def write_archives(pages: DataFrame, folder: str, spec: WarcSpec = WarcSpec()) -> DataFrame:
@@ -151,7 +153,7 @@ def write_archives(pages: DataFrame, folder: str, spec: WarcSpec = WarcSpec()) -
         if out is not None:
             out.close()
             system.move(fresh, final)
-            yield pd.DataFrame({"file": [final], "records": [records]})
+            yield pd.DataFrame({"file": [final], "records": [records]}, dtype=object)
 
     found = _with_originals(pages, spec)
     return settle(found.mapInPandas(run, "file string, records long"))
@@ -251,10 +253,10 @@ def read_archives(spark: SparkSession, folder: str, spec: WarcSpec = WarcSpec(),
                         rows.append(row)
                         held += len(data)
                         if held > (8 << 20):
-                            yield pd.DataFrame(rows).astype({"page_id": "Int64"})
+                            yield pd.DataFrame(rows, dtype=object)
                             rows, held = [], 0
                     if rows:
-                        yield pd.DataFrame(rows).astype({"page_id": "Int64"})
+                        yield pd.DataFrame(rows, dtype=object)
 
     return ranges.mapInPandas(run, _RECORDS)
 
