@@ -15,9 +15,10 @@ A bucket of m classes is not expanded to all its pairs.  Its smallest member is
 compared with the others first.  In buckets that then hold several components, the
 shingles that only one set has are counted: two sets whose own shingles alone keep them
 below the threshold are never paired, which in a large group of loose copies is nearly
-every pair.  Members still apart are compared with 1, 8, 64, ... further pivots, those
-with the fewest own shingles first, until the bucket holds one component or every member
-has been a pivot, so no pair of a bucket that could join two components is left out.
+every pair.  The member with the fewest own shingles, the likely original of loose
+copies, is then compared with the others; members still apart after that are compared
+in blocks with all others, so no pair of a bucket that could join two components is left
+out.
 
 Defined cases: a NULL or wordless text has no shingles and is linked with nothing; a
 text with fewer words than a shingle is one shingle, its whole sequence; rows that
@@ -32,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,7 +56,7 @@ class NearDupSpec:
     percent: int = 85
     bands: int = 24
     rows: int = 6
-    sketch_margin: float = 5.0
+    sketch_margin: float = 4.5
 
     @property
     def size(self) -> int:
@@ -181,27 +183,32 @@ def components(edges: DataFrame) -> DataFrame:
     the larger nodes, then from the smaller ones, until every component is a star.
     """
     stars = settle(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct())
-    mark = F.struct(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v") % 1000003), F.lit(0)))
-    before = None
-    while (state := tuple(stars.agg(mark).first()[0])) != before:
-        before = state
-        if not state[0]:
+    while True:
+        # a star: every node has one smaller neighbour, which has none
+        parents = stars.groupBy("u").agg(F.count(F.lit(1)).alias("parents"))
+        centers = stars.select(F.col("v").alias("u")).distinct().withColumn("center", F.lit(True))
+        if parents.join(centers, "u", "left").filter("parents > 1 or center").isEmpty():
             break
         both = stars.unionAll(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = join_side(both, ["u"], F.min("v").alias("n")).withColumn("m", F.least("u", "n")).drop("n")
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = join_side(large, ["u"], F.min("v").alias("m"))
-        met = large.join(least, "u")
-        small = met.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        stars = settle(small.select("e.*").filter("u > v").distinct())
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.filter("u > v").distinct()
+        met = large.join(join_side(large, ["u"], F.min("v").alias("m")), "u")
+        ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        stars = settle(met.select(F.explode(ends).alias("e")).select("e.*").filter("u > v").distinct())
     return stars.withColumnRenamed("v", "m")
 
 
-def _linked(candidates: DataFrame, sketches: DataFrame, sets, spec: NearDupSpec) -> DataFrame:
-    """The verified pairs of ``candidates`` (a, b)."""
+def _linked(candidates: DataFrame, sketches: DataFrame | None, sets, spec: NearDupSpec) -> DataFrame:
+    """The verified pairs of ``candidates`` (a, b); without ``sketches`` these have been compared."""
+    if sketches is None:
+        return _on_sets(settle(candidates.distinct()), sets, spec)
     left = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"))
     right = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"))
-    likely = settle(_sketches_agree(candidates.join(left, "a").join(right, "b"), spec).distinct())
+    return _on_sets(settle(_sketches_agree(candidates.join(left, "a").join(right, "b"), spec)), sets, spec)
+
+
+def _on_sets(likely: DataFrame, sets, spec: NearDupSpec) -> DataFrame:
     known = sets(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     return settle(
         _verified(
@@ -250,6 +257,49 @@ def _can_link(spec: NearDupSpec):
     return F.least(rest, rest_a) * 100 >= union * spec.percent
 
 
+_BLOCK = 256  # members of a bucket that are compared at once
+
+
+def _apart(members: DataFrame, sketches: DataFrame, spec: NearDupSpec) -> DataFrame:
+    """Pairs (a, b) of a bucket in different components that may be linked.
+
+    Buckets are cut into blocks, and blocks of one bucket meet each other: every pair is
+    looked at, by array arithmetic on sketches, but only those that may be linked become
+    rows.
+    """
+    fields = ("id", "n", "own", "label", "sketch")
+    rows = members.withColumn("block", F.floor(F.col("place") / _BLOCK)).join(sketches, "id")
+    blocks = settle(rows.groupBy("key", "block").agg(F.collect_list(F.struct(*fields)).alias("rows")))
+    left = blocks.select("key", F.col("block").alias("block_a"), F.col("rows").alias("rows_a"))
+    met = blocks.join(left, "key").filter("block_a <= block").select("rows_a", "rows")
+    least, percent = spec.least_matches, spec.percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                x, y = (_columns(batch.column(c)[i].values) for c in ("rows_a", "rows"))
+                rest_x, rest_y = (x["n"] - x["own"])[:, None], (y["n"] - y["own"])[None]
+                union = x["own"][:, None] + y["own"][None] + np.maximum(rest_x, rest_y)
+                may = np.minimum(rest_x, rest_y) * 100 >= union * percent
+                may &= (x["label"][:, None] != y["label"][None]) & (x["id"][:, None] != y["id"][None])
+                a, b = np.nonzero(may)
+                for k in range(0, len(a), 65536):
+                    p, q = a[k : k + 65536], b[k : k + 65536]
+                    same = (x["sketch"][p] == y["sketch"][q]).sum(axis=1) >= least
+                    ids = x["id"][p[same]], y["id"][q[same]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(*ids)), pa.array(np.maximum(*ids))], names=["a", "b"]
+                    )
+
+    return met.mapInArrow(run, "a long, b long")
+
+
+def _columns(rows: pa.StructArray) -> dict[str, np.ndarray]:
+    out = {c: rows.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "n", "own", "label")}
+    sketches = b"".join(rows.field("sketch").to_pylist())
+    return out | {"sketch": np.frombuffer(sketches, np.uint8).reshape(len(rows), -1)}
+
+
 def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataFrame:
     """Columns doc_id, n_shingles, component_id, kept (doc_id = component_id): one row per input row."""
     table = settle(_featured(docs, spec))
@@ -290,6 +340,13 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     edges = settle(same_id.unionAll(_linked(candidates, sketches, sets, spec)))
     stars = components(edges)
 
+    def link(pairs: DataFrame, compared: bool = False) -> None:
+        """Verifies pairs and joins the components that they link."""
+        nonlocal stars
+        more = _linked(pairs.distinct(), None if compared else sketches, sets, spec)
+        if not more.isEmpty():
+            stars = components(stars.select(F.col("u").alias("a"), F.col("m").alias("b")).unionAll(more))
+
     def labelled(rows: DataFrame) -> DataFrame:
         """Rows of buckets that still hold several components, with their component."""
         known = rows.join(stars.select(F.col("u").alias("id"), "m"), "id", "left")
@@ -304,17 +361,11 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
         ranked = open_members.join(own, "id", "left").fillna(0, ["own"])
         ranked = ranked.filter(F.col("own") * 100 <= F.col("n") * (100 - spec.percent))
         ranked = settle(ranked.withColumn("place", F.row_number().over(central) - 1))
-        low, high = 0, 1
-        while not (still := settle(labelled(ranked))).filter(F.col("place") >= low).isEmpty():
-            pivots = still.filter((F.col("place") >= low) & (F.col("place") < high)).select(
-                "key", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "own", "label", "place")]
-            )
-            apart = (F.col("place") > F.col("place_a")) & (F.col("label") != F.col("label_a"))
-            pairs = still.join(pivots, "key").filter(apart & _can_link(spec))
-            more = _linked(pairs.select(F.col("id_a").alias("a"), F.col("id").alias("b")).distinct(), sketches, sets, spec)
-            if not more.isEmpty():
-                stars = components(stars.select(F.col("u").alias("a"), F.col("m").alias("b")).unionAll(more))
-            low, high = high, 8 * high + 1
+        # the member with the fewest own shingles against the others, then whatever is left
+        first = ranked.filter("place = 0").select("key", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "own")])
+        near = ranked.filter("place > 0").join(first, "key").filter(_can_link(spec))
+        link(near.select(F.col("id_a").alias("a"), F.col("id").alias("b")))
+        link(_apart(labelled(ranked), sketches, spec), compared=True)
 
     named = classes.join(stars.select(F.col("u").alias("id"), "m"), "id", "left")
     named = settle(named.select(*digest, F.coalesce("m", "id").alias("m"), "last").filter("m < last").drop("last"))
