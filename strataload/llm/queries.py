@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strataload.llm import langid, quality_gam, toxicity
+from strataload.llm import htmltext, langid, quality_gam, toxicity
 from strataload.llm.common import fold_of
 from strataload.llm.decontaminate import find_leaks
 from strataload.llm.minhash import near_duplicates
@@ -158,3 +158,9 @@ def op5_noisy_channel(t):
     model = toxicity.fit(docs, labels)
     held_out = F.coalesce(fold_of(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out")
     return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+@query("op2_boosted_nodes")
+def op2_boosted_nodes(t):
+    pages = t.pages.select("page_id", "url", "html")
+    return htmltext.main_text(pages, htmltext.fit(pages)).select("page_id", "url", "text", "n_chars")
