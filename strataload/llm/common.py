@@ -52,6 +52,18 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(-1)).cast("int")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until no column of ``df`` has them."""
+    used = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def sample_ids(rows: DataFrame, per: Sequence[str], limit: int, seed: str) -> DataFrame:
     """At most ``limit`` rows for each value of ``per``, chosen by a hash of doc_id.
 

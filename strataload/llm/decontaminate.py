@@ -12,7 +12,8 @@ is left again and again; running Karp-Rabin hashes find the runs, token hashes c
 them.
 
 Defined cases: tokens are runs of word characters, case-folded.  A NULL or empty text
-has no tokens.  An item with fewer tokens than a tile cannot be covered.  Rows are
+has no tokens.  An item with fewer tokens than a tile cannot be covered; one
+without item_id is not searched for.  Rows are
 judged one by one, so repeated rows are found each, also without doc_id.  Items with the
 same text are found each.  Empty tables give an empty result.  Extra columns are ignored.
 """
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataload.llm.common import WordHashes, append, settle
+from strataload.llm.common import WordHashes, append, fresh, settle
 
 _TOKEN = re.compile(r"\w+")
 
@@ -207,5 +208,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec = LeakSpec(
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec = LeakSpec()) -> DataFrame:
     """Stage: the rows of ``docs`` that leak no item."""
-    leaking = find_leaks(docs, benchmark, spec).select(F.col("row").alias("_row")).distinct()
-    return docs.join(leaking, _row_key() == F.col("_row"), "left_anti")
+    (row,) = fresh(docs, "row")
+    leaking = find_leaks(docs, benchmark, spec).select(F.col("row").alias(row)).distinct()
+    return docs.join(leaking, _row_key() == F.col(row), "left_anti")

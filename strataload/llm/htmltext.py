@@ -50,7 +50,7 @@ class HtmlSpec:
     step: float = 0.2
     bins: int = 32
     cut: float = 0.3  # below: not article, with all descendants
-    cut_inside: float = 0.05  # the same below a node that is all article
+    cut_inside: float = 0.15  # the same below a node that is all article
     whole: float = 0.7  # all of the node is article
 
 
@@ -465,7 +465,7 @@ class _Writer:
     """Deals out one training page."""
 
     def __init__(self, words: list[str], seed: int):
-        self.words, self.random = words, random.Random(seed)
+        self.words, self.random, self.named = words, random.Random(seed), False
 
     def some(self, low: int, high: int) -> str:
         r = self.random
@@ -481,7 +481,7 @@ class _Writer:
 
     def attributes(self, names: str) -> str:
         r = self.random
-        if not names or r.random() < 0.08:
+        if not names or (not self.named and r.random() < 0.08):
             return f' class="{r.choice("abcxyz")}{r.randint(1, 99)}"' if r.random() < 0.3 else ""
         name = r.choice(names.split())
         return f' {"id" if r.random() < 0.25 else "class"}="{name}{" c" + str(r.randint(1, 9)) if r.random() < 0.2 else ""}"'
@@ -499,7 +499,7 @@ class _Writer:
         elif inside == "short":
             body = r.choice(("", f"<h1>{self.some(1, 4)}</h1>", f'<a href="/">{self.some(1, 3)}</a>')) + f"<p>{self.some(2, 8)}</p>"
         elif inside == "prose":
-            body = self.prose(1, 3) if r.random() < 0.6 else "".join(f"<p>{self.prose(1, 2)}</p>" for _ in range(r.randint(1, 3)))
+            body = self.prose(1, 3) if r.random() < 0.5 else self.some(1, 4) if r.random() < 0.4 else "".join(f"<p>{self.prose(1, 2)}</p>" for _ in range(r.randint(1, 3)))
             body += r.choice(("", "", f'<a href="/x">{self.some(1, 3)}</a>', "<button>OK</button>"))
         elif inside == "form":
             body = f"<p>{self.prose(1, 2)}</p>" if r.random() < 0.6 else ""
@@ -518,8 +518,12 @@ class _Writer:
             body += r.choice(("", "", f"<ul>{self.links(r.randint(2, 8), 'li')}</ul>", self.links(r.randint(1, 6))))
         return f"<{tag}{self.attributes(names)}>{body}</{tag}>"
 
-    def any_furniture(self) -> str:
-        return self.furniture(*self.random.choice(_FURNITURE))
+    def any_furniture(self, named: bool = False) -> str:
+        """``named``: as furniture inside an article is, or nothing would tell it from the article."""
+        self.named = named
+        made = self.furniture(*self.random.choice(_FURNITURE))
+        self.named = False
+        return made
 
     def article(self) -> str:
         r = self.random
@@ -544,10 +548,10 @@ class _Writer:
                 parts.append(f"<table {_GOLD}><tr {_GOLD}>{cells}</tr></table>")
             else:
                 parts.append(f"<div {_GOLD}>{self.prose(1, 4)}</div>")
-            if r.random() < 0.015:
-                parts.append(self.any_furniture())
-        if r.random() < 0.08:
-            parts.append(self.any_furniture())
+            if r.random() < 0.03:
+                parts.append(self.any_furniture(named=True))
+        if r.random() < 0.15:
+            parts.append(self.any_furniture(named=True))
         body = "".join(parts)
         if r.random() < 0.2:
             body = f"<div {_GOLD}>{body}</div>"

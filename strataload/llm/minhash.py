@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataload.llm.common import WordHashes, append, lower_words, rolled, settle
+from strataload.llm.common import WordHashes, append, fresh, lower_words, rolled, settle
 from strataload.operators.skew import join_side
 
 
@@ -385,9 +385,11 @@ def keep_one(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataFrame:
     Rows without doc_id all stay; of rows that share the doc_id that stays, one does (the
     one whose text sorts first).
     """
-    kept = near_duplicates(docs, spec).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    stays = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    kept_id, row = fresh(docs, "kept_id", "row")
+    kept = near_duplicates(docs, spec).filter("kept and doc_id is not null")
+    kept = kept.select(F.col("doc_id").alias(kept_id)).distinct()
+    stays = docs.join(kept, F.col("doc_id") == F.col(kept_id), "left_semi")
     # a doc_id that occurs once, the rule, is alone in its group
     one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    stays = stays.withColumn("_row", F.row_number().over(one)).filter("_row = 1").drop("_row")
+    stays = stays.withColumn(row, F.row_number().over(one)).filter(F.col(row) == 1).drop(row)
     return stays.unionByName(docs.filter("doc_id is null"))

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataload.llm.common import WORD, settle
+from strataload.llm.common import WORD, fresh, settle
 
 _LOT_DIGITS = 3  # hex digits of the shuffle hash that name a lot: 4096 lots a source
 _RANGES = 4096  # ranges of virtual time per unit, and again inside the last range
@@ -203,24 +203,14 @@ def mixed_documents(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     Rows that share doc_id, source and size are numbered on both sides, so each gets
     the share of exactly one of them.
     """
-    same = Window.partitionBy("_id", "_source", "_size").orderBy("_id")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    left = docs.withColumns({"_id": F.col("doc_id"), "_source": F.col("source"), "_size": size})
-    left = left.withColumn("_copy", F.row_number().over(same)).drop(*{"copies", "taken"} & set(docs.columns))
-    plan = mix(docs, spec).filter("copies > 0")
-    plan = plan.select(
-        F.col("doc_id").alias("p_id"),
-        F.col("source").alias("p_source"),
-        F.col("size").alias("p_size"),
-        "copies",
-        "taken",
-        F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.desc("copies"))).alias("p_copy"),
-    )
-    met = (
-        F.col("_id").eqNullSafe(F.col("p_id"))
-        & F.col("_source").eqNullSafe(F.col("p_source"))
-        & (F.col("_size") == F.col("p_size"))
-        & (F.col("_copy") == F.col("p_copy"))
-    )
-    kept = [c for c in docs.columns if c not in ("copies", "taken")]
-    return left.join(plan, met).select(*kept, "copies", "taken")
+    docs = docs.drop("copies", "taken")
+    at, size = fresh(docs, "at", "size")
+    same = Window.partitionBy("doc_id", "source", size).orderBy("doc_id")
+    left = docs.withColumn(size, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    left = left.withColumn(at, F.row_number().over(same))
+    among = Window.partitionBy("doc_id", "source", "size").orderBy(F.desc("copies"))
+    plan = mix(docs, spec).withColumn("at", F.row_number().over(among)).filter("copies > 0")
+    met = F.lit(True)
+    for mine, theirs in (("doc_id", "doc_id"), ("source", "source"), (size, "size"), (at, "at")):
+        met = met & F.col(f"d.{mine}").eqNullSafe(F.col(f"p.{theirs}"))
+    return left.alias("d").join(plan.alias("p"), met).select(*[f"d.{c}" for c in docs.columns], "p.copies", "p.taken")

@@ -14,7 +14,7 @@ matrix.
 Defined cases: a NULL, empty or wordless text has features 0 and a score like any other
 (``empty`` is a feature); labels that are NULL and labels of unknown documents are not
 learned from; a doc_id with several labels is learned from with each; without labels of
-both kinds the score is the share of ones, or 0.5; repeated rows are scored alike; an
+both kinds the score is 0 or 1, and without any 0.5; repeated rows are scored alike; an
 empty table gives an empty result; extra columns pass through :func:`score`.
 """
 
@@ -203,9 +203,11 @@ def _quadrants(gradient: np.ndarray, weight: np.ndarray, spec: GamSpec) -> tuple
 
 def boost(x: np.ndarray, y: np.ndarray, spec: GamSpec) -> GamModel:
     """Cyclic boosting with logistic loss; the same model on every run."""
-    share = y.mean() if len(y) else 0.5
+    if not len(y):
+        return GamModel(base=0.0)
+    share = float(y.mean())
     if not 0 < share < 1:
-        return GamModel(base=float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))) if len(y) else 0.0)
+        return GamModel(base=30.0 if share else -30.0)
     model = GamModel(base=float(np.log(share / (1 - share))))
     for j in range(x.shape[1]):
         cuts = np.unique(np.quantile(x[:, j], np.linspace(0, 1, spec.bins + 1)[1:-1], method="lower"))

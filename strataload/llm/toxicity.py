@@ -80,8 +80,8 @@ class CharModel:
             sign, run = part.group(1), len(part.group(0))
             if sign in LEET:
                 choices = [(_LOG_SIGN, c) for c in LEET[sign]] + [(_LOG_NOTHING, "")]
-                if sign.isdigit() and run > 1:
-                    choices += [(2 * _LOG_SIGN, c + c) for c in LEET[sign]]
+                if run == 2:
+                    choices += [(_LOG_SIGN, c + c) for c in LEET[sign]]
             elif sign.isalpha():
                 choices = [(0.0, sign * run)] if run < 3 else [(0.0, sign), (_LOG_REPEAT, sign + sign)]
             else:
