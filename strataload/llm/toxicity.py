@@ -41,7 +41,7 @@ class ToxicSpec:
     least_share: float = 0.01  # of toxic documents that hold an n-gram
     least_odds: float = 1.5  # log odds ratio of an n-gram
     most_grams: int = 600
-    pull: float = 0.1  # L2 regularisation
+    pull: float = 0.02  # L2 regularisation
 
 
 # Signs and the letters they stand for in disguised words.

@@ -1,6 +1,7 @@
 """The registered queries against SQL, brute force, or held-out labels."""
 
 import html
+import os
 import re
 import zlib
 from collections import Counter
@@ -18,6 +19,13 @@ def docs(spark, folder):
     return spark.read.parquet(f"{folder}/documents.parquet").toPandas()
 
 
+@pytest.fixture(scope="module")
+def labelled_folder(folder):
+    """Models of rare labels need more rows than the smallest tables have."""
+    larger = os.path.join(os.path.dirname(folder), "sf0.01")
+    return larger if os.path.isdir(larger) else folder
+
+
 def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
@@ -83,10 +91,11 @@ def test_op4_held_out_accuracy(spark, folder, docs):
 @pytest.mark.parametrize(
     "prefix, label, folds, rest, least", [("op5_", "toxic", 3, 1, 0.7), ("op7_", "quality", 5, 0, 0.3)]
 )
-def test_held_out_labels(spark, folder, docs, prefix, label, folds, rest, least):
-    labels = spark.read.parquet(f"{folder}/labels.parquet").toPandas()
-    found = run(spark, folder, prefix)
-    assert len(found) == len(docs) and found.score.between(0, 1).all()
+def test_held_out_labels(spark, labelled_folder, prefix, label, folds, rest, least):
+    labels = spark.read.parquet(f"{labelled_folder}/labels.parquet").toPandas()
+    rows = spark.read.parquet(f"{labelled_folder}/documents.parquet").count()
+    found = run(spark, labelled_folder, prefix)
+    assert len(found) == rows and found.score.between(0, 1).all()
     assert (found.predicted == (found.score >= least)).all()
     assert (found.held_out == (found.doc_id.map(lambda i: fold(i, folds)) == rest)).all()
     held = found[found.held_out].merge(labels, on="doc_id")
