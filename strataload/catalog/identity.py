@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strataload.catalog.frames import AUDIT, SOURCES_CTE, multi_source
 from strataload.catalog.registry import Tables, query
 from strataload.operators import identity, lookup, mastering, quality
-from strataload.plans import mapping
+from strataload.plans import jobs, mapping
 from strataload.plans.mapping import MappingRow
 
 STAMP = "2024-02-01 00:00:00"
@@ -110,6 +110,25 @@ def shuffled_surrogate_ids(t: Tables):
     return identity.shuffled_ids(rows, ["c_custkey"], 0, "external_id", salt="strataload")
 
 
+@query(
+    "shuffled_ids_invariants",
+    """select count(*) as n, count(distinct c_custkey) as members, count(distinct c_custkey) as ids, cast(1 as bigint) as low,
+  count(distinct c_custkey) as high, true as mixed from customer""",
+)
+def shuffled_ids_invariants(t: Tables):
+    """What holds for any order of the ids: no gap, no repeat, and not the order of the keys."""
+    ids = shuffled_surrogate_ids(t)
+    moved = F.count_if(F.col("external_id") != F.col("c_custkey"))
+    return ids.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("c_custkey").alias("members"),
+        F.count_distinct("external_id").alias("ids"),
+        F.min("external_id").alias("low"),
+        F.max("external_id").alias("high"),
+        (moved * 2 > F.count(F.lit(1))).alias("mixed"),
+    )
+
+
 @query(
     "backfill_null_ids",
     """with base as (select c_custkey, c_name, case when c_acctbal > 0 then c_custkey + 10 end as ext from customer)
@@ -210,6 +229,40 @@ def source_id_list(t: Tables):
     return _listed(t)
 
 
+@query(
+    "source_list_repeats",
+    """with rows as (select distinct user_id, event_type, cast(ts as date) as day from events)
+select r.*, l.sources from rows r join (
+  select user_id, string_agg(event_type, ',' order by event_type) as sources from rows group by user_id) l
+on r.user_id = l.user_id""",
+)
+def source_list_repeats(t: Tables):
+    """Several rows per key and source: a source is named once per row."""
+    rows = t.events.select("user_id", "event_type", F.col("ts").cast("date").alias("day"))
+    return mastering.source_list(rows, ["user_id"], "event_type", "sources")
+
+
+@query(
+    "master_chain",
+    f"""with {SOURCES_CTE}, {CREATED_CTE}, {UPDATE_CTE},
+first as (select * from masters union all select * from multi_source where lower(data_source_id) <> 'o1'),
+children2 as (select 'O1' as child, 1 as place union all select 'F2', 2),
+created2 as (select member_id, 'O2' as data_source_id, first_date, best from (
+  select b.*, rank() over (partition by b.member_id order by c.place) as rk
+  from first b join children2 c on lower(b.data_source_id) = lower(c.child)
+  where not exists (select 1 from first m where lower(m.data_source_id) = 'o2' and m.member_id = b.member_id)) x
+  where rk = 1),
+both_ as (select * from first union select * from created2)
+select * from both_ where lower(data_source_id) = 'o2'
+union all select * from first where lower(data_source_id) <> 'o2'""",
+)
+def master_chain(t: Tables):
+    """Two masters, the second built on the rows of the first."""
+    views = {MASTER: lambda df: _views(t)}
+    chain = {MASTER: CHILDREN, "O2": ["O1", "F2"]}
+    return jobs.build_masters(multi_source(t), chain, ["member_id"], "data_source_id", views, ["best", "first_date"])
+
+
 @query("distinct_sources", f"with {SOURCES_CTE} select distinct data_source_id from multi_source")
 def distinct_sources(t: Tables):
     return mastering.distinct_sources(multi_source(t), "data_source_id")

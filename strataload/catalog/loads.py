@@ -38,6 +38,13 @@ def _closed(incremental: str = "is_incremental") -> str:
     )
 
 
+@query("load_full_mode", f"with {ORDERS_CTE} select {COLUMNS} from orders_src")
+def load_full_mode(t: Tables):
+    """Full mode replaces the target, whatever the strategy; a first load does the same."""
+    first = inc.load(orders_src(t), None, mode="active", strategy="checksum_all", audit=AUDIT)
+    return inc.load(first, orders_tgt(t), mode="full", strategy="checksum_all", audit=AUDIT)
+
+
 @query("load_overwrite", f"with {ORDERS_CTE} select {COLUMNS} from orders_src")
 def load_overwrite(t: Tables):
     return inc.load_overwrite(orders_src(t), orders_tgt(t), audit=AUDIT).to_df()
@@ -219,10 +226,11 @@ union all select {COLUMNS} from orders_src s where status = 'F' and not exists (
   select 1 from orders_tgt t where t.status = 'F' and t.is_active = 1 and t.hashkey = s.hashkey)
 union all select {COLUMNS} from orders_src where status = 'O'
 union all select {COLUMNS} from orders_tgt where status = 'O'
-union all select {COLUMNS} from orders_tgt where status not in ('F', 'O')""",
+union all select {COLUMNS} from orders_src where status = 'P'
+union all select {COLUMNS} from orders_tgt where status not in ('F', 'O', 'P')""",
 )
 def load_partitioned(t: Tables):
-    plans = {"f": ("checksum_all", {}), "o": ("append", {})}
+    plans = {"f": ("checksum_all", {}), "o": ("append", {}), "p": ("overwrite", {})}
     return inc.load_partitioned(orders_src(t), orders_tgt(t), column="status", plans=plans, audit=AUDIT)
 
 

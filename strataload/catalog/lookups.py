@@ -120,6 +120,22 @@ def contains_pattern_best(t: Tables):
     return lookup.contains_lookup(found, "name", restricted(t), "name_pattern", "match_type", "priority")
 
 
+@query(
+    "contains_pattern_long",
+    f"""with {NAMES_CTE.replace("restricted as", "some_restricted as")},
+restricted as (select * from some_restricted union all select 'pattern', '', 90, 'REST <x>', cast(null as varchar)
+  union all select 'pattern', 'the', 95, 'THE <x>', cast(null as varchar)),
+all_names as (select distinct text as name from documents), {BEST_CTE}
+select md5(name) as name, match_type, name_pattern, priority, plan_name, organization_name from best where name is not null""",
+)
+def contains_pattern_long(t: Tables):
+    """Whole documents as names, a pattern that hits often and an empty one that hits always."""
+    rows = [("pattern", "", 90, "REST <x>", None), ("pattern", "the", 95, "THE <x>", None)]
+    patterns = restricted(t).unionByName(t.spark.createDataFrame(rows, restricted(t).schema))
+    found = lookup.contains_lookup(t.documents, "text", patterns, "name_pattern", "match_type", "priority")
+    return found.select(F.md5("text").alias("name"), *patterns.columns)
+
+
 @query(
     "null_safe_lookup",
     f"""with {NAMES_CTE}, side as (select payer_name, count(*) as uses from names group by payer_name)

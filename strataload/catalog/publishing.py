@@ -69,14 +69,15 @@ def snapshot_key_export(t: Tables):
 
 @query(
     "dedupe_patch",
-    f"""with {ORDERS_CTE}, act as (select * from orders_tgt where is_active = 1),
+    f"""with {ORDERS_CTE}, marked as (select * replace (case when total < 60000 then null else is_active end as is_active) from orders_tgt),
+act as (select * from marked where is_active = 1),
 fixes as (select order_id, 'D' as status, first_date as order_date from (
     select order_id, cust_id, min(order_date) over (partition by cust_id) as first_date, status from act) x where status = 'X'
   union all select order_id, 'E', date '2000-01-01' from act where status = 'F')
 select a.order_id, a.cust_id, a.total, a.hashkey, a.add_date, a.delete_date, a.last_modified_date, a.is_active,
   a.is_incremental, f.status, f.order_date from act a left join fixes f on a.order_id = f.order_id
 union all select order_id, cust_id, total, hashkey, add_date, delete_date, last_modified_date, is_active,
-  is_incremental, status, order_date from orders_tgt where is_active = 0""",
+  is_incremental, status, order_date from marked where is_active = 0 or is_active is null""",
 )
 def dedupe_patch(t: Tables):
     scripts = [
@@ -87,7 +88,8 @@ def dedupe_patch(t: Tables):
         },
         {"fix": "select order_id, 'E' as status, date '2000-01-01' as order_date from {orders} where status = 'F'"},
     ]
-    return dedupe.dedupe_patch(orders_tgt(t), "orders", scripts, ["order_id"])
+    unknown = F.when(F.col("total") < 60000, F.lit(None)).otherwise(F.col("is_active"))
+    return dedupe.dedupe_patch(orders_tgt(t).withColumn("is_active", unknown), "orders", scripts, ["order_id"])
 
 
 @query(
@@ -111,7 +113,7 @@ SPEC = ExtractSpec(
     alias="o",
     template=(
         "select <included_fields> from <extract_source_schema>.<table:$1> <table:$2> "
-        "left join <extract_lookup_schema>.<source:$1>.customer c on o.cust_id = c.c_custkey where o.add_date <= <add_date>"
+        "left join <extract_lookup_schema>.<source:$1>.customer c on o.cust_id = c.c_custkey\nWHERE\to.add_date <= <add_date>"
     ),
     fields=(
         ExtractField("status", "varchar", length="(1)", order=3),
@@ -119,6 +121,8 @@ SPEC = ExtractSpec(
         ExtractField("total", "decimal", length="(18,1)", order=2),
         ExtractField("c_name", sql="concat(c.c_mktsegment, ':', c.c_name)", new_name="member", order=4),
         ExtractField("order_date", "time", "order_month", format="yyyyMM", order=5),
+        ExtractField("kind", sql="case when 'varchar' = concat('var', 'char') then 'varchar' end", order=6),
+        ExtractField("short", sql="cast(o.status as varchar(20))", order=7),
     ),
     filter_full="o.status <> 'P'",
     filter_incremental="o.is_incremental = 1 and o.status = 'F'",
@@ -133,7 +137,7 @@ def _extract(t: Tables, load_type: str):
 
 EXTRACT_SQL = """with {cte}
 select order_id as ORDER_NO, cast(total as decimal(18,1)) as total, status, c_mktsegment || ':' || c_name as member,
-  strftime(order_date, '%Y%m') as order_month
+  strftime(order_date, '%Y%m') as order_month, 'varchar' as kind, status as short
 from orders_src o left join customer c on o.cust_id = c.c_custkey where total >= 20000 and {where}"""
 
 
@@ -150,7 +154,8 @@ def extract_incremental(t: Tables):
 @query(
     "data_dictionary",
     """select * from (values ('orders_out/', 'ORDER_NO', 'bigint'), ('orders_out/', 'total', 'decimal(18,1)'),
-  ('orders_out/', 'status', 'string'), ('orders_out/', 'member', 'string'), ('orders_out/', 'order_month', 'string'))
+  ('orders_out/', 'status', 'string'), ('orders_out/', 'member', 'string'), ('orders_out/', 'order_month', 'string'),
+  ('orders_out/', 'kind', 'string'), ('orders_out/', 'short', 'string'))
   v(folder, field_name, data_type)""",
 )
 def data_dictionary(t: Tables):
@@ -183,6 +188,33 @@ def file_control_table(t: Tables):
     return file_lines(t).withColumn("has_size", F.col("size_KB") > F.col("row_counts")).drop("size_KB")
 
 
+def partitioned_lines(t: Tables):
+    """File control lines of a table whose one writing task wrote a file into every partition."""
+    folder = sink.scratch_folder(t.spark)
+    sink.publish(t.orders.select("o_orderkey", "o_orderstatus"), folder, "o_orderstatus", files=1)
+    return extract.file_control(t.spark, folder, "orders", DAY)
+
+
+@query(
+    "file_control_partitioned",
+    f"""select 'orders/' as Path, 'o_orderstatus=' || o_orderstatus as folder, '{DAY}' as export_date,
+  count(*) as row_counts from orders group by o_orderstatus""",
+)
+def file_control_partitioned(t: Tables):
+    return partitioned_lines(t).select(
+        "Path", F.substring_index("file_name", "/", 1).alias("folder"), "export_date", "row_counts"
+    )
+
+
+@query(
+    "control_totals_partitioned",
+    f"""select 'orders/' as Path, count(*) as Row_Count, '{DAY}' as Export_Date,
+  count(distinct o_orderstatus) as File_Count from orders""",
+)
+def control_totals_partitioned(t: Tables):
+    return extract.control_totals(partitioned_lines(t))
+
+
 TOTALS_SQL = " union all ".join(
     f"select '{n}/' as Path, count(*) as Row_Count, '{DAY}' as Export_Date, cast(1 as bigint) as File_Count from {n}"
     for n in FILES

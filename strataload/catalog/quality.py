@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from strataload.catalog.frames import DEACT_CTE, deact_feed
@@ -9,6 +11,7 @@ from strataload.catalog.publishing import FILES, file_lines
 from strataload.catalog.registry import Tables, query
 from strataload.operators import quality
 from strataload.operators.quality import Case
+from strataload.sources import scan
 
 # control lines of a line-item feed: one per ship month, as counted by the sender
 CONTROL_CTE = """
@@ -39,35 +42,63 @@ def validate_total_rows(t: Tables):
     )
 
 
-def _file_control(t: Tables, extension: str = ".parquet", header: int = 0):
-    """What the sender of the table files would state; nothing about events."""
-    lines = file_lines(t).filter("file_name not like 'events%'")
-    name = F.regexp_replace("file_name", r"\.parquet$", extension)
-    return lines.select(
-        name.alias("file_name"), F.col("size_KB").alias("file_size"), (F.col("row_counts") + header).alias("row_count")
-    )
+EXTRA_ROW, EXTRA_BYTE, UNSTATED = "documents", "lineitem", "events"
 
 
-@query(
-    "validate_file_size_rows",
-    " union all ".join(
-        f"select '{n}.parquet' as file_name, {'count(*) < 0' if n == 'events' else 'count(*) >= 0'} as passed from {n}"
-        for n in FILES
-    ),
-)
+def _stated(t: Tables, extension: str, header: int):
+    """What the sender states: rows counted from the tables themselves and sizes taken from
+    the listing, one row too many for documents, one byte too many for lineitem, nothing for events."""
+    numbers = []
+    for name in FILES:
+        if name == UNSTATED:
+            continue
+        rows = F.count(F.lit(1)) + header + int(name == EXTRA_ROW)
+        size = F.sum("size") + int(name == EXTRA_BYTE)
+        file_name = F.lit(f"{name}{extension}").alias("file_name")
+        numbers.append(getattr(t, name).agg(rows.alias("row_count")).select(file_name, "row_count"))
+        numbers.append(scan.list_files(t.spark, t.path(name)).agg(size.alias("file_size")).select(file_name, "file_size"))
+    every = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), numbers)
+    return every.groupBy("file_name").agg(F.max("row_count").alias("row_count"), F.max("file_size").alias("file_size"))
+
+
+def _with_numbers(t: Tables, checked, stated, extension: str):
+    """The checks beside the counted and the stated rows."""
+    rows = file_lines(t).select("file_name", F.col("row_counts").alias("counted_rows"))
+    name = F.regexp_replace("file_name", f"\\Q{extension}\\E$", ".parquet").alias("file_name")
+    return checked.join(rows, "file_name").join(stated.select(name, F.col("row_count").alias("stated_rows")), "file_name", "left")
+
+
+def _checked_sql(header: int, sizes: bool, rows: bool) -> str:
+    """The same from counts of the tables; a wrong size fails by construction."""
+    lines = []
+    for n in FILES:
+        stated = "cast(null as bigint)" if n == UNSTATED else f"count(*) + {header + int(n == EXTRA_ROW)}"
+        right = "true" if not rows else f"coalesce(counted_rows + {header} = stated_rows, false)"
+        right += f" and '{n}' not in ('{EXTRA_BYTE}', '{UNSTATED}')" if sizes else ""
+        lines.append(
+            f"select file_name, {right} as passed, counted_rows, stated_rows from (select '{n}.parquet' as file_name, "
+            f"count(*) as counted_rows, {stated} as stated_rows from {n}) x"
+        )
+    return " union all ".join(lines)
+
+
+@query("validate_file_size_rows", _checked_sql(1, sizes=True, rows=True))
 def validate_file_size_rows(t: Tables):
-    return quality.check_files(file_lines(t), _file_control(t, header=1), header_line=True)
+    stated = _stated(t, ".parquet", 1)
+    return _with_numbers(t, quality.check_files(file_lines(t), stated, header_line=True), stated, ".parquet")
 
 
-@query(
-    "validate_file_rows",
-    " union all ".join(
-        f"select '{n}.parquet' as file_name, {'count(*) < 0' if n == 'events' else 'count(*) >= 0'} as passed from {n}"
-        for n in FILES
-    ),
-)
+@query("validate_file_rows", _checked_sql(0, sizes=False, rows=True))
 def validate_file_rows(t: Tables):
-    return quality.check_files(file_lines(t), _file_control(t, ".TXT"), size=False, rename=(".parquet", ".TXT"))
+    stated = _stated(t, ".TXT", 0)
+    checked = quality.check_files(file_lines(t), stated, size=False, rename=(".parquet", ".TXT"))
+    return _with_numbers(t, checked, stated, ".TXT")
+
+
+@query("validate_file_sizes", _checked_sql(0, sizes=True, rows=False))
+def validate_file_sizes(t: Tables):
+    stated = _stated(t, ".parquet", 0)
+    return _with_numbers(t, quality.check_files(file_lines(t), stated, rows=False), stated, ".parquet")
 
 
 @query(
@@ -184,6 +215,9 @@ CASES = [
     Case("tc08", "select max(quality) as a, max(toxic) as b from {labels}", "all_one", table="labels"),
     Case("tc09", "select avg(quality) as a from {labels}", "ignore", table="labels"),
     Case("tc10", "select min(o_orderpriority) as a from {orders}", "all_one", table="orders"),
+    Case("tc11", "select o_orderkey as a from {orders} where o_orderkey is null", "all_zero", table="orders"),
+    Case("tc12", "select quality * 0 as a from {labels}", "all_zero", table="labels"),
+    Case("tc13", "select 0 * quality as a from {labels} group by 1", "all_zero", table="labels"),
 ]
 
 RESULTS_SQL = """
@@ -203,7 +237,12 @@ union all select 'tc07', 'labels', 'all_one', 'Failed'
 union all select 'tc08', 'labels', 'all_one',
   case when max(quality) = 1 and max(toxic) = 1 then 'Pass' else 'Fail' end from labels
 union all select 'tc09', 'labels', 'ignore', 'Pass'
-union all select 'tc10', 'orders', 'all_one', case when count(*) > 0 then 'Failed' else 'Failed' end from orders"""
+union all select 'tc10', 'orders', 'all_one', 'Failed'
+union all select 'tc11', 'orders', 'all_zero',
+  case when count(*) filter (where o_orderkey is null) = 1 then 'Fail' else 'Failed' end from orders
+union all select 'tc12', 'labels', 'all_zero', case when count(*) = 1 then 'Pass' else 'Failed' end from labels
+union all select 'tc13', 'labels', 'all_zero', case when count(distinct 0 * quality) = 1 then 'Pass' else 'Failed' end
+  from labels"""
 
 
 def _suite(t: Tables):

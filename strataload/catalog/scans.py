@@ -82,7 +82,7 @@ def staging_all_string(t: Tables):
     rows = regions.join(t.customer, F.col("c_nationkey") == F.col("n_nationkey"))
     columns = ["r_regionkey", "r_name", "n_nationkey", "n_name", "c_custkey"]
     sink.export_parquet(rows.select(*columns), f"{folder}/one")
-    return scan.read_staging(t.spark, [f"{folder}/one", f"{folder}/book.xlsx"], kind="parquet")
+    return scan.read_staging(t.spark, [f"{folder}/one"], kind="parquet")
 
 
 @query(

@@ -20,11 +20,14 @@ from strataload.sources.scan import as_strings
     "typed_projection",
     """select o_orderkey as order_id, cast(o_orderdate as date) as order_date, o_orderdate as order_ts,
   cast(o_totalprice as decimal(18,2)) as total, o_orderstatus as status, try_cast(o_orderpriority as integer) as level,
-  cast(null as varchar) as nothing, try_cast(substr(o_orderpriority, 1, 1) as integer) as digit
+  cast(null as varchar) as nothing, try_cast(substr(o_orderpriority, 1, 1) as integer) as digit,
+  cast(o_orderdate as date) as real_date, cast(o_orderdate as date) as parsed_date,
+  cast(cast(o_orderdate as date) as timestamp) as real_ts
 from orders""",
 )
 def typed_projection(t: Tables):
     staged = as_strings(t.orders.withColumn("o_orderdate", F.date_format("o_orderdate", "MM/dd/yyyy hh:mm:ss a")))
+    staged = staged.withColumn("day", F.to_date("o_orderdate", "MM/dd/yyyy hh:mm:ss a"))
     rows = [
         MappingRow("order_id", "o", "o_orderkey", datatype="long"),
         MappingRow("order_date", "o", "o_orderdate", datatype="date"),
@@ -34,9 +37,12 @@ def typed_projection(t: Tables):
         MappingRow("level", "o", "o_orderpriority", datatype="integer"),
         MappingRow("nothing", "o"),
         MappingRow("digit", "o", sql="substr(o.o_orderpriority, 1, 1)", datatype="integer"),
+        MappingRow("real_date", "o", "day", datatype="date"),
+        MappingRow("parsed_date", "o", sql=f"to_date(o.o_orderdate, '{mapping.DEFAULT_FORMAT}')", datatype="date"),
+        MappingRow("real_ts", "o", sql="cast(o.day as timestamp)", datatype="timestamp"),
     ]
     out = mapping.apply_mapping({"o": staged}, rows)
-    return out.withColumn("order_ts", F.col("order_ts").cast("timestamp_ntz"))
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("order_ts", "real_ts")})
 
 
 @query(

@@ -29,12 +29,12 @@ def dedupe_patch(
     """Fix the active rows of a table by scripts over active tables.
 
     Every script is a chain of SQL steps; the results together are the fixes.
-    Inactive rows come back unchanged.  The table itself is not replaced.
+    All other rows, NULL in ``is_active`` included, come back unchanged.  The table itself is not replaced.
     """
     active = {n: active_rows(d) for n, d in {**(others or {}), name: table}.items()}
     fixes = union_bag([run_steps(active, steps) for steps in scripts])
     fixed = patch(active[name], fixes, keys)
-    inactive = table.filter(F.col("is_active") == 0)
+    inactive = table.filter(~F.col("is_active").eqNullSafe(1))
     return union_bag([fixed, inactive])
 
 

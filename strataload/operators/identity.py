@@ -161,5 +161,14 @@ def coalesce_update(base: DataFrame, views: Mapping[str, DataFrame], keys: Seque
 def id_map_update(
     id_map: DataFrame, views: Mapping[str, DataFrame], keys: Sequence[str], columns: Sequence[str], updated: Column
 ) -> DataFrame:
-    """Apply ordered rule views to the id map; repeats removed, re-stamped."""
-    return coalesce_update(id_map, views, keys, columns).distinct().withColumn("update_ts", updated)
+    """Apply ordered rule views to the id map, re-stamped.
+
+    The number of entries must not change: entries that become equal fail the job while
+    it runs, in the shuffle that would otherwise have removed them.
+    """
+    new = coalesce_update(id_map, views, keys, columns)
+    entry = [c for c in new.columns if c != "update_ts"]
+    counted = new.groupBy(F.struct(*entry).alias("_entry")).agg(F.count(F.lit(1)).alias("_n"))
+    one = F.assert_true(F.col("_n") == 1, F.lit("id map update: entries became equal, the row count would change"))
+    checked = counted.withColumn("_ok", one).filter(F.col("_ok").isNull())
+    return checked.select("_entry.*").withColumn("update_ts", updated)

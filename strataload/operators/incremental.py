@@ -82,17 +82,19 @@ def _matched(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     return found.withColumn("_hit", F.coalesce("_hit", F.lit(False)))
 
 
-def _history(marked_active: DataFrame, inactive: DataFrame, as_set: bool) -> DataFrame:
-    """Marked active rows and untouched inactive rows, repeats removed if wanted.
+def _history(marked_active: DataFrame, inactive: DataFrame, as_set: bool, distinct_active: bool = True) -> DataFrame:
+    """Marked active rows and untouched inactive rows.
 
-    The two parts differ in ``is_active``, so each can be made distinct alone;
-    after a join on the key the distinct of the active part needs no exchange.
+    Strategies with set semantics make the active rows distinct, which after a join on
+    the key needs no exchange; what they close is therefore distinct, so history stays a
+    set from load to load and is not shuffled.  ``as_set`` repairs a history that holds
+    repeats from elsewhere, at the price of a shuffle of all of it.
     """
     old = inactive.withColumn(MARK, F.lit(False))
     marked = marked_active.select(*old.columns)
-    if as_set:
-        marked, old = marked.distinct(), old.distinct()
-    return marked.unionByName(old)
+    if distinct_active:
+        marked = marked.distinct()
+    return marked.unionByName(old.distinct() if as_set else old)
 
 
 def _target(src: DataFrame, tgt: DataFrame, on_dropped: str) -> DataFrame:
@@ -147,7 +149,7 @@ def _load_by_presence(
     active = _active(tgt)
     marked = _matched(active, key_set(src, on), on).withColumn(MARK, ~F.col("_hit")).drop("_hit")
     fresh = src.join(key_set(active, on), list(on), "left_anti").select(*src.columns)
-    return Buckets(fresh, _history(marked, _inactive(tgt), as_set=False), audit, **flags)
+    return Buckets(fresh, _history(marked, _inactive(tgt), as_set=False, distinct_active=False), audit, **flags)
 
 
 def load_checksum_all(src: DataFrame, tgt: DataFrame | None, *, audit: AuditSpec, on_dropped: str = "error") -> Buckets:
@@ -177,7 +179,7 @@ def load_by_key(
     keys: Sequence[str],
     audit: AuditSpec,
     on_dropped: str = "error",
-    history_as_set: bool = True,
+    history_as_set: bool = False,
 ) -> Buckets:
     """Active target rows whose key comes again are closed, even if identical."""
     if tgt is None:
@@ -198,7 +200,7 @@ def load_deact_key(
     target_keys: Sequence[str],
     audit: AuditSpec,
     on_dropped: str = "error",
-    history_as_set: bool = True,
+    history_as_set: bool = False,
 ) -> Buckets:
     """A feed of keys deactivates target rows (keys compared without case).
 
@@ -264,7 +266,7 @@ def load_multi_key_date(
     date_col: str,
     audit: AuditSpec,
     on_dropped: str = "error",
-    history_as_set: bool = True,
+    history_as_set: bool = False,
 ) -> Buckets:
     """Alternative keys with a date rule.
 
@@ -299,7 +301,7 @@ def load_key_date(
     date_col: str,
     audit: AuditSpec,
     on_dropped: str = "error",
-    history_as_set: bool = True,
+    history_as_set: bool = False,
 ) -> Buckets:
     """As the alternative-key load, with one (composite) key."""
     return load_multi_key_date(
@@ -359,6 +361,12 @@ LOADS: dict[str, Callable[..., Buckets]] = {
 LOAD_MODES = ("active", "incremental", "full")
 
 
+def unplanned_rows(src: DataFrame, column: str, plans: Mapping[str, object]) -> DataFrame:
+    """Source rows whose value of ``column`` has no load plan."""
+    known = [v.strip().lower() for v in plans]
+    return src.filter(~F.coalesce(F.lower(F.trim(F.col(column).cast("string"))).isin(known), F.lit(False)))
+
+
 def load_partitioned(
     src: DataFrame,
     tgt: DataFrame | None,
@@ -370,8 +378,12 @@ def load_partitioned(
     """A strategy of its own for every configured value of ``column``.
 
     ``plans`` maps the value to (strategy name, its arguments).  Target rows of
-    other values stay as they are; source rows of other values are not loaded.
+    other values stay as they are.  Source rows of other values, NULL included, are an
+    error: give them a plan or take them out first (:func:`unplanned_rows`).
     """
+    rest = unplanned_rows(src, column, plans).select(column).limit(1).collect()
+    if rest:
+        raise ValueError(f"source rows without a load plan, e.g. {column} = {rest[0][0]!r}")
     parts = []
     for value, (name, args) in plans.items():
         here = F.lower(F.trim(F.col(column).cast("string"))) == value.strip().lower()
@@ -394,7 +406,13 @@ def load(
     allowed_modes: Sequence[str] = LOAD_MODES,
     **args,
 ) -> DataFrame:
-    """Entry point by mode: ``full`` replaces the target, the others load into it."""
+    """Entry point by mode: ``full`` replaces the target, the others load into it.
+
+    An absent or empty source is refused: with most strategies it would close or replace
+    the whole target.
+    """
+    if src is None or src.isEmpty():
+        raise ValueError(f"no source rows: {strategy} load refused, the target stays as it is")
     if mode not in allowed_modes or mode not in LOAD_MODES:
         raise ValueError(f"load mode {mode!r} not allowed here; expected one of {tuple(allowed_modes)}")
     if mode == "full" or tgt is None:

@@ -139,29 +139,34 @@ def contains_lookup(
     lengths = _lengths(texts.filter("_part"), F.length("_piece"))
     distinct = names.select(F.col(name).cast("string").alias("_name")).filter(F.col("_name").isNotNull()).distinct()
     whole = rules.filter(~F.col("_part")).select(F.col("_piece").alias("_name"), "_best")
-    hits = distinct.join(whole, "_name")
+    hits = distinct.join(whole, "_name").select(F.md5("_name").alias("_key"), "_best")
     parts = rules.filter("_part").select("_piece", "_best")
     sizes = [n for n in lengths if n]
     if sizes:
-        low, at = F.col("_low"), F.col("_at")
+        low = F.col("_low")
         shortest = sizes[0]
-        # positions where a pattern can start, by the shortest length; then the real pieces
-        starts = (
-            distinct.withColumn("_low", F.lower("_name"))
-            .filter(F.length("_low") >= shortest)
-            .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_low") - (shortest - 1))))
-            .withColumn("_start", F.substr(low, at, F.lit(shortest)))
-        )
+        # distinct pieces of the shortest length that start a pattern; only a digest of the
+        # name goes with them, so the work is linear in the length of the name
+        lows = distinct.select(F.md5("_name").alias("_key"), F.lower("_name").alias("_low"))
+        places = F.sequence(F.lit(1), F.length(low) - (shortest - 1))
+        starts = lows.filter(F.length(low) >= shortest).select("_key", F.posexplode(F.transform(places, lambda i: F.substr(low, i, F.lit(shortest)))).alias("_at", "_start"))
         heads = parts.filter(F.length("_piece") > 0).select(F.substring("_piece", 1, shortest).alias("_start"))
         found = starts.join(key_set(heads, ["_start"]), "_start", "left_semi")
-        pieces = [F.when(F.length(low) >= at + (n - 1), F.substr(low, at, F.lit(n))) for n in sizes]
-        cut = found.select("_name", F.explode(F.array_compact(F.array(*pieces))).alias("_piece"))
-        hits = hits.unionByName(cut.join(parts, "_piece").select("_name", "_best"))
-    if 0 in lengths:
-        empty = distinct.withColumn("_piece", F.lit(""))
-        hits = hits.unionByName(empty.join(parts, "_piece").select("_name", "_best"))
-    hits = hits.groupBy("_name").agg(F.min("_best").alias("_best"))
-    return hits.select(F.col("_name").alias(name), "_best._row.*")
+        if len(sizes) == 1:
+            cut = found.select("_key", F.col("_start").alias("_piece")).distinct()
+        else:
+            # the longer pieces of a name are cut once, from all its places together
+            spots = found.groupBy("_key").agg(F.collect_list("_at").alias("_spots"))
+            pieces = F.flatten(F.transform("_spots", lambda i: F.array(*[F.when(F.length(low) >= i + n, F.substr(low, i + 1, F.lit(n))) for n in sizes])))
+            cut = lows.join(spots, "_key").select("_key", F.explode(F.array_distinct(F.array_compact(pieces))).alias("_piece"))
+        hits = hits.unionByName(cut.join(parts, "_piece").select("_key", "_best"))
+    if 0 in lengths:  # the empty text is in every name: one row, as a scalar
+        best_empty = parts.filter("_piece = ''").select("_best").scalar()
+        hits = hits.unionByName(distinct.select(F.md5("_name").alias("_key"), best_empty.alias("_best")))
+    hits = hits.groupBy("_key").agg(F.min("_best").alias("_best"))
+    named = distinct.withColumn("_key", F.md5("_name")).join(hits, "_key")
+    return named.select(F.col("_name").alias(name), "_best._row.*")
+
 
 
 def assign_from_lookups(

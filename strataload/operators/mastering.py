@@ -71,13 +71,13 @@ def with_masters(
 
 
 def source_list(
-    df: DataFrame, keys: Sequence[str], source_col: str, out: str = "data_source_id_list", repeats: bool = False
+    df: DataFrame, keys: Sequence[str], source_col: str, out: str = "data_source_id_list", repeats: bool = True
 ) -> DataFrame:
     """Every row with the sorted, comma-joined sources of its key.
 
-    Sources are first reduced to one row per key and source, so the list of a
-    hot key is no longer than the number of sources.  ``repeats`` names a source
-    once per row of the key instead.
+    A source is named once per distinct row of the key; ``repeats=False`` names it once.
+    Rows are first reduced to one per key and source with a count, so a hot key travels
+    as no more rows than there are sources.
     """
     rows = df.distinct()
     name = F.col(source_col).cast("string")

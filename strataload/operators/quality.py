@@ -216,14 +216,17 @@ def _outcome(values: Column, width: int, expected: str) -> Column:
 
 def _case_frame(spark: SparkSession, case: Case, tables: Mapping[str, DataFrame]) -> DataFrame:
     used = {k: v for k, v in tables.items() if f"{{{k}}}" in case.sql}
-    row = spark.sql(case.sql, **used).limit(1)
-    texts = F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("None")) for c in row.columns])
-    return row.select(texts.alias("_values")).select(
+    rows = spark.sql(case.sql, **used)
+    texts = F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("None")) for c in rows.columns])
+    # one line for every case: no row and several rows are no answer
+    seen = rows.select(texts.alias("_values")).agg(F.count(F.lit(1)).alias("_rows"), F.min("_values").alias("_values"))
+    one = F.col("_rows") == 1
+    return seen.select(
         F.lit(case.id).alias("testcase_id"),
         F.lit(case.table).alias("table_name"),
         F.lit(case.expected).alias("expected"),
-        F.array_join("_values", "|").alias("result"),
-        _outcome(F.col("_values"), len(row.columns), case.expected).alias("status"),
+        F.when(one, F.array_join("_values", "|")).alias("result"),
+        F.when(one, _outcome(F.col("_values"), len(rows.columns), case.expected)).otherwise("Failed").alias("status"),
     )
 
 
@@ -240,7 +243,7 @@ def _settled(spark: SparkSession, case: Case, status: str) -> DataFrame:
 def run_expectations(
     spark: SparkSession, cases: Sequence[Case], tables: Mapping[str, DataFrame], isolate: bool = False
 ) -> DataFrame:
-    """One line per case: Pass, Fail, Pending (no SQL) or Failed (SQL error).
+    """One line per case: Pass, Fail, Pending (no SQL) or Failed (SQL error, or not exactly one row).
 
     All cases form one plan.  ``isolate`` runs each case as its own job first, so
     that one failing while it runs becomes a line instead of failing the suite.

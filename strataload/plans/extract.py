@@ -69,9 +69,17 @@ def project(df: DataFrame, fields: Sequence[ExtractField], alias: str) -> DataFr
     return df.alias(alias).selectExpr(*field_texts(fields, alias))
 
 
+_WHERE = re.compile(r"\bwhere\b", re.I)
+_OUTER = re.compile(r"'(?:[^'\\]|\\.)*'|\([^()]*\)")  # literals and innermost brackets
 _TABLE = re.compile(r"<extract_(?:source|lookup)_schema>\.(?:<layer:\$\d+>\.)?(?:<source:\$(\d+)>\.)?(\w+)")
 
 
+def _as_text(df: DataFrame) -> DataFrame:
+    """Columns of a length-limited type as plain text; their values stay."""
+    limited = [f.name for f in df.schema.fields if f.dataType.typeName() in ("varchar", "char")]
+    return df.withColumns({c: F.col(f"`{c}`").cast("string") for c in limited}) if limited else df
+
+
 def build_extract(
     spark: SparkSession, spec: ExtractSpec, tables: Mapping[str, DataFrame], load_type: str, add_date: str = ""
 ) -> DataFrame:
@@ -85,7 +93,7 @@ def build_extract(
     extra = (spec.filter_full if load_type == "full" else spec.filter_incremental).strip()
     text = spec.template
     if extra:
-        text += (" and " if " where " in text else " where ") + extra
+        text += (" and " if _WHERE.search(_OUTER.sub(" ", text)) else " where ") + extra
     text = text.replace("<table:$1>", spec.table).replace("<table:$2>", spec.alias)
     used: dict[str, DataFrame] = {}
 
@@ -97,8 +105,8 @@ def build_extract(
 
     text = _TABLE.sub(placeholder, text)
     text = text.replace("<included_fields>", ", ".join(field_texts(spec.fields, spec.alias)))
-    text = text.replace("<add_date>", f"'{add_date}'").replace("varchar", "string")
-    return spark.sql(text, **used)
+    text = text.replace("<add_date>", f"'{add_date}'")
+    return _as_text(spark.sql(text, **used))
 
 
 # --- control tables ------------------------------------------------------------
@@ -109,10 +117,22 @@ def _read(spark: SparkSession, path: str, kind: str, sep: str) -> DataFrame:
     return spark.read.parquet(path) if kind == "parquet" else read_delimited(spark, path, sep=sep)
 
 
+def _plain_path(path: Column) -> Column:
+    """Without the scheme's slashes, which listing and scan write differently."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
 def _data_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files with their path (``_file``) and the part of it below ``path``, else their name."""
     files = list_files(spark, path)
     name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("file_name"), "size").filter(~name.startswith("_") & ~name.startswith("."))
+    base = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", path).rstrip("/") + "/"
+    at = F.instr("path", base)
+    below = F.when(at > 0, F.expr("substring(path, _at)")).otherwise(name)
+    found = files.withColumn("_at", at + len(base)).select(
+        _plain_path(F.col("path")).alias("_file"), below.alias("file_name"), name.alias("_name"), "size"
+    )
+    return found.filter(~F.col("_name").startswith("_") & ~F.col("_name").startswith(".")).drop("_name")
 
 
 def file_control(
@@ -121,11 +141,14 @@ def file_control(
     """One line per file: size in bytes and rows, in one pass over all files.
 
     Row counts come from the scan's file metadata; files without rows come from
-    the listing.
+    the listing.  Files are told apart by their full path, since one task writes the
+    same name into every partition folder; ``file_name`` is the path below the table.
     """
     scan = _read(spark, path, kind, sep)
-    counts = scan.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
-    files = _data_files(spark, path).join(counts, "file_name", "left")
+    # the scan gives an encoded URI, the listing a path
+    read = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    counts = scan.groupBy(_plain_path(read).alias("_file")).agg(F.count(F.lit(1)).alias("rows"))
+    files = _data_files(spark, path).join(counts, "_file", "left")
     return files.select(
         F.lit(f"{table}/").alias("Path"),
         "file_name",

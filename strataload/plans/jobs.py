@@ -26,6 +26,7 @@ from strataload.plans.mapping import (
 from strataload.plans.rules import Rule, RuleClass, apply_rules
 from strataload.schema import config_constants, snake_columns, standard_names
 from strataload.sources.scan import read_parquet, read_scope, read_staging, select_feed_files
+from strataload.session import durable
 from strataload.sources.sink import publish
 
 
@@ -144,12 +145,15 @@ def integrate_table(
     """Tables in scope, untyped mapping, lookups and common ids, hash, load.
 
     A lookup is (table, (column, key), output, name, filter); an id is
-    (table, {column: key}, output, name).
+    (table, {column: key}, output, name).  In a full load these tables come with their
+    latest row per key, so several versions of a key do not multiply rows.
     """
+    keys_of = {table: [on[1]] for table, on, *_ in lookups} | {table: list(on.values()) for table, on, *_ in ids}
 
     def scoped(name: str) -> DataFrame:
         role = "master" if name in masters else "driving" if name == driving else "other"
-        return read_scope(tables[name], mode, role)
+        keys = keys_of.get(name, ()) if "add_date" in tables[name].columns else ()
+        return read_scope(tables[name], mode, role, keys, ties=sorted(set(tables[name].columns) - {"add_date"}))
 
     inputs = {name: scoped(name) for name in tables}
     df = apply_all_rules(inputs, rows, mode, typed=False)
@@ -167,6 +171,25 @@ def integrate_table(
     return load_table(spark, stamped, target, mode, audit)
 
 
+def build_masters(
+    df: DataFrame,
+    masters: Mapping[str, Sequence[str]],
+    keys: Sequence[str],
+    source_col: str,
+    views: Mapping[str, Callable[[DataFrame], Mapping[str, DataFrame]]],
+    update_columns: Sequence[str],
+) -> DataFrame:
+    """Create and complete each master in turn; later masters see the rows of earlier ones.
+
+    A master refers to its input several times, so the plan is cut after each: it grows
+    with the number of masters and does not double with each.
+    """
+    for master, children in masters.items():
+        updates = views[master](df) if master in views else {}
+        df = durable(mastering.with_masters(df, master, children, keys, source_col, updates, keys, update_columns))
+    return df
+
+
 def master_table(
     spark: SparkSession,
     frames: Sequence[DataFrame],
@@ -185,10 +208,7 @@ def master_table(
     ``views`` gives, per master, a function from the combined rows to its ordered
     update views.  Later masters see the rows of earlier ones.
     """
-    df = mastering.combine_sources(frames)
-    for master, children in masters.items():
-        updates = views[master](df) if master in views else {}
-        df = mastering.with_masters(df, master, children, keys, source_col, updates, keys, update_columns)
+    df = build_masters(mastering.combine_sources(frames), masters, keys, source_col, views, update_columns)
     df = mastering.source_list(df, keys, source_col)
     df = mastering.source_flags(df, flags, masters, source_col)
     final = mastering.master_final(df, list(masters), source_col, audit)

@@ -18,6 +18,7 @@ from strataload.schema import config_constants, union_bag
 
 # Default date pattern and default order of unordered rules.
 DEFAULT_FORMAT = "MM/dd/yyyy hh:mm:ss a"
+_DATES = ("date", "timestamp", "timestamp_ntz")
 LAST = 9999
 JOIN_KINDS = {
     "join": "inner",
@@ -48,8 +49,6 @@ class MappingRow:
     full_load_join: str = ""
     scd: str = ""
     standard_name: str = ""
-    src_name: str = ""
-    lookup: str = ""
     rule_order: int = LAST
     rule_set: int = LAST
 
@@ -109,14 +108,19 @@ def _text(row: MappingRow) -> str:
 
 
 def typed_column(row: MappingRow) -> Column:
-    """Expression cast to the mapped type; text that does not parse gives NULL."""
+    """Expression cast to the mapped type; text that does not parse gives NULL.
+
+    Values that are dates or timestamps already are not parsed again.
+    """
     value = F.expr(_text(row))
     kind = row.datatype.strip().lower()
     pattern = row.format.strip() or DEFAULT_FORMAT
     if kind == "date":
-        out = F.try_to_date(value.cast("string"), pattern)
+        text = F.try_to_date(value.cast("string"), pattern)
+        out = F.when(F.typeof(value).isin(*_DATES), value.try_cast("date")).otherwise(text)
     elif kind == "timestamp":
-        out = F.try_to_timestamp(value.cast("string"), F.lit(pattern))
+        text = F.try_to_timestamp(value.cast("string"), F.lit(pattern))
+        out = F.when(F.typeof(value).isin(*_DATES), value.try_cast("timestamp")).otherwise(text)
     elif kind in ("", "null") or "varchar" in kind:
         out = value.cast("string")
     else:

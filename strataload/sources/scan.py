@@ -115,10 +115,13 @@ def read_staging(
     quote: str = '"',
     header: bool = True,
 ) -> DataFrame:
-    """A list of feed files as one scan, all columns strings; workbooks skipped."""
-    usable = [f for f in files if not f.lower().endswith(".xlsx")]
+    """A list of feed files as one scan, all columns strings; a workbook in it is an error."""
+    usable = list(files)
+    workbooks = [f for f in usable if f.lower().endswith((".xlsx", ".xls"))]
+    if workbooks:
+        raise ValueError(f"workbooks cannot be read as a feed: {workbooks}")
     if not usable:
-        raise ValueError("no readable feed file in the list")
+        raise ValueError("no feed file in the list")
     if kind == "parquet":
         return as_strings(spark.read.option("mergeSchema", "true").parquet(*usable))
     return read_delimited(spark, usable, sep=sep, quote=quote, header=header)
@@ -200,7 +203,7 @@ def required_missing(manifest: DataFrame, listing: DataFrame, path: str = "path"
 
 
 def check_required(manifest: DataFrame, listing: DataFrame, path: str = "path") -> None:
-    """Raise when a required dataset is missing; names at most a few of them."""
-    missing = [r[0] for r in required_missing(manifest, listing, path).select(path).limit(5).collect()]
+    """Raise when required datasets are missing, naming all of them (a manifest is configuration)."""
+    missing = sorted(r[0] for r in required_missing(manifest, listing, path).select(path).collect())
     if missing:
-        raise FileNotFoundError(f"required inputs missing, among them {missing}")
+        raise FileNotFoundError(f"{len(missing)} required inputs missing: {missing}")

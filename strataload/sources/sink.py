@@ -8,7 +8,6 @@ value first: AQE sizes the files and splits a hot value over several tasks.
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Sequence
 
@@ -122,19 +121,15 @@ def export_snapshot(
     columns: dict[str, str],
     snapshot_column: str,
     snapshot: object,
-    rows_per_file: int = 20_000_000,
-) -> int:
-    """Delimited export of one snapshot; no rows is an error.
+    files: int = 1,
+) -> None:
+    """Delimited export of one snapshot into ``files`` files; no rows is an error.
 
-    A snapshot of up to ``rows_per_file`` rows is exactly one file; a larger one
-    is split evenly, so that no single task has to write all of it.
+    One file is what the receiver is promised by default; it is written by one task.
     """
     rows = table.filter(F.col(snapshot_column) == F.lit(snapshot)).select(
         *[F.col(c).alias(name) for c, name in columns.items()]
     )
-    count = rows.count()
-    if count == 0:
+    if rows.isEmpty():
         raise ValueError(f"no rows to export for {snapshot_column} = {snapshot}")
-    files = math.ceil(count / rows_per_file)
     rows.repartition(files).write.mode("overwrite").csv(path, header=True)
-    return files

@@ -245,6 +245,10 @@ def test_partitioned_load_leaves_other_partitions(spark):
     src = frame(spark, [row(1, "a", alt="x"), row(2, "b", alt="y"), row(3, "c", alt="z")])
     tgt_rows = [row(1, "a0", alt="x"), row(2, "b0", alt="y"), row(4, "w", alt="w"), row(5, "v")]
     plans = {"X": ("checksum_all", {}), "y": ("append", {})}
+    with pytest.raises(ValueError, match="without a load plan"):
+        inc.load_partitioned(src, frame(spark, tgt_rows), column="alt", plans=plans, audit=AUDIT)
+    assert inc.unplanned_rows(src, "alt", plans).count() == 1
+    src = src.filter("alt <> 'z'")
     out = inc.load_partitioned(src, frame(spark, tgt_rows), column="alt", plans=plans, audit=AUDIT)
     want = [close(tgt_rows[0], 1), row(1, "a", alt="x"), tgt_rows[1], row(2, "b", alt="y"), tgt_rows[2], tgt_rows[3]]
     assert rows_of(out) == Counter(want)

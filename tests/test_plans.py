@@ -6,13 +6,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
+from strataload import catalog
 from strataload.audit import AuditSpec
 from strataload.operators import identity, incremental, lookup, mastering, recode
 from strataload.sources import scan, sink
 
 AUDIT = AuditSpec(dt.date(2024, 2, 1), dt.datetime(2024, 2, 1))
-QUERIES = driver.queries()
+QUERIES = catalog.queries()
 # these end in a global aggregate (one partial row per task) or read one row
 ONE_ROW = {
     "count_check", "validate_total_rows", "validate_deact_feed", "validation_gate", "validation_log",

@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as driver
+from strataload import catalog
 from tools.compare import bag
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
