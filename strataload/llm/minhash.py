@@ -265,19 +265,21 @@ def _apart(members: DataFrame, sketches: DataFrame, spec: NearDupSpec) -> DataFr
 
     Buckets are cut into blocks, and blocks of one bucket meet each other: every pair is
     looked at, by array arithmetic on sketches, but only those that may be linked become
-    rows.
+    rows, and in the first bucket that they share only.
     """
-    fields = ("id", "n", "own", "label", "sketch")
+    fields = ("id", "n", "own", "label", "sketch", "bands")
     rows = members.withColumn("block", F.floor(F.col("place") / _BLOCK)).join(sketches, "id")
-    blocks = settle(rows.groupBy("key", "block").agg(F.collect_list(F.struct(*fields)).alias("rows")))
+    blocks = rows.groupBy("key", "band", "block").agg(F.collect_list(F.struct(*fields)).alias("rows"))
+    blocks = settle(blocks)
     left = blocks.select("key", F.col("block").alias("block_a"), F.col("rows").alias("rows_a"))
-    met = blocks.join(left, "key").filter("block_a <= block").select("rows_a", "rows")
+    met = blocks.join(left, "key").filter("block_a <= block").select("band", "rows_a", "rows")
     least, percent = spec.least_matches, spec.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 x, y = (_columns(batch.column(c)[i].values) for c in ("rows_a", "rows"))
+                band = batch.column("band")[i].as_py()
                 rest_x, rest_y = (x["n"] - x["own"])[:, None], (y["n"] - y["own"])[None]
                 union = x["own"][:, None] + y["own"][None] + np.maximum(rest_x, rest_y)
                 may = np.minimum(rest_x, rest_y) * 100 >= union * percent
@@ -286,6 +288,9 @@ def _apart(members: DataFrame, sketches: DataFrame, spec: NearDupSpec) -> DataFr
                 for k in range(0, len(a), 65536):
                     p, q = a[k : k + 65536], b[k : k + 65536]
                     same = (x["sketch"][p] == y["sketch"][q]).sum(axis=1) >= least
+                    p, q = p[same], q[same]
+                    # a pair that shares an earlier bucket is found there
+                    same = ~(x["bands"][p, :band] == y["bands"][q, :band]).any(axis=1)
                     ids = x["id"][p[same]], y["id"][q[same]]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.minimum(*ids)), pa.array(np.maximum(*ids))], names=["a", "b"]
@@ -297,7 +302,8 @@ def _apart(members: DataFrame, sketches: DataFrame, spec: NearDupSpec) -> DataFr
 def _columns(rows: pa.StructArray) -> dict[str, np.ndarray]:
     out = {c: rows.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "n", "own", "label")}
     sketches = b"".join(rows.field("sketch").to_pylist())
-    return out | {"sketch": np.frombuffer(sketches, np.uint8).reshape(len(rows), -1)}
+    bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), -1)
+    return out | {"sketch": np.frombuffer(sketches, np.uint8).reshape(len(rows), -1), "bands": bands}
 
 
 def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataFrame:
@@ -310,14 +316,20 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     )
     leaders = classes.select(F.col("id").alias("doc_id"), *digest)
     leading = nodes.join(leaders, ["doc_id", *digest], "left_semi")
-    sketches = leading.groupBy(F.col("doc_id").alias("id")).agg(F.first("sketch").alias("sketch"))
+    # bands tell in which bucket a pair meets first; rows of one id with several sets have none
+    none = F.transform(F.sequence(F.lit(1), F.lit(spec.bands)), lambda i: F.xxhash64(F.lit("none"), "id", i))
+    sketches = (
+        leading.groupBy(F.col("doc_id").alias("id"))
+        .agg(F.first("sketch").alias("sketch"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("sets"))
+        .select("id", "sketch", F.when(F.col("sets") == 1, F.col("bands")).otherwise(none).alias("bands"))
+    )
 
     # rows of one doc_id with different sets join their classes
     several = nodes.groupBy("doc_id").agg(F.min("set_a").alias("x"), F.max("set_a").alias("y")).filter("x <> y")
     again = nodes.join(several.select("doc_id"), "doc_id").join(classes.select("id", *digest), digest)
     same_id = again.filter("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
 
-    members = leading.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    members = leading.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
     buckets = join_side(members, ["key"], F.min("id").alias("first"), F.max("id").alias("other"))
     buckets = buckets.filter("first < other").drop("other")
     members = settle(members.join(buckets, "key"))
@@ -354,7 +366,7 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
         apart = join_side(known, ["key"], F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
         return known.join(apart.select("key"), "key")
 
-    open_members = settle(labelled(members.select("key", "id", "n").distinct()).drop("label"))
+    open_members = settle(labelled(members.select("key", "band", "id", "n").distinct()).drop("label"))
     if not open_members.isEmpty():
         own = _own_shingles(sets(open_members.select("id").distinct()))
         central = Window.partitionBy("key").orderBy("own", "n", "id")
