@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -52,6 +52,9 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(-1)).cast("int")
 
 
+_LOTS = 64
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, with underscores added until no column of ``df`` has them."""
     used = {c.lower() for c in df.columns}
@@ -67,12 +70,16 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def sample_ids(rows: DataFrame, per: Sequence[str], limit: int, seed: str) -> DataFrame:
     """At most ``limit`` rows for each value of ``per``, chosen by a hash of doc_id.
 
-    The same rows on every run; the cut happens before the shuffle as well as after it.
+    The same rows on every run.  Each value is cut in lots first, so the last task gets
+    ``_LOTS`` times ``limit`` rows of it at most, however many tasks read the table.
     """
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(*per).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
-    return rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= limit).drop("_rank")
+    mixed = F.xxhash64(F.lit(seed), "doc_id")
+    lot, rank = fresh(rows, "lot", "rank")
+    for keys in ([*per, lot], list(per)):
+        order = Window.partitionBy(*keys).orderBy(mixed, "doc_id")
+        rows = rows.withColumn(lot, F.pmod(mixed, F.lit(_LOTS)))
+        rows = rows.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) <= limit).drop(rank, lot)
+    return rows
 
 
 class WordHashes(dict):
