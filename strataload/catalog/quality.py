@@ -48,17 +48,20 @@ EXTRA_ROW, EXTRA_BYTE, UNSTATED = "documents", "lineitem", "events"
 def _stated(t: Tables, extension: str, header: int):
     """What the sender states: rows counted from the tables themselves and sizes taken from
     the listing, one row too many for documents, one byte too many for lineitem, nothing for events."""
-    numbers = []
+    parts = []
     for name in FILES:
         if name == UNSTATED:
             continue
-        rows = F.count(F.lit(1)) + header + int(name == EXTRA_ROW)
-        size = F.sum("size") + int(name == EXTRA_BYTE)
         file_name = F.lit(f"{name}{extension}").alias("file_name")
-        numbers.append(getattr(t, name).agg(rows.alias("row_count")).select(file_name, "row_count"))
-        numbers.append(scan.list_files(t.spark, t.path(name)).agg(size.alias("file_size")).select(file_name, "file_size"))
-    every = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), numbers)
-    return every.groupBy("file_name").agg(F.max("row_count").alias("row_count"), F.max("file_size").alias("file_size"))
+        parts.append(getattr(t, name).select(file_name, F.lit(1).alias("row")))
+        parts.append(scan.list_files(t.spark, t.path(name)).select(file_name, "size"))
+    every = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    extra_row = F.col("file_name").startswith(f"{EXTRA_ROW}.").cast("int")
+    extra_byte = F.col("file_name").startswith(f"{EXTRA_BYTE}.").cast("int")
+    sums = every.groupBy("file_name").agg(F.count("row").alias("rows"), F.sum("size").alias("bytes"))
+    return sums.select(
+        "file_name", (F.col("rows") + header + extra_row).alias("row_count"), (F.col("bytes") + extra_byte).alias("file_size")
+    )
 
 
 def _with_numbers(t: Tables, checked, stated, extension: str):

@@ -94,9 +94,9 @@ def test_waterfall_is_the_loop(spark, seed):
 def test_source_list_with_and_without_repeats(spark):
     rows = [(1, "b", 1), (1, "a", 1), (1, "a", 2), (1, "a", 2), (2, None, 1), (2, "z", 1)]
     df = spark.createDataFrame(rows, "k int, s string, v int")
-    plain = {(r["k"], r["s"], r["v"]): r["l"] for r in mastering.source_list(df, ["k"], "s", "l").collect()}
+    plain = {(r["k"], r["s"], r["v"]): r["l"] for r in mastering.source_list(df, ["k"], "s", "l", repeats=False).collect()}
     assert plain[(1, "a", 2)] == "a,b" and plain[(2, None, 1)] == "z" and len(plain) == 5
-    repeated = {(r["k"], r["s"], r["v"]): r["l"] for r in mastering.source_list(df, ["k"], "s", "l", repeats=True).collect()}
+    repeated = {(r["k"], r["s"], r["v"]): r["l"] for r in mastering.source_list(df, ["k"], "s", "l").collect()}
     assert repeated[(1, "b", 1)] == "a,a,b"
 
 
