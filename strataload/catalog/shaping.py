@@ -455,6 +455,40 @@ def deid_rules(t: Tables):
     return rules.apply_rules(base, steps, {"reg": lookup.select("c_custkey", "r_name")}, "o")
 
 
+@query(
+    "cleanse_rules",
+    """select c_custkey, concat(substr(c_name, 1, 1), '-retail') as c_name, c_nationkey, c_mktsegment, n.n_name as nation,
+  s.label as segment_label
+from customer c left join (select n_nationkey, n_name from nation where n_regionkey < 3) n on c.c_nationkey = n.n_nationkey
+left join (select substr(r_name, 1, 1) as start, min(r_name) as label from region group by 1) s
+  on starts_with(c.c_mktsegment, s.start)""",
+)
+def cleanse_rules(t: Tables):
+    """Class text, lookup filter and columns, a wildcard lookup and a source list at work."""
+    classes = [
+        rules.RuleClass("mask", "concat(substr(<alias:$1>.<element_name:$1>, 1, 1), '-any')"),
+        rules.RuleClass("mask", "concat(substr(<alias:$1>.<element_name:$1>, 1, 1), '-retail')", source="retail"),
+        rules.RuleClass(
+            "nation", "<alias:$1>.c_nationkey = <alias:$2>.n_nationkey", lookup_arg="filter:n_regionkey < 3;columns:n_nationkey,n_name"
+        ),
+    ]
+    steps = [
+        rules.Rule("element", "c_name", rule_class="mask", source="wholesale, retail"),
+        rules.Rule("element", "c_mktsegment", "'lost'", source="wholesale"),
+        rules.Rule("lookup", rule_class="nation", lookup="nations", alias="nat", order=1),
+        rules.Rule("element", "nation", "nat.n_name", order=1),
+        rules.Rule(
+            "lookup", "c_mktsegment", "customer.c_mktsegment = seg.start", lookup="starts", alias="seg",
+            lookup_arg="pattern:start", order=2,
+        ),
+        rules.Rule("element", "segment_label", "seg.label", order=2),
+    ]
+    start = F.concat(F.substring("r_name", 1, 1), F.lit("*")).alias("start")
+    lookups = {"nations": t.nation, "starts": t.region.groupBy(start).agg(F.min("r_name").alias("label"))}
+    base = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return rules.apply_rules(base, steps, lookups, "customer", classes, source="retail")
+
+
 @query(
     "rule_template",
     """select c_custkey, concat(substr(c_name, 1, 1), '***') as c_name, n.n_name as c_nationkey,

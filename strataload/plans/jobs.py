@@ -118,11 +118,12 @@ def cleanse_table(
     distinct: bool = False,
     names: Mapping[str, str] | None = None,
     keys: Sequence[str] = (),
+    source: str = "",
 ) -> DataFrame:
     """Rules over the rows in scope; without rules the rows pass through."""
     rows = read_scope(table, mode, "driving", keys)
     if rules:
-        rows = apply_rules(rows, rules, lookups, name, classes, mode, distinct, names)
+        rows = apply_rules(rows, rules, lookups, name, classes, mode, distinct, names, source)
     elif names:
         rows = standard_names(rows, names)
     publish(rows, target.path, target.partition_by)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataload.audit import AUDIT_COLUMNS
+from strataload.operators.lookup import prefix_lookup
 from strataload.plans.mapping import LAST
 from strataload.schema import reorder, standard_names
 from strataload.sources.scan import active_rows, latest_per_key
@@ -36,7 +37,14 @@ class RuleClass:
 @dataclass(frozen=True)
 class Rule:
     """``element`` gives a column, ``lookup`` a left join, ``custom`` a function
-    on the whole frame (a recode)."""
+    on the whole frame (a recode).
+
+    ``source`` is a comma list of the sources that the rule is for, blank for all.
+    ``lookup`` names the table to join (blank: the one called like ``alias``) and
+    ``lookup_arg`` prepares it, ``k:v;k:v`` with the keys ``filter`` (SQL), ``columns``
+    and ``keys`` (comma lists), ``pattern`` (its column of ``*`` patterns, matched
+    against the rule's column) and ``sep`` (the rule's column is a list).
+    """
 
     kind: str
     column: str = ""
@@ -59,10 +67,29 @@ def split_args(text: str) -> dict[str, str]:
     return {k.strip(): v.strip() for k, v in pairs}
 
 
+LOOKUP_ARGS = ("filter", "columns", "keys", "pattern", "sep")
+
+
+def _sources(rule: Rule) -> list[str]:
+    return [s.strip() for s in rule.source.split(",") if s.strip()]
+
+
+def for_source(rules: Sequence[Rule], source: str) -> list[Rule]:
+    """The rules of one source: those for all sources and those that list it.
+
+    A rule for several sources comes back as a rule for this one, so that it takes the
+    class of this source.
+    """
+    if not source:
+        return list(rules)
+    mine = [r for r in rules if not _sources(r) or source in _sources(r)]
+    return [replace(r, source=source) for r in mine]
+
+
 def _class_of(rule: Rule, classes: Sequence[RuleClass]) -> RuleClass | None:
-    """The class for the rule's source, else the generic one."""
+    """The class for one of the rule's sources, else the generic one."""
     named = {c.source: c for c in classes if c.name == rule.rule_class}
-    found = named.get(rule.source) or named.get("")
+    found = next((named[s] for s in _sources(rule) if s in named), None) or named.get("")
     if rule.rule_class and found is None:
         raise KeyError(f"rule class {rule.rule_class!r} is not defined")
     return found
@@ -109,10 +136,11 @@ def prepared_lookup(
     """Scope, filter and narrow a lookup before it is joined.
 
     A full load reads the latest row per key, active rows or everything
-    (``date_based`` keeps the validity columns); other loads read active rows.
+    (``date_based`` keeps the validity columns); other loads read active rows.  A
+    table without ``is_active`` has no history and is read as it is.
     """
     kind = join_type.strip().lower()
-    if mode != "full" or kind == "active":
+    if "is_active" in table.columns and (mode != "full" or kind == "active"):
         out = active_rows(table)
     elif kind == "latest_record":
         out = latest_per_key(table, keys)
@@ -132,6 +160,20 @@ def _join_text(rule: Rule, table: str, mode: str) -> str:
     return rule.sql
 
 
+def rule_lookup(df: DataFrame, rule: Rule, lookups: Mapping[str, DataFrame], mode: str) -> DataFrame:
+    """The right side of a lookup rule: scoped, filtered, narrowed, patterns resolved."""
+    args = split_args(rule.lookup_arg)
+    unknown = set(args) - set(LOOKUP_ARGS)
+    if unknown:
+        raise ValueError(f"unknown lookup arguments {sorted(unknown)} of rule {rule.alias!r}")
+    lists = {k: [c.strip() for c in args.get(k, "").split(",") if c.strip()] for k in ("columns", "keys")}
+    table = lookups[rule.lookup or rule.alias]
+    side = prepared_lookup(table, mode, rule.full_load_join, lists["keys"], args.get("filter", ""), lists["columns"])
+    if "pattern" in args:
+        side = prefix_lookup(df, rule.column, side, args["pattern"], args.get("sep"))
+    return side
+
+
 def _step(df: DataFrame, rules: Sequence[Rule], lookups: Mapping[str, DataFrame], table: str, mode: str) -> DataFrame:
     for rule in rules:
         if rule.kind == "custom":
@@ -139,7 +181,8 @@ def _step(df: DataFrame, rules: Sequence[Rule], lookups: Mapping[str, DataFrame]
     out = df.alias(table)
     for rule in rules:
         if rule.kind == "lookup":
-            out = out.join(lookups[rule.alias].alias(rule.alias), F.expr(_join_text(rule, table, mode)), "left")
+            side = rule_lookup(df, rule, lookups, mode)
+            out = out.join(side.alias(rule.alias), F.expr(_join_text(rule, table, mode)), "left")
     new = {r.column.lower(): F.expr(r.sql).alias(r.column.lower()) for r in rules if r.kind == "element"}
     if not new:
         return df
@@ -156,10 +199,14 @@ def apply_rules(
     mode: str = "active",
     distinct: bool = False,
     names: Mapping[str, str] | None = None,
+    source: str = "",
 ) -> DataFrame:
-    """All rule steps of a table; ``names`` renames to standard names at the end."""
+    """All rule steps of a table; ``names`` renames to standard names at the end.
+
+    With ``source`` only the rules for that source are applied.
+    """
     steps: dict[tuple[int, int], list[Rule]] = {}
-    for rule in sorted(rules, key=lambda r: (r.order, r.set)):
+    for rule in sorted(for_source(rules, source), key=lambda r: (r.order, r.set)):
         if rule.kind not in RULE_KINDS:
             raise ValueError(f"unknown rule kind {rule.kind!r}")
         steps.setdefault((rule.order, rule.set), []).append(expand(rule, classes, table))
