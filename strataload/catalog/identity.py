@@ -9,6 +9,7 @@ from strataload.catalog.registry import Tables, query
 from strataload.operators import identity, lookup, mastering, quality
 from strataload.plans import jobs, mapping
 from strataload.plans.mapping import MappingRow
+from strataload.sources import sink
 
 STAMP = "2024-02-01 00:00:00"
 
@@ -96,6 +97,27 @@ def id_map_update(t: Tables):
     return identity.id_map_update(known, views, ["member"], ["segment", "label"], F.lit(STAMP))
 
 
+@query(
+    "job_id_map",
+    f"""with one as (select distinct cast(c_custkey as varchar) as member from customer where c_acctbal < 5000),
+first as (select member, dense_rank() over (order by member) as id from one),
+late as (select distinct cast(c_custkey as varchar) as member from customer
+         where cast(c_custkey as varchar) not in (select member from one)),
+both_ as (select member, id, 'day1' as insert_ts from first union all
+  select member, (select count(*) from first) + dense_rank() over (order by member), 'day2' from late)
+select b.member, b.id, b.insert_ts, 'day2' as update_ts from both_ b""",
+)
+def job_id_map(t: Tables):
+    """Two days: the first makes the map, the second adds members and keeps every number."""
+    path = sink.scratch_folder(t.spark)
+    member = F.col("c_custkey").cast("string").alias("member")
+    poor, every = t.customer.filter("c_acctbal < 5000").select(member), t.customer.select(member)
+    jobs.id_map_table(t.spark, [poor], ["member"], "id", path, "day1")
+    no_change = every.distinct().withColumn("id", F.lit(None).cast("long"))
+    updates = [({"none": no_change}, ["member"], ["id"])]
+    return jobs.id_map_table(t.spark, [every, poor], ["member"], "id", path, "day2", updates)
+
+
 @query(
     "dense_surrogate_ids",
     """select event_id, event_type, user_id, 100 + dense_rank() over (order by event_type, user_id) as pair_id from events""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strataload.catalog.frames import ORDERS_CTE, orders_src, orders_tgt
 from strataload.catalog.registry import Tables, query
 from strataload.operators import dedupe
-from strataload.plans import extract
+from strataload.plans import extract, jobs
 from strataload.plans.extract import ExtractField, ExtractSpec
 from strataload.sources import scan, sink
 
@@ -151,6 +151,49 @@ def extract_incremental(t: Tables):
     return _extract(t, "incremental")
 
 
+@query(
+    "job_extract",
+    EXTRACT_SQL.format(cte=ORDERS_CTE, where="status <> 'P'")
+    .replace("with ", "with rows_ as (with ", 1)
+    + f""") select 'orders/' as Path, count(*) as Row_Count, '{DAY}' as Export_Date, cast(2 as bigint) as File_Count,
+  7 as columns from rows_""",
+)
+def job_extract(t: Tables):
+    flagged = orders_src(t).withColumn("EXCLUDE_PER_DID", F.when(F.col("total") < 20000, 1))
+    tables = {"orders": flagged, "crm_customer": t.customer}
+    out = jobs.deliver_extract(t.spark, SPEC, tables, "full", sink.scratch_folder(t.spark), DAY, sep="|", files=2)
+    return out.totals.withColumn("columns", F.lit(len(out.rows.columns)))
+
+
+@query(
+    "job_snapshot",
+    """select o_custkey as cust_id, o_orderstatus as status, count(*) as n,
+  case when o_orderstatus = 'O' then 'second' else 'first' end as run from orders group by 1, 2""",
+)
+def job_snapshot(t: Tables):
+    """Two runs: the second has rows for one partition only and leaves the others."""
+    folder = sink.scratch_folder(t.spark)
+    rows = orders_src(t)
+    count = "select cust_id, status, count(*) as n from {orders} group by cust_id, status"
+    for run, inputs in (("first", rows), ("second", rows.filter("status = 'O'"))):
+        steps = {"counts": count, "mark": {"run": run}}
+        out = jobs.snapshot_table(t.spark, {"orders": inputs}, steps, ["counts"], folder, "status")
+    return out
+
+
+@query(
+    "job_dedupe",
+    f"""with {ORDERS_CTE}, act as (select * from orders_tgt where is_active = 1)
+select a.order_id, a.is_active, case when a.status = 'X' then 'D' end as status from act a
+union all select order_id, is_active, status from orders_tgt where is_active = 0""",
+)
+def job_dedupe(t: Tables):
+    scripts = [{"fix": "select order_id, 'D' as status from {orders} where status = 'X'"}]
+    folder = sink.scratch_folder(t.spark)
+    out = jobs.dedupe_table(t.spark, orders_tgt(t), "orders", scripts, ["order_id"], folder, partition_by="is_active")
+    return out.select("order_id", "is_active", "status")
+
+
 @query(
     "data_dictionary",
     """select * from (values ('orders_out/', 'ORDER_NO', 'bigint'), ('orders_out/', 'total', 'decimal(18,1)'),

@@ -10,11 +10,15 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strataload.audit import AuditSpec, hash_columns, row_hash, stamp
 from strataload.operators import incremental, mastering
+from strataload.operators.dedupe import dedupe_patch, snapshot_steps
+from strataload.operators.identity import all_ids, id_map_insert, id_map_update
 from strataload.operators.lookup import assign_from_lookups, filtered_lookup
 from strataload.operators.quality import run_validations
+from strataload.plans.extract import ExtractSpec, build_extract, control_totals, data_dictionary, file_control
 from strataload.plans.mapping import (
     MappingRow,
     apply_all_rules,
@@ -25,9 +29,9 @@ from strataload.plans.mapping import (
 )
 from strataload.plans.rules import Rule, RuleClass, apply_rules
 from strataload.schema import config_constants, snake_columns, standard_names
-from strataload.sources.scan import read_parquet, read_scope, read_staging, select_feed_files
 from strataload.session import durable
-from strataload.sources.sink import publish
+from strataload.sources.scan import read_delimited, read_parquet, read_scope, read_staging, select_feed_files
+from strataload.sources.sink import export_delimited, export_parquet, publish
 
 
 @dataclass(frozen=True)
@@ -216,6 +220,101 @@ def master_table(
     return load_table(spark, final, target, mode, audit)
 
 
+def dedupe_table(
+    spark: SparkSession,
+    table: DataFrame,
+    name: str,
+    scripts: Sequence[Mapping[str, str]],
+    keys: Sequence[str],
+    folder: str,
+    others: Mapping[str, DataFrame] | None = None,
+    prefix: str = "dedup_",
+    partition_by: str | Sequence[str] = (),
+) -> DataFrame:
+    """Post-load fixes, published beside the table under a prefixed name; the table stays."""
+    path = f"{folder.rstrip('/')}/{prefix}{name}"
+    publish(dedupe_patch(table, name, scripts, keys, others), path, partition_by)
+    return spark.read.parquet(path)
+
+
+def snapshot_table(
+    spark: SparkSession,
+    inputs: Mapping[str, DataFrame],
+    steps: Mapping[str, str | Mapping[str, object]],
+    outputs: Sequence[str],
+    path: str,
+    partition_by: str | Sequence[str],
+) -> DataFrame:
+    """Snapshot steps into a table by partition.
+
+    The first run writes the table; later runs replace the partitions that they have
+    rows for and leave the others.
+    """
+    known = read_parquet(spark, path) is not None
+    publish(snapshot_steps(inputs, steps, outputs), path, partition_by, mode="dynamic" if known else "swap")
+    return spark.read.parquet(path)
+
+
+@dataclass(frozen=True)
+class Delivery:
+    """An extract that was written, and what goes with it."""
+
+    rows: DataFrame
+    files: DataFrame
+    totals: DataFrame
+    dictionary: DataFrame
+
+
+def deliver_extract(
+    spark: SparkSession,
+    spec: ExtractSpec,
+    tables: Mapping[str, DataFrame],
+    load_type: str,
+    folder: str,
+    export_date: str,
+    sep: str | None = None,
+    files: int | None = None,
+) -> Delivery:
+    """Run an extract, write it once, and describe the files that were written.
+
+    ``sep`` makes it a delimited gzip extract, otherwise it is parquet.  The control
+    tables read what was written, not the extract again.
+    """
+    path = f"{folder.rstrip('/')}/{spec.table}"
+    rows = build_extract(spark, spec, tables, load_type, export_date)
+    if sep is None:
+        export_parquet(rows, path, files)
+        written, kind = spark.read.parquet(path), "parquet"
+    else:
+        export_delimited(rows, path, sep, files)
+        written, kind = read_delimited(spark, path, sep=sep), "delimited"
+    lines = file_control(spark, path, spec.table, export_date, kind, sep or ",")
+    return Delivery(written, lines, control_totals(lines), data_dictionary(rows, spec.table))
+
+
+def id_map_table(
+    spark: SparkSession,
+    ids: Sequence[DataFrame],
+    keys: Sequence[str],
+    id_col: str,
+    path: str,
+    stamp_text: str,
+    updates: Sequence[tuple[Mapping[str, DataFrame], Sequence[str], Sequence[str]]] = (),
+    seed: int = 0,
+) -> DataFrame:
+    """Insert unseen ids into the id map at ``path``, apply ordered updates, publish.
+
+    The map may not exist yet.  An update is (views, keys, columns); one that would
+    change the number of entries fails the job before anything is published.
+    """
+    stamped = F.lit(stamp_text)
+    out = id_map_insert(read_parquet(spark, path), all_ids(ids), keys, id_col, stamped, seed)
+    for views, on, columns in updates:
+        out = id_map_update(out, views, on, columns, stamped)
+    publish(out, path)
+    return spark.read.parquet(path)
+
+
 def mapped_keys(rows: Sequence[MappingRow]) -> dict[str, list[str]]:
     """Key argument of the key-based strategies, from the mapping's primary rows."""
     return {"keys": primary_keys(rows)}
