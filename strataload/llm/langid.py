@@ -156,7 +156,9 @@ def fit(docs: DataFrame, spec: LanguageSpec = LanguageSpec()) -> LanguageModel:
     """Learn from the rows of ``docs`` with text and lang."""
     named = docs.filter("lang is not null and text is not null and doc_id is not null")
     wanted = sample_ids(named.select("doc_id", "lang"), ["lang"], spec.per_language, "language")
-    sample = settle(named.select("doc_id", "lang", "text").join(wanted.distinct(), ["doc_id", "lang"], "left_semi"))
+    # written first: Spark knows the size of the ids and need not move texts to meet a few of them
+    wanted = settle(wanted.distinct())
+    sample = settle(named.select("doc_id", "lang", "text").join(wanted, ["doc_id", "lang"], "left_semi"))
     bits, clusters = spec.bits, spec.clusters
 
     def presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
