@@ -156,7 +156,8 @@ def _sketches_agree(pairs: DataFrame, spec: NearDupSpec) -> DataFrame:
                     np.frombuffer(b"".join(batch[c]), np.uint8).reshape(len(batch), spec.size)
                     for c in ("sketch_a", "sketch_b")
                 )
-                yield batch.loc[(a == b).sum(axis=1) >= least, ["a", "b"]]
+                agree = ((a == b).sum(axis=1) >= least) | batch.several_a | batch.several_b
+                yield batch.loc[agree, ["a", "b"]]
 
     return pairs.mapInPandas(run, "a long, b long")
 
@@ -203,8 +204,8 @@ def _linked(candidates: DataFrame, sketches: DataFrame | None, sets, spec: NearD
     """The verified pairs of ``candidates`` (a, b); without ``sketches`` these have been compared."""
     if sketches is None:
         return _on_sets(settle(candidates.distinct()), sets, spec)
-    left = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"))
-    right = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"))
+    left = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"), F.col("several").alias("several_a"))
+    right = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"), F.col("several").alias("several_b"))
     return _on_sets(settle(_sketches_agree(candidates.join(left, "a").join(right, "b"), spec)), sets, spec)
 
 
@@ -220,11 +221,6 @@ def _on_sets(likely: DataFrame, sets, spec: NearDupSpec) -> DataFrame:
     )
 
 
-def _length_fits(spec: NearDupSpec, x: str, y: str):
-    """Sets whose sizes differ more than this cannot reach the similarity."""
-    return (F.col(x) * 100 >= F.col(y) * spec.percent) & (F.col(y) * 100 >= F.col(x) * spec.percent)
-
-
 def _own_shingles(known: DataFrame) -> DataFrame:
     """(id, own): how many shingles of a set are in no other set of ``known``.
 
@@ -267,7 +263,7 @@ def _apart(members: DataFrame, sketches: DataFrame, spec: NearDupSpec) -> DataFr
     looked at, by array arithmetic on sketches, but only those that may be linked become
     rows, and in the first bucket that they share only.
     """
-    fields = ("id", "n", "own", "label", "sketch", "bands")
+    fields = ("id", "n", "own", "label", "sketch", "bands", "several")
     rows = members.withColumn("block", F.floor(F.col("place") / _BLOCK)).join(sketches, "id")
     blocks = rows.groupBy("key", "band", "block").agg(F.collect_list(F.struct(*fields)).alias("rows"))
     blocks = settle(blocks)
@@ -288,6 +284,7 @@ def _apart(members: DataFrame, sketches: DataFrame, spec: NearDupSpec) -> DataFr
                 for k in range(0, len(a), 65536):
                     p, q = a[k : k + 65536], b[k : k + 65536]
                     same = (x["sketch"][p] == y["sketch"][q]).sum(axis=1) >= least
+                    same |= x["several"][p] | y["several"][q]
                     p, q = p[same], q[same]
                     # a pair that shares an earlier bucket is found there
                     same = ~(x["bands"][p, :band] == y["bands"][q, :band]).any(axis=1)
@@ -302,6 +299,7 @@ def _apart(members: DataFrame, sketches: DataFrame, spec: NearDupSpec) -> DataFr
 def _columns(rows: pa.StructArray) -> dict[str, np.ndarray]:
     out = {c: rows.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "n", "own", "label")}
     sketches = b"".join(rows.field("sketch").to_pylist())
+    out["several"] = rows.field("several").to_numpy(zero_copy_only=False).astype(bool)
     bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), -1)
     return out | {"sketch": np.frombuffer(sketches, np.uint8).reshape(len(rows), -1), "bands": bands}
 
@@ -316,13 +314,18 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     )
     leaders = classes.select(F.col("id").alias("doc_id"), *digest)
     leading = nodes.join(leaders, ["doc_id", *digest], "left_semi")
-    # bands tell in which bucket a pair meets first; rows of one id with several sets have none
+    # bands tell in which bucket a pair meets first; for an id with several sets neither they
+    # nor the sketch of one of them say anything
     none = F.transform(F.sequence(F.lit(1), F.lit(spec.bands)), lambda i: F.xxhash64(F.lit("none"), "id", i))
     sketches = (
         leading.groupBy(F.col("doc_id").alias("id"))
         .agg(F.first("sketch").alias("sketch"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("sets"))
-        .select("id", "sketch", F.when(F.col("sets") == 1, F.col("bands")).otherwise(none).alias("bands"))
+        .select(
+            "id", "sketch", F.when(F.col("sets") == 1, F.col("bands")).otherwise(none).alias("bands"),
+            (F.col("sets") > 1).alias("several"),
+        )
     )
+    sketches = settle(sketches)  # met several times below
 
     # rows of one doc_id with different sets join their classes
     several = nodes.groupBy("doc_id").agg(F.min("set_a").alias("x"), F.max("set_a").alias("y")).filter("x <> y")
@@ -346,9 +349,7 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
                 cache["sets"] = cache["sets"].unionAll(settle(_sets_of(docs, more, spec)))
         return cache["sets"]
 
-    first = members.filter("id > first").select(F.col("first").alias("a"), F.col("id").alias("b"), "n")
-    n_of_first = classes.select(F.col("id").alias("a"), F.col("n").alias("n_a"))
-    candidates = first.distinct().join(n_of_first, "a").filter(_length_fits(spec, "n", "n_a")).select("a", "b").distinct()
+    candidates = members.filter("id > first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     edges = settle(same_id.unionAll(_linked(candidates, sketches, sets, spec)))
     stars = components(edges)
 

@@ -41,6 +41,19 @@ def test_one_id_with_two_texts_joins_their_groups(spark):
     assert {r["component_id"] for r in rows(minhash.near_duplicates(df))} == {1}
 
 
+def test_one_id_with_two_texts_loses_no_link(spark):
+    words = [f"w{i}" for i in range(120)]
+    other = [f"v{i}" for i in range(120)]
+    near = [*other[:119], "x"]
+    data = [(3, " ".join(words)), (3, " ".join(other)), (8, " ".join(near)), (9, " ".join([*words[:119], "y"]))]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in rows_of(df)} == {3: 3, 8: 3, 9: 3}
+
+
+def rows_of(df):
+    return rows(minhash.near_duplicates(df))
+
+
 def test_mix(odd, odd_rows, empty, spark):
     found = rows(mixing.mix(odd))
     assert len(found) == len(odd_rows)
