@@ -6,11 +6,10 @@ documents, one of the whole corpus.  A document's score is the mean over its n-g
 log p_target - log p_raw, so length does not matter, and every document is kept or not
 by the same threshold.
 
-The target is a bounded sample of the trusted documents; the corpus counts are sums over
-all documents, combined on the map side into one row per
-bucket; the table of log ratios has a fixed number of buckets and reaches the texts as
-one value, a scalar subquery.  A text never leaves its row: words, windows and sums are
-array functions.
+Both counts are sums over all documents of their kind, combined on the map side into one
+row per bucket.  To learn which documents are trusted, the texts are shuffled once by
+doc_id, at every size.  The table of log ratios has a fixed number of buckets and reaches
+the texts as one value, a scalar subquery; words, windows and sums are array functions.
 
 Defined cases: a NULL or wordless text has 0 in every count and fails the base rules
 (score NULL); a line of white space is no line with a word; a doc_id that is NULL is not
@@ -30,12 +29,8 @@ from strataload.llm.common import WORD, settle
 
 @dataclass(frozen=True)
 class RuleSpec:
-    """``buckets`` of the hash; a bucket starts as if ``prior`` target n-grams agreed with the corpus.
+    """``buckets`` of the hash; a bucket starts as if ``prior`` target n-grams agreed with the corpus."""
 
-    The target is at most ``target_docs`` trusted documents, chosen by a hash of doc_id.
-    """
-
-    target_docs: int = 20_000
     buckets: int = 1 << 15
     prior: float = 1.0
     least: float = -0.1
@@ -67,9 +62,10 @@ def log_ratios(docs: DataFrame, target_ids: DataFrame, spec: RuleSpec = RuleSpec
     ``target_ids``: doc_id of the trusted documents.
     """
     trusted = target_ids.select(F.col("doc_id").alias("_trusted")).dropna().distinct()
-    chosen = trusted.orderBy(F.xxhash64(F.lit("target"), "_trusted"), "_trusted").limit(spec.target_docs)
-    # target_docs ids at most, so the broadcast is bounded and texts stay where they are
-    marked = docs.select("doc_id", "text").join(F.broadcast(settle(chosen)), F.col("doc_id") == F.col("_trusted"), "left")
+    # the ids are the hashed side, so texts are shuffled but not sorted; read from files, the
+    # ids have their shuffle right below the join, and AQE can split a partition of texts
+    ids = settle(trusted).hint("shuffle_hash")
+    marked = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_trusted"), "left")
     grams = marked.select(
         F.col("_trusted").isNotNull().cast("long").alias("in_target"),
         F.explode(F.expr(_grams("coalesce(text, '')", spec))).alias("bucket"),
