@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strataload.llm.common import prepare, settle
 from strataload.llm.decontaminate import without_leaks
 from strataload.llm.langid import known_language
-from strataload.llm.minhash import keep_one
+from strataload.llm.minhash import NearDupSpec, keep_one
 from strataload.llm.mixing import mixed_documents
 from strataload.llm.pii import private_text
 
@@ -22,10 +22,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return known_language(docs)
 
 
+# At a similarity of 0.8 a pair meets in no band with probability 7e-6.
+NEAR = NearDupSpec(percent=80, bands=30, rows=5)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates."""
+    """Keeps one document of each group of near duplicates: five words, similarity of 0.8 or more."""
     prepare(spark)
-    return keep_one(docs)
+    return keep_one(docs, NEAR)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
