@@ -8,6 +8,9 @@ permutation can be undone.  Separators, letter case and mail domains stay.
 
 Kinds, in the order in which overlapping finds are decided: mail address, IBAN, key or
 token, payment card (Luhn), social security number, IP address, date, phone number.
+A card or IBAN that is followed by more groups (expiry date, CVV, currency) is the longest
+run of groups that validates.  Where a pseudonym would make a longer run valid, it is the
+next one of the permutation, so that it can be undone there too.
 
 Defined cases: a NULL text stays NULL with 0 finds, an empty one stays empty; NULL ids
 do not matter; repeated rows are handled alike; an empty table gives an empty result;
@@ -74,7 +77,13 @@ class Feistel:
 _DIGITS, _LOWER, _UPPER, _HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 
 
-def _recode(net: Feistel, text: str, name: str, undo: bool, hexadecimal: bool = False) -> str:
+def _anything(new: str) -> bool:
+    return True
+
+
+def _recode(
+    net: Feistel, text: str, name: str, undo: bool, hexadecimal: bool = False, fits: Callable[[str], bool] = _anything
+) -> str:
     """Digits, lower and upper case letters permuted together, each within its class."""
     folded = text.lower() if hexadecimal else text
     alphabets = [
@@ -87,14 +96,17 @@ def _recode(net: Feistel, text: str, name: str, undo: bool, hexadecimal: bool =
     if n == 1:
         return text
     shape = "".join(str(len(a)) if a else "." for a in alphabets)
-    value = net.permute(value, n, f"{name}:{shape}", undo=undo)
-    out = []
-    for c, original, alphabet in zip(reversed(folded), reversed(text), reversed(alphabets)):
-        if alphabet:
-            value, at = divmod(value, len(alphabet))
-            c = alphabet[at].upper() if hexadecimal and original.isupper() else alphabet[at]
-        out.append(c)
-    return "".join(reversed(out))
+
+    def spelled(value: int) -> str:
+        out = []
+        for c, original, alphabet in zip(reversed(folded), reversed(text), reversed(alphabets)):
+            if alphabet:
+                value, at = divmod(value, len(alphabet))
+                c = alphabet[at].upper() if hexadecimal and original.isupper() else alphabet[at]
+            out.append(c)
+        return "".join(reversed(out))
+
+    return spelled(net.permute(value, n, f"{name}:{shape}", lambda v: fits(spelled(v)), undo))
 
 
 def _refill(shape: str, digits: str) -> str:
@@ -126,14 +138,22 @@ def _iban_check(country: str, body: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
-def _iban(net: Feistel, found: re.Match, undo: bool) -> str | None:
-    plain = found.group().replace(" ", "")
-    country, check, body = plain[:2], plain[2:4], plain[4:]
-    if _iban_check(country, body) != check:
+def _iban_valid(found: str) -> bool:
+    plain = found.replace(" ", "")
+    return _iban_check(plain[:2], plain[4:]) == plain[2:4]
+
+
+def _iban(net: Feistel, found: re.Match, undo: bool, fits: Callable[[str], bool] = _anything) -> str | None:
+    if not _iban_valid(found.group()):
         return None
-    body = _recode(net, body, f"iban{country}", undo)
-    rest = iter(country + _iban_check(country, body) + body)
-    return "".join(c if c == " " else next(rest) for c in found.group())
+    plain = found.group().replace(" ", "")
+    country = plain[:2]
+
+    def written(body: str) -> str:
+        rest = iter(country + _iban_check(country, body) + body)
+        return "".join(c if c == " " else next(rest) for c in found.group())
+
+    return written(_recode(net, plain[4:], f"iban{country}", undo, fits=lambda body: fits(written(body))))
 
 
 def _secret(net: Feistel, found: re.Match, undo: bool) -> str | None:
@@ -142,13 +162,22 @@ def _secret(net: Feistel, found: re.Match, undo: bool) -> str | None:
     return prefix + _recode(net, value, "secret", undo, hexadecimal=plain)
 
 
-def _card(net: Feistel, found: re.Match, undo: bool) -> str | None:
-    digits = _only_digits(found.group())
-    if luhn_digit(digits[:-1]) != digits[-1]:
+def _card_valid(found: str) -> bool:
+    digits = _only_digits(found)
+    return luhn_digit(digits[:-1]) == digits[-1]
+
+
+def _card(net: Feistel, found: re.Match, undo: bool, fits: Callable[[str], bool] = _anything) -> str | None:
+    if not _card_valid(found.group()):
         return None
+    digits = _only_digits(found.group())
     size = len(digits) - 1
-    body = f"{net.permute(int(digits[:-1]), 10**size, f'card{size}', undo=undo):0{size}d}"
-    return _refill(found.group(), body + luhn_digit(body))
+
+    def written(value: int) -> str:
+        body = f"{value:0{size}d}"
+        return _refill(found.group(), body + luhn_digit(body))
+
+    return written(net.permute(int(digits[:-1]), 10**size, f"card{size}", lambda v: fits(written(v)), undo))
 
 
 def _ssn_valid(value: int) -> bool:
@@ -259,6 +288,40 @@ _KINDS: list[tuple[str, re.Pattern, str, Callable]] = [
     ),
 ]
 _ANY_DIGIT = re.compile("[0-9]")
+# kinds whose pattern can run on into the groups behind a value
+_GROUPED = {"iban": _iban_valid, "card": _card_valid}
+_RUNS_ON = re.compile("[/.:][0-9]")  # the last group is the start of a date, an amount or a time
+
+
+def _ends(pattern: re.Pattern, text: str, found: re.Match) -> list[re.Match]:
+    """The match and those from its start to the ends of its earlier groups: longest first, ends that run on last."""
+    start, end = found.span()
+    ends = [at for at in range(end, start, -1) if at == end or text[at] in " -"]
+    ends.sort(key=lambda at: _RUNS_ON.match(text, at) is not None)
+    return [shorter for at in ends if (shorter := pattern.fullmatch(text, start, at))]
+
+
+def _grouped(kind: str, pattern: re.Pattern, text: str, taken: list, pseudonym: Callable, net: Feistel, undo: bool) -> None:
+    """Adds to ``taken`` the longest valid match of each start; a start without one is passed by."""
+    valid = _GROUPED[kind]
+    at, failed = 0, []  # spans that were looked at since the last find
+    while found := pattern.search(text, at):
+        at = found.start() + 1
+        for tried in _ends(pattern, text, found):
+            start, end = tried.span()
+            if any(s < end and start < e for s, e, _, _ in taken):
+                continue
+            near = [(s, e) for s, e in failed if e > start]
+
+            def fits(new: str) -> bool:
+                return not any(valid((text[s:start] + new + text[end : max(end, e)])[: e - s]) for s, e in near)
+
+            new = pseudonym(net, tried, undo, fits)
+            if new is not None:
+                taken.append((start, end, kind, new))
+                at, failed = end, []
+                break
+            failed.append((start, end))
 
 
 def pseudonymise(text: str | None, net: Feistel, undo: bool = False) -> tuple[str | None, list[tuple[int, int, str]]]:
@@ -270,6 +333,9 @@ def pseudonymise(text: str | None, net: Feistel, undo: bool = False) -> tuple[st
     for kind, pattern, need, pseudonym in _KINDS:
         if (need == "0-9" and not digit) or (need == "@" and "@" not in text) or (need == "=:" and not ("=" in text or ":" in text)):
             continue
+        if kind in _GROUPED:
+            _grouped(kind, pattern, text, taken, pseudonym, net, undo)
+            continue
         for found in pattern.finditer(text):
             start, end = found.span()
             if any(s < end and start < e for s, e, _, _ in taken):
