@@ -58,6 +58,7 @@ class HtmlSpec:
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template iframe xmp".split())
 _SILENT = frozenset("head script style noscript template iframe title textarea select option svg canvas object audio video button input".split())
+_HEAD_CONTENT = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
 _BLOCK = frozenset(
     "html body main article section div header footer nav aside p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead "
     "tbody tfoot tr td th caption blockquote pre figure figcaption form fieldset address details summary hgroup "
@@ -82,6 +83,11 @@ class Node:
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.S)
 
 
+def _body_of(here: Node, text: str) -> Node:
+    """Where ``text`` belongs: one that is not blank ends an open head, whose end tag is optional."""
+    return here.parent if here.tag == "head" and text.strip() else here
+
+
 def parse(page: str) -> Node:
     """The element tree of a page."""
     root = Node("html", "", None)
@@ -91,9 +97,10 @@ def parse(page: str) -> Node:
         found = find(page, at)
         if found is None:
             if at < len(page):
-                here.children.append(page[at:])
+                _body_of(here, page[at:]).children.append(page[at:])
             return root
         if found.start() > at:
+            here = _body_of(here, page[at : found.start()])
             here.children.append(page[at : found.start()])
         at = found.end()
         name = found.group(2)
@@ -110,6 +117,8 @@ def parse(page: str) -> Node:
         if name == "html":
             root.attributes += found.group(3)
             continue
+        if here.tag == "head" and name not in _HEAD_CONTENT:
+            here = here.parent
         if name in _ENDS_P or name in _SAME_ENDS:
             ends = {"p"} if name in _ENDS_P else set(_SAME_ENDS[name].split())
             stops = set(_SCOPE.get(name, "").split()) or {"button", "td", "th", "li", "article", "section", "div", "body", "blockquote"}
