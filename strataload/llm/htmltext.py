@@ -45,6 +45,7 @@ from strataload.llm.common import append, settle
 class HtmlSpec:
     training_pages: int = 600
     filling_rows: int = 200  # pages whose words fill the training pages
+    filling_words: int = 3000  # of their words, chosen by a hash
     trees: int = 80
     depth: int = 4
     step: float = 0.2
@@ -621,7 +622,8 @@ def fit(pages: DataFrame, spec: HtmlSpec = HtmlSpec()) -> PageModel:
                     found.update(_WORD.findall(piece))
             yield pd.DataFrame({"word": sorted(found)}, dtype=object)
 
-    filling = rows.select("html").mapInPandas(words, "word string").distinct().orderBy(F.xxhash64("word"), "word").limit(3000)
+    filling = rows.select("html").mapInPandas(words, "word string").distinct()
+    filling = filling.orderBy(F.xxhash64("word"), "word").limit(spec.filling_words)
     pages_of = training_pages([r["word"] for r in filling.collect()], spec.training_pages)
     x, some, whole = labelled_nodes(pages_of)
     return PageModel(boost(x, some, spec), boost(x, whole, spec))
