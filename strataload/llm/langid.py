@@ -2,8 +2,10 @@
 
 A text becomes a normalised TF-IDF vector of hashed character 1- to 3-grams; each
 language has several centroids, the spherical k-means clusters of its own sample.  The
-nearest centroid by cosine names the language.  A text farther from it than texts of
-its length are in the sample is rejected.
+nearest centroid by cosine names the language.  A text is rejected if it is farther from
+it than texts of its language and length are, or no nearer than foreign texts of its
+length: those of the sample, compared with the other languages only.  Every length has
+such a floor, since pieces of sample texts stand in for lengths that are rare.
 
 Fitting uses at most ``per_language`` labelled texts of each language (chosen by a hash
 of doc_id); weights and clusters are computed in tasks, and the driver holds one weight
@@ -29,6 +31,7 @@ from pyspark.sql import types as T
 from strataload.llm.common import append, fold_of, keep_where, sample_ids, settle
 
 UNKNOWN = "und"
+_CLASSES = 18  # of length: powers of two, the last one is open
 
 
 @dataclass(frozen=True)
@@ -38,7 +41,9 @@ class LanguageSpec:
     bits: int = 13
     sharpness: float = 25.0  # of the score, a softmax of cosines
     least_letters: int = 20
-    deviations: float = 5.0  # below the mean cosine of its length a text is rejected
+    deviations: float = 5.0  # below the mean cosine of its language and length a text is rejected
+    foreign_deviations: float = 4.0  # above the median cosine of foreign texts of its length it is kept
+    pieces: int = 20  # of each language and length class, for the floors
 
 
 @dataclass
@@ -47,7 +52,7 @@ class LanguageModel:
     languages: list[str]
     centroids: np.ndarray  # one row per centroid
     owner: np.ndarray  # index of its language
-    floor: dict[int, float] = field(default_factory=dict)  # least cosine by length class
+    floor: np.ndarray = field(default_factory=lambda: np.zeros((0, _CLASSES)))  # least cosine by language and length class
 
 
 _letters: np.ndarray | None = None
@@ -124,7 +129,48 @@ def cluster(points: np.ndarray, count: int, rounds: int = 10) -> np.ndarray:
 
 
 def _length_class(letters: np.ndarray) -> np.ndarray:
-    return np.log2(np.maximum(letters, 1)).astype(np.int64)
+    return np.minimum(np.log2(np.maximum(letters, 1)).astype(np.int64), _CLASSES - 1)
+
+
+def pieces_of(texts: list[str], count: int) -> list[str]:
+    """``count`` pieces of each length class, cut from all texts in a row; the longest go round."""
+    line = " ".join(texts)
+    share = sum(map(str.isalpha, line)) / max(1, len(line))
+    if not share:
+        return []
+    out = []
+    for size in range(_CLASSES):
+        width = int(1.4 * 2**size / share) + 1
+        ring = line + " " + line[:width] if width <= len(line) else (line + " ") * (width // len(line) + 2)
+        out += [ring[at : at + width] for at in (len(line) * i // count for i in range(count))]
+    return out
+
+
+def floors(languages: list[str], seen: pd.DataFrame, spec: LanguageSpec) -> np.ndarray:
+    """Least cosine by language and length class, from ``seen`` (lang, size, own, foreign).
+
+    A class is looked at together with the next shorter and longer one.
+    """
+    out = np.full((len(languages), _CLASSES), -1.0)
+    for size in range(_CLASSES):
+        near = seen[(seen["size"] - size).abs() <= 1]
+        # the median and the median deviation: a few texts of a sample bear the wrong label
+        foreign = near.foreign[near.foreign > -1]
+        middle = foreign.median()
+        wide = max(1.4826 * (foreign - middle).abs().median(), 0.01) if len(foreign) else 0.0
+        for k, language in enumerate(languages):
+            here = seen[(seen.lang == language) & (seen["size"] == size)].own
+            own = near.own[near.lang == language]
+            if not len(own):
+                continue
+            mean = here.mean() if len(here) else own.mean()
+            sd = max(own.std(ddof=0), 0.02)
+            out[k, size] = mean - spec.deviations * sd
+            if len(foreign):
+                # where the two overlap, the point that is equally many deviations away from both
+                between = (mean * wide + middle * sd) / (wide + sd)
+                out[k, size] = max(out[k, size], min(middle + spec.foreign_deviations * wide, between))
+    return out
 
 
 def classify(model: LanguageModel, texts, spec: LanguageSpec) -> pd.DataFrame:
@@ -140,13 +186,13 @@ def classify(model: LanguageModel, texts, spec: LanguageSpec) -> pd.DataFrame:
     top = cosine[np.arange(len(best)), best]
     weight = np.exp(spec.sharpness * (cosine - top[:, None]))
     known = (letters > 0) & (count > 0)
-    floors = np.array([model.floor.get(int(c), -1.0) for c in _length_class(letters)])
+    least = model.floor[best, _length_class(letters)] if len(model.floor) else np.full(len(best), -1.0)
     return pd.DataFrame(
         {
             "lang_pred": np.where(known, np.array(model.languages or [UNKNOWN], object)[best], UNKNOWN),
             "score": np.where(known, 1.0 / weight.sum(axis=1), 0.0),
             "cosine": np.where(known, top, 0.0),
-            "rejected": ~known | ((letters >= spec.least_letters) & (top < floors)),
+            "rejected": ~known | ((letters >= spec.least_letters) & (top < least)),
             "letters": letters,
         }
     )
@@ -201,20 +247,31 @@ def fit(docs: DataFrame, spec: LanguageSpec = LanguageSpec()) -> LanguageModel:
     owner = np.array([languages.index(lang) for lang, _ in found], np.int64)
     model = LanguageModel(idf, languages, centroids, owner)
 
-    def distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = classify(model, batch.text.tolist(), spec)
-            yield pd.DataFrame({"size": _length_class(out.letters.to_numpy()), "cosine": out.cosine})
-
-    spread = (
-        sample.mapInPandas(distances, "size long, cosine double")
-        .groupBy("size")
-        .agg(F.avg("cosine").alias("mean"), F.stddev_pop("cosine").alias("sd"), F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    for r in spread:
-        if r["n"] >= 20:  # fewer say nothing about the spread: no floor
-            model.floor[r["size"]] = r["mean"] - spec.deviations * max(r["sd"], 0.02)
+    def distances(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["doc_id", "text"])
+        name, texts = group.lang.iloc[0], group.text.tolist()
+        own = model.owner == (languages.index(name) if name in languages else -1)
+        out = []
+        texts += pieces_of(texts, spec.pieces)
+        for start in range(0, len(texts), 256):
+            points, letters = vectors(texts[start : start + 256], bits, model.idf)
+            near = points @ model.centroids.T
+            out.append(
+                pd.DataFrame(
+                    {
+                        "lang": name,
+                        "size": _length_class(letters),
+                        "own": near[:, own].max(axis=1, initial=-1.0).astype(float),
+                        "foreign": near[:, ~own].max(axis=1, initial=-1.0).astype(float),
+                    }
+                )[letters > 0]
+            )
+        return pd.concat(out)
+
+    if languages:  # a row for each text of the sample and each piece
+        seen = sample.groupBy("lang").applyInPandas(distances, "lang string, size long, own double, foreign double")
+        rows = sorted(tuple(r) for r in seen.collect())
+        model.floor = floors(languages, pd.DataFrame(rows, columns=["lang", "size", "own", "foreign"]), spec)
     return model
 
 
