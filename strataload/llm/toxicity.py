@@ -52,10 +52,13 @@ LEET = {
 _LOG_NOTHING = -2.0  # a sign that stands for no letter
 _LOG_SIGN = -1.0  # a sign that stands for one of its letters
 _LOG_REPEAT = -0.7  # a long run of a letter that stands for two of it
-_OUTER = ".,;:?!\"'()[]{}«»„“”‚‘’…|"
+_LOG_STUCK = -6.0  # the same in front of a letter, where it is no punctuation
+_OUTER = ".,;:?\"')[]{}«»„“”‚‘’…"  # punctuation that stands for no letter
+_OPENING, _CLOSING = "(|<*+@", "!|(*+"  # signs that are as well punctuation before or after a word
 
 _RUN = re.compile(r"(\w)\1\1")
-_SPACED = re.compile(r"(?<!\S)(?:\w[ .\-_*]){2,}\w(?!\S)")
+_SPACED = re.compile(r"(?<![^\s\"'\[{«„“‚‘])(?:[\w@$!|+€(<][ .\-_*]){2,}[\w@$!|+€(<](?=[^\w\s]*(?:\s|\Z))")
+_NUMBER = re.compile(r"\A(?=.*\d)[\d\W_]+\Z", re.S)
 _PARTS = re.compile(r"(.)\1*", re.S)
 
 
@@ -72,16 +75,27 @@ class CharModel:
         p3 = (three + 5 * p2[None]) / (three.sum(axis=2, keepdims=True) + 5)
         self.log = np.log(p3).tolist()
 
-    def decode(self, seen: str) -> str:
-        """The most probable word behind a lower-cased disguised one."""
+    def decode(self, seen: str, spaced: bool = False) -> str:
+        """The most probable word behind a lower-cased disguised one.
+
+        In a spaced word and in one without a letter every sign stands for a letter, except
+        punctuation at the ends of the latter.
+        """
+        every = spaced or not any(c.isalpha() for c in seen)
         log, place = self.log, self.place
         best = {(0, 0): (0.0, "")}  # last two letters -> (log probability, word)
         for part in _PARTS.finditer(seen):
             sign, run = part.group(1), len(part.group(0))
             if sign in LEET:
-                choices = [(_LOG_SIGN, c) for c in LEET[sign]] + [(_LOG_NOTHING, "")]
+                first, last = part.start() == 0, part.end() == len(seen)
+                choices = [(_LOG_SIGN, c) for c in LEET[sign]] if run != 2 or not every else []
                 if run == 2:
                     choices += [(_LOG_SIGN, c + c) for c in LEET[sign]]
+                if not spaced and (first and sign in _OPENING or last and sign in _CLOSING):
+                    choices = [(0.0, ""), *(choices if not (first and last) else [])]
+                elif not every:
+                    stuck = first and sign in "!$" and seen[part.end() : part.end() + 1].isalpha()
+                    choices.append((_LOG_STUCK if stuck else _LOG_NOTHING, ""))
             elif sign.isalpha():
                 choices = [(0.0, sign * run)] if run < 3 else [(0.0, sign), (_LOG_REPEAT, sign + sign)]
             else:
@@ -107,12 +121,13 @@ class Restorer:
     def __init__(self, model: CharModel, most: int = 200_000):
         self.model, self.most, self.known = model, most, {}
 
-    def word(self, seen: str) -> str:
-        if seen not in self.known:
+    def word(self, seen: str, spaced: bool = False) -> str:
+        key = (seen, spaced)
+        if key not in self.known:
             if len(self.known) >= self.most:
                 self.known.clear()
-            self.known[seen] = self.model.decode(seen)
-        return self.known[seen]
+            self.known[key] = self.model.decode(seen, spaced)
+        return self.known[key]
 
     def pairs(self, text: str | None) -> dict[str, str]:
         """Every distinct word of a text, without outer punctuation, and what it is restored to."""
@@ -125,18 +140,17 @@ class Restorer:
             word = raw.strip(_OUTER)
             if word.isalpha():
                 out[word] = word
-            elif any(c.isalpha() for c in raw) and not raw.isalpha():
-                out[raw] = self.word(raw.strip("\"'()[]{}«»„“”‚‘’…,;:."))
+            elif any(c.isalpha() or c in LEET for c in word):
+                out[word] = self.word(word)
         for found in [w for w in out if _RUN.search(w)] if _RUN.search(text) else ():
             out[found] = self.word(found)
-        if sum(len(w) == 1 for w in words) >= 3 or "." in text:
-            for found in _SPACED.finditer(text):
-                out[found.group()] = self.word(re.sub(r"[ .\-_*]", "", found.group()))
+        for found in _SPACED.finditer(text):
+            out[found.group()] = self.word(re.sub(r"[ .\-_*]", "", found.group()), spaced=True)
         return out
 
     def text(self, text: str | None) -> str | None:
-        """The text, lower-cased, with disguised words restored."""
-        changed = {seen: word for seen, word in self.pairs(text).items() if seen != word}
+        """The text, lower-cased, with disguised words restored; numbers stay as they are."""
+        changed = {seen: word for seen, word in self.pairs(text).items() if word not in (seen, "") and not _NUMBER.search(seen)}
         if not changed:
             return text.lower() if text else text
         pattern = "|".join(re.escape(seen) for seen in sorted(changed, key=len, reverse=True))
