@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strataload.llm import htmltext, langid, quality_gam, toxicity
+from strataload.llm import htmltext, langid, quality_gam, simhash, toxicity
 from strataload.llm.common import fold_of
 from strataload.llm.decontaminate import find_leaks
 from strataload.llm.minhash import near_duplicates
@@ -164,3 +164,8 @@ def op5_noisy_channel(t):
 def op2_boosted_nodes(t):
     pages = t.pages.select("page_id", "url", "html")
     return htmltext.main_text(pages, htmltext.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
+@query("op13_pigeonring_simhash")
+def op13_pigeonring_simhash(t):
+    return simhash.near_duplicates(t.documents)
