@@ -129,9 +129,11 @@ def _frame(batch: pa.RecordBatch, columns: Sequence[str]) -> pd.DataFrame:
 def append(df: DataFrame, columns: Sequence[str], fn, added: T.StructType) -> DataFrame:
     """``df`` with the columns ``added``, which ``fn`` makes from a pandas frame of ``columns``.
 
-    Other columns pass through as they are; columns that have an added name are replaced.
+    Other columns pass through as they are; columns that have an added name, in whatever
+    case, are replaced.
     """
-    kept = [f for f in df.schema.fields if f.name not in added.names]
+    replaced = {name.lower() for name in added.names}
+    kept = [f for f in df.schema.fields if f.name.lower() not in replaced]
     arrow_types = to_arrow_schema(added)
     out_schema = T.StructType([*kept, *added.fields])
     columns = list(columns)

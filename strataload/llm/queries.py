@@ -9,6 +9,8 @@ from strataload.llm.common import fold_of
 from strataload.llm.decontaminate import find_leaks
 from strataload.llm.minhash import near_duplicates
 from strataload.llm.mixing import mix
+from strataload.llm.periodic import find_runs
+from strataload.llm.pii import pseudonymised
 from strataload.llm.pii import pseudonymised
 from strataload.llm.quality_rules import judge
 from strataload.llm.registry import query
@@ -169,3 +171,8 @@ def op2_boosted_nodes(t):
 @query("op13_pigeonring_simhash")
 def op13_pigeonring_simhash(t):
     return simhash.near_duplicates(t.documents)
+
+
+@query("op12_basic_factors")
+def op12_basic_factors(t):
+    return find_runs(t.documents.select("doc_id", "text"), seed_tails=True).drop("text")
