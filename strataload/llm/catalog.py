@@ -1,4 +1,4 @@
-"""The registered corpus queries: op1 to op10 and the pipeline."""
+"""The registered corpus queries: op1 to op13 and the pipeline."""
 
 from __future__ import annotations
 

@@ -14,6 +14,7 @@ from strataload.llm.pii import pseudonymised
 from strataload.llm.pii import pseudonymised
 from strataload.llm.quality_rules import judge
 from strataload.llm.registry import query
+from strataload.llm.search import search
 from strataload.llm.warc import archived
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint"
@@ -176,3 +177,38 @@ def op13_pigeonring_simhash(t):
 @query("op12_basic_factors")
 def op12_basic_factors(t):
     return find_runs(t.documents.select("doc_id", "text"), seed_tails=True).drop("text")
+
+
+TERMS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+SEARCH_SQL = rf"""
+with tokens as (
+  select doc_id, {TERMS_SQL} as t from documents
+), totals as (
+  select count(*) filter (where len(t) > 0) as docs, sum(len(t))::bigint as len from tokens
+), wanted as (
+  select distinct item_id, unnest({TERMS_SQL}) as term from benchmark
+), held as (
+  select doc_id, n, term, count(*) as tf from (select doc_id, len(t) as n, unnest(t) as term from tokens)
+  where term in (select term from wanted) group by all
+), weights as (
+  select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as w
+  from (select term, count(*) as df from held group by term), totals
+), scored as (
+  select item_id, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // len))))::bigint as score
+  from wanted join held using (term) join weights using (term), totals group by all
+), ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+  from scored where score > 0
+)
+select * from ranked where rank <= 50
+"""
+
+
+@query("op11_document_tree", SEARCH_SQL)
+def op11_document_tree(t):
+    return search(t.documents, t.benchmark)
