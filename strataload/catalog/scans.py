@@ -98,6 +98,28 @@ def scan_glob(t: Tables):
     return scan.read_like(t.spark, folder, "feed_2024.parquet")
 
 
+@query(
+    "staging_mixed_headers",
+    """select cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey, o_orderstatus,
+  null::varchar as o_orderpriority from orders where o_orderstatus = 'F'
+union all select cast(o_orderkey as varchar), cast(o_custkey as varchar), o_orderstatus, null from orders where o_orderstatus = 'O'
+union all select cast(o_orderkey as varchar), null, o_orderstatus, o_orderpriority from orders where o_orderstatus = 'P'""",
+)
+def staging_mixed_headers(t: Tables):
+    """Three deliveries of one feed: as agreed, with columns in another order, with one left out and one added."""
+    folder = sink.scratch_folder(t.spark)
+    deliveries = {
+        "F": ["o_orderkey", "o_custkey", "o_orderstatus"],
+        "O": ["O_ORDERSTATUS", "o_custkey", "o_orderkey"],
+        "P": ["o_orderpriority", "o_orderkey", "o_orderstatus"],
+    }
+    for status, columns in deliveries.items():
+        rows = t.orders.filter(F.col("o_orderstatus") == status).select(*[F.col(c).alias(c) for c in columns])
+        sink.export_delimited(rows, f"{folder}/{status}", sep="|", files=2)
+    files = [r.path for r in scan.list_files(t.spark, folder).filter("path like '%.csv.gz'").select("path").collect()]
+    return scan.read_staging(t.spark, files, sep="|")
+
+
 @query(
     "select_feed_files",
     r"""with listing as (

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataload.operators.skew import key_set
+from strataload.sources.headers import read_by_header
 
 LOAD_SCOPES = ("full", "active", "incremental")
 
@@ -115,7 +116,10 @@ def read_staging(
     quote: str = '"',
     header: bool = True,
 ) -> DataFrame:
-    """A list of feed files as one scan, all columns strings; a workbook in it is an error."""
+    """A list of feed files as one frame, all columns strings; a workbook in it is an error.
+
+    Files whose columns differ are matched by name: a scan per distinct header.
+    """
     usable = list(files)
     workbooks = [f for f in usable if f.lower().endswith((".xlsx", ".xls"))]
     if workbooks:
@@ -124,14 +128,19 @@ def read_staging(
         raise ValueError("no feed file in the list")
     if kind == "parquet":
         return as_strings(spark.read.option("mergeSchema", "true").parquet(*usable))
-    return read_delimited(spark, usable, sep=sep, quote=quote, header=header)
+    return read_by_header(spark, usable, sep, quote, header)
 
 
 def read_like(spark: SparkSession, folder: str, example: str, kind: str = "parquet", **options) -> DataFrame:
-    """All files of a folder named like ``example`` without its digits, as strings."""
+    """All files of a folder named like ``example`` without its digits, as strings.
+
+    ``options`` of delimited files are those of :func:`read_by_header`.
+    """
     stem = re.sub(r"\d", "", example.rsplit("/", 1)[-1]).split(".")[0].strip("_")
     target = f"{folder.rstrip('/')}/{stem}*"
-    return as_strings(spark.read.parquet(target)) if kind == "parquet" else read_delimited(spark, target, **options)
+    if kind == "parquet":
+        return as_strings(spark.read.option("mergeSchema", "true").parquet(target))
+    return read_by_header(spark, target, **options)
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
