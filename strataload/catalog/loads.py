@@ -13,8 +13,10 @@ from strataload.catalog.frames import (
     orders_src,
     orders_tgt,
 )
-from strataload.catalog.registry import Tables, query
+from strataload.catalog.registry import ORACLES, Tables, query
 from strataload.operators import incremental as inc
+from strataload.plans import touched
+from strataload.sources import sink, versions
 
 COLUMNS = (
     "order_id, cust_id, status, total, order_date, hashkey, add_date, delete_date, last_modified_date, "
@@ -248,3 +250,21 @@ def row_hash(t: Tables):
         "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", F.col("l_shipdate").cast("date").alias("ship_date")
     )
     return stamp(rows, AUDIT, hash_cols=hash_columns(rows))
+
+
+@query("load_touched_files", ORACLES["load_checksum_all"])
+def load_touched_files(t: Tables):
+    """The checksum load into a versioned table, of which only files with changes are written."""
+    path = sink.scratch_folder(t.spark)
+    by_range = orders_tgt(t).repartitionByRange(8, "order_id")
+    versions.versioned_publish(by_range, path, "is_active", rebalance=False)
+    touched.load_touched_files(t.spark, orders_src(t), path, strategy="checksum_all", audit=AUDIT)
+    return versions.read_version(t.spark, path).select(*orders_src(t).columns)
+
+
+@query("load_key_date_touched", ORACLES["load_key_date"])
+def load_key_date_touched(t: Tables):
+    path = sink.scratch_folder(t.spark)
+    versions.versioned_publish(orders_tgt(t).repartitionByRange(8, "order_id"), path, "is_active", rebalance=False)
+    touched.load_touched_files(t.spark, orders_src(t), path, strategy="key_date", audit=AUDIT, keys=["order_id"], date_col="order_date")
+    return versions.read_version(t.spark, path).select(*orders_src(t).columns)

@@ -9,7 +9,7 @@ from strataload.catalog.registry import Tables, query
 from strataload.operators import dedupe
 from strataload.plans import extract, jobs
 from strataload.plans.extract import ExtractField, ExtractSpec
-from strataload.sources import scan, sink
+from strataload.sources import scan, sink, versions
 
 DAY = "2024-02-01"
 
@@ -288,3 +288,27 @@ def collect_summaries(t: Tables):
     late = extract.control_totals(extract.file_control(t.spark, t.path("labels"), "labels", DAY))
     frames = [extract.control_totals(file_lines(t)), late.withColumn("note", F.lit("late"))]
     return extract.collect_summaries(frames, missing="NA")
+
+
+@query("versioned_publish", "select o_orderkey, o_orderstatus, 1 as version from orders")
+def versioned_publish(t: Tables):
+    """The first of two versions, read after the second one was published."""
+    path = sink.scratch_folder(t.spark)
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    versions.versioned_publish(rows.withColumn("version", F.lit(1)), path, "o_orderstatus")
+    versions.versioned_publish(rows.filter("o_orderstatus = 'F'").withColumn("version", F.lit(2)), path, "o_orderstatus")
+    return versions.read_version(t.spark, path, 1)
+
+
+@query(
+    "read_version",
+    "select o_orderkey, o_orderstatus, case when o_orderstatus = 'P' then 1 else 2 end as version from orders",
+)
+def read_version(t: Tables):
+    """The newest version after one partition was set back to an earlier one."""
+    path = sink.scratch_folder(t.spark)
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    for number in (1, 2):
+        versions.versioned_publish(rows.withColumn("version", F.lit(number)), path, "o_orderstatus")
+    versions.restore_version(t.spark, path, 1, "o_orderstatus", "P")
+    return versions.read_version(t.spark, path)
