@@ -157,3 +157,17 @@ def keep_where(df: DataFrame, columns: Sequence[str], fn) -> DataFrame:
             yield batch.filter(pa.array(np.asarray(fn(_frame(batch, columns)), bool)))
 
     return df.mapInArrow(run, df.schema)
+
+
+def spanning(table: np.ndarray) -> list[tuple[int, int]]:
+    """Links that hold the components of a symmetric table of links together: a forest."""
+    unseen, out = table.any(axis=1), []
+    for root in np.nonzero(unseen)[0].tolist():
+        waiting, unseen[root] = [root] if unseen[root] else [], False
+        while waiting:
+            at = waiting.pop()
+            new = np.nonzero(table[at] & unseen)[0]
+            unseen[new] = False
+            out += [(at, n) for n in new.tolist()]
+            waiting += new.tolist()
+    return out

@@ -11,14 +11,12 @@ so a hot group of copies is one row from here on; (3) classes that share a band
 compared through pivots (below); (4) a pair that the sketches do not rule out is
 verified on its full shingle sets; (5) links are contracted to components.
 
-A bucket of m classes is not expanded to all its pairs.  Its smallest member is
-compared with the others first.  In buckets that then hold several components, the
-shingles that only one set has are counted: two sets whose own shingles alone keep them
-below the threshold are never paired, which in a large group of loose copies is nearly
-every pair.  The member with the fewest own shingles, the likely original of loose
-copies, is then compared with the others; members still apart after that are compared
-in blocks with all others, so no pair of a bucket that could join two components is left
-out.
+A bucket of m classes is not expanded to its pairs.  Its smallest member is compared with
+the others first, which finds nearly all links.  Buckets whose other members are still in
+different components are dealt into blocks, and each pair of blocks decides in one task:
+the sizes of all its intersections are one matrix product over the sets, and only links
+that join two components leave the task, fewer than the blocks have members.  No pair of
+a bucket that could join two components is left out.
 
 Defined cases: a NULL or wordless text has no shingles and is linked with nothing; a
 text with fewer words than a shingle is one shingle, its whole sequence; rows that
@@ -39,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataload.llm.common import WordHashes, append, fresh, lower_words, rolled, settle
+from strataload.llm.common import WordHashes, append, fresh, lower_words, rolled, settle, spanning
 from strataload.operators.skew import join_side
 
 
@@ -200,16 +198,11 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.withColumnRenamed("v", "m")
 
 
-def _linked(candidates: DataFrame, sketches: DataFrame | None, sets, spec: NearDupSpec) -> DataFrame:
-    """The verified pairs of ``candidates`` (a, b); without ``sketches`` these have been compared."""
-    if sketches is None:
-        return _on_sets(settle(candidates.distinct()), sets, spec)
+def _linked(candidates: DataFrame, sketches: DataFrame, sets, spec: NearDupSpec) -> DataFrame:
+    """The verified pairs of ``candidates`` (a, b): on sketches first, then on full sets."""
     left = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"), F.col("several").alias("several_a"))
     right = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"), F.col("several").alias("several_b"))
-    return _on_sets(settle(_sketches_agree(candidates.join(left, "a").join(right, "b"), spec)), sets, spec)
-
-
-def _on_sets(likely: DataFrame, sets, spec: NearDupSpec) -> DataFrame:
+    likely = settle(_sketches_agree(candidates.join(left, "a").join(right, "b"), spec))
     known = sets(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     return settle(
         _verified(
@@ -221,87 +214,81 @@ def _on_sets(likely: DataFrame, sets, spec: NearDupSpec) -> DataFrame:
     )
 
 
-def _own_shingles(known: DataFrame) -> DataFrame:
-    """(id, own): how many shingles of a set are in no other set of ``known``.
-
-    Rows that share an id have several sets and count as having none.
-    """
-
-    def flat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, shingles in zip(batch.id, batch.shingles):
-                yield pd.DataFrame({"id": name, "s": np.frombuffer(shingles, np.int64)})
-
-    single = known.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter("rows = 1").select("id")
-    once = (
-        known.mapInPandas(flat, "id long, s long")
-        .groupBy("s")
-        .agg(F.count(F.lit(1)).alias("sets"), F.min("id").alias("id"))
-        .filter("sets = 1")
-    )
-    return once.groupBy("id").agg(F.count(F.lit(1)).alias("own")).join(single, "id", "left_semi")
+# A block holds about so many members of a bucket, and so many shingles, at most.
+_BLOCK_MEMBERS, _BLOCK_SHINGLES = 512, 1 << 18
 
 
-def _can_link(spec: NearDupSpec):
-    """Whether two sets can be similar enough, from their sizes and their own shingles.
+def common_shingles(x: list[np.ndarray], y: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of every set of ``x`` with every set of ``y``.
 
-    Own shingles of either are in the union and not in the intersection, and the
-    intersection is at most the smaller rest: an upper bound of the similarity.
+    Sets as rows over the shingles that several of them hold: a matrix product, taken over
+    ``width`` shingles at a time.
     """
-    rest, rest_a = F.col("n") - F.col("own"), F.col("n_a") - F.col("own_a")
-    union = F.col("own") + F.col("own_a") + F.greatest(rest, rest_a)
-    return F.least(rest, rest_a) * 100 >= union * spec.percent
-
-
-_BLOCK = 256  # members of a bucket that are compared at once
-
-
-def _apart(members: DataFrame, sketches: DataFrame, spec: NearDupSpec) -> DataFrame:
-    """Pairs (a, b) of a bucket in different components that may be linked.
-
-    Buckets are cut into blocks, and blocks of one bucket meet each other: every pair is
-    looked at, by array arithmetic on sketches, but only those that may be linked become
-    rows, and in the first bucket that they share only.
+    sets = [*x, *y]
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    rows, values = rows[order], values[order]
+    first = np.concatenate([[True], values[1:] != values[:-1]])
+    again = np.concatenate([~first[1:], [False]]) | ~first  # in several sets
+    rows, shingle = rows[again], np.cumsum(first[again]) - 1
+    out = np.zeros((len(x), len(y)), np.float32)
+    for low in range(0, int(shingle[-1]) + 1 if len(shingle) else 0, width):
+        span = slice(*np.searchsorted(shingle, (low, low + width)))
+        table = np.zeros((len(sets), width), np.float32)
+        table[rows[span], shingle[span] - low] = 1
+        out += table[: len(x)] @ table[len(x) :].T  # whole numbers below 2^24 are exact
+    return out.astype(np.int64)
+
+
+def _block_links(x: dict, y: dict, percent: int) -> list[tuple[int, int]]:
+    """Links between members of two blocks (or of one) that hold their components together."""
+    both = common_shingles(x["sets"], y["sets"])
+    union = x["n"][:, None] + y["n"][None] - both
+    linked = (both > 0) & (100 * both >= percent * union) & (x["label"][:, None] != y["label"][None])
+    i, j = np.nonzero(linked)
+    if not len(i):
+        return []
+    labels, flat = np.unique(np.concatenate([x["label"][i], y["label"][j]]), return_inverse=True)
+    p, q = flat[: len(i)], flat[len(i) :]
+    table = np.zeros((len(labels), len(labels)), bool)
+    table[p, q] = table[q, p] = True
+    pair_of = dict(zip(zip(np.minimum(p, q).tolist(), np.maximum(p, q).tolist()), zip(i.tolist(), j.tolist())))
+    found = [pair_of[min(e), max(e)] for e in spanning(table)]
+    return [(int(x["id"][a]), int(y["id"][b])) for a, b in found]
+
+
+def _bucket_links(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components of each bucket, from rows (key, id, n, label).
+
+    Buckets are dealt into blocks, and blocks of one bucket meet each other.  A pair of
+    blocks compares all its sets and sends out fewer links than it has members.
     """
-    fields = ("id", "n", "own", "label", "sketch", "bands", "several")
-    rows = members.withColumn("block", F.floor(F.col("place") / _BLOCK)).join(sketches, "id")
-    blocks = rows.groupBy("key", "band", "block").agg(F.collect_list(F.struct(*fields)).alias("rows"))
+    totals = join_side(members, ["key"], F.count(F.lit(1)).alias("count"), F.sum("n").alias("mass"))
+    blocks = F.ceil(F.greatest(F.col("count") / _BLOCK_MEMBERS, F.col("mass") / _BLOCK_SHINGLES))
+    rows = members.join(totals, "key").withColumn("block", F.pmod(F.xxhash64("id"), blocks)).join(known, "id")
+    blocks = rows.groupBy("key", "block").agg(F.collect_list(F.struct("id", "label", "shingles")).alias("rows"))
     blocks = settle(blocks)
     left = blocks.select("key", F.col("block").alias("block_a"), F.col("rows").alias("rows_a"))
-    met = blocks.join(left, "key").filter("block_a <= block").select("band", "rows_a", "rows")
-    least, percent = spec.least_matches, spec.percent
+    met = blocks.join(left, "key").filter("block_a <= block")
+    met = met.select((F.col("block_a") == F.col("block")).alias("same"), "rows_a", F.expr("if(block_a = block, null, rows)").alias("rows"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            links = []
             for i in range(batch.num_rows):
-                x, y = (_columns(batch.column(c)[i].values) for c in ("rows_a", "rows"))
-                band = batch.column("band")[i].as_py()
-                rest_x, rest_y = (x["n"] - x["own"])[:, None], (y["n"] - y["own"])[None]
-                union = x["own"][:, None] + y["own"][None] + np.maximum(rest_x, rest_y)
-                may = np.minimum(rest_x, rest_y) * 100 >= union * percent
-                may &= (x["label"][:, None] != y["label"][None]) & (x["id"][:, None] != y["id"][None])
-                a, b = np.nonzero(may)
-                for k in range(0, len(a), 65536):
-                    p, q = a[k : k + 65536], b[k : k + 65536]
-                    same = (x["sketch"][p] == y["sketch"][q]).sum(axis=1) >= least
-                    same |= x["several"][p] | y["several"][q]
-                    p, q = p[same], q[same]
-                    # a pair that shares an earlier bucket is found there
-                    same = ~(x["bands"][p, :band] == y["bands"][q, :band]).any(axis=1)
-                    ids = x["id"][p[same]], y["id"][q[same]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(*ids)), pa.array(np.maximum(*ids))], names=["a", "b"]
-                    )
+                x = _columns(batch.column("rows_a")[i].values)
+                y = x if batch.column("same")[i].as_py() else _columns(batch.column("rows")[i].values)
+                links += _block_links(x, y, percent)
+            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return met.mapInArrow(run, "a long, b long")
 
 
-def _columns(rows: pa.StructArray) -> dict[str, np.ndarray]:
-    out = {c: rows.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "n", "own", "label")}
-    sketches = b"".join(rows.field("sketch").to_pylist())
-    out["several"] = rows.field("several").to_numpy(zero_copy_only=False).astype(bool)
-    bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), -1)
-    return out | {"sketch": np.frombuffer(sketches, np.uint8).reshape(len(rows), -1), "bands": bands}
+def _columns(rows: pa.StructArray) -> dict:
+    out = {c: rows.field(c).to_numpy() for c in ("id", "label")}
+    sets = [np.frombuffer(b, np.uint64) for b in rows.field("shingles").to_pylist()]
+    return out | {"sets": sets, "n": np.array([len(s) for s in sets], np.int64)}
 
 
 def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataFrame:
@@ -314,16 +301,9 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     )
     leaders = classes.select(F.col("id").alias("doc_id"), *digest)
     leading = nodes.join(leaders, ["doc_id", *digest], "left_semi")
-    # bands tell in which bucket a pair meets first; for an id with several sets neither they
-    # nor the sketch of one of them say anything
-    none = F.transform(F.sequence(F.lit(1), F.lit(spec.bands)), lambda i: F.xxhash64(F.lit("none"), "id", i))
-    sketches = (
-        leading.groupBy(F.col("doc_id").alias("id"))
-        .agg(F.first("sketch").alias("sketch"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("sets"))
-        .select(
-            "id", "sketch", F.when(F.col("sets") == 1, F.col("bands")).otherwise(none).alias("bands"),
-            (F.col("sets") > 1).alias("several"),
-        )
+    # of an id with several sets the sketch of one says nothing
+    sketches = leading.groupBy(F.col("doc_id").alias("id")).agg(
+        F.first("sketch").alias("sketch"), (F.count(F.lit(1)) > 1).alias("several")
     )
     sketches = settle(sketches)  # met several times below
 
@@ -332,7 +312,7 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     again = nodes.join(several.select("doc_id"), "doc_id").join(classes.select("id", *digest), digest)
     same_id = again.filter("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
 
-    members = leading.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
+    members = leading.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     buckets = join_side(members, ["key"], F.min("id").alias("first"), F.max("id").alias("other"))
     buckets = buckets.filter("first < other").drop("other")
     members = settle(members.join(buckets, "key"))
@@ -353,33 +333,26 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     edges = settle(same_id.unionAll(_linked(candidates, sketches, sets, spec)))
     stars = components(edges)
 
-    def link(pairs: DataFrame, compared: bool = False) -> None:
-        """Verifies pairs and joins the components that they link."""
-        nonlocal stars
-        more = _linked(pairs.distinct(), None if compared else sketches, sets, spec)
+    # all pairs with the smallest member are done; what else of a bucket may be linked?
+    rest = members.filter("id > first").select("key", "id", "n").distinct()
+    rest = rest.join(stars.select(F.col("u").alias("id"), "m"), "id", "left")
+    rest = rest.withColumn("label", F.coalesce("m", "id")).drop("m")
+    apart = join_side(
+        rest,
+        ["key"],
+        F.min("label").alias("x"),
+        F.max("label").alias("y"),
+        *[F.bit_xor(F.xxhash64("id", F.lit(seed))).alias(f"members_{seed}") for seed in (1, 2)],
+    ).filter("x <> y")
+    # buckets with the same members are one
+    apart = apart.groupBy("members_1", "members_2").agg(F.min("key").alias("key"))
+    rest = settle(rest.join(apart.select("key"), "key"))
+    if not rest.isEmpty():
+        known = sets(rest.select("id").distinct())
+        more = settle(_bucket_links(rest, known, spec.percent).distinct())
         if not more.isEmpty():
             stars = components(stars.select(F.col("u").alias("a"), F.col("m").alias("b")).unionAll(more))
 
-    def labelled(rows: DataFrame) -> DataFrame:
-        """Rows of buckets that still hold several components, with their component."""
-        known = rows.join(stars.select(F.col("u").alias("id"), "m"), "id", "left")
-        known = known.withColumn("label", F.coalesce("m", "id")).drop("m")
-        apart = join_side(known, ["key"], F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-        return known.join(apart.select("key"), "key")
-
-    open_members = settle(labelled(members.select("key", "band", "id", "n").distinct()).drop("label"))
-    if not open_members.isEmpty():
-        own = _own_shingles(sets(open_members.select("id").distinct()))
-        central = Window.partitionBy("key").orderBy("own", "n", "id")
-        ranked = open_members.join(own, "id", "left").fillna(0, ["own"])
-        ranked = ranked.filter(F.col("own") * 100 <= F.col("n") * (100 - spec.percent))
-        ranked = settle(ranked.withColumn("place", F.row_number().over(central) - 1))
-        # the member with the fewest own shingles against the others, then whatever is left
-        first = ranked.filter("place = 0").select("key", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "own")])
-        near = ranked.filter("place > 0").join(first, "key").filter(_can_link(spec))
-        link(near.select(F.col("id_a").alias("a"), F.col("id").alias("b")))
-        link(_apart(labelled(ranked), sketches, spec), compared=True)
-
     named = classes.join(stars.select(F.col("u").alias("id"), "m"), "id", "left")
     named = settle(named.select(*digest, F.coalesce("m", "id").alias("m"), "last").filter("m < last").drop("last"))
     placed = table.join(named, digest, "left")

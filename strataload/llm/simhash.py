@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataload.llm.common import append, lower_words, settle
+from strataload.llm.common import append, lower_words, settle, spanning
 from strataload.llm.minhash import components
 from strataload.operators.skew import join_side
 
@@ -170,16 +170,7 @@ class Cell:
         near = self.linked(np.full(len(a), key), prints[a] ^ prints[b])
         table = np.zeros((len(prints), len(prints)), bool)
         table[a[near], b[near]] = table[b[near], a[near]] = True
-        unseen, out = table.any(axis=1), []
-        for root in np.nonzero(unseen)[0].tolist():
-            open_, unseen[root] = [root] if unseen[root] else [], False
-            while open_:
-                at = open_.pop()
-                new = np.nonzero(table[at] & unseen)[0]
-                unseen[new] = False
-                out += [(at, n) for n in new.tolist()]
-                open_ += new.tolist()
-        return out
+        return spanning(table)
 
 
 def _links(cells: DataFrame, spec: SimHashSpec, keys: list[tuple[int, int]]) -> DataFrame:
