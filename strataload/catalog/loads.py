@@ -17,6 +17,7 @@ from strataload.catalog.registry import ORACLES, Tables, query
 from strataload.operators import incremental as inc
 from strataload.plans import touched
 from strataload.sources import sink, versions
+from strataload.sources.metrics import Metrics
 
 COLUMNS = (
     "order_id, cust_id, status, total, order_date, hashkey, add_date, delete_date, last_modified_date, "
@@ -268,3 +269,27 @@ def load_key_date_touched(t: Tables):
     versions.versioned_publish(orders_tgt(t).repartitionByRange(8, "order_id"), path, "is_active", rebalance=False)
     touched.load_touched_files(t.spark, orders_src(t), path, strategy="key_date", audit=AUDIT, keys=["order_id"], date_col="order_date")
     return versions.read_version(t.spark, path).select(*orders_src(t).columns)
+
+
+@query(
+    "load_counts",
+    f"""with {ORDERS_CTE}, kept as (
+  select is_active = 1 and hashkey not in (select hashkey from orders_src) as closed from orders_tgt)
+select 'source' as name, count(*) as n from orders_src
+union all select 'history', count(*) from kept
+union all select 'closed', count(*) from kept where closed
+union all select 'inserted', count(*) from orders_src where hashkey not in (select hashkey from orders_tgt where is_active = 1)
+union all select 'joined', count(*) from orders_src""",
+)
+def load_counts(t: Tables):
+    """The counts of a load and of a lookup before it, taken by the write itself."""
+    metrics = Metrics()
+    nations = t.customer.select(F.col("c_custkey").alias("_cust"), "c_nationkey")
+    src = orders_src(t)
+    joined = metrics.count("joined", src.join(nations, src.cust_id == nations["_cust"], "left"))
+    src = joined.select(*src.columns)
+    out = inc.metered_load(src, orders_tgt(t), metrics, mode="active", strategy="checksum_all", audit=AUDIT)
+    guards = [metrics.same_rows("joined", "source"), metrics.not_empty("source", "nothing to load")]
+    sink.publish(out, sink.scratch_folder(t.spark), guards=guards)
+    closed = t.spark.createDataFrame([("closed", metrics.of("history")["closed"])], "name string, n long")
+    return metrics.frame(t.spark).unionByName(closed)

@@ -12,7 +12,7 @@ Matching is by existence, so repeated keys never multiply rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from strataload.audit import AuditSpec
 from strataload.operators.skew import KEY, join_side, key_set, packed
 from strataload.schema import align_to_source, union_bag
+from strataload.sources.metrics import Metrics
 
 MARK = "_closed"
 
@@ -396,6 +397,11 @@ def load_partitioned(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _check_mode(mode: str, allowed_modes: Sequence[str]) -> None:
+    if mode not in allowed_modes or mode not in LOAD_MODES:
+        raise ValueError(f"load mode {mode!r} not allowed here; expected one of {tuple(allowed_modes)}")
+
+
 def load(
     src: DataFrame,
     tgt: DataFrame | None,
@@ -409,12 +415,46 @@ def load(
     """Entry point by mode: ``full`` replaces the target, the others load into it.
 
     An absent or empty source is refused: with most strategies it would close or replace
-    the whole target.
+    the whole target.  To find out, the source's plan is started here; a load that ends in
+    a publish does without (:func:`metered_load`).
     """
     if src is None or src.isEmpty():
-        raise ValueError(f"no source rows: {strategy} load refused, the target stays as it is")
-    if mode not in allowed_modes or mode not in LOAD_MODES:
-        raise ValueError(f"load mode {mode!r} not allowed here; expected one of {tuple(allowed_modes)}")
+        raise ValueError(REFUSED.format(strategy))
+    _check_mode(mode, allowed_modes)
     if mode == "full" or tgt is None:
         return src
     return LOADS[strategy](src, tgt, audit=audit, **args).to_df()
+
+
+REFUSED = "no source rows: {} load refused, the target stays as it is"
+
+
+def metered_load(
+    src: DataFrame | None,
+    tgt: DataFrame | None,
+    metrics: Metrics,
+    *,
+    mode: str,
+    strategy: str,
+    audit: AuditSpec,
+    allowed_modes: Sequence[str] = LOAD_MODES,
+    **args,
+) -> DataFrame:
+    """The same load, counted by the write that runs it; no job is started here.
+
+    ``metrics`` then knows ``source``, ``inserted`` and ``history`` (its rows, and how
+    many of them were ``closed``).  Publish with ``metrics.not_empty("source", ...)`` as
+    a guard to refuse an empty source.
+    """
+    if src is None:
+        raise ValueError(REFUSED.format(strategy))
+    _check_mode(mode, allowed_modes)
+    watched = metrics.count("source", src)
+    if mode == "full" or tgt is None:
+        return watched
+    # the source is observed in the branch that carries its rows, not in key sets
+    inserted = metrics.count("inserted", LOADS[strategy](watched, tgt, audit=audit, **args).inserted)
+    parts = LOADS[strategy](src, tgt, audit=audit, **args)
+    if parts.history is not None:
+        parts = replace(parts, history=metrics.count("history", parts.history, closed=F.count_if(MARK)))
+    return replace(parts, inserted=inserted).to_df()

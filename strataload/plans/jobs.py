@@ -30,6 +30,7 @@ from strataload.plans.mapping import (
 from strataload.plans.rules import Rule, RuleClass, apply_rules
 from strataload.schema import config_constants, snake_columns, standard_names
 from strataload.session import durable
+from strataload.sources.metrics import Metrics
 from strataload.sources.scan import read_delimited, read_parquet, read_scope, read_staging, select_feed_files
 from strataload.sources.sink import export_delimited, export_parquet, publish
 
@@ -45,19 +46,34 @@ class Target:
     allowed_modes: Sequence[str] = incremental.LOAD_MODES
 
 
-def load_table(spark: SparkSession, rows: DataFrame, target: Target, mode: str, audit: AuditSpec) -> DataFrame:
-    """Load stamped rows into the target and publish it; returns the new table."""
+def load_table(
+    spark: SparkSession,
+    rows: DataFrame,
+    target: Target,
+    mode: str,
+    audit: AuditSpec,
+    metrics: Metrics | None = None,
+    guards: Sequence[Callable[[DataFrame], None]] = (),
+) -> DataFrame:
+    """Load stamped rows into the target and publish it; returns the new table.
+
+    One write and no counting job: an empty source is refused by the metrics of the
+    write, before the swap, as is whatever ``guards`` refuse.
+    """
+    metrics = metrics or Metrics()
     existing = None if mode == "full" else read_parquet(spark, target.path)
-    out = incremental.load(
+    out = incremental.metered_load(
         rows,
         existing,
+        metrics,
         mode=mode,
         strategy=target.strategy,
         audit=audit,
         allowed_modes=target.allowed_modes,
         **target.args,
     )
-    publish(out, target.path, target.partition_by)
+    refused = metrics.not_empty("source", incremental.REFUSED.format(target.strategy))
+    publish(out, target.path, target.partition_by, guards=[refused, *guards])
     return spark.read.parquet(target.path)
 
 
@@ -77,14 +93,18 @@ def stage_feed(
     """Pick the feed's files from a listing, read them as strings, check, publish.
 
     The selected file names go to the reader through the driver; rows do not.
-    Every check gets the feed and gives check_name and passed.
+    Every check gets the feed and gives check_name and passed; the feed is parsed once,
+    checks read what was written, before it replaces the table.
     """
     chosen = select_feed_files(listing, table, **selection).select("path")
     files = [r["path"] for r in chosen.collect()]
     feed = snake_columns(read_staging(spark, files, kind, sep, quote, header))
-    if checks:
-        run_validations({str(i): lambda c=check: c(feed) for i, check in enumerate(checks)})
-    publish(config_constants(feed, constants), target.path, target.partition_by)
+
+    def checked(written: DataFrame) -> None:
+        rows = written.select(*feed.columns)
+        run_validations({str(i): lambda c=check: c(rows) for i, check in enumerate(checks)})
+
+    publish(config_constants(feed, constants), target.path, target.partition_by, guards=[checked] if checks else [])
     return spark.read.parquet(target.path)
 
 

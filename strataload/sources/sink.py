@@ -9,7 +9,7 @@ value first: AQE sizes the files and splits a hot value over several tasks.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +43,7 @@ def publish(
     mode: str = "swap",
     files: int | None = None,
     rebalance: bool = True,
+    guards: Sequence[Callable[[DataFrame], None]] = (),
 ) -> None:
     """Write ``df`` as the table at ``path``.
 
@@ -52,7 +53,12 @@ def publish(
     Partition keys that ``df`` lacks are ignored.  ``files`` fixes the number of
     writing tasks; ``rebalance=False`` saves the shuffle when the partition columns
     have only a few values.
+
+    ``guards`` are called with the written rows between the write and the swap, when the
+    metrics of the write are known; one that raises leaves the table as it was.
     """
+    if guards and mode != "swap":
+        raise ValueError("guards need a swap: the other modes change the table while they write")
     keys = present_columns(df, partition_by)
     if files is not None:
         df = df.repartition(files)
@@ -70,6 +76,12 @@ def publish(
         _write(df, fresh, "overwrite", keys)
         fs, here = _hadoop_path(df.sparkSession, base)
         _, there = _hadoop_path(df.sparkSession, fresh)
+        try:
+            for guard in guards:
+                guard(df.sparkSession.read.schema(df.schema).parquet(fresh))
+        except Exception:
+            fs.delete(there, True)
+            raise
         _, aside = _hadoop_path(df.sparkSession, old)
         had_table = fs.exists(here)
         if had_table and not fs.rename(here, aside):
