@@ -8,9 +8,11 @@ permutation can be undone.  Separators, letter case and mail domains stay.
 
 Kinds, in the order in which overlapping finds are decided: mail address, IBAN, key or
 token, payment card (Luhn), social security number, IP address, date, phone number.
-A card or IBAN that is followed by more groups (expiry date, CVV, currency) is the longest
-run of groups that validates.  Where a pseudonym would make a longer run valid, it is the
-next one of the permutation, so that it can be undone there too.
+A pseudonym is made from the key, the kind and the value alone, never from the text
+around it.  Cards and IBANs that stand among other groups of digits (expiry date, CVV,
+amount, numbers before) are found by the lengths of their issuer or country first;
+runs of other lengths that validate, the longest first, only where nothing else was found.
+What was replaced is undone from the spans that :func:`replaced` returns.
 
 Defined cases: a NULL text stays NULL with 0 finds, an empty one stays empty; NULL ids
 do not matter; repeated rows are handled alike; an empty table gives an empty result;
@@ -19,8 +21,10 @@ other columns pass through, those named like an added column are replaced.
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -77,13 +81,7 @@ class Feistel:
 _DIGITS, _LOWER, _UPPER, _HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 
 
-def _anything(new: str) -> bool:
-    return True
-
-
-def _recode(
-    net: Feistel, text: str, name: str, undo: bool, hexadecimal: bool = False, fits: Callable[[str], bool] = _anything
-) -> str:
+def _recode(net: Feistel, text: str, name: str, undo: bool, hexadecimal: bool = False) -> str:
     """Digits, lower and upper case letters permuted together, each within its class."""
     folded = text.lower() if hexadecimal else text
     alphabets = [
@@ -97,16 +95,14 @@ def _recode(
         return text
     shape = "".join(str(len(a)) if a else "." for a in alphabets)
 
-    def spelled(value: int) -> str:
-        out = []
-        for c, original, alphabet in zip(reversed(folded), reversed(text), reversed(alphabets)):
-            if alphabet:
-                value, at = divmod(value, len(alphabet))
-                c = alphabet[at].upper() if hexadecimal and original.isupper() else alphabet[at]
-            out.append(c)
-        return "".join(reversed(out))
-
-    return spelled(net.permute(value, n, f"{name}:{shape}", lambda v: fits(spelled(v)), undo))
+    value = net.permute(value, n, f"{name}:{shape}", undo=undo)
+    out = []
+    for c, original, alphabet in zip(reversed(folded), reversed(text), reversed(alphabets)):
+        if alphabet:
+            value, at = divmod(value, len(alphabet))
+            c = alphabet[at].upper() if hexadecimal and original.isupper() else alphabet[at]
+        out.append(c)
+    return "".join(reversed(out))
 
 
 def _refill(shape: str, digits: str) -> str:
@@ -138,22 +134,43 @@ def _iban_check(country: str, body: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
+# Length of an IBAN by country.
+_IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24,
+    "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29,
+    "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23, "TN": 24,
+    "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+_SPACES = " \u00a0\u2009\u202f"
+
+
+def _plain(found: str) -> str:
+    return "".join(c for c in found if c not in _SPACES)
+
+
 def _iban_valid(found: str) -> bool:
-    plain = found.replace(" ", "")
-    return _iban_check(plain[:2], plain[4:]) == plain[2:4]
+    plain = _plain(found).upper()
+    return found in (found.upper(), found.lower()) and _iban_check(plain[:2], plain[4:]) == plain[2:4]
 
 
-def _iban(net: Feistel, found: re.Match, undo: bool, fits: Callable[[str], bool] = _anything) -> str | None:
-    if not _iban_valid(found.group()):
-        return None
-    plain = found.group().replace(" ", "")
-    country = plain[:2]
+def _iban_usual(found: str) -> bool:
+    plain = _plain(found).upper()
+    return _IBAN_LENGTHS.get(plain[:2]) == len(plain)
 
-    def written(body: str) -> str:
-        rest = iter(country + _iban_check(country, body) + body)
-        return "".join(c if c == " " else next(rest) for c in found.group())
 
-    return written(_recode(net, plain[4:], f"iban{country}", undo, fits=lambda body: fits(written(body))))
+def _iban(net: Feistel, found: re.Match, undo: bool) -> str | None:
+    text = found.group()
+    if not _iban_valid(text):
+        return None
+    plain = _plain(text).upper()
+    country = plain[:2]
+    body = _recode(net, plain[4:], f"iban{country}", undo)
+    rest = iter(country + _iban_check(country, body) + body)
+    new = "".join(c if c in _SPACES else next(rest) for c in text)
+    return new if text == text.upper() else new.lower()
 
 
 def _secret(net: Feistel, found: re.Match, undo: bool) -> str | None:
@@ -167,17 +184,41 @@ def _card_valid(found: str) -> bool:
     return luhn_digit(digits[:-1]) == digits[-1]
 
 
-def _card(net: Feistel, found: re.Match, undo: bool, fits: Callable[[str], bool] = _anything) -> str | None:
+# First digits of payment cards and the usual lengths of their numbers.
+_ISSUERS = [
+    (range(4, 5), (16,)),
+    (range(51, 56), (16,)),
+    (range(2221, 2721), (16,)),
+    (range(34, 35), (15,)),
+    (range(37, 38), (15,)),
+    (range(300, 306), (14,)),
+    (range(36, 37), (14,)),
+    (range(38, 40), (14,)),
+    (range(3528, 3590), (16,)),
+    (range(6011, 6012), (16,)),
+    (range(644, 660), (16,)),
+    (range(62, 63), (16, 17, 18, 19)),
+]
+
+
+def _card_usual(found: str) -> bool:
+    if "." in found and min(map(len, re.split("[^0-9]", found))) < 3:
+        return False  # a decimal number
+    digits = _only_digits(found)
+    return any(len(digits) in sizes and int(digits[: len(str(first[0]))]) in first for first, sizes in _ISSUERS)
+
+
+def _card(net: Feistel, found: re.Match, undo: bool) -> str | None:
     if not _card_valid(found.group()):
         return None
     digits = _only_digits(found.group())
-    size = len(digits) - 1
+    size, usual = len(digits) - 1, _card_usual(digits)
 
-    def written(value: int) -> str:
-        body = f"{value:0{size}d}"
-        return _refill(found.group(), body + luhn_digit(body))
+    def alike(value: int) -> bool:
+        return _card_usual(f"{value:0{size}d}0") == usual
 
-    return written(net.permute(int(digits[:-1]), 10**size, f"card{size}", lambda v: fits(written(v)), undo))
+    body = f"{net.permute(int(digits[:-1]), 10**size, f'card{size}', alike, undo):0{size}d}"
+    return _refill(found.group(), body + luhn_digit(body))
 
 
 def _ssn_valid(value: int) -> bool:
@@ -200,49 +241,105 @@ def _ip(net: Feistel, found: re.Match, undo: bool) -> str | None:
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
+def _ipv6(net: Feistel, found: re.Match, undo: bool) -> str | None:
+    """An address in any of its spellings is one value; the pseudonym has the shortest one."""
+    text = found.group()
+    groups = [g for g in text.split(":") if g]
+    if len(groups) < 3 or not any(c in _DIGITS for c in text):
+        return None
+    try:
+        value = int(ipaddress.IPv6Address(text))
+    except ValueError:
+        return None
+    new = str(ipaddress.IPv6Address(net.permute(value, 1 << 128, "ipv6", undo=undo)))
+    return new.upper() if text == text.upper() and text != text.lower() else new
+
+
 _FIRST_DAY, _DAYS = dt.date(1900, 1, 1), (dt.date(2100, 1, 1) - dt.date(1900, 1, 1)).days
 
 
-def _date(net: Feistel, found: re.Match, undo: bool) -> str | None:
-    """Year first, or day and month first: month/day unless only day/month is a date.
+# years that two digits stand for
+_SHORT_FIRST = dt.date(1950, 1, 1)
+_SHORT_DAYS = (dt.date(2050, 1, 1) - _SHORT_FIRST).days
+
 
-    Only dates of 1900 to 2099 are dates here.  A day-first date becomes one that is read
-    day first again.
+def _other_day(net: Feistel, day: dt.date, undo: bool, short: bool, late: bool) -> dt.date | None:
+    """The pseudonym of a day of 1900 to 2099, or of 1950 to 2049 if the year has two digits.
+
+    ``late``: the new day is after the 12th, so that it is read day first again.
     """
+    first, days = (_SHORT_FIRST, _SHORT_DAYS) if short else (_FIRST_DAY, _DAYS)
+    value = (day - first).days
+    if not 0 <= value < days:
+        return None
+    name = ("short " if short else "") + ("late date" if late else "date")
+    return first + dt.timedelta(net.permute(value, days, name, lambda n: not late or (first + dt.timedelta(n)).day > 12, undo))
+
+
+def _date(net: Feistel, found: re.Match, undo: bool) -> str | None:
+    """Year first, or day and month first: month/day unless only day/month is a date."""
     parts = re.split(r"([-/.])", found.group())
     a, b, c = (int(parts[i]) for i in (0, 2, 4))
-    if len(parts[0]) == 4:
-        order, day_first = (a, b, c), False
-    else:
-        day_first = parts[1] == "." or a > 12
-        order = (c, b, a) if day_first else (c, a, b)
+    year_first, short = len(parts[0]) == 4, len(parts[4]) == 2 and len(parts[0]) < 4
+    day_first = not year_first and (parts[1] == "." or a > 12)
+    if short:
+        c += 1900 if c >= 50 else 2000
     try:
-        day = (dt.date(*order) - _FIRST_DAY).days
+        day = dt.date(*((a, b, c) if year_first else (c, b, a) if day_first else (c, a, b)))
     except ValueError:
         return None
-    if not 0 <= day < _DAYS:
+    new = _other_day(net, day, undo, short, late=day_first and parts[1] != ".")
+    if new is None:
         return None
-    needs_late_day = day_first and parts[1] != "."
+    year = f"{new.year % 100:02d}" if short else f"{new.year:04d}"
+    two = f"{new.month:02d}", f"{new.day:02d}"
+    texts = (year, *two) if year_first else (*(two[::-1] if day_first else two), year)
+    return texts[0] + parts[1] + texts[1] + parts[3] + texts[2]
 
-    def valid(n: int) -> bool:
-        return not needs_late_day or (_FIRST_DAY + dt.timedelta(n)).day > 12
 
-    new = _FIRST_DAY + dt.timedelta(net.permute(day, _DAYS, "late date" if needs_late_day else "date", valid, undo))
-    if len(parts[0]) == 4:
-        texts = f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"
-    else:
-        two = f"{new.day:02d}", f"{new.month:02d}"
-        texts = (*(two if day_first else two[::-1]), f"{new.year:04d}")
-    return texts[0] + parts[1] + texts[1] + parts[3] + texts[2]
+# Names of the months, whole and short.
+_MONTHS = {
+    "en": "january february march april may june july august september october november december",
+    "en short": "jan feb mar apr may jun jul aug sep oct nov dec",
+    "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "de": "januar februar märz april mai juni juli august september oktober november dezember",
+    "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+}
+_MONTH_NAMES = {kind: names.split() for kind, names in _MONTHS.items()}
+_MONTH = "|".join(sorted({n for names in _MONTH_NAMES.values() for n in names}, key=len, reverse=True))
+
+
+def _named_date(net: Feistel, found: re.Match, undo: bool) -> str | None:
+    """A date with the month's name, in the language of that name (the first that has it)."""
+    part = found.groupdict()
+    name, day, year = (part[k + "1"] or part[k + "2"] for k in ("month", "day", "year"))
+    kind, number = next((k, names.index(name.lower()) + 1) for k, names in _MONTH_NAMES.items() if name.lower() in names)
+    try:
+        new = _other_day(net, dt.date(int(year), number, int(day)), undo, short=False, late=False)
+    except ValueError:
+        return None
+    if new is None:
+        return None
+    month = _MONTH_NAMES[kind][new.month - 1]
+    month = month.upper() if name.isupper() else month.capitalize() if name[0].isupper() else month
+    values = {"month": month, "day": f"{new.day:02d}", "year": f"{new.year:04d}"}
+    spans = sorted((found.span(k), values[k[:-1]]) for k, v in part.items() if v is not None)
+    out, at = [], found.start()
+    for (start, end), value in spans:
+        out += [found.string[at:start], value]
+        at = end
+    return "".join(out) + found.string[at : found.end()]
 
 
 def _phone(net: Feistel, found: re.Match, undo: bool) -> str | None:
-    """The country code after a plus sign stays: 1, else the digits up to the first separator."""
+    """The country code after a plus sign or 00 stays: 1, else the digits up to the first separator."""
     text = found.group()
     digits = _only_digits(text)
     code = 0
     if text[0] == "+":
         code = 1 if digits[0] == "1" else len(re.match(r"\+([0-9]{1,3})", text).group(1))
+    elif text.startswith("00"):
+        code = 3 if digits[2] == "1" else len(re.match(r"00[0-9]{1,3}", text).group())
     national = digits[code:]
     if not 7 <= len(national) <= 14:
         return None
@@ -251,10 +348,20 @@ def _phone(net: Feistel, found: re.Match, undo: bool) -> str | None:
     return _refill(text, digits[:code] + f"{value:0{size}d}")
 
 
+def _called(net: Feistel, found: re.Match, undo: bool) -> str | None:
+    """Digits without separators after a word that says that they are a phone number."""
+    size = len(found.group(2))
+    return found.group(1) + f"{net.permute(int(found.group(2)), 10**size, f'phone{size}', undo=undo):0{size}d}"
+
+
+_CARD_GROUPS = r"[0-9](?:[ .\u00a0\u2009\u202f-]?[0-9]){12,18}(?![0-9])"
+_IBAN_GROUPS = r"(?:[ \u00a0\u2009\u202f]?%s{4}){2,7}(?:[ \u00a0\u2009\u202f]?%s{1,3})?\b"
+
 # pattern, what a text must contain for a match, pseudonym (None: not valid, left alone)
 _KINDS: list[tuple[str, re.Pattern, str, Callable]] = [
     ("mail", re.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}\b"), "@", _mail),
-    ("iban", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), "0-9", _iban),
+    ("iban", re.compile(r"\b[A-Z]{2}[0-9]{2}" + _IBAN_GROUPS % (("[A-Z0-9]",) * 2)), "0-9", _iban),
+    ("iban", re.compile(r"\b[a-z]{2}[0-9]{2}" + _IBAN_GROUPS % (("[a-z0-9]",) * 2)), "0-9", _iban),
     (
         "secret",
         re.compile(
@@ -265,92 +372,174 @@ _KINDS: list[tuple[str, re.Pattern, str, Callable]] = [
         _secret,
     ),
     ("secret", re.compile(r"\b(AKIA|ASIA|ghp_)([A-Za-z0-9]{16,36})\b"), "", _secret),
-    ("card", re.compile(r"(?<![0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])(?!-[0-9])"), "0-9", _card),
+    ("card", re.compile(r"(?<![0-9])" + _CARD_GROUPS), "0-9", _card),
     ("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), "0-9", _ssn),
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])(?!\.[0-9])"), "0-9", _ip),
     (
         "date",
         re.compile(
-            r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}"
-            r"|[0-9]{1,2}([./-])[0-9]{1,2}\1[0-9]{4})(?![0-9/-])(?!\.[0-9])"
+            r"(?<![0-9./-])(?:[0-9]{4}([./-])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([./-])[0-9]{1,2}\2[0-9]{4}"
+            r"|[0-9]{1,2}/[0-9]{1,2}/[0-9]{2})(?![0-9/-])(?!\.[0-9])"
         ),
         "0-9",
         _date,
     ),
+    (
+        "date",
+        re.compile(
+            rf"(?i)\b(?:(?P<day1>[0-9]{{1,2}})(?:st|nd|rd|th|er|\.)?(?: de)? (?P<month1>{_MONTH})\.?,?(?: de)? (?P<year1>[0-9]{{4}})"
+            rf"|(?P<month2>{_MONTH})\.? (?P<day2>[0-9]{{1,2}})(?:st|nd|rd|th)?,? (?P<year2>[0-9]{{4}}))\b"
+        ),
+        "0-9",
+        _named_date,
+    ),
+    (
+        "ip",
+        re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f:]*:[0-9A-Fa-f:]*:)[0-9A-Fa-f:]{4,39}(?![\w:])"),
+        ":",
+        _ipv6,
+    ),
     (
         "phone",
         re.compile(
-            r"(?<![\w.+-])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}"
+            r"(?<![\w.+-])(?:(?:\+|00(?=[1-9]))[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}"
             r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9])(?!-[0-9])"
         ),
         "0-9",
         _phone,
     ),
+    (
+        "phone",
+        re.compile(
+            r"((?i:\b(?:tel|telephone|phone|mobile|cell|fax|call|whatsapp)\b\.?\s{0,2}(?:no\.?|number)?\s{0,2}[:#]?\s{0,3}))"
+            r"([0-9]{7,12})(?![0-9])"
+        ),
+        "0-9",
+        _called,
+    ),
 ]
 _ANY_DIGIT = re.compile("[0-9]")
-# kinds whose pattern can run on into the groups behind a value
-_GROUPED = {"iban": _iban_valid, "card": _card_valid}
+# kinds whose pattern can run on into the groups around a value: whether a run has a usual length
+_GROUPED = {"iban": _iban_usual, "card": _card_usual}
 _RUNS_ON = re.compile("[/.:][0-9]")  # the last group is the start of a date, an amount or a time
+_SEPARATORS = " .-" + _SPACES
+
+
+class _Taken:
+    """Finds that do not overlap, in order."""
+
+    def __init__(self):
+        self.finds: list[tuple[int, int, str, str]] = []
+
+    def free(self, start: int, end: int) -> bool:
+        at = bisect.bisect_left(self.finds, (end,))  # the finds before it start before ``end``
+        return not at or self.finds[at - 1][1] <= start
+
+    def add(self, *find) -> None:
+        bisect.insort(self.finds, find)
 
 
 def _ends(pattern: re.Pattern, text: str, found: re.Match) -> list[re.Match]:
     """The match and those from its start to the ends of its earlier groups: longest first, ends that run on last."""
     start, end = found.span()
-    ends = [at for at in range(end, start, -1) if at == end or text[at] in " -"]
+    ends = [at for at in range(end, start, -1) if at == end or text[at] in _SEPARATORS]
     ends.sort(key=lambda at: _RUNS_ON.match(text, at) is not None)
     return [shorter for at in ends if (shorter := pattern.fullmatch(text, start, at))]
 
 
-def _grouped(kind: str, pattern: re.Pattern, text: str, taken: list, pseudonym: Callable, net: Feistel, undo: bool) -> None:
-    """Adds to ``taken`` the longest valid match of each start; a start without one is passed by."""
-    valid = _GROUPED[kind]
-    at, failed = 0, []  # spans that were looked at since the last find
-    while found := pattern.search(text, at):
-        at = found.start() + 1
-        for tried in _ends(pattern, text, found):
-            start, end = tried.span()
-            if any(s < end and start < e for s, e, _, _ in taken):
-                continue
-            near = [(s, e) for s, e in failed if e > start]
+def _alone(text: str, found: re.Match) -> bool:
+    """No digit stands before the run or behind it, also across a sign."""
+    before, after = text[max(0, found.start() - 2) : found.start()], text[found.end() : found.end() + 2]
+    return not re.search(r"[0-9][.-]\Z|[.-]\Z", before) and not re.match("-[0-9]", after)
 
-            def fits(new: str) -> bool:
-                return not any(valid((text[s:start] + new + text[end : max(end, e)])[: e - s]) for s, e in near)
-
-            new = pseudonym(net, tried, undo, fits)
-            if new is not None:
-                taken.append((start, end, kind, new))
-                at, failed = end, []
-                break
-            failed.append((start, end))
 
+def _grouped(kind: str, pattern: re.Pattern, text: str, taken: _Taken, pseudonym: Callable, net: Feistel, undo: bool) -> None:
+    """Finds of a usual length wherever they start; then the longest valid run of each other start.
 
-def pseudonymise(text: str | None, net: Feistel, undo: bool = False) -> tuple[str | None, list[tuple[int, int, str]]]:
-    """The text with pseudonyms, and (start, end, kind) of what was replaced in the input."""
-    if not text:
-        return text, []
+    Lower-case IBANs and cards with dots are found by their usual length only: they look
+    like other words and decimal numbers.
+    """
+    usual = _GROUPED[kind]
+    for only_usual in (True, False):
+        at = 0
+        while found := pattern.search(text, at):
+            at = found.start() + 1
+            if not only_usual and (not _alone(text, found) or found.group()[:2].islower()):
+                continue
+            for tried in _ends(pattern, text, found):
+                start, end = tried.span()
+                if not usual(tried.group()) if only_usual else "." in tried.group():
+                    continue
+                if not taken.free(start, end):
+                    continue
+                new = pseudonym(net, tried, undo)
+                if new is not None:
+                    taken.add(start, end, kind, new)
+                    at = end
+                    break
+
+
+def _finds(text: str, net: Feistel, undo: bool = False) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, pseudonym) of all values of a text, in order."""
     digit = _ANY_DIGIT.search(text) is not None
-    taken: list[tuple[int, int, str, str]] = []
+    taken = _Taken()
     for kind, pattern, need, pseudonym in _KINDS:
-        if (need == "0-9" and not digit) or (need == "@" and "@" not in text) or (need == "=:" and not ("=" in text or ":" in text)):
+        if need == "0-9" and not digit or need and need != "0-9" and not any(sign in text for sign in need):
             continue
         if kind in _GROUPED:
             _grouped(kind, pattern, text, taken, pseudonym, net, undo)
             continue
         for found in pattern.finditer(text):
             start, end = found.span()
-            if any(s < end and start < e for s, e, _, _ in taken):
+            if not taken.free(start, end):
                 continue
             new = pseudonym(net, found, undo)
             if new is not None:
-                taken.append((start, end, kind, new))
-    if not taken:
-        return text, []
-    taken.sort()
-    out, at = [], 0
-    for start, end, _, new in taken:
+                taken.add(start, end, kind, new)
+    return taken.finds
+
+
+def _with(text: str, finds: list[tuple[int, int, str, str]]) -> tuple[str, list[tuple[int, int, str]]]:
+    """The text with the new values, and where they are in it."""
+    out, spans, at, size = [], [], 0, 0
+    for start, end, kind, new in finds:
+        size += start - at
+        spans.append((size, size + len(new), kind))
         out += [text[at:start], new]
-        at = end
-    return "".join([*out, text[at:]]), [(s, e, k) for s, e, k, _ in taken]
+        at, size = end, size + len(new)
+    return "".join([*out, text[at:]]), spans
+
+
+def pseudonymise(text: str | None, net: Feistel, undo: bool = False) -> tuple[str | None, list[tuple[int, int, str]]]:
+    """The text with pseudonyms, and (start, end, kind) of what was replaced in the input.
+
+    ``undo`` turns back what is found in a text; :func:`restored` turns back what was replaced.
+    """
+    finds = _finds(text, net, undo) if text else []
+    return _with(text, finds)[0] if finds else text, [find[:3] for find in finds]
+
+
+def replaced(text: str | None, net: Feistel) -> tuple[str | None, list[tuple[int, int, str]]]:
+    """The text with pseudonyms, and (start, end, kind) of where these are in the result."""
+    return _with(text, _finds(text, net)) if text else (text, [])
+
+
+def restored(text: str, spans: list[tuple[int, int, str]], net: Feistel) -> str:
+    """The text before :func:`replaced`, from its result and spans.
+
+    Days and months come back with two digits, IPv6 addresses in their shortest spelling.
+    """
+    finds = []
+    for start, end, kind in spans:
+        for name, pattern, _, pseudonym in _KINDS:
+            found = pattern.fullmatch(text, start, end) if name == kind else None
+            old = found and pseudonym(net, found, True)
+            if old is not None:
+                finds.append((start, end, kind, old))
+                break
+        else:
+            raise ValueError(f"no {kind} at {start} to {end}")
+    return _with(text, finds)[0]
 
 
 def pseudonymised(docs: DataFrame, spec: PiiSpec = PiiSpec()) -> DataFrame:
