@@ -233,11 +233,18 @@ _RECORDS = (
 )
 
 
+_MOST_TASKS = 100_000  # beyond that a task reads several ranges
+
+
 def read_archives(spark: SparkSession, folder: str, spec: WarcSpec = WarcSpec(), payload: bool = True) -> DataFrame:
     """All records of the archives below ``folder``; ``payload=False`` leaves payloads out."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "length")
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(spec.range_bytes).cast("long"))
-    ranges = files.filter("length > 0").select("path", F.explode(starts).alias("start")).repartition("path", "start")
+    ranges = files.filter("length > 0").select("path", F.explode(starts).alias("start"))
+    # a row of a hundred bytes stands for a range of the archive, so the number of tasks is
+    # given: with it, rows are not dealt to fewer tasks by their own small size
+    tasks = files.agg(F.sum(F.ceil(F.col("length") / spec.range_bytes))).first()[0] or 1
+    ranges = ranges.repartition(min(int(tasks), _MOST_TASKS), "path", "start")
     width = spec.range_bytes
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
