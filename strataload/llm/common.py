@@ -52,9 +52,6 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(-1)).cast("int")
 
 
-_LOTS = 64
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, with underscores added until no column of ``df`` has them."""
     used = {c.lower() for c in df.columns}
@@ -68,18 +65,24 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 
 def sample_ids(rows: DataFrame, per: Sequence[str], limit: int, seed: str) -> DataFrame:
-    """At most ``limit`` rows for each value of ``per``, chosen by a hash of doc_id.
+    """At most ``limit`` rows for each value of ``per`` (not NULL), chosen by a hash of doc_id.
 
-    The same rows on every run.  Each value is cut in lots first, so the last task gets
-    ``_LOTS`` times ``limit`` rows of it at most, however many tasks read the table.
+    The same rows on every run.  The values are counted first, and only rows whose hash is
+    below the share of its value that is wanted, and a little more, are ranked: a task
+    gets about ``limit`` rows of a value, however many the table has.  One count per value
+    comes to the driver.
     """
     mixed = F.xxhash64(F.lit(seed), "doc_id")
-    lot, rank = fresh(rows, "lot", "rank")
-    for keys in ([*per, lot], list(per)):
-        order = Window.partitionBy(*keys).orderBy(mixed, "doc_id")
-        rows = rows.withColumn(lot, F.pmod(mixed, F.lit(_LOTS)))
-        rows = rows.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) <= limit).drop(rank, lot)
-    return rows
+    total, rank = fresh(rows, "total", "rank")
+    counts = rows.groupBy(*per).agg(F.count(F.lit(1)).alias(total)).collect()
+    schema = T.StructType([*[rows.schema[c] for c in per], T.StructField(total, T.LongType())])
+    known = F.broadcast(rows.sparkSession.createDataFrame(counts, schema))
+    names = rows.columns
+    rows = rows.join(known, list(per)) if per else rows.withColumn(total, F.lit(counts[0][0]))
+    enough = limit + 8 * limit**0.5 + 50  # a hash share below it leaves out too much once in 10^15
+    rows = rows.filter((mixed / F.lit(2.0**64) + 0.5) * F.col(total) < enough).select(*names)
+    order = Window.partitionBy(*per).orderBy(mixed, *names)
+    return rows.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) <= limit).drop(rank)
 
 
 class WordHashes(dict):

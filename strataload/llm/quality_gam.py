@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataload.llm.common import append, settle
+from strataload.llm.common import append, sample_ids, settle
 
 
 @dataclass(frozen=True)
@@ -261,16 +261,16 @@ def boost(x: np.ndarray, y: np.ndarray, spec: GamSpec) -> GamModel:
 def fit(docs: DataFrame, labels: DataFrame, spec: GamSpec = GamSpec()) -> GamModel:
     """Learn from ``labels`` (doc_id, label 0/1) of ``docs`` (doc_id, text)."""
     sample = labels.filter("label is not null and doc_id is not null").select("doc_id", F.col("label").cast("double").alias("label"))
-    sample = sample.orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id", "label").limit(spec.sample_rows)
-    rows = docs.select("doc_id", "text").join(settle(sample), "doc_id")
+    sample = settle(sample_ids(sample, [], spec.sample_rows, "quality"))
+    rows = docs.select("doc_id", "text").join(sample, "doc_id")
     made = append(
         rows,
         ["text"],
         lambda batch: pd.DataFrame({"x": [features_of(t) for t in batch.text]}),
         T.StructType().add("x", T.ArrayType(T.DoubleType())),
     )
-    # bounded by the sample; ordered, as sums of floats depend on the order
-    learned = made.select("doc_id", "label", "x").orderBy("doc_id", "label", "x").collect()
+    # bounded by the sample; ordered here, as sums of floats depend on the order
+    learned = sorted(made.select("doc_id", "label", "x").collect())
     x = np.array([r["x"] for r in learned], float).reshape(-1, len(FEATURES))
     return boost(x, np.array([r["label"] for r in learned], float), spec)
 
