@@ -293,3 +293,16 @@ def load_counts(t: Tables):
     sink.publish(out, sink.scratch_folder(t.spark), guards=guards)
     closed = t.spark.createDataFrame([("closed", metrics.of("history")["closed"])], "name string, n long")
     return metrics.frame(t.spark).unionByName(closed)
+
+
+@query("load_by_key_pruned", ORACLES["load_by_key"])
+def load_by_key_pruned(t: Tables):
+    return inc.load_by_key(orders_src(t), orders_tgt(t), keys=["order_id"], audit=AUDIT, prune=True).to_df()
+
+
+@query("load_multi_key_date_pruned", ORACLES["load_multi_key_date"])
+def load_multi_key_date_pruned(t: Tables):
+    sets = [["order_id"], ["cust_id"]]
+    return inc.load_multi_key_date(
+        orders_src(t), orders_tgt(t), key_sets=sets, date_col="order_date", audit=AUDIT, prune=True
+    ).to_df()

@@ -17,8 +17,8 @@ from strataload.catalog.frames import (
     orders_tgt,
     restricted,
 )
-from strataload.catalog.registry import Tables, query
-from strataload.operators import identity, lookup, recode
+from strataload.catalog.registry import ORACLES, Tables, query
+from strataload.operators import identity, lookup, recode, sweep
 from strataload.plans import rules
 
 
@@ -232,3 +232,48 @@ def restricted_name_recode(t: Tables):
     dictionary = recode.update_name_dictionary(rows, ["plan_name", "payer_name"], patterns, None)
     columns = {"plan_name": "plan_name", "payer_name": "organization_name"}
     return recode.recode_restricted(rows, columns, patterns, dictionary, "recoded")
+
+
+def _cust_outputs():
+    return {"version": "version", "segment": "segment"}
+
+
+@query("asof_sweep", ORACLES["asof_validity_join"])
+def asof_sweep(t: Tables):
+    return sweep.asof_sweep(_dated_orders(t), cust_versions(t), {"o_custkey": "cust_id"}, outputs=_cust_outputs(), stream_rows=5_000)
+
+
+# every order opens a version of its customer for 200 days: many versions per key, most of them overlapping
+PERIODS_CTE = """
+periods as (
+  select o_custkey as cust_id, o_orderkey as version, cast(o_orderdate as date) as add_date,
+         cast(cast(o_orderdate as date) + interval 200 day as date) as delete_date from orders)"""
+
+
+def _periods(t: Tables):
+    day = F.col("o_orderdate").cast("date")
+    return t.orders.select(
+        F.col("o_custkey").alias("cust_id"), F.col("o_orderkey").alias("version"), day.alias("add_date"), F.date_add(day, 200).alias("delete_date")
+    )
+
+
+@query(
+    "asof_sweep_overlaps",
+    f"""with {PERIODS_CTE}
+select o_orderkey, o_custkey, cast(o_orderdate as date) as add_date, p.version from orders o
+left join periods p on o.o_custkey = p.cust_id and cast(o_orderdate as date) between p.add_date and p.delete_date""",
+)
+def asof_sweep_overlaps(t: Tables):
+    return sweep.asof_sweep(_dated_orders(t), _periods(t), {"o_custkey": "cust_id"}, outputs={"version": "version"})
+
+
+@query(
+    "overlapping_versions",
+    f"""with {PERIODS_CTE}
+select cust_id, version, add_date, delete_date from (
+  select *, max(delete_date) over (partition by cust_id order by add_date, delete_date, version
+                                   rows between unbounded preceding and 1 preceding) as before from periods) x
+where add_date <= before""",
+)
+def overlapping_versions(t: Tables):
+    return sweep.overlapping_versions(_periods(t), ["cust_id"])

@@ -6,10 +6,10 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from strataload.catalog.frames import DEACT_CTE, deact_feed
+from strataload.catalog.frames import DEACT_CTE, ORDERS_CTE, deact_feed, orders_src, orders_tgt
 from strataload.catalog.publishing import FILES, file_lines
 from strataload.catalog.registry import Tables, query
-from strataload.operators import quality
+from strataload.operators import diff, quality
 from strataload.operators.quality import Case
 from strataload.sources import scan
 
@@ -266,3 +266,35 @@ from ({RESULTS_SQL}) x group by table_name""",
 )
 def qa_summary(t: Tables):
     return quality.qa_summary(_suite(t), ["table_name"])
+
+
+@query(
+    "table_diff",
+    f"""with {ORDERS_CTE},
+ours as (select order_id, status, total, order_date, count(*) as n from orders_src group by all),
+theirs as (select order_id, status, total, order_date, count(*) as n from (
+  select * from orders_tgt union all select * from orders_tgt where order_id % 7 = 0) x group by all)
+select coalesce(a.order_id, b.order_id) as order_id, coalesce(a.status, b.status) as status, coalesce(a.total, b.total) as total,
+       coalesce(a.order_date, b.order_date) as order_date, coalesce(a.n, 0) as left_rows, coalesce(b.n, 0) as right_rows
+from ours a full join theirs b on a.order_id is not distinct from b.order_id and a.status is not distinct from b.status
+  and a.total is not distinct from b.total and a.order_date is not distinct from b.order_date
+where coalesce(a.n, 0) <> coalesce(b.n, 0)""",
+)
+def table_diff(t: Tables):
+    columns = ["order_id", "status", "total", "order_date"]
+    theirs = orders_tgt(t).unionByName(orders_tgt(t).filter("order_id % 7 = 0"))
+    return diff.table_diff(orders_src(t).select(*columns), theirs.select(*columns))
+
+
+@query(
+    "table_diff_counts",
+    """with both_sides as (
+  select o_custkey, o_orderstatus, count(*) filter (where o_orderpriority <> '1-URGENT') as l,
+         count(*) filter (where o_orderpriority <> '5-LOW') as r from orders group by all)
+select case when r = 0 then 'left_only' when l = 0 then 'right_only' else 'multiplicity' end as kind, count(*) as n
+from both_sides where l <> r group by 1""",
+)
+def table_diff_counts(t: Tables):
+    columns = ["o_custkey", "o_orderstatus"]
+    sides = (t.orders.filter(f"o_orderpriority <> '{p}'").select(*columns) for p in ("1-URGENT", "5-LOW"))
+    return diff.diff_counts(*sides)

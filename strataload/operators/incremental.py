@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataload.audit import AuditSpec
+from strataload.operators.prune import split
 from strataload.operators.skew import KEY, join_side, key_set, packed
 from strataload.schema import align_to_source, union_bag
 from strataload.sources.metrics import Metrics
@@ -83,7 +84,19 @@ def _matched(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     return found.withColumn("_hit", F.coalesce("_hit", F.lit(False)))
 
 
-def _history(marked_active: DataFrame, inactive: DataFrame, as_set: bool, distinct_active: bool = True) -> DataFrame:
+def _pruned(active: DataFrame, src: DataFrame, key_sets: Sequence[Sequence[str]], prune: bool):
+    """(active rows to compare, rows that no source key can meet, or None).
+
+    For small feeds into large tables: a bitmap of the source's keys takes the other rows
+    past the shuffle, at the price of scanning the active rows twice.  These rows are not
+    made distinct, so the active target must be a set, as every load leaves it.
+    """
+    return split(active, src, key_sets) if prune else (active, None)
+
+
+def _history(
+    marked_active: DataFrame, inactive: DataFrame, as_set: bool, distinct_active: bool = True, aside: DataFrame | None = None
+) -> DataFrame:
     """Marked active rows and untouched inactive rows.
 
     Strategies with set semantics make the active rows distinct, which after a join on
@@ -95,6 +108,8 @@ def _history(marked_active: DataFrame, inactive: DataFrame, as_set: bool, distin
     marked = marked_active.select(*old.columns)
     if distinct_active:
         marked = marked.distinct()
+    if aside is not None:
+        marked = marked.unionByName(aside.withColumn(MARK, F.lit(False)).select(*old.columns))
     return marked.unionByName(old.distinct() if as_set else old)
 
 
@@ -181,15 +196,19 @@ def load_by_key(
     audit: AuditSpec,
     on_dropped: str = "error",
     history_as_set: bool = False,
+    prune: bool = False,
 ) -> Buckets:
-    """Active target rows whose key comes again are closed, even if identical."""
+    """Active target rows whose key comes again are closed, even if identical.
+
+    ``prune``: see :func:`_pruned`.
+    """
     if tgt is None:
         return Buckets(src, None, audit)
     tgt = _target(src, tgt, on_dropped)
-    marked = _matched(_active(tgt), key_set(src, keys), keys).withColumnRenamed("_hit", MARK)
-    return Buckets(
-        _active(src), _history(marked, _inactive(tgt), history_as_set), audit, closed_flag=1, kept_flag=0
-    )
+    active, aside = _pruned(_active(tgt), src, [keys], prune)
+    marked = _matched(active, key_set(src, keys), keys).withColumnRenamed("_hit", MARK)
+    history = _history(marked, _inactive(tgt), history_as_set, aside=aside)
+    return Buckets(_active(src), history, audit, closed_flag=1, kept_flag=0)
 
 
 def load_deact_key(
@@ -268,17 +287,18 @@ def load_multi_key_date(
     audit: AuditSpec,
     on_dropped: str = "error",
     history_as_set: bool = False,
+    prune: bool = False,
 ) -> Buckets:
     """Alternative keys with a date rule.
 
     The first key set with a match decides.  An active target row is closed by a
     source row of another hash that is not older; an older source row is
-    dropped; a source row without any match is added.
+    dropped; a source row without any match is added.  ``prune``: see :func:`_pruned`.
     """
     if tgt is None:
         return Buckets(src, None, audit)
     tgt = _target(src, tgt, on_dropped)
-    active = _active(tgt)
+    active, aside = _pruned(_active(tgt), src, key_sets, prune)
     has_hash = F.col("hashkey").isNotNull()
     marked = _first_state(active, src, key_sets, date_col, newest=True)
     closed = has_hash & (F.col(date_col) <= _far_date())
@@ -287,7 +307,7 @@ def load_multi_key_date(
     fresh = seen.filter(F.col("_state").isNull() | (has_hash & (_far_date() <= F.col(date_col))))
     return Buckets(
         fresh.select(*src.columns),
-        _history(marked, _inactive(tgt), history_as_set),
+        _history(marked, _inactive(tgt), history_as_set, aside=aside),
         audit,
         closed_flag=0,
         kept_flag=0,
@@ -303,6 +323,7 @@ def load_key_date(
     audit: AuditSpec,
     on_dropped: str = "error",
     history_as_set: bool = False,
+    prune: bool = False,
 ) -> Buckets:
     """As the alternative-key load, with one (composite) key."""
     return load_multi_key_date(
@@ -313,6 +334,7 @@ def load_key_date(
         audit=audit,
         on_dropped=on_dropped,
         history_as_set=history_as_set,
+        prune=prune,
     )
 
 
