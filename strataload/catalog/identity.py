@@ -8,6 +8,7 @@ from strataload.catalog.frames import AUDIT, SOURCES_CTE, multi_source
 from strataload.catalog.registry import Tables, query
 from strataload.operators import identity, lookup, mastering, quality
 from strataload.plans import jobs, mapping
+from strataload.plans.jobs import IdColumn
 from strataload.plans.mapping import MappingRow
 from strataload.sources import sink
 
@@ -354,3 +355,29 @@ def combine_sources(t: Tables):
 )
 def join_fanout_check(t: Tables):
     return quality.fanout_check(t.lineitem, ["l_orderkey", "l_linenumber"])
+
+
+@query(
+    "job_external_ids",
+    """with one as (select distinct c_custkey as member, c_mktsegment as segment from customer where c_mktsegment <> 'BUILDING'),
+first as (select member, segment, dense_rank() over (order by member) as id from one),
+late as (select distinct c_custkey as member, c_mktsegment as segment from customer where c_mktsegment = 'BUILDING'),
+ids as (
+  select member, segment, null as nation, id, 'day1' as insert_ts from first union all
+  select l.member, l.segment, c_nationkey, (select max(id) from first) + dense_rank() over (order by l.member), 'day2'
+  from late l join customer on c_custkey = l.member),
+second as (
+  select member, 500 + dense_rank() over (order by member) as code from late union all
+  select member, 500 + (select count(*) from late) + dense_rank() over (order by member) from one)
+select i.*, s.code from ids i join second s on i.member = s.member""",
+)
+def job_external_ids(t: Tables):
+    """Two days: new members on the second, with one more attribute and one more id for all of them."""
+    path = sink.scratch_folder(t.spark)
+    rows = t.customer.select(F.col("c_custkey").alias("member"), F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"))
+    one = IdColumn("id")
+    jobs.external_ids_table(t.spark, rows.drop("nation"), ["member"], [one], path, "day1", "segment <> 'BUILDING'")
+    jobs.external_ids_table(t.spark, rows, ["member"], [one, IdColumn("code", 500)], path, "day2")
+    table, new = jobs.external_ids_table(t.spark, rows, ["member"], [one, IdColumn("code", 500)], path, "day3")
+    assert not new
+    return table

@@ -9,7 +9,7 @@ from strataload.catalog.registry import Tables, query
 from strataload.operators import dedupe
 from strataload.plans import extract, jobs
 from strataload.plans.extract import ExtractField, ExtractSpec
-from strataload.sources import scan, sink, versions
+from strataload.sources import cluster, scan, sink, versions
 
 DAY = "2024-02-01"
 
@@ -312,3 +312,47 @@ def read_version(t: Tables):
         versions.versioned_publish(rows.withColumn("version", F.lit(number)), path, "o_orderstatus")
     versions.restore_version(t.spark, path, 1, "o_orderstatus", "P")
     return versions.read_version(t.spark, path)
+
+
+@query(
+    "fixed_file_count",
+    "select o_orderstatus, count(*) as n, 3 as files from orders group by o_orderstatus",
+)
+def fixed_file_count(t: Tables):
+    path = sink.scratch_folder(t.spark)
+    sink.publish(t.orders.select("o_orderkey", "o_orderstatus"), path, files=3)
+    written = t.spark.read.parquet(path).withColumn("file", F.col("_metadata.file_name"))
+    files = written.agg(F.countDistinct("file").alias("files")).scalar()
+    return written.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).withColumn("files", files.cast("int"))
+
+
+@query("copy_table", "select o_orderkey, o_orderstatus, o_custkey from orders")
+def copy_table(t: Tables):
+    folder = sink.scratch_folder(t.spark)
+    sink.publish(t.orders.select("o_orderkey", "o_orderstatus", "o_custkey"), f"{folder}/one")
+    sink.copy_table(t.spark, f"{folder}/one", f"{folder}/two", "o_orderstatus")
+    return t.spark.read.parquet(f"{folder}/two")
+
+
+@query(
+    "cleanse_pass_through",
+    f"""with {ORDERS_CTE} select order_id, cust_id as member, status, total, order_date, hashkey, add_date, delete_date,
+  last_modified_date, is_active, is_incremental from orders_tgt where is_active = 1""",
+)
+def cleanse_pass_through(t: Tables):
+    """A table without rules: its rows in scope under standard names."""
+    target = jobs.Target(sink.scratch_folder(t.spark), partition_by="is_active")
+    return jobs.cleanse_table(t.spark, orders_tgt(t), "orders", [], {}, target, "active", names={"cust_id": "member", "status": " "})
+
+
+@query(
+    "clustered_write",
+    """select l_orderkey, l_partkey, l_linenumber, l_quantity from lineitem
+where l_partkey between 10 and 40""",
+)
+def clustered_write(t: Tables):
+    """Rows of one part of a table that was written in the order of two columns at once."""
+    path = sink.scratch_folder(t.spark)
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    cluster.clustered_write(rows, path, ["l_orderkey", "l_partkey"], files=16)
+    return cluster.read_clustered(t.spark, path, {"l_partkey": (10, 40)})

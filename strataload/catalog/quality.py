@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -298,3 +299,30 @@ def table_diff_counts(t: Tables):
     columns = ["o_custkey", "o_orderstatus"]
     sides = (t.orders.filter(f"o_orderpriority <> '{p}'").select(*columns) for p in ("1-URGENT", "5-LOW"))
     return diff.diff_counts(*sides)
+
+
+@query(
+    "selected_cases",
+    f"""select table_name, status, count(*) as n from ({RESULTS_SQL}) x
+where table_name = 'labels' or testcase_id in ('tc01', 'tc03') group by 1, 2""",
+)
+def selected_cases(t: Tables):
+    """Cases of one table, and the sanity cases of all tables."""
+    marked = [replace(c, sanity=c.id in ("tc01", "tc03")) for c in CASES]
+    chosen = {c.id: c for c in [*quality.select_cases(marked, table=" Labels"), *quality.select_cases(marked, sanity=True)]}
+    tables = {"orders": t.orders, "lineitem": t.lineitem, "labels": t.labels}
+    results = quality.run_expectations(t.spark, list(chosen.values()), tables)
+    return results.groupBy("table_name", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "run_all_validations",
+    """select 'rows' as check_name, true as passed union all select 'feed', count(*) > 0 from orders""",
+)
+def run_all_validations(t: Tables):
+    control = t.orders.groupBy(F.lit("orders_1").alias("file_name")).agg(F.count(F.lit(1)).alias("row_count"))
+    checks = {
+        "rows": lambda: quality.check_total_rows(t.orders, control, "orders", "pattern", "rows"),
+        "feed": lambda: quality.check_deact_feed(t.orders, "incremental", "feed"),
+    }
+    return quality.run_validations(checks)

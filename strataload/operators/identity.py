@@ -100,10 +100,10 @@ def new_keys(incoming: DataFrame, existing: DataFrame, keys: Sequence[str], wher
     return new_rows(rows, existing, keys)
 
 
-def backfill_ids(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
-    """Give ids to rows without one, going on from the current highest id."""
+def backfill_ids(df: DataFrame, keys: Sequence[str], id_col: str, seed: int = 0) -> DataFrame:
+    """Give ids to rows without one, going on from the current highest id (``seed`` without any)."""
     missing, present = df.filter(F.col(id_col).isNull()), df.filter(F.col(id_col).isNotNull())
-    filled = dense_ids(missing.drop(id_col), keys, max_id(present, id_col), id_col)
+    filled = dense_ids(missing.drop(id_col), keys, max_id(present, id_col, seed), id_col)
     return filled.select(*df.columns).unionByName(present)
 
 

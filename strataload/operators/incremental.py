@@ -400,25 +400,60 @@ def load_partitioned(
 ) -> DataFrame:
     """A strategy of its own for every configured value of ``column``.
 
-    ``plans`` maps the value to (strategy name, its arguments).  Target rows of
-    other values stay as they are.  Source rows of other values, NULL included, are an
+    ``plans`` maps the value to (strategy name, its arguments).  Values with the same plan
+    are one load, so the scans grow with the different plans, not with the values (a
+    deactivation feed is one load per value).  Target rows of other values stay as they are.  Source rows of other values, NULL included, are an
     error: give them a plan or take them out first (:func:`unplanned_rows`).
     """
     rest = unplanned_rows(src, column, plans).select(column).limit(1).collect()
     if rest:
         raise ValueError(f"source rows without a load plan, e.g. {column} = {rest[0][0]!r}")
+    value = F.lower(F.trim(F.col(column).cast("string")))
+    together: dict[str, list[str]] = {}  # values that are loaded alike
+    for name, (strategy, args) in plans.items():
+        alike = repr((strategy, sorted(args.items()))) if strategy in _WITHIN else name
+        together.setdefault(alike, []).append(name)
     parts = []
-    for value, (name, args) in plans.items():
-        here = F.lower(F.trim(F.col(column).cast("string"))) == value.strip().lower()
+    for names in together.values():
+        strategy, args = plans[names[0]]
+        here = value.isin([n.strip().lower() for n in names])
         part = None if tgt is None else tgt.filter(here)
-        parts.append(LOADS[name](src.filter(here), part, audit=audit, **args).to_df())
+        if len(names) == 1 or part is None:
+            parts.append(LOADS[strategy](src.filter(here), part, audit=audit, **args).to_df())
+            continue
+        # one load for all of them, in which the value is a part of every key
+        ours, theirs = (d.filter(here).withColumn(VALUE, value) for d in (src, tgt))
+        parts.append(_WITHIN[strategy](ours, theirs, audit=audit, **_keyed(args)).to_df().drop(VALUE))
     if tgt is not None:
         known = [v.strip().lower() for v in plans]
-        inside = F.coalesce(F.lower(F.trim(F.col(column).cast("string"))).isin(known), F.lit(False))
-        parts.append(tgt.filter(~inside).select(*src.columns))
+        parts.append(tgt.filter(~F.coalesce(value.isin(known), F.lit(False))).select(*src.columns))
     return reduce(DataFrame.unionByName, parts)
 
 
+VALUE = "_value"
+
+
+def _keyed(args: Mapping[str, object]) -> dict:
+    """Arguments of a strategy whose keys hold within a value only."""
+    out = dict(args)
+    if "keys" in out:
+        out["keys"] = [*out["keys"], VALUE]
+    if "key_sets" in out:
+        out["key_sets"] = [[*keys, VALUE] for keys in out["key_sets"]]
+    return out
+
+
+def _checksum_within(src: DataFrame, tgt: DataFrame, *, audit: AuditSpec, on_dropped: str = "error") -> Buckets:
+    return _load_by_presence(src, tgt, [VALUE, "hashkey"], audit, on_dropped, closed_flag=1, kept_flag=0)
+
+
+# Strategies that load several values of a partition column at once.
+_WITHIN: dict[str, Callable[..., Buckets]] = {
+    **{name: LOADS[name] for name in LOADS if name not in ("deact_key", "checksum_all")},
+    "checksum_all": _checksum_within,
+}
+
+
 def _check_mode(mode: str, allowed_modes: Sequence[str]) -> None:
     if mode not in allowed_modes or mode not in LOAD_MODES:
         raise ValueError(f"load mode {mode!r} not allowed here; expected one of {tuple(allowed_modes)}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -214,20 +215,62 @@ def _outcome(values: Column, width: int, expected: str) -> Column:
     return F.when(~readable, "Failed").when(ok, "Pass").otherwise("Fail")
 
 
+def _line(case: Case, values: Column, width: int, one: Column) -> list[Column]:
+    """The result line of a case from the texts of its columns."""
+    return [
+        F.lit(case.id).alias("testcase_id"),
+        F.lit(case.table).alias("table_name"),
+        F.lit(case.expected).alias("expected"),
+        F.when(one, F.array_join(values, "|")).alias("result"),
+        F.when(one, _outcome(values, width, case.expected)).otherwise("Failed").alias("status"),
+    ]
+
+
+def _text(value: Column) -> Column:
+    return F.coalesce(value.cast("string"), F.lit("None"))
+
+
 def _case_frame(spark: SparkSession, case: Case, tables: Mapping[str, DataFrame]) -> DataFrame:
     used = {k: v for k, v in tables.items() if f"{{{k}}}" in case.sql}
     rows = spark.sql(case.sql, **used)
-    texts = F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("None")) for c in rows.columns])
+    rows = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])  # a name may occur twice
+    texts = F.array(*[_text(F.col(c)) for c in rows.columns])
     # one line for every case: no row and several rows are no answer
     seen = rows.select(texts.alias("_values")).agg(F.count(F.lit(1)).alias("_rows"), F.min("_values").alias("_values"))
-    one = F.col("_rows") == 1
-    return seen.select(
-        F.lit(case.id).alias("testcase_id"),
-        F.lit(case.table).alias("table_name"),
-        F.lit(case.expected).alias("expected"),
-        F.when(one, F.array_join("_values", "|")).alias("result"),
-        F.when(one, _outcome(F.col("_values"), len(rows.columns), case.expected)).otherwise("Failed").alias("status"),
-    )
+    return seen.select(*_line(case, F.col("_values"), len(rows.columns), F.col("_rows") == 1))
+
+
+_WHOLE_TABLE = re.compile(r"\s*select\s+(?!distinct\b)(.+?)\s+from\s+\{(\w+)\}\s*", re.I | re.S)
+
+
+def _measures(case: Case, tables: Mapping[str, DataFrame]) -> tuple[str, list[str]] | None:
+    """(table, column names) of a case that is nothing but aggregates over a whole table.
+
+    Whether it is, Spark's analysis says: a grand aggregate, which has exactly one row.
+    """
+    found = _WHOLE_TABLE.fullmatch(case.sql or "")
+    if not found or found.group(2) not in tables or "{" in found.group(1):
+        return None
+    try:
+        one = tables[found.group(2)].selectExpr(f"struct({found.group(1)}) as c")
+    except PySparkException:
+        return None
+    plan = one._jdf.queryExecution().analyzed()
+    names = one.schema["c"].dataType.names
+    if plan.getClass().getSimpleName() != "Aggregate" or not plan.groupingExpressions().isEmpty():
+        return None
+    return (found.group(2), names) if len(set(names)) == len(names) else None
+
+
+def _fused(table: DataFrame, cases: Sequence[tuple[Case, list[str]]]) -> DataFrame:
+    """The lines of several cases from one aggregation of their table."""
+    lists = [_WHOLE_TABLE.fullmatch(case.sql).group(1) for case, _ in cases]
+    row = table.selectExpr(*[f"struct({text}) as c{i}" for i, text in enumerate(lists)])
+    lines = []
+    for i, (case, names) in enumerate(cases):
+        values = F.array(*[_text(F.col(f"c{i}").getField(n)) for n in names])
+        lines.append(F.struct(*_line(case, values, len(names), F.lit(True))))
+    return row.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
 
 
 def _settled(spark: SparkSession, case: Case, status: str) -> DataFrame:
@@ -245,11 +288,17 @@ def run_expectations(
 ) -> DataFrame:
     """One line per case: Pass, Fail, Pending (no SQL) or Failed (SQL error, or not exactly one row).
 
-    All cases form one plan.  ``isolate`` runs each case as its own job first, so
-    that one failing while it runs becomes a line instead of failing the suite.
+    All cases form one plan, and cases that are aggregates over a whole table are one
+    aggregation of it: as many scans as tables, whatever the number of cases.  ``isolate``
+    runs each case as its own job first, so that one failing while it runs becomes a line
+    instead of failing the suite.
     """
-    frames = []
+    frames, fused = [], {}
     for case in cases:
+        measures = None if isolate else _measures(case, tables)
+        if measures:
+            fused.setdefault(measures[0], []).append((case, measures[1]))
+            continue
         if not case.sql:
             frames.append(_settled(spark, case, "Pending"))
             continue
@@ -260,6 +309,7 @@ def run_expectations(
         except PySparkException:
             frame = _settled(spark, case, "Failed")
         frames.append(frame)
+    frames += [_fused(tables[name], group) for name, group in fused.items()]
     return union_bag(frames)
 
 

@@ -15,7 +15,16 @@ from pyspark.sql import functions as F
 from strataload.audit import AuditSpec, hash_columns, row_hash, stamp
 from strataload.operators import incremental, mastering
 from strataload.operators.dedupe import dedupe_patch, snapshot_steps
-from strataload.operators.identity import all_ids, id_map_insert, id_map_update
+from strataload.operators.identity import (
+    all_ids,
+    backfill_ids,
+    dense_ids,
+    id_map_insert,
+    id_map_update,
+    max_id,
+    new_rows,
+    shuffled_ids,
+)
 from strataload.operators.lookup import assign_from_lookups, filtered_lookup
 from strataload.operators.quality import run_validations
 from strataload.plans.extract import ExtractSpec, build_extract, control_totals, data_dictionary, file_control
@@ -28,7 +37,7 @@ from strataload.plans.mapping import (
     tracked_columns,
 )
 from strataload.plans.rules import Rule, RuleClass, apply_rules
-from strataload.schema import config_constants, snake_columns, standard_names
+from strataload.schema import config_constants, snake_columns, standard_names, union_bag
 from strataload.session import durable
 from strataload.sources.metrics import Metrics
 from strataload.sources.scan import read_delimited, read_parquet, read_scope, read_staging, select_feed_files
@@ -335,6 +344,59 @@ def id_map_table(
     return spark.read.parquet(path)
 
 
+@dataclass(frozen=True)
+class IdColumn:
+    """A surrogate id: ``seed`` for the first id less one while the table has none.
+
+    ``salt`` numbers keys in an order that does not show them; without it in key order.
+    """
+
+    name: str
+    seed: int = 0
+    salt: str | None = None
+
+
+def external_ids_table(
+    spark: SparkSession,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    ids: Sequence[IdColumn],
+    path: str,
+    stamp_text: str,
+    where: str | None = None,
+) -> tuple[DataFrame, int]:
+    """Give every key that the table at ``path`` does not have its ids, and append it.
+
+    Incoming rows (filtered) are reduced to distinct rows; rows of one key get the same
+    ids, going on from the highest of each id column.  Columns that either side lacks are
+    merged; rows without a value in an id column, because the column is new, are numbered
+    after the new ones.  Keys are compared null-safe, so a NULL key comes in once.
+    Without new rows and new columns nothing is written.  Returns the table and the
+    number of new rows.
+    """
+    table = read_parquet(spark, path)
+    rows = incoming if where is None else incoming.filter(where)
+    fresh = durable(new_rows(rows.distinct(), table, keys, null_safe=True))
+    count = fresh.count()  # of the rows that were just cut, not of their plan
+    known = set() if table is None else {c.lower() for c in table.columns}
+    added = [c for c in (*incoming.columns, *(i.name for i in ids)) if c.lower() not in known]
+    if table is not None and not count and not added:
+        return table, 0
+    for column in ids:
+        seed = column.seed if table is None or column.name not in table.columns else max_id(table, column.name, column.seed)
+        if column.salt is None:
+            fresh = dense_ids(fresh, keys, seed, column.name)
+        else:
+            fresh = shuffled_ids(fresh, keys, seed, column.name, column.salt)
+    fresh = fresh.withColumn("insert_ts", F.lit(stamp_text))
+    out = fresh if table is None else union_bag([table, fresh])
+    for column in ids:
+        if table is not None and (column.name in added or not table.filter(F.col(column.name).isNull()).isEmpty()):
+            out = backfill_ids(durable(out), keys, column.name, column.seed)
+    publish(out, path)
+    return spark.read.parquet(path), count
+
+
 def mapped_keys(rows: Sequence[MappingRow]) -> dict[str, list[str]]:
     """Key argument of the key-based strategies, from the mapping's primary rows."""
     return {"keys": primary_keys(rows)}

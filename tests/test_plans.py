@@ -16,7 +16,7 @@ QUERIES = catalog.queries()
 # these end in a global aggregate (one partial row per task) or read one row
 ONE_ROW = {
     "count_check", "validate_total_rows", "validate_deact_feed", "validation_gate", "validation_log",
-    "expectation_suite", "qa_summary", "shuffled_ids_invariants",
+    "expectation_suite", "qa_summary", "shuffled_ids_invariants", "selected_cases", "run_all_validations", "fixed_file_count",
 }
 
 
