@@ -2,11 +2,13 @@
 
 Disguised words go through a noisy channel: what is seen is a lattice of the letters it
 may stand for (``1`` for i or l, ``$`` for s or nothing, a run of letters for one or
-two), and the best path under a character trigram model, found by Viterbi search, is
-the restored word.  The model's counts are taken from all documents.
+two, a Cyrillic look-alike for a Latin letter, letters apart for one word or several),
+and the best path under a character trigram model, found by Viterbi search, is the
+restored word.  The model counts the letters of all scripts in all documents, in tables of
+a fixed size by hash, and backs off from trigrams to pairs to letters.
 
 Restored texts are scored by logistic regression on the number of their distinct words
-that hold a character n-gram, up to a few.  N-grams and weights are learned from at most ``toxic_rows``
+that hold a character n-gram, up to ``most_hits``.  N-grams and weights are learned from at most ``toxic_rows``
 and ``clean_rows`` labelled documents, chosen by a hash of doc_id.
 
 Defined cases: a NULL, empty or wordless text has no n-grams and the score of that; a
@@ -17,7 +19,9 @@ empty result; extra columns pass through :func:`score`.
 
 from __future__ import annotations
 
+import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,44 +40,135 @@ from strataload.llm.common import append, sample_ids, settle
 class ToxicSpec:
     toxic_rows: int = 2_000
     clean_rows: int = 8_000
-    letters: int = 60  # of the character model, the most frequent ones
     sizes: tuple[int, ...] = (3, 4, 5, 6)  # of n-grams; a word has a blank on both sides
     least_share: float = 0.01  # of toxic documents that hold an n-gram
     least_odds: float = 1.5  # log odds ratio of an n-gram
     most_grams: int = 600
+    most_hits: int = 4  # distinct words of a document that count for an n-gram
     pull: float = 0.02  # L2 regularisation
 
 
 # Signs and the letters they stand for in disguised words.
 LEET = {
-    "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
+    "0": "ou", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "li", "+": "t", "*": "aeiou", "€": "e", "(": "c", "<": "c",
 }
 _LOG_NOTHING = -2.0  # a sign that stands for no letter
 _LOG_SIGN = -1.0  # a sign that stands for one of its letters
 _LOG_REPEAT = -0.7  # a long run of a letter that stands for two of it
+_LOG_DOUBLED = -6.0  # a letter typed twice that stands for one
+_LOG_LOOK = -0.5  # a look-alike that stands for the Latin letter
+_LOG_BREAK = -1.0  # letters apart: a new word starts
 _LOG_STUCK = -6.0  # the same in front of a letter, where it is no punctuation
 _OUTER = ".,;:?\"')[]{}«»„“”‚‘’…"  # punctuation that stands for no letter
 _OPENING, _CLOSING = "(|<*+@", "!|(*+"  # signs that are as well punctuation before or after a word
 
+# Cyrillic and Greek letters and the Latin ones that they look like.
+LOOK = {
+    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j", "ԁ": "d", "һ": "h",
+    "ԛ": "q", "ԝ": "w", "к": "k", "м": "m", "т": "t", "ο": "o", "α": "a", "ν": "v", "ρ": "p", "τ": "t", "κ": "k", "ι": "i",
+}
+
 _RUN = re.compile(r"(\w)\1\1")
-_SPACED = re.compile(r"(?<![^\s\"'\[{«„“‚‘])(?:[\w@$!|+€(<][ .\-_*]){2,}[\w@$!|+€(<](?=[^\w\s]*(?:\s|\Z))")
+_TWICE = re.compile(r"([^\W\d_])\1")
+_LATIN = re.compile("[a-z]")
+_SPACED = re.compile(r"(?<![^\s\"'\[{«„“‚‘])(?:[\w@$!|+€(<][ .\-_*]{1,2}){2,}[\w@$!|+€(<](?=[^\w\s]*(?:\s|\Z))")
 _NUMBER = re.compile(r"\A(?=.*\d)[\d\W_]+\Z", re.S)
 _PARTS = re.compile(r"(.)\1*", re.S)
 
 
+def folded(text: str) -> str:
+    """Lower case; full-width and other compatibility forms as plain letters."""
+    text = text.lower()
+    return text if text.isascii() or unicodedata.is_normalized("NFKC", text) else unicodedata.normalize("NFKC", text).lower()
+
+
+# Slots of the hashed counts: trigrams, their first two letters, their last two, their middle, their last.
+_SLOTS = (1 << 21, 1 << 18, 1 << 18, 1 << 16, 1 << 16)
+_FIRST = tuple(sum(_SLOTS[:i]) for i in range(5))
+_ALL = sum(_SLOTS)
+_KEEP = (1 << 64) - 1
+
+
+def _slot(key, table: int):
+    """The place of a key, a number or an array of them, among all slots."""
+    if isinstance(key, np.ndarray):
+        mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (mixed >> np.uint64(40)).astype(np.int64) % _SLOTS[table] + _FIRST[table]
+    mixed = key * 0x9E3779B97F4A7C15 & _KEEP
+    mixed = (mixed ^ mixed >> 29) * 0xBF58476D1CE4E5B9 & _KEEP
+    return (mixed >> 40) % _SLOTS[table] + _FIRST[table]
+
+
+def _slots(a, b, c) -> list:
+    """The slots of the trigram of code points a, b, c; 0 is the word boundary."""
+    return [_slot((a << 42) + (b << 21) + c, 0), _slot((a << 21) + b, 1), _slot((b << 21) + c, 2), _slot(b, 3), _slot(c, 4)]
+
+
 class CharModel:
-    """Interpolated character trigrams over an alphabet; place 0 is the word boundary."""
+    """Interpolated character trigrams of all letters; code point 0 is the word boundary."""
 
     def __init__(self, alphabet: str, counts: np.ndarray):
-        size = len(alphabet) + 1
-        self.place = {c: i + 1 for i, c in enumerate(alphabet)}
-        three = counts.reshape(size, size, size).astype(float)
-        two, one = three.sum(axis=0), three.sum(axis=(0, 1))
-        p1 = (one + 1) / (one.sum() + size)
-        p2 = (two + 5 * p1) / (two.sum(axis=1, keepdims=True) + 5)
-        p3 = (three + 5 * p2[None]) / (three.sum(axis=2, keepdims=True) + 5)
-        self.log = np.log(p3).tolist()
+        """``counts`` of the trigrams of an alphabet, place 0 the boundary."""
+        points = np.array([0, *map(ord, alphabet)], np.int64)
+        codes, size = np.flatnonzero(counts), len(points)
+        triple = points[codes // size**2], points[codes // size % size], points[codes % size]
+        total = np.zeros(_ALL)
+        for slots in _slots(*triple):
+            np.add.at(total, slots, counts[codes])
+        self._take(total)
+
+    @classmethod
+    def of(cls, total: np.ndarray) -> CharModel:
+        """From the counts by slot."""
+        made = cls.__new__(cls)
+        made._take(total)
+        return made
+
+    def _take(self, total: np.ndarray) -> None:
+        self.total = total.astype(np.float32)
+        ends = total[_FIRST[4] :]
+        self.letters, self.known = int(np.count_nonzero(ends)) + 1, {}
+        self.sum = float(ends.sum())
+
+    def log(self, a: int, b: int, c: int) -> float:
+        """The log probability of c behind a and b."""
+        found = self.known.get((a, b, c))
+        if found is None:
+            three, first, last, middle, one = (float(self.total[i]) for i in _slots(a, b, c))
+            p = (one + 1) / (self.sum + self.letters)
+            p = (last + 5 * p) / (middle + 5)
+            p = (three + 5 * p) / (first + 5)
+            if len(self.known) > 1_000_000:
+                self.known.clear()
+            found = self.known[a, b, c] = math.log(p)
+        return found
+
+    def score(self, word: str) -> float:
+        """The log probability of a word."""
+        points = [0, 0, *map(ord, word), 0]
+        return sum(map(self.log, points, points[1:], points[2:]))
+
+    def choices(self, sign: str, run: int, first: bool, last: bool, spaced: bool, every: bool, long: bool, next_: str) -> list:
+        """(log probability, letters) of what a run of a sign may stand for."""
+        if sign in LEET:
+            out = [(_LOG_SIGN, c) for c in LEET[sign]] if run != 2 or not every else []
+            if run == 2:
+                out += [(_LOG_SIGN, c + c) for c in LEET[sign]]
+            if not spaced and (first and sign in _OPENING or last and sign in _CLOSING):
+                return [(0.0, ""), *(out if not (first and last) else [])]
+            if not every:
+                stuck = first and sign in "!$" and next_.isalpha()
+                out.append((_LOG_STUCK if stuck else _LOG_NOTHING * min(run, 3), ""))
+            return out
+        if not sign.isalpha():
+            return [(0.0, "")]
+        letters = [(0.0, sign)] + ([(_LOG_LOOK, LOOK[sign])] if sign in LOOK else [])
+        if run == 1:
+            return letters
+        once, twice = (0.0, _LOG_REPEAT) if run > 2 else (_LOG_REPEAT if long else _LOG_DOUBLED, 0.0)
+        return [(cost + once, c) for cost, c in letters] + [(cost + twice, c + c) for cost, c in letters]
 
     def decode(self, seen: str, spaced: bool = False) -> str:
         """The most probable word behind a lower-cased disguised one.
@@ -82,36 +177,25 @@ class CharModel:
         punctuation at the ends of the latter.
         """
         every = spaced or not any(c.isalpha() for c in seen)
-        log, place = self.log, self.place
+        long = _RUN.search(seen) is not None
         best = {(0, 0): (0.0, "")}  # last two letters -> (log probability, word)
         for part in _PARTS.finditer(seen):
-            sign, run = part.group(1), len(part.group(0))
-            if sign in LEET:
-                first, last = part.start() == 0, part.end() == len(seen)
-                choices = [(_LOG_SIGN, c) for c in LEET[sign]] if run != 2 or not every else []
-                if run == 2:
-                    choices += [(_LOG_SIGN, c + c) for c in LEET[sign]]
-                if not spaced and (first and sign in _OPENING or last and sign in _CLOSING):
-                    choices = [(0.0, ""), *(choices if not (first and last) else [])]
-                elif not every:
-                    stuck = first and sign in "!$" and seen[part.end() : part.end() + 1].isalpha()
-                    choices.append((_LOG_STUCK if stuck else _LOG_NOTHING, ""))
-            elif sign.isalpha():
-                choices = [(0.0, sign * run)] if run < 3 else [(0.0, sign), (_LOG_REPEAT, sign + sign)]
-            else:
-                choices = [(0.0, "")]
+            first, last = part.start() == 0, part.end() == len(seen)
+            choices = self.choices(part.group(1), len(part.group()), first, last, spaced, every, long, seen[part.end() : part.end() + 1])
+            if spaced and not first:
+                choices += [(cost + _LOG_BREAK, " " + letters) for cost, letters in choices if letters]
             after: dict = {}
             for (a, b), (value, word) in best.items():
                 for cost, letters in choices:
                     x, y, total = a, b, value + cost
                     for c in letters:
-                        z = place.get(c, -1)
-                        total += log[x][y][z] if z >= 0 else -8.0
-                        x, y = y, max(z, 0)
+                        z = 0 if c == " " else ord(c)
+                        total += self.log(x, y, z)
+                        x, y = (0, 0) if z == 0 else (y, z)
                     if (x, y) not in after or total > after[x, y][0]:
                         after[x, y] = (total, word + letters)
             best = after
-        ended = ((value + log[a][b][0], word) for (a, b), (value, word) in best.items())
+        ended = ((value + self.log(a, b, 0), word) for (a, b), (value, word) in best.items())
         return max(ended)[1]
 
 
@@ -119,7 +203,7 @@ class Restorer:
     """Distinct restored words of texts; decoded words are remembered up to a bound."""
 
     def __init__(self, model: CharModel, most: int = 200_000):
-        self.model, self.most, self.known = model, most, {}
+        self.model, self.most, self.known, self.doubled = model, most, {}, {}
 
     def word(self, seen: str, spaced: bool = False) -> str:
         key = (seen, spaced)
@@ -129,17 +213,30 @@ class Restorer:
             self.known[key] = self.model.decode(seen, spaced)
         return self.known[key]
 
+    def typed_twice(self, word: str) -> bool:
+        """Whether a word with a doubled letter is far less probable than with one of it."""
+        if not _TWICE.search(word):
+            return False
+        if word not in self.doubled:
+            if len(self.doubled) >= self.most:
+                self.doubled.clear()
+            once = _TWICE.sub(r"\1", word)
+            self.doubled[word] = self.model.score(once) + _LOG_DOUBLED > self.model.score(word)
+        return self.doubled[word]
+
     def pairs(self, text: str | None) -> dict[str, str]:
         """Every distinct word of a text, without outer punctuation, and what it is restored to."""
         if not text:
             return {}
-        text = text.lower()
+        text = folded(text)
         words = text.split()
+        look = not text.isascii() and not LOOK.keys().isdisjoint(text)
         out: dict[str, str] = {}
         for raw in set(words):
             word = raw.strip(_OUTER)
             if word.isalpha():
-                out[word] = word
+                mixed = look and _LATIN.search(word) and not LOOK.keys().isdisjoint(word)
+                out[word] = self.word(word) if mixed or self.typed_twice(word) else word
             elif any(c.isalpha() or c in LEET for c in word):
                 out[word] = self.word(word)
         for found in [w for w in out if _RUN.search(w)] if _RUN.search(text) else ():
@@ -152,63 +249,55 @@ class Restorer:
         """The text, lower-cased, with disguised words restored; numbers stay as they are."""
         changed = {seen: word for seen, word in self.pairs(text).items() if word not in (seen, "") and not _NUMBER.search(seen)}
         if not changed:
-            return text.lower() if text else text
+            return folded(text) if text else text
         pattern = "|".join(re.escape(seen) for seen in sorted(changed, key=len, reverse=True))
-        return re.sub(rf"(?<!\w)(?:{pattern})(?!\w)", lambda m: changed[m.group()], text.lower())
+        return re.sub(rf"(?<!\w)(?:{pattern})(?!\w)", lambda m: changed[m.group()], folded(text))
 
     def line(self, text: str | None) -> str:
         """Distinct restored words between blanks, in order."""
         return f" {'  '.join(sorted(set(self.pairs(text).values()) - {''}))} "
 
 
-_KNOWN_POINTS = 0x600  # Latin, Greek, Cyrillic, Armenian, Hebrew
-
+_AT_ONCE = 1 << 21  # letters that are counted at a time
 
-def _letter_rows(docs: DataFrame) -> DataFrame:
-    """(letter, n): how often each lower-cased letter occurs in ``docs``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(_KNOWN_POINTS, np.int64)
-        for batch in batches:
-            for text in batch.text:
-                points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-                total += np.bincount(points[points < _KNOWN_POINTS], minlength=_KNOWN_POINTS)
-        found = [i for i in np.flatnonzero(total) if chr(i).isalpha()]
-        yield pd.DataFrame({"letter": [chr(i) for i in found], "n": total[found].tolist()}, dtype=object)
-
-    return docs.select("text").mapInPandas(run, "letter string, n long").groupBy("letter").agg(F.sum("n").alias("n"))
+def char_model(docs: DataFrame) -> CharModel:
+    """Trigram counts of all letters of all ``docs``.
 
-
-def char_model(docs: DataFrame, alphabet_from: DataFrame, spec: ToxicSpec = ToxicSpec()) -> CharModel:
-    """Trigram counts over all ``docs``; the alphabet is that of ``alphabet_from``.
-
-    Every task sends the sums of its own rows, so the driver gets one table of fixed size.
+    Every task sends the sums of its own rows by slot, so the driver gets one table of a
+    fixed size whatever scripts and rare letters the documents have.
     """
-    common = _letter_rows(alphabet_from).orderBy(F.desc("n"), "letter").limit(spec.letters).collect()
-    alphabet = "".join(sorted({r["letter"] for r in common} | set("abcdefghijklmnopqrstuvwxyz")))
-    size = len(alphabet) + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.zeros(_KNOWN_POINTS, np.int64)
-        table[[ord(c) for c in alphabet]] = np.arange(1, size)
-        total = np.zeros(size**3, np.int64)
-        for batch in batches:
-            text = "  ".join(t for t in batch.text if t)
-            points = np.frombuffer(f"  {text}  ".lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-            place = table[np.where(points < _KNOWN_POINTS, points, 0)]
+        letter = np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
+        total, waiting, size = np.zeros(_ALL, np.int64), [], 0
+
+        def count() -> None:
+            points = np.frombuffer(f"  {'  '.join(waiting)}  ".encode("utf-32-le", "surrogatepass"), np.uint32)
+            place = np.where(letter[points], points, 0).astype(np.int64)
             # a word starts from two boundaries: the letter before the boundary does not count
             before = np.where(place[1:-1] == 0, 0, place[:-2])
-            codes = (before * size + place[1:-1]) * size + place[2:]
-            total += np.bincount(codes, minlength=size**3)
-        total[0] = 0
+            inside = (place[1:-1] != 0) | (place[2:] != 0)
+            for slots in _slots(before[inside], place[1:-1][inside], place[2:][inside]):
+                total[:] += np.bincount(slots, minlength=_ALL)
+            waiting.clear()
+
+        for batch in batches:
+            for text in batch.text:
+                if text:
+                    waiting.append(folded(text))
+                    size += len(text)
+                if size >= _AT_ONCE:
+                    count()
+                    size = 0
+        count()
         found = np.flatnonzero(total)
-        yield pd.DataFrame({"code": found, "n": total[found]})
+        yield pd.DataFrame({"slot": found, "n": total[found]})
 
-    counts = np.zeros(size**3, np.int64)
-    rows = docs.select("text").mapInPandas(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    for row in rows.toLocalIterator():  # at most letters ** 3 rows
-        counts[row["code"]] = row["n"]
-    return CharModel(alphabet, counts)
+    rows = docs.select("text").mapInPandas(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(_ALL)
+    total[rows["slot"].to_numpy()] = rows["n"].to_numpy()
+    return CharModel.of(total)
 
 
 @dataclass
@@ -217,9 +306,7 @@ class ToxicModel:
     grams: list[str]
     weights: np.ndarray
     base: float
-
-
-_MOST = 4  # times that an n-gram counts in a document
+    most_hits: int = 4
 
 
 def _matcher(grams: list[str]):
@@ -231,10 +318,10 @@ def _matcher(grams: list[str]):
     return found
 
 
-def _hits(matcher, line: str) -> list[int]:
-    """N-grams of a line, each as often as it occurs but at most ``_MOST`` times."""
+def _hits(matcher, line: str, most: int) -> list[int]:
+    """N-grams of a line, each as often as it occurs but at most ``most`` times."""
     counts = Counter(i for _, i in matcher.iter(line)) if len(matcher) else {}
-    return sorted(i for i, n in counts.items() for _ in range(min(n, _MOST)))
+    return sorted(i for i, n in counts.items() for _ in range(min(n, most)))
 
 
 def _grams_of(line: str, sizes: tuple[int, ...]) -> set[str]:
@@ -281,8 +368,8 @@ def fit(docs: DataFrame, labels: DataFrame, spec: ToxicSpec = ToxicSpec()) -> To
     clean = sample_ids(named.filter("label = 0"), ["label"], spec.clean_rows, "toxic")
     chosen = settle(toxic.unionAll(clean))
     sample = settle(docs.select("doc_id", "text").join(chosen, "doc_id"))
-    chars = char_model(docs, sample, spec)
-    sizes = spec.sizes
+    chars = char_model(docs)
+    sizes, most = spec.sizes, spec.most_hits
 
     def lines(batch: pd.DataFrame) -> pd.DataFrame:
         restore = Restorer(chars)
@@ -310,7 +397,7 @@ def fit(docs: DataFrame, labels: DataFrame, spec: ToxicSpec = ToxicSpec()) -> To
         matcher, total = _matcher(names), np.zeros(len(names), np.int64)
         for batch in batches:
             for line in batch.line:
-                total[_hits(matcher, line)] += 1
+                total[_hits(matcher, line, most)] += 1
         found = np.flatnonzero(total)
         yield pd.DataFrame({"gram": found, "n": total[found]})
 
@@ -327,13 +414,13 @@ def fit(docs: DataFrame, labels: DataFrame, spec: ToxicSpec = ToxicSpec()) -> To
 
     def found_grams(batch: pd.DataFrame) -> pd.DataFrame:
         matcher = _matcher(grams)
-        return pd.DataFrame({"hits": [_hits(matcher, line) for line in batch.line]})
+        return pd.DataFrame({"hits": [_hits(matcher, line, most) for line in batch.line]})
 
     seen = append(read, ["line"], found_grams, T.StructType().add("hits", T.ArrayType(T.IntegerType())))
-    rows = seen.select("label", "hits").orderBy("label", "hits").collect()  # bounded by the sample
+    rows = sorted(seen.select("label", "hits").collect())  # bounded by the sample
     y = np.array([r["label"] for r in rows], float)
     weights, base = _regression([r["hits"] for r in rows], y, len(grams), spec.pull)
-    return ToxicModel(chars, grams, weights, base)
+    return ToxicModel(chars, grams, weights, base, most)
 
 
 def score(docs: DataFrame, model: ToxicModel, least: float = 0.7) -> DataFrame:
@@ -351,7 +438,7 @@ def score(docs: DataFrame, model: ToxicModel, least: float = 0.7) -> DataFrame:
         for text in batch.text:
             pairs = restore.pairs(text)
             line = f" {'  '.join(sorted(set(pairs.values()) - {''}))} "
-            total = model.base + float(model.weights[_hits(matcher, line)].sum())
+            total = model.base + float(model.weights[_hits(matcher, line, model.most_hits)].sum())
             scores.append(1 / (1 + np.exp(-np.clip(total, -30, 30))))
             changed.append(sorted(f"{a}={b}" for a, b in pairs.items() if a != b and b))
         found = np.array(scores, float)
