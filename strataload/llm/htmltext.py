@@ -29,6 +29,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -81,7 +82,19 @@ class Node:
         self.children: list = []  # nodes and strings
 
 
-_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.S)
+_OPENS = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][^\s/>]*))")
+_STOPS = re.compile("[>\"']")
+
+
+def _tag_end(page: str, at: int) -> int:
+    """Where the ``>`` of a tag stands that is not in quotes; -1 without one."""
+    while stop := _STOPS.search(page, at):
+        if stop.group() == ">":
+            return stop.start()
+        at = page.find(stop.group(), stop.end()) + 1
+        if not at:
+            return -1
+    return -1
 
 
 def _body_of(here: Node, text: str) -> Node:
@@ -93,50 +106,66 @@ def parse(page: str) -> Node:
     """The element tree of a page."""
     root = Node("html", "", None)
     here, at = root, 0
-    find = _TAG.search
+    last = page.rfind(">")
+    quotes = True  # until one is found open at the end of the page; then quotes are signs as others
+    opened: Counter = Counter()  # names of the elements around ``here``, itself included
+
+    def leave(node: Node) -> Node:
+        """Up to the parent of ``node``."""
+        at = here
+        while at is not node.parent:
+            opened[at.tag] -= 1
+            at = at.parent
+        return at
+
     while True:
-        found = find(page, at)
-        if found is None:
+        found = _OPENS.search(page, at)
+        if found is None or (found.start() > last and not found.group(1)):
             if at < len(page):
                 _body_of(here, page[at:]).children.append(page[at:])
             return root
         if found.start() > at:
-            here = _body_of(here, page[at : found.start()])
+            after = _body_of(here, page[at : found.start()])
+            here = here if after is here else leave(here)
             here.children.append(page[at : found.start()])
-        at = found.end()
-        name = found.group(2)
-        if name is None:
+        if found.group(1) or found.group(2):
+            end = page.find("-->", found.end()) + 2 if found.group(1) else page.find(">", found.end())
+            at = end + 1 if end > 1 else len(page)
             continue
-        name = name.lower()
-        if found.group(1):  # an end tag closes the nearest open element of its name
-            node = here
-            while node is not None and node.tag != name:
-                node = node.parent
-            if node is not None and node.parent is not None:
-                here = node.parent
+        end = _tag_end(page, found.end()) if quotes else page.find(">", found.end())
+        if end < 0:
+            quotes, end = False, page.find(">", found.end())
+        attributes, at = page[found.end() : end], end + 1
+        name = found.group(4).lower()
+        if found.group(3):  # an end tag closes the nearest open element of its name
+            if opened[name]:
+                node = here
+                while node.tag != name:
+                    node = node.parent
+                here = leave(node)
             continue
         if name == "html":
-            root.attributes += found.group(3)
+            root.attributes += attributes
             continue
         if here.tag == "head" and name not in _HEAD_CONTENT:
-            here = here.parent
+            here = leave(here)
         if name in _ENDS_P or name in _SAME_ENDS:
             ends = {"p"} if name in _ENDS_P else set(_SAME_ENDS[name].split())
             stops = set(_SCOPE.get(name, "").split()) or {"button", "td", "th", "li", "article", "section", "div", "body", "blockquote"}
-            node = here
-            while node is not None and node.tag not in ends and node.tag not in stops:
+            node = here if any(opened[e] for e in ends) else root
+            while node is not root and node.tag not in ends and node.tag not in stops:
                 node = node.parent
-            if node is not None and node.tag in ends and node.parent is not None:
-                here = node.parent
-        node = Node(name, found.group(3), here)
+            if node.tag in ends:
+                here = leave(node)
+        node = Node(name, attributes, here)
         here.children.append(node)
         if name in _RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             node.children.append(page[at : end.start() if end else len(page)])
             at = end.end() if end else len(page)
-        elif name not in _VOID and not found.group(3).endswith("/"):
+        elif name not in _VOID and not attributes.endswith("/"):
             here = node
-    return root
+            opened[name] += 1
 
 
 _NAMES = re.compile(r"(?:class|id|role|itemprop|aria-label|data-component)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
