@@ -71,19 +71,25 @@ def windows(tokens: np.ndarray, size: int) -> np.ndarray:
     return out * np.uint64(0xD6E8FEB86659FD93)
 
 
-def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """Greedy tiling: (start in item, start in doc, length), longest first.
+_LISTED = 1 << 20  # places of common windows that are listed at once
 
-    Ties go to the earlier place in the item, then in the document.
+
+def _runs(in_item: np.ndarray, in_doc: np.ndarray, least: int) -> np.ndarray:
+    """Maximal runs of equal windows along the diagonals: rows (start in item, start in doc, tokens).
+
+    The places of common windows are listed if they are few.  Where both sides repeat
+    themselves their number is the product of the repeats: then the diagonals are compared
+    in blocks of bounded size, and only runs are kept.
     """
-    in_item, in_doc = windows(item, least), windows(doc, least)
     spots = np.flatnonzero(np.isin(in_doc, in_item))
     if not len(spots):
-        return []
+        return np.empty((0, 3), np.int64)
     order = np.argsort(in_item, kind="stable")
     ranked = in_item[order]
     low, high = np.searchsorted(ranked, in_doc[spots], "left"), np.searchsorted(ranked, in_doc[spots], "right")
     counts = high - low
+    if counts.sum() > _LISTED:
+        return _runs_by_block(in_item, in_doc, least)
     j = np.repeat(spots, counts)
     offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     i = order[np.repeat(low, counts) + offset]
@@ -92,7 +98,39 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
     i, j = i[by], j[by]
     starts = np.flatnonzero(np.r_[True, (np.diff(i) != 1) | (np.diff(j) != 1)])
     lengths = np.diff(np.r_[starts, len(i)]) + least - 1
-    heap = [(-int(n), int(i[s]), int(j[s])) for s, n in zip(starts, lengths)]
+    return np.stack([i[starts], j[starts], lengths], axis=1)
+
+
+def _runs_by_block(in_item: np.ndarray, in_doc: np.ndarray, least: int) -> np.ndarray:
+    """The same from blocks of diagonals; the item is taken in pieces too, with runs joined across them."""
+    found = []
+    for top in range(0, len(in_item), 4096):  # rows of the comparison: windows of the item
+        piece = in_item[top : top + 4096]
+        rows = np.arange(len(piece))
+        width = max(1, _LISTED // len(piece))
+        for first in range(-(len(piece) - 1), len(in_doc), width):
+            diagonal = np.arange(first, min(first + width, len(in_doc)))[:, None]
+            at = diagonal + rows
+            inside = (at >= 0) & (at < len(in_doc))
+            same = np.zeros((len(diagonal), len(piece) + 2), np.int8)
+            same[:, 1:-1] = inside & (in_doc[np.where(inside, at, 0)] == piece)
+            d, i = np.nonzero(np.diff(same, axis=1))
+            starts, ends = (d[::2], i[::2]), i[1::2]
+            found.append(np.stack([starts[1] + top, starts[1] + first + starts[0], ends - starts[1]], axis=1))
+    runs = np.concatenate(found)
+    runs = runs[np.lexsort([runs[:, 0], runs[:, 1] - runs[:, 0]])]
+    # a run that ends where a piece does goes on in the next one
+    on = (np.diff(runs[:, 1] - runs[:, 0]) == 0) & (runs[1:, 0] == runs[:-1, 0] + runs[:-1, 2])
+    starts = np.flatnonzero(np.r_[True, ~on])
+    return np.stack([runs[starts, 0], runs[starts, 1], np.add.reduceat(runs[:, 2], starts) + least - 1], axis=1)
+
+
+def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """Greedy tiling: (start in item, start in doc, length), longest first.
+
+    Ties go to the earlier place in the item, then in the document.
+    """
+    heap = [(-int(n), int(i), int(j)) for i, j, n in _runs(windows(item, least), windows(doc, least), least)]
     heapq.heapify(heap)
     used_item, used_doc = np.zeros(len(item), bool), np.zeros(len(doc), bool)
     out = []
@@ -104,6 +142,8 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
             if np.array_equal(item[a : a + n], doc[b : b + n]):
                 used_item[a : a + n] = used_doc[b : b + n] = True
                 out.append((a, b, n))
+                if used_item.all():
+                    break
             continue
         edges = np.flatnonzero(np.diff(np.r_[False, free, False].astype(np.int8)))
         for x, y in zip(edges[::2], edges[1::2]):
