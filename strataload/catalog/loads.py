@@ -18,6 +18,7 @@ from strataload.operators import incremental as inc
 from strataload.plans import touched
 from strataload.sources import sink, versions
 from strataload.sources.metrics import Metrics
+from strataload.streaming import feeds
 
 COLUMNS = (
     "order_id, cust_id, status, total, order_date, hashkey, add_date, delete_date, last_modified_date, "
@@ -306,3 +307,38 @@ def load_multi_key_date_pruned(t: Tables):
     return inc.load_multi_key_date(
         orders_src(t), orders_tgt(t), key_sets=sets, date_col="order_date", audit=AUDIT, prune=True
     ).to_df()
+
+
+BATCHES = ("o_orderstatus = 'F'", "o_orderpriority = '1-URGENT'", "o_orderstatus = 'P'")
+BATCH_SQL = "select o_orderkey, o_custkey, o_orderstatus, {total} as total from orders where {where}"
+
+
+@query(
+    "load_stream",
+    f"""with {", ".join(f"b{i} as (" + BATCH_SQL.format(total=f"cast(o_totalprice as double) + {i}", where=w) + ")" for i, w in enumerate(BATCHES))},
+ends as (
+  select *, 0 as batch, o_orderkey in (select o_orderkey from b1) as closed, 0 as flag from b0
+  union all select *, 1, o_orderkey in (select o_orderkey from b2), case when o_orderkey in (select o_orderkey from b2) then 1 else 0 end from b1
+  union all select *, 2, false, 1 from b2)
+select o_orderkey, o_custkey, o_orderstatus, total, date '2024-02-01' as add_date,
+  case when closed then date '2024-01-31' else date '9999-12-31' end as delete_date,
+  case when closed then 0 else 1 end as is_active, flag as is_incremental from ends""",
+)
+def load_stream(t: Tables):
+    """Three deliveries through a stream, all of them handed over a second time."""
+    folder = sink.scratch_folder(t.spark)
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "total"]
+    for number, where in enumerate(BATCHES):
+        rows = t.orders.withColumn("total", F.col("o_totalprice").cast("double") + number)
+        sink.publish(rows.filter(where).select(*columns), f"{folder}/in/day={number}", files=1)
+    schema = t.spark.read.parquet(f"{folder}/in/day=0").schema
+
+    def prepare(batch, audit):
+        rows = batch.select(*columns)
+        return stamp(rows, audit, hash_cols=hash_columns(rows))
+
+    for run in ("first", "again"):
+        feed = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/day=*")
+        done = feeds.start_loading(feed, f"{folder}/t", f"{folder}/{run}", "orders", prepare, lambda _: AUDIT, "by_key", keys=["o_orderkey"])
+        done.awaitTermination()
+    return versions.read_version(t.spark, f"{folder}/t").select(*columns, "add_date", "delete_date", "is_active", "is_incremental")

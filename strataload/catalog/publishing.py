@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strataload.catalog.frames import ORDERS_CTE, orders_src, orders_tgt
 from strataload.catalog.registry import Tables, query
+from strataload.functions.scalar import encrypt_text
 from strataload.operators import dedupe
 from strataload.plans import extract, jobs
 from strataload.plans.extract import ExtractField, ExtractSpec
@@ -356,3 +357,28 @@ def clustered_write(t: Tables):
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     cluster.clustered_write(rows, path, ["l_orderkey", "l_partkey"], files=16)
     return cluster.read_clustered(t.spark, path, {"l_partkey": (10, 40)})
+
+
+@query("decrypt_feed", "select c_name, cast(c_custkey as varchar) as c_custkey, c_mktsegment from customer")
+def decrypt_feed(t: Tables):
+    folder, key = sink.scratch_folder(t.spark), F.lit("example-key-0001")
+    rows = t.customer.select(encrypt_text(F.col("c_name"), key).alias("c_name"), "c_custkey", "c_mktsegment")
+    sink.export_delimited(rows, f"{folder}/raw", sep="|")
+    return jobs.decrypt_feed(t.spark, [f"{folder}/raw"], f"{folder}/cur", key)
+
+
+@query(
+    "job_collect_summaries",
+    """select o_orderstatus as "Table", cast(count(*) as varchar) as "Rows", concat('out/', o_orderstatus) as "Path", 'NA' as "Note"
+from orders group by o_orderstatus
+union all select c_mktsegment, cast(count(*) as varchar), 'NA', concat('n', max(c_nationkey)) from customer group by c_mktsegment""",
+)
+def job_collect_summaries(t: Tables):
+    """Summaries of two extracts, one without a path and with a note."""
+    folder, rows = sink.scratch_folder(t.spark), F.count(F.lit(1)).alias("Rows")
+    path = F.concat(F.lit("out/"), F.max("o_orderstatus"), F.lit("//")).alias("Path")
+    one = t.orders.groupBy(F.col("o_orderstatus").alias("Table")).agg(rows, path)
+    two = t.customer.groupBy(F.col("c_mktsegment").alias("Table")).agg(F.concat(F.lit("n"), F.max("c_nationkey")).alias("Note"), rows)
+    sink.export_delimited(one, f"{folder}/in/one", files=1)
+    sink.export_delimited(two, f"{folder}/in/two", files=1)
+    return jobs.collect_summaries_table(t.spark, f"{folder}/in/*/*.csv.gz", f"{folder}/out")

@@ -9,7 +9,7 @@ from strataload.catalog.frames import CODES_CTE, CUST_CTE, codes, cust_versions
 from strataload.catalog.registry import Tables, query
 from strataload.functions import scalar
 from strataload.operators import quality
-from strataload.plans import extract, mapping, rules
+from strataload.plans import extract, mapping, named, rules
 from strataload.plans.mapping import MappingRow
 from strataload.sources.scan import as_strings
 
@@ -516,3 +516,15 @@ def rule_template(t: Tables):
     ]
     base = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     return rules.apply_rules(base, steps, {"nat": t.nation}, "customer", classes)
+
+
+@query(
+    "named_functions",
+    """select distinct c_custkey, trim(c_name) as name, c_mktsegment, 'x' as source from customer where c_mktsegment is not null""",
+)
+def named_functions(t: Tables):
+    """A table shaped by functions that configuration names."""
+    rows = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    rows = named.processed(rows, named.BEFORE, "without_nulls(c_mktsegment); distinct")
+    rows = named.with_columns(rows, {"name": "trimmed(c_name)"})
+    return named.processed(rows, named.AFTER, "constant(source, x); drop(c_name, c_acctbal)")

@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataload.audit import AuditSpec, hash_columns, row_hash, stamp
+from strataload.functions.scalar import decrypt_text
 from strataload.operators import incremental, mastering
 from strataload.operators.dedupe import dedupe_patch, snapshot_steps
 from strataload.operators.identity import (
@@ -27,7 +28,14 @@ from strataload.operators.identity import (
 )
 from strataload.operators.lookup import assign_from_lookups, filtered_lookup
 from strataload.operators.quality import run_validations
-from strataload.plans.extract import ExtractSpec, build_extract, control_totals, data_dictionary, file_control
+from strataload.plans.extract import (
+    ExtractSpec,
+    build_extract,
+    collect_summaries,
+    control_totals,
+    data_dictionary,
+    file_control,
+)
 from strataload.plans.mapping import (
     MappingRow,
     apply_all_rules,
@@ -39,6 +47,7 @@ from strataload.plans.mapping import (
 from strataload.plans.rules import Rule, RuleClass, apply_rules
 from strataload.schema import config_constants, snake_columns, standard_names, union_bag
 from strataload.session import durable
+from strataload.sources.headers import read_by_header
 from strataload.sources.metrics import Metrics
 from strataload.sources.scan import read_delimited, read_parquet, read_scope, read_staging, select_feed_files
 from strataload.sources.sink import export_delimited, export_parquet, publish
@@ -397,6 +406,35 @@ def external_ids_table(
     return spark.read.parquet(path), count
 
 
+def decrypt_feed(
+    spark: SparkSession, files: Sequence[str], path: str, key: Column, columns: Sequence[str] = (), sep: str = "|"
+) -> DataFrame:
+    """Delimited files with encrypted columns (by default the first), decrypted under the same header.
+
+    A text that the key does not open fails the job.
+    """
+    feed = read_by_header(spark, files, sep)
+    secret = list(columns) or feed.columns[:1]
+    plain = feed.withColumns({c: decrypt_text(F.col(f"`{c}`"), key) for c in secret})
+    export_delimited(plain, path, sep, compression="none")
+    return read_delimited(spark, path, sep=sep)
+
+
+def collect_summaries_table(
+    spark: SparkSession,
+    files: str | Sequence[str],
+    path: str,
+    sep: str = ",",
+    path_column: str = "Path",
+    missing: str = "NA",
+    out_sep: str = "|",
+) -> DataFrame:
+    """The summary files of many extracts as one delimited summary; their headers may differ."""
+    rows = collect_summaries([read_by_header(spark, files, sep)], path_column, missing)
+    export_delimited(rows, path, out_sep, files=1, compression="none")
+    return read_delimited(spark, path, sep=out_sep)
+
+
 def mapped_keys(rows: Sequence[MappingRow]) -> dict[str, list[str]]:
     """Key argument of the key-based strategies, from the mapping's primary rows."""
     return {"keys": primary_keys(rows)}

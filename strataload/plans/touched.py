@@ -80,19 +80,21 @@ def load_touched_files(
     strategy: str,
     audit: AuditSpec,
     partition_by: str | Sequence[str] = "is_active",
+    details: Mapping[str, object] | None = None,
     **args,
 ) -> TouchedLoad:
     """Load stamped rows into the versioned table at ``path``, which may not exist yet.
 
     The rows of the new version are those of the same load over the whole table.  For
     strategies with set semantics that holds if the active target rows are a set, as
-    every load leaves them: repeats in files that are not rewritten stay.
+    every load leaves them: repeats in files that are not rewritten stay.  ``details`` go
+    into the manifest of the version, so they are committed with the rows or not at all.
     """
     if strategy not in LOADS:
         raise ValueError(f"unknown load strategy {strategy!r}")
     at = version(spark, path)
     if at is None or strategy == "overwrite":
-        made = versioned_publish(src, path, partition_by, parent=at.number if at else 0)
+        made = versioned_publish(src, path, partition_by, parent=at.number if at else 0, **(details or {}))
         return TouchedLoad(made, 0, at.files if at else 0, made.files)
     entries = files_of(spark, at)
     names = [r.file for r in entries.select("file").collect()]
@@ -109,5 +111,5 @@ def load_touched_files(
     new = write_files(rows, path, partition_by)
     gone = spark.createDataFrame([(t,) for t in touched], "file string")
     kept = entries.join(gone, "file", "left_anti")
-    made = commit(spark, path, kept.unionByName(new), src.schema, at.partition_by, at.number, kind="load", strategy=strategy)
+    made = commit(spark, path, kept.unionByName(new), src.schema, at.partition_by, at.number, kind="load", strategy=strategy, **(details or {}))
     return TouchedLoad(made, len(names) - len(touched), len(touched), made.files - len(names) + len(touched))

@@ -229,17 +229,19 @@ def versioned_publish(
     parent: int | None = None,
     files: int | None = None,
     rebalance: bool = True,
+    **details: object,
 ) -> Version:
     """Write ``df``, which may read from ``path``, as the next version of the whole table.
 
     ``parent`` is the version that ``df`` was made from; without it the newest one now.
+    ``details`` are kept in the manifest.
     """
     spark = df.sparkSession
     if parent is None:
         at = version(spark, path)
         parent = at.number if at else 0
     entries = write_files(df, path, partition_by, files, rebalance)
-    return commit(spark, path, entries, df.schema, present_columns(df, partition_by), parent, kind="publish")
+    return commit(spark, path, entries, df.schema, present_columns(df, partition_by), parent, **{"kind": "publish", **details})
 
 
 def restore_version(spark: SparkSession, path: str, number: int, column: str | None = None, value: object = None) -> Version:
