@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataload.operators.skew import join_side, key_set
+from strataload.session import durable
 
 
 def null_safe_on(left: str, right: str, pairs: Mapping[str, str]) -> Column:
@@ -138,8 +139,10 @@ def contains_lookup(
     rules = join_side(texts, ["_part", "_piece"], F.min("_best").alias("_best"))
     lengths = _lengths(texts.filter("_part"), F.length("_piece"))
     distinct = names.select(F.col(name).cast("string").alias("_name")).filter(F.col("_name").isNotNull()).distinct()
+    # read up to four times below, so it is computed once
+    distinct = durable(distinct.withColumn("_key", F.md5("_name")))
     whole = rules.filter(~F.col("_part")).select(F.col("_piece").alias("_name"), "_best")
-    hits = distinct.join(whole, "_name").select(F.md5("_name").alias("_key"), "_best")
+    hits = distinct.join(whole, "_name").select("_key", "_best")
     parts = rules.filter("_part").select("_piece", "_best")
     sizes = [n for n in lengths if n]
     if sizes:
@@ -147,7 +150,7 @@ def contains_lookup(
         shortest = sizes[0]
         # distinct pieces of the shortest length that start a pattern; only a digest of the
         # name goes with them, so the work is linear in the length of the name
-        lows = distinct.select(F.md5("_name").alias("_key"), F.lower("_name").alias("_low"))
+        lows = distinct.select("_key", F.lower("_name").alias("_low"))
         places = F.sequence(F.lit(1), F.length(low) - (shortest - 1))
         starts = lows.filter(F.length(low) >= shortest).select("_key", F.posexplode(F.transform(places, lambda i: F.substr(low, i, F.lit(shortest)))).alias("_at", "_start"))
         heads = parts.filter(F.length("_piece") > 0).select(F.substring("_piece", 1, shortest).alias("_start"))
@@ -162,9 +165,9 @@ def contains_lookup(
         hits = hits.unionByName(cut.join(parts, "_piece").select("_key", "_best"))
     if 0 in lengths:  # the empty text is in every name: one row, as a scalar
         best_empty = parts.filter("_piece = ''").select("_best").scalar()
-        hits = hits.unionByName(distinct.select(F.md5("_name").alias("_key"), best_empty.alias("_best")))
+        hits = hits.unionByName(distinct.select("_key", best_empty.alias("_best")))
     hits = hits.groupBy("_key").agg(F.min("_best").alias("_best"))
-    named = distinct.withColumn("_key", F.md5("_name")).join(hits, "_key")
+    named = distinct.join(hits, "_key")
     return named.select(F.col("_name").alias(name), "_best._row.*")
 
 
