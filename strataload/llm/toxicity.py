@@ -203,7 +203,7 @@ class Restorer:
     """Distinct restored words of texts; decoded words are remembered up to a bound."""
 
     def __init__(self, model: CharModel, most: int = 200_000):
-        self.model, self.most, self.known, self.doubled = model, most, {}, {}
+        self.model, self.most, self.known, self.plain = model, most, {}, {}
 
     def word(self, seen: str, spaced: bool = False) -> str:
         key = (seen, spaced)
@@ -217,12 +217,8 @@ class Restorer:
         """Whether a word with a doubled letter is far less probable than with one of it."""
         if not _TWICE.search(word):
             return False
-        if word not in self.doubled:
-            if len(self.doubled) >= self.most:
-                self.doubled.clear()
-            once = _TWICE.sub(r"\1", word)
-            self.doubled[word] = self.model.score(once) + _LOG_DOUBLED > self.model.score(word)
-        return self.doubled[word]
+        once = _TWICE.sub(r"\1", word)
+        return self.model.score(once) + _LOG_DOUBLED > self.model.score(word)
 
     def pairs(self, text: str | None) -> dict[str, str]:
         """Every distinct word of a text, without outer punctuation, and what it is restored to."""
@@ -234,9 +230,14 @@ class Restorer:
         out: dict[str, str] = {}
         for raw in set(words):
             word = raw.strip(_OUTER)
-            if word.isalpha():
+            known = self.plain.get(word)
+            if known is not None:
+                out[word] = known
+            elif word.isalpha():
                 mixed = look and _LATIN.search(word) and not LOOK.keys().isdisjoint(word)
-                out[word] = self.word(word) if mixed or self.typed_twice(word) else word
+                if len(self.plain) >= self.most:
+                    self.plain.clear()
+                out[word] = self.plain[word] = self.word(word) if mixed or self.typed_twice(word) else word
             elif any(c.isalpha() or c in LEET for c in word):
                 out[word] = self.word(word)
         for found in [w for w in out if _RUN.search(w)] if _RUN.search(text) else ():
@@ -274,13 +275,24 @@ def char_model(docs: DataFrame) -> CharModel:
 
         def count() -> None:
             points = np.frombuffer(f"  {'  '.join(waiting)}  ".encode("utf-32-le", "surrogatepass"), np.uint32)
-            place = np.where(letter[points], points, 0).astype(np.int64)
+            waiting.clear()
+            # the letters of these texts get small numbers, so only distinct trigrams are hashed
+            own = np.flatnonzero(np.bincount(points, minlength=0x110000)[:0x110000] * letter)
+            number = np.zeros(0x110000, np.int64)
+            number[own] = np.arange(1, len(own) + 1)
+            own, place, wide = np.r_[0, own], number[points], len(own) + 1
             # a word starts from two boundaries: the letter before the boundary does not count
             before = np.where(place[1:-1] == 0, 0, place[:-2])
-            inside = (place[1:-1] != 0) | (place[2:] != 0)
-            for slots in _slots(before[inside], place[1:-1][inside], place[2:][inside]):
-                total[:] += np.bincount(slots, minlength=_ALL)
-            waiting.clear()
+            codes = (before * wide + place[1:-1]) * wide + place[2:]
+            if wide <= 128:
+                counts = np.bincount(codes, minlength=wide**3)
+                codes = np.flatnonzero(counts)
+                counts = counts[codes]
+            else:
+                codes, counts = np.unique(codes, return_counts=True)
+            codes, counts = codes[codes >= 1], counts[codes >= 1]  # without three boundaries
+            for slots in _slots(own[codes // wide**2], own[codes // wide % wide], own[codes % wide]):
+                np.add.at(total, slots, counts)
 
         for batch in batches:
             for text in batch.text:
