@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataload.operators.skew import join_side, key_set
+from strataload.operators.skew import join_side
 from strataload.session import durable
 
 
@@ -106,6 +106,44 @@ def prefix_lookup(values: DataFrame, column: str, lookup: DataFrame, pattern: st
     return hits.select(F.col("_value").alias(pattern), *others).distinct()
 
 
+#: Places of a piece that are compared with the characters patterns have there, characters
+#: that come to the driver for one place, and stretches of characters that they become.
+_PLACES, _CHARACTERS, _STRETCHES = 16, 1000, 32
+
+
+def _any_of(characters: Sequence[str]) -> str:
+    """A regular expression for these characters; those beyond Latin-1 as a few stretches that hold them."""
+    codes = sorted(map(ord, characters))
+    parts = [f"\\x{{{c:x}}}" for c in codes if c < 0x100]
+    # no stretch holds surrogates, so nothing starts or ends in the middle of a character
+    for far in ([c for c in codes if 0x100 <= c < 0xD800], [c for c in codes if c > 0xDFFF]):
+        gaps = sorted(range(1, len(far)), key=lambda i: far[i - 1] - far[i])[: _STRETCHES - 1]
+        cuts = [0, *sorted(gaps), len(far)] if far else []
+        parts += [f"\\x{{{far[i]:x}}}-\\x{{{far[k - 1]:x}}}" for i, k in zip(cuts, cuts[1:])]
+    return f"[{''.join(parts)}]"
+
+
+def _piece_finders(pieces: DataFrame, piece: str) -> list[str]:
+    """A regular expression per length of the texts in ``piece`` (not empty), that captures
+    wherever each character can be one that some text of this length has at this place.
+
+    A place with many characters, or far behind, takes any character: what is captured has
+    to be compared in full.
+    """
+    letters = F.regexp_extract_all(F.substring(piece, 1, _PLACES), F.lit("(?s)."), 0)
+    marks = pieces.select(F.length(piece).alias("n"), F.posexplode(letters).alias("at", "c"))
+    found = marks.distinct().groupBy("n", "at").agg(F.collect_set("c").alias("all"))
+    rows = found.select("n", "at", F.when(F.size("all") <= _CHARACTERS, F.col("all")).alias("all")).collect()
+    lists = {(r["n"], r["at"]): r["all"] for r in rows}
+
+    def one(n: int, at: int) -> str:
+        known = lists[n, at]
+        return _any_of(known) if known else r"[^\p{Cs}]"
+
+    places = {n: [one(n, at) for at in range(min(n, _PLACES))] for n in sorted({n for n, _ in lists})}
+    return [f"(?s)(?=({''.join(p)}.{{{n - len(p)}}}))" for n, p in places.items()]
+
+
 def contains_lookup(
     names: DataFrame,
     name: str,
@@ -118,10 +156,11 @@ def contains_lookup(
 
     ``pattern`` rows match names that contain their text (any case), ``exact``
     rows equal names; the lowest priority wins, NULL last, then the pattern
-    text.  Names are cut into pieces of each occurring pattern length, at the
-    positions where a pattern can start, and joined by equality with one row per
-    pattern text, so only real hits come out; a partial aggregate keeps the best.  Patterns are plain text: ``%`` and ``_``
-    stand for themselves.
+    text.  Regular expressions cut the pieces out of a name that have the characters of
+    patterns at every place, one pass per occurring pattern length, so the work is linear in
+    the length of a name; they are joined by equality with one row per pattern text, so only
+    real hits come out, and a partial aggregate keeps the best.  Patterns are plain text:
+    ``%`` and ``_`` stand for themselves.
     """
     others = patterns.columns
     best = F.struct(
@@ -137,33 +176,20 @@ def contains_lookup(
         best.alias("_best"),
     )
     rules = join_side(texts, ["_part", "_piece"], F.min("_best").alias("_best"))
-    lengths = _lengths(texts.filter("_part"), F.length("_piece"))
+    # read up to three times below, so it is computed once
     distinct = names.select(F.col(name).cast("string").alias("_name")).filter(F.col("_name").isNotNull()).distinct()
-    # read up to four times below, so it is computed once
     distinct = durable(distinct.withColumn("_key", F.md5("_name")))
-    whole = rules.filter(~F.col("_part")).select(F.col("_piece").alias("_name"), "_best")
-    hits = distinct.join(whole, "_name").select("_key", "_best")
+    whole = rules.filter(~F.col("_part")).select(F.md5("_piece").alias("_key"), "_best")
+    hits = distinct.select("_key").join(whole, "_key")
     parts = rules.filter("_part").select("_piece", "_best")
-    sizes = [n for n in lengths if n]
-    if sizes:
-        low = F.col("_low")
-        shortest = sizes[0]
-        # distinct pieces of the shortest length that start a pattern; only a digest of the
-        # name goes with them, so the work is linear in the length of the name
+    finders = _piece_finders(texts.filter("_part and _piece <> ''"), "_piece")
+    if finders:
+        # distinct pieces of a name; only a digest of the name goes with them
         lows = distinct.select("_key", F.lower("_name").alias("_low"))
-        places = F.sequence(F.lit(1), F.length(low) - (shortest - 1))
-        starts = lows.filter(F.length(low) >= shortest).select("_key", F.posexplode(F.transform(places, lambda i: F.substr(low, i, F.lit(shortest)))).alias("_at", "_start"))
-        heads = parts.filter(F.length("_piece") > 0).select(F.substring("_piece", 1, shortest).alias("_start"))
-        found = starts.join(key_set(heads, ["_start"]), "_start", "left_semi")
-        if len(sizes) == 1:
-            cut = found.select("_key", F.col("_start").alias("_piece")).distinct()
-        else:
-            # the longer pieces of a name are cut once, from all its places together
-            spots = found.groupBy("_key").agg(F.collect_list("_at").alias("_spots"))
-            pieces = F.flatten(F.transform("_spots", lambda i: F.array(*[F.when(F.length(low) >= i + n, F.substr(low, i + 1, F.lit(n))) for n in sizes])))
-            cut = lows.join(spots, "_key").select("_key", F.explode(F.array_distinct(F.array_compact(pieces))).alias("_piece"))
+        pieces = F.array_distinct(F.concat(*[F.regexp_extract_all("_low", F.lit(f), 1) for f in finders]))
+        cut = lows.select("_key", F.explode(pieces).alias("_piece"))
         hits = hits.unionByName(cut.join(parts, "_piece").select("_key", "_best"))
-    if 0 in lengths:  # the empty text is in every name: one row, as a scalar
+    if not texts.filter("_part and _piece = ''").isEmpty():  # the empty text is in every name: one row, as a scalar
         best_empty = parts.filter("_piece = ''").select("_best").scalar()
         hits = hits.unionByName(distinct.select("_key", best_empty.alias("_best")))
     hits = hits.groupBy("_key").agg(F.min("_best").alias("_best"))

@@ -72,6 +72,37 @@ def test_contains_lookup_takes_the_best(spark, seed):
         assert (r["prio"] is None, r["prio"] or 0, r["text"]) == want[r["name"]][:3]
 
 
+def test_contains_lookup_on_all_scripts_and_lengths(spark):
+    many = [chr(0x4E00 + i) + "a" for i in range(0, 3300, 3)]  # more than come to the driver
+    few = [chr(0x400 + 7 * i) + chr(0x1F600 + 3 * i) for i in range(25)] + ["?b", "\U0001f600b", "[", "\\E.*", "a\nb"]
+    long = ["x" * 20 + "y", "x" * 19 + "yz", "é" * 16 + "1", "Z" * 40]
+    names = [a + b for a in few for b in ("", "b", "\U0001f600")] + [f"-{p}-" for p in [*many, *few, *long]]
+    names += ["\U0001f603b", "\U0001f600", chr(0x4E01) + "a", "x" * 30, "é" * 16 + "2", "x" * 25 + "Yz", "", "a\rb"]
+    patterns = [("pattern", p, i % 5) for i, p in enumerate([*many, *few, *long])]
+    got = lookup.contains_lookup(
+        spark.createDataFrame([(n,) for n in names], "name string"), "name",
+        spark.createDataFrame(patterns, "kind string, text string, prio int"), "text", "kind", "prio",
+    )
+    want = {n: min(hits) for n in names if (hits := [(i, p.encode()) for _, p, i in patterns if p.lower() in n.lower()])}
+    assert {r["name"]: (r["prio"], r["text"].encode()) for r in got.collect()} == want
+
+
+def test_long_names_make_rows_for_real_hits_only(spark):
+    """Rows that a name's pieces make: not one per character."""
+    names = spark.createDataFrame([(f"{i} " + "lorem ipsum (dolor) " * 3000 + "The End",) for i in range(8)], "name string")
+    patterns = [("pattern", p, i) for i, p in enumerate(["the", "or", "the end", "q7", "ipsum [", "7"])]
+    got = lookup.contains_lookup(names, "name", spark.createDataFrame(patterns, "kind string, text string, prio int"), "text", "kind", "prio")
+    assert [r["text"] for r in got.collect()] == ["the"] * 8
+    todo, made = [got._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        made += node.metrics().get("numOutputRows").get().value() if kind == "GenerateExec" else 0
+        inner = node.executedPlan() if kind == "AdaptiveSparkPlanExec" else node.plan() if kind.endswith("QueryStageExec") else None
+        todo += [inner] if inner is not None else [node.children().apply(i) for i in range(node.children().size())]
+    assert 0 < made <= 8 * len(patterns)
+
+
 def test_null_safe_and_filtered_lookup(spark):
     df = spark.createDataFrame([(1, None), (2, "a"), (3, "b")], "id int, k string")
     side = spark.createDataFrame([(None, "nil"), ("a", "A")], "k string, v string")
