@@ -25,10 +25,14 @@ def range_bounds(df: DataFrame, columns: Sequence[str], ranges: int, accuracy: i
     Numbers, dates and timestamps are cut by approximate quantiles of their numeric
     value, other types by those of their first characters' code.
     """
+    return _bounds_and_rows(df, columns, ranges, accuracy)[0]
+
+
+def _bounds_and_rows(df: DataFrame, columns: Sequence[str], ranges: int, accuracy: int = 10_000) -> tuple[dict[str, list], int]:
     shares = [i / ranges for i in range(1, ranges)]
     sketches = [F.percentile_approx(_number(df, c), shares, accuracy).alias(f"_{i}") for i, c in enumerate(columns)]
-    row = df.agg(*sketches).first()
-    return {c: sorted(set(row[f"_{i}"] or [])) for i, c in enumerate(columns)}
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *sketches).first()
+    return {c: sorted(set(row[f"_{i}"] or [])) for i, c in enumerate(columns)}, row["rows"]
 
 
 def _number(df: DataFrame, column: str) -> Column:
@@ -45,32 +49,43 @@ def _number(df: DataFrame, column: str) -> Column:
     return value.cast("double")
 
 
-def z_value(df: DataFrame, columns: Sequence[str], bounds: Mapping[str, Sequence], bits: int) -> Column:
-    """The interleaved bits of the columns' range numbers; NULL counts as the lowest range."""
-    numbers = []
-    for c in columns:
-        cuts = F.array(*[F.lit(float(b)) for b in bounds[c]]).cast("array<double>")
-        numbers.append(F.size(F.filter(cuts, lambda b, v=_number(df, c): b < F.coalesce(v, F.lit(float("-inf"))))).cast("long"))
+def _cuts_below(value: Column, cuts: Sequence, first: int = 0) -> Column:
+    """``first`` and the number of ascending cuts that are less than the value (none for NULL), by halving."""
+    if not cuts:
+        return F.lit(first).cast("long")
+    half = len(cuts) // 2
+    above = _cuts_below(value, cuts[half + 1 :], first + half + 1)
+    return F.when(value > F.lit(float(cuts[half])), above).otherwise(_cuts_below(value, cuts[:half], first))
+
+
+def with_z_value(df: DataFrame, name: str, columns: Sequence[str], bounds: Mapping[str, Sequence], bits: int) -> DataFrame:
+    """``df`` with the interleaved bits of the columns' range numbers; NULL counts as the lowest range."""
+    # one column at a time, so that neither a value nor its range number is computed twice
+    values = df.withColumns({f"_v{i}": _number(df, c) for i, c in enumerate(columns)})
+    numbers = values.withColumns({f"_v{i}": _cuts_below(F.col(f"_v{i}"), bounds[c]) for i, c in enumerate(columns)})
     out = F.lit(0).cast("long")
     for bit in range(bits):
-        for i, number in enumerate(numbers):
-            one = F.shiftright(number, bit).bitwiseAND(1)
-            out = out.bitwiseOR(F.shiftleft(one, bit * len(numbers) + i))
-    return out
+        for i in range(len(columns)):
+            one = F.shiftright(F.col(f"_v{i}"), bit).bitwiseAND(1)
+            out = out.bitwiseOR(F.shiftleft(one, bit * len(columns) + i))
+    return numbers.withColumn(name, out).drop(*[f"_v{i}" for i in range(len(columns))])
 
 
-def clustered_write(df: DataFrame, path: str, columns: Sequence[str], files: int, bits: int = 6) -> None:
+def clustered_write(df: DataFrame, path: str, columns: Sequence[str], files: int, bits: int = 6, file_rows: int = 2_000_000) -> None:
     """Write ``df`` to about ``files`` files in Z order of ``columns``, with their statistics.
 
-    2^``bits`` ranges per column.  The range partitioner samples the Z values, so files
-    have like sizes; rows of one Z value that repeat more often stay together.
+    2^``bits`` ranges per column.  There are more files if they would have more than
+    ``file_rows`` rows, so that what a task sorts does not grow with the table.  The range
+    partitioner samples the Z values and, within one, the columns, so files have like
+    sizes; rows that are equal in all the columns stay together.
     """
     if not 1 <= bits * len(columns) <= 62:
         raise ValueError("the interleaved bits must fit a long")
-    bounds = range_bounds(df, columns, 1 << bits)
+    bounds, count = _bounds_and_rows(df, columns, 1 << bits)
     spark, base = df.sparkSession, path.rstrip("/")
-    ordered = df.withColumn("_z", z_value(df, columns, bounds, bits))
-    ordered = ordered.repartitionByRange(files, "_z").sortWithinPartitions("_z").drop("_z")
+    ordered = with_z_value(df, "_z", columns, bounds, bits)
+    parts = max(files, -(-count // file_rows))
+    ordered = ordered.repartitionByRange(parts, "_z", *[F.col(f"`{c}`") for c in columns]).sortWithinPartitions("_z").drop("_z")
     publish(ordered, f"{base}/rows")
     rows = spark.read.parquet(f"{base}/rows")
     ends = [f(F.col(f"`{c}`")).alias(f"{side}_{i}") for i, c in enumerate(columns) for side, f in (("low", F.min), ("high", F.max))]

@@ -159,6 +159,30 @@ def test_a_filter_on_either_column_opens_few_files(spark, tmp_path):
     assert cluster.read_clustered(spark, path, {"c": ("0", "1")}).count() == rows.filter("c between '0' and '1'").count()
 
 
+def test_clustered_files_are_many_alike_and_small_boxes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("a"), (F.xxhash64("id") % 1000).alias("b"))
+    cluster.clustered_write(rows, path, ["a", "b"], files=16)
+    sizes = [r["rows"] for r in spark.read.parquet(f"{path}/{cluster.STATISTICS}").collect()]
+    assert len(sizes) >= 12 and sum(sizes) == 20_000 and max(sizes) < 20_000 / 4
+    for bounds in ({"a": (100, 200)}, {"b": (100, 140)}):
+        assert len(cluster.files_within(spark, path, bounds)) <= len(sizes) / 2
+    # more rows, more files; a frequent value is no single file
+    rows = rows.withColumn("a", F.when(F.col("a") % 2 == 0, 7).otherwise(F.col("a")))
+    cluster.clustered_write(rows, path, ["a"], files=2, file_rows=1000)
+    sizes = [r["rows"] for r in spark.read.parquet(f"{path}/{cluster.STATISTICS}").collect()]
+    assert len(sizes) >= 8
+    cluster.clustered_write(rows.withColumn("c", F.lit(1)), path, ["c", "b"], files=2, file_rows=1000)
+    sizes = [r["rows"] for r in spark.read.parquet(f"{path}/{cluster.STATISTICS}").collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 3000 and bag(cluster.read_clustered(spark, path)) == bag(rows.withColumn("c", F.lit(1)))
+
+
+def test_range_numbers_count_the_cuts_below(spark):
+    rows = spark.createDataFrame([(None,), (float("-inf"),), (1.0,), (1.5,), (2.0,), (3.0,), (9.0,), (float("nan"),)], "v double")
+    found = cluster.with_z_value(rows, "z", ["v"], {"v": [1.0, 2.0, 5.0]}, bits=3)
+    assert [r["z"] for r in found.collect()] == [0, 0, 0, 1, 1, 2, 3, 3] and found.columns == ["v", "z"]
+
+
 def test_texts_nulls_and_one_value(spark, tmp_path):
     rows = spark.createDataFrame([("é", None, 1), (None, 2.5, 1), ("zebra", -1.0, 1), ("", None, 1)] * 20, "x string, y double, z int")
     cluster.clustered_write(rows, str(tmp_path / "t"), ["x", "y", "z"], files=4, bits=3)
